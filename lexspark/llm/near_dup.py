@@ -13,8 +13,9 @@ five-word shingles as 64-bit hashes. Stages:
    hold is frequent, so it makes no list unless a document consists of little else.
 4. Classes still on long lists are large groups of near copies. There the prefix filter runs on the
    full sets, and values that no other class holds bound the similarity of each pair from above.
-   A list links its classes to one pivot first; only pairs that are then in different components
-   and that the bound allows follow. So a group costs rows in proportion to its size.
+   A list links its classes to one pivot first. A class that stays outside the pivot's component can
+   only be linked to one that shares some of the values which the pivot lacks, and those are rare:
+   they are looked up in the full sets. So a group costs rows in proportion to its size.
 5. Union sketches estimate each pair's similarity and drop hopeless pairs; full sets decide.
 6. Components by hash-to-minimum label propagation with pointer jumping.
 """
@@ -29,6 +30,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Scratch, bound_batches
 
@@ -96,14 +98,17 @@ def _split(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     return both.where(F.col("df") <= LIGHT).drop("df"), both.where(F.col("df") > LIGHT)
 
 
-def _rarest(lists: DataFrame, take) -> DataFrame:
-    """For each class (cls, n, values) the rarest values by (df, value), as many as ``take`` says; adds what its values' frequencies say.
+def _shared(lists: DataFrame) -> DataFrame:
+    """Members of lists (cls, n, m, value) that two classes or more are on, with the list's size df."""
+    return lists.join(lists.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value")
 
-    ``lists`` is (cls, n, value). Frequencies are joined by value, and values of frequency 1 are
-    left out of the join: their number is n less the rest.
+
+def _rarest(shared: DataFrame, take) -> DataFrame:
+    """For each class (cls, n, m: its number of values) the rarest values by (df, value), as many as ``take`` says.
+
+    Values of one class alone are not among ``shared``; they are the rarest, and ``own`` counts them.
     """
-    size = lists.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = lists.join(size, "value").groupBy("cls", "n", "m").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
+    held = shared.groupBy("cls", "n", "m").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
     held = held.withColumn("own", F.col("m") - F.size("v"))
     return held.withColumn("v", F.slice("v", 1, F.greatest(take(F.col("n"), F.col("m")) - F.col("own"), F.lit(0)).cast("int")))
 
@@ -167,25 +172,44 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _large_groups(full: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links among classes on long lists, from their full sets (cls, n, value)."""
+    """Links among classes on long lists, from their full sets (cls, n, m, value)."""
     # values that only one class holds are in no intersection; s = n - own values bounds each one
-    held = _rarest(full, lambda n, m: n - _least(n) + 1).withColumn("s", F.col("n") - F.col("own"))
+    shared = scratch.keep(_shared(full))
+    held = _rarest(shared, lambda n, m: n - _least(n) + 1).withColumn("s", F.col("n") - F.col("own"))
     held = held.where(F.col("s") * 100 >= F.col("n") * 85)
     lists = scratch.keep(held.select("cls", "n", "s", F.explode("v").alias("x")).select("cls", "n", "s", F.col("x.value").alias("value")))
     pivot = lists.groupBy("value").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("share"), -F.col("cls"), "n", "s")).alias("p"))
-    pivot = pivot.select("value", (-F.col("p.col2")).alias("p"), F.col("p.n").alias("pn"), F.col("p.s").alias("ps"))
+    pivot = scratch.keep(pivot.select("value", (-F.col("p.col2")).alias("p"), F.col("p.n").alias("pn"), F.col("p.s").alias("ps")))
     can = lambda s, t, n, m: F.least(s, t) * 185 >= (F.col(n) + F.col(m)) * 85
-    first = lists.join(pivot, "value").where((F.col("cls") != F.col("p")) & can(F.col("s"), F.col("ps"), "n", "pn"))
+    met = scratch.keep(lists.join(pivot, "value"))
+    first = met.where((F.col("cls") != F.col("p")) & can(F.col("s"), F.col("ps"), "n", "pn"))
     first = scratch.keep(_ordered(first.select(F.col("cls").alias("a"), F.col("p").alias("b"))))
     links = scratch.keep(_verify(first, texts))
     label = components(links, scratch)
-    # what follows are pairs of different components, one of them away from its list's pivot
-    named = lists.join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    named = scratch.keep(named)
-    home = pivot.join(label.withColumnRenamed("cls", "p"), "p", "left").select("value", F.coalesce("label", "p").alias("home"))
-    away = named.join(home, "value").where("label <> home").select("value", F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), F.col("label").alias("bl"))
-    rest = named.join(away, "value").where((F.col("label") != F.col("bl")) & can(F.col("s"), F.col("bs"), "n", "bn"))
-    rest = _ordered(rest.select(F.col("cls").alias("a"), "b")).join(first, ["a", "b"], "left_anti")
+    named = scratch.keep(met.join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")))
+    home = label.select(F.col("cls").alias("p"), F.col("label").alias("home"))
+    # what follows are pairs of different components, one of them away from the component of its list's pivot
+    away = named.join(home, "p", "left").where(F.col("label") != F.coalesce("home", "p"))
+    away = away.groupBy("cls", "n", "s", "label", "p").agg(F.count(F.lit(1)).alias("c")).groupBy("cls", "n", "s", "label").agg(F.max_by("p", F.struct("c", "p")).alias("p"))
+    away = scratch.keep(away)
+    # A partner of m values misses at most b = n - 0.85 / 1.85 * (n + m) values of a class of n. So it
+    # holds one of any b + 1 of them: here the rarest that the class's pivot lacks, own ones first.
+    mine = shared.join(away.select("cls", "p", "s", "label"), "cls").select("cls", "p", "n", "s", "label", "value", "df")
+    lacks = mine.join(shared.select(F.col("cls").alias("p"), "value"), ["p", "value"], "left_anti")
+    rare = lacks.withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("df", "value")))
+    probes = rare.where(F.col("r") <= F.col("n") - _least(F.col("n")) + 1 - (F.col("n") - F.col("s")))
+    probes = scratch.keep(probes.select("value", F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), F.col("label").alias("bl")))
+    every = shared.join(held.select("cls", "s"), "cls").join(label, "cls", "left").select("value", "cls", "n", "s", F.coalesce("label", "cls").alias("label"))
+    differ = (F.col("label") != F.col("bl")) & can(F.col("s"), F.col("bs"), "n", "bn")
+    rest = every.join(probes, "value").where(differ).select(F.col("cls").alias("a"), "b")
+    # a partner so much smaller that b reaches all values the pivot lacks can share the pivot's values alone
+    few = away.join(lacks.groupBy("cls").agg(F.count(F.lit(1)).alias("d")), "cls", "left").select(
+        F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), F.col("label").alias("bl"), (F.coalesce("d", F.lit(0)) + F.col("n") - F.col("s")).alias("d")
+    )
+    few = few.join(named.select(F.col("cls").alias("b"), "value"), "b")
+    small = (F.col("bn") - F.col("d")) * 185 >= (F.col("n") + F.col("bn")) * 85
+    rest = rest.union(named.join(few, "value").where(differ & small).select(F.col("cls").alias("a"), "b"))
+    rest = _ordered(rest).join(first, ["a", "b"], "left_anti")
     return links.unionByName(_verify(scratch.keep(rest), texts))
 
 
@@ -219,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent = scratch.keep(long.select("cls").distinct())
     part = cls.join(frequent, "cls", "left_semi").select("cls", "n", F.size("sketch").alias("m"), "sketch")
     lists = _rarest(
-        part.select("cls", "n", "m", F.explode("sketch").alias("value")),
+        _shared(part.select("cls", "n", "m", F.explode("sketch").alias("value"))),
         # a set within the sketch is exact, and so is every partner's as long as 0.85 of it fits
         lambda n, m: F.when(n <= SKETCH * 85 // 100, n - _least(n) + 1).otherwise(m - OVERLAP + 1),
     )
