@@ -1 +1,4 @@
-"""See the package docstring."""
+"""The query catalogue: every operator over the test tables, with SQL for the same result."""
+
+from . import text_queries  # noqa: F401
+from .base import ORACLES, QUERIES  # noqa: F401
