@@ -1,6 +1,6 @@
-"""Rule tables of Brazilian legal text. All values in this module are fixed: patterns, word lists and tables that results depend on.
+r"""Rule tables of Brazilian legal text. All values in this module are fixed: patterns, word lists and tables that results depend on.
 
-Patterns are Java regular expressions; ``(?iu)`` ignores case beyond ASCII.
+Patterns are Java regular expressions; ``(?iuU)`` ignores case beyond ASCII.
 """
 
 # --- devices of a statute -------------------------------------------------------------------
@@ -18,32 +18,32 @@ def roman(n: int) -> str:
 ROMANS = [roman(n) for n in range(1, ROMAN_LIMIT + 1)]
 _ANY_ROMAN = "|".join(sorted(ROMANS, key=len, reverse=True))
 
-ARTICLE = r"(?iu)^\s*Art\.\s*(\d+(?:\.\d+)*)[º°o]?(-[A-Za-z]+)?[\w-]*[.\s]"
-PARAGRAPH = r"(?iu)^\s*(§\s*(\d+)[º°o]?\.?\s|Par[aá]grafo\s+[uú]nico)"
-INCISO = rf"^\s*({_ANY_ROMAN})\s*[-–—]\s?"
-ALINEA = r"^\s*([a-z])\)\s"
-SUMMARY_LINE = r"\.{5,}|\s_\s|\s-\s{2,}"
+ARTICLE = r"(?iuU)^\s*Art\.\s*(\d+(?:\.\d+)*)[º°o]?(-[A-Za-z]+)?[\w-]*[.\s]"
+PARAGRAPH = r"(?iuU)^\s*(§\s*(\d+)[º°o]?\.?\s|Par[aá]grafo\s+[uú]nico)"
+INCISO = rf"(?U)^\s*({_ANY_ROMAN})\s*[-–—]\s?"
+ALINEA = r"(?U)^\s*([a-z])\)\s"
+SUMMARY_LINE = r"(?U)\.{5,}|\s_\s|\s-\s{2,}"
 METADATA_WORDS = ("DIÁRIO OFICIAL DA UNIÃO", "Publicado em:", "Imprensa Nacional", "https://", "http://")
 METADATA_STAMP = r"^\d{2}/\d{2}/\d{4},?\s+\d{2}:\d{2}"
-PAGINATION = r"(?iu)^(p[áa]ginas?|p[áa]g\.?|fls?\.?)?\s*\d+(?:\s*(?:/|de)\s*\d+)?\s*$"
-ISSUER = r"(?iu)^\s*[OÓ]rg[aã]o\s*:"
-NORM_NAME = r"(?iu)^\s*(INSTRUÇÃO NORMATIVA|DECRETO|LEI\s+(COMPLEMENTAR\s+)?N[º°]|PORTARIA|RESOLUÇÃO)"
+PAGINATION = r"(?iuU)^(p[áa]ginas?|p[áa]g\.?|fls?\.?)?\s*\d+(?:\s*(?:/|de)\s*\d+)?\s*$"
+ISSUER = r"(?iuU)^\s*[OÓ]rg[aã]o\s*:"
+NORM_NAME = r"(?iuU)^\s*(INSTRUÇÃO NORMATIVA|DECRETO|LEI\s+(COMPLEMENTAR\s+)?N[º°]|PORTARIA|RESOLUÇÃO)"
 PREAMBLE = (
-    r"(?iu)^\s*O\s+(SECRETÁRI[OA]|MINISTRO|PRESIDENTE|DIRETOR)",
-    r"(?iu)^\s*(RESOLVE|CONSIDERANDO)",
-    r"(?iu)no uso d[ea]s?\s+atribuiç",
-    r"(?iu)resolve\s*:",
+    r"(?iuU)^\s*O\s+(SECRETÁRI[OA]|MINISTRO|PRESIDENTE|DIRETOR)",
+    r"(?iuU)^\s*(RESOLVE|CONSIDERANDO)",
+    r"(?iuU)no uso d[ea]s?\s+atribuiç",
+    r"(?iuU)resolve\s*:",
 )
-SUMMARY_VERB = r"(?iu)^\s*(Dispõe|Altera|Regulamenta|Estabelece|Institui)\s+"
-CHAPTER = r"(?iu)^\s*CAP[ÍI]TULO\s"
+SUMMARY_VERB = r"(?iuU)^\s*(Dispõe|Altera|Regulamenta|Estabelece|Institui)\s+"
+CHAPTER = r"(?iuU)^\s*CAP[ÍI]TULO\s"
 ALL_CAPS = r"^[A-ZÁÉÍÓÚÂÊÔÃÕÇ\s\-–—/,.:;()]+$"
-LEGAL_MARKER = rf"(?iu)^\s*(Art\.|§|(?:{_ANY_ROMAN})\s*[-–—]|[a-z]\)|\d+\.)"
+LEGAL_MARKER = rf"(?iuU)^\s*(Art\.|§|(?:{_ANY_ROMAN})\s*[-–—]|[a-z]\)|\d+\.)"
 #: As the marker reads without grouping its numerals: any text that begins with one of them.
-LEGAL_MARKER_COMPAT = rf"(?iu)^\s*(Art\.|§|{_ANY_ROMAN}\s*[-–—]|[a-z]\)|\d+\.)"
+LEGAL_MARKER_COMPAT = rf"(?iuU)^\s*(Art\.|§|{_ANY_ROMAN}\s*[-–—]|[a-z]\)|\d+\.)"
 BROWSER_HEADER = r"^((?:\d{2}/\d{2}/\d{4},?\s+\d{2}:\d{2}[^\n]*\n)(?:[^\n]*(?:https?://|\.gov\.br|\.htm)[^\n]*\n)?(?:[^\n]*\d+\s*/\s*\d+[^\n]*\n)?)"
 EXPIRED = "vigência encerrada"
 OPEN_ENDED = (
-    r"(?iu)(?:,\s*$|(?<![\p{L}\p{N}_])(?:e|ou|a|o|os|as|de|do|da|dos|das|no|na|nos|nas|ao|aos|à|às|em|com|por|para|que|se|como|sobre|entre|sob|sem|até"
+    r"(?iuU)(?:,\s*$|(?<![\p{L}\p{N}_])(?:e|ou|a|o|os|as|de|do|da|dos|das|no|na|nos|nas|ao|aos|à|às|em|com|por|para|que|se|como|sobre|entre|sob|sem|até"
     r"|pelo|pela|pelos|pelas|seu|sua|seus|suas|um|uma|uns|umas|cujo|cuja|cujos|cujas|quando|onde|qual|quais|conforme|mediante|perante)\s*$)"
 )
 MERGE_GAP = 1500
@@ -147,12 +147,12 @@ TRIGGERS = (
 )
 #: (pattern, id type, has a date group, has a name group), in order.
 REFERENCES = (
-    (r"(?iu)da Lei n[ºo°]\s*([\d.]+),?\s*de\s+(.+?)\s*\((.+?)\)", "LEI", True, True),
-    (r"(?iu)da Lei n[ºo°]\s*([\d.]+),?\s*de\s+(.+?)[.,;]", "LEI", True, False),
-    (r"(?iu)do Decreto-Lei n[ºo°]\s*([\d.]+),?\s*de\s+(.+?)\s*\((.+?)\)", "DL", True, True),
-    (r"(?iu)do Decreto n[ºo°]\s*([\d.]+)", "DEC", False, False),
-    (r"(?iu)da Lei Complementar n[ºo°]\s*([\d.]+)", "LC", False, False),
-    (r"(?iu)da Medida Provis[óo]ria n[ºo°]\s*([\d.]+)", "MP", False, False),
+    (r"(?iuU)da Lei n[ºo°]\s*([\d.]+),?\s*de\s+(.+?)\s*\((.+?)\)", "LEI", True, True),
+    (r"(?iuU)da Lei n[ºo°]\s*([\d.]+),?\s*de\s+(.+?)[.,;]", "LEI", True, False),
+    (r"(?iuU)do Decreto-Lei n[ºo°]\s*([\d.]+),?\s*de\s+(.+?)\s*\((.+?)\)", "DL", True, True),
+    (r"(?iuU)do Decreto n[ºo°]\s*([\d.]+)", "DEC", False, False),
+    (r"(?iuU)da Lei Complementar n[ºo°]\s*([\d.]+)", "LC", False, False),
+    (r"(?iuU)da Medida Provis[óo]ria n[ºo°]\s*([\d.]+)", "MP", False, False),
 )
 KNOWN_REFERENCES = {
     "2.848": ("DL-2848-1940", "Código Penal"),

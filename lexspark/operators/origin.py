@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 
-_ARTICLE = r"(?iu)Art\.\s*([\d.]+(?:-[A-Z])?)"
+_ARTICLE = r"(?iuU)Art\.\s*([\d.]+(?:-[A-Z])?)"
 _QUOTE_OPEN = '["“]\\s*[A-Z]'
-_QUOTED_CHAPTER = '(?iu)["“](CAP[ÍI]TULO|Se[çc][ãa]o|T[ÍI]TULO|LIVRO|PARTE)'
-_ANNEX = r"(?imu)^\s*ANEXO\s+[IVXLCDM\d]+"
+_QUOTED_CHAPTER = '(?iuU)["“](CAP[ÍI]TULO|Se[çc][ãa]o|T[ÍI]TULO|LIVRO|PARTE)'
+_ANNEX = r"(?imuU)^\s*ANEXO\s+[IVXLCDM\d]+"
 _NEW_WORDING = '["”]\\s*\\(NR\\)'
 _QUOTE_CLOSE = '(?m)["”]\\s*$'
 #: Weights of the signs of a zone's start, but for the article's number, and of its end.

@@ -117,7 +117,7 @@ def markdown_elements(docs: DataFrame) -> DataFrame:
     line = docs.select("document_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
     bare = F.regexp_replace("line", r"^[#*\s>-]+", "")
     kind = (
-        F.when(bare.rlike(r"(?iu)^CAP[ÍI]TULO\s"), "chapter").when(bare.rlike(r"(?iu)^Art\.?\s*\d+"), "article").when(bare.rlike(r"(?iu)^(§\s*\d+|Par[aá]grafo\s+[uú]nico)"), "paragraph")
+        F.when(bare.rlike(r"(?iuU)^CAP[ÍI]TULO\s"), "chapter").when(bare.rlike(r"(?iuU)^Art\.?\s*\d+"), "article").when(bare.rlike(r"(?iuU)^(§\s*\d+|Par[aá]grafo\s+[uú]nico)"), "paragraph")
         .when(bare.rlike(r"^[IVXLCDM]+\s*[-–—]"), "item").when(bare.rlike(r"^[a-z]\)\s"), "sub_item")
     )
     label = F.when(kind == "article", F.regexp_extract(bare, r"(\d+)", 1)).when(kind == "paragraph", F.coalesce(F.nullif(F.regexp_extract(bare, r"^§\s*(\d+)", 1), F.lit("")), F.lit("unico"))).when(kind == "item", F.regexp_extract(bare, r"^([IVXLCDM]+)", 1)).when(kind == "sub_item", F.left(bare, F.lit(1)))
@@ -164,7 +164,7 @@ def fix_statute(tree: DataFrame) -> DataFrame:
     """Repairs a model's tree: chapters without articles go, items that are paragraphs become such, sub-items that repeat their item go."""
     def article(a: Column) -> Column:
         items = F.coalesce(a["items"], F.array().cast("array<struct<identifier:string,content:string,sub_items:array<struct<identifier:string,content:string>>>>"))
-        is_par = lambda i: i["identifier"].rlike(r"(?iu)^\s*(§|par[aá]grafo)")
+        is_par = lambda i: i["identifier"].rlike(r"(?iuU)^\s*(§|par[aá]grafo)")
         moved = F.transform(F.filter(items, is_par), lambda i: F.struct(i["identifier"].alias("identifier"), i["content"].alias("content")))
         rest = F.transform(F.filter(items, lambda i: ~is_par(i)), lambda i: i.withField("sub_items", F.filter(i["sub_items"], lambda s: F.coalesce(s["content"], F.lit("")) != F.coalesce(i["content"], F.lit("")))))
         old = F.coalesce(a["paragraphs"], F.array().cast("array<struct<identifier:string,content:string>>"))

@@ -25,13 +25,13 @@ _HEADER = {
     "processo": r"TC\s+(\d{3}\.\d{3}/\d{4}-\d)",
     "natureza": r"Natureza:\s*(.+?)(?:\n|$)",
     "relator": r"Relator:\s*(?:Ministro\s+)?(.+?)(?:\n|$)",
-    "unidade_tecnica": r"(?iu)Unidade\s+T[eé]cnica:\s*(.+?)(?:\n|$)",
+    "unidade_tecnica": r"(?iuU)Unidade\s+T[eé]cnica:\s*(.+?)(?:\n|$)",
     "data_sessao": r"Data\s+da\s+Sess[aã]o:\s*(\d{1,2}/\d{1,2}/\d{4})",
 }
-_NUMBER = r"(?iu)AC[OÓ]RD[AÃ]O\s+(?:N[°ºo.]?\s*)?(\d+)/(\d{4})"
-_BODY = r"(?iu)(Plen[aá]rio|1[ªa]\s*C[aâ]mara|2[ªa]\s*C[aâ]mara|Primeira\s+C[aâ]mara|Segunda\s+C[aâ]mara)"
-_SUMMARY = r"(?isu)SUM[AÁ]RIO:\s*(.+?)(?=\n\s*(?:RELAT[OÓ]RIO|VOTO|AC[OÓ]RD[AÃ]O)\s)"
-_OUTCOME = r"(?iu)considerar\s+(?:a\s+\w+\s+)?(parcialmente\s+procedente|procedente|improcedente)"
+_NUMBER = r"(?iuU)AC[OÓ]RD[AÃ]O\s+(?:N[°ºo.]?\s*)?(\d+)/(\d{4})"
+_BODY = r"(?iuU)(Plen[aá]rio|1[ªa]\s*C[aâ]mara|2[ªa]\s*C[aâ]mara|Primeira\s+C[aâ]mara|Segunda\s+C[aâ]mara)"
+_SUMMARY = r"(?isuU)SUM[AÁ]RIO:\s*(.+?)(?=\n\s*(?:RELAT[OÓ]RIO|VOTO|AC[OÓ]RD[AÃ]O)\s)"
+_OUTCOME = r"(?iuU)considerar\s+(?:a\s+\w+\s+)?(parcialmente\s+procedente|procedente|improcedente)"
 
 
 def header(docs: DataFrame, requests: DataFrame | None = None) -> DataFrame:
@@ -75,7 +75,7 @@ def subsections(report: DataFrame) -> DataFrame:
     two = F.filter("m", lambda x: (x["k"] == 1) & ~F.exists(one, lambda y: y["start"] == x["start"]))
     name = lambda x: F.trim(F.regexp_replace(x["g"][1], r"(?U)^\s+|\s+\z", ""))
     m = m.withColumn("ranked", F.concat(one, two))
-    upper = F.filter("m", lambda x: (x["k"] == 2) & (F.length(name(x)) >= 4) & ~name(x).rlike(r"(?iu)^(RELAT[OÓ]RIO|VOTO|AC[OÓ]RD[AÃ]O)\s*$") & ~F.exists(F.col("ranked"), lambda y: F.abs(y["start"] - x["start"]) < 5))
+    upper = F.filter("m", lambda x: (x["k"] == 2) & (F.length(name(x)) >= 4) & ~name(x).rlike(r"(?iuU)^(RELAT[OÓ]RIO|VOTO|AC[OÓ]RD[AÃ]O)\s*$") & ~F.exists(F.col("ranked"), lambda y: F.abs(y["start"] - x["start"]) < 5))
     m = m.withColumn("all", F.array_sort(F.transform(F.concat("ranked", upper), lambda x: F.struct(x["start"], x["k"], x["g"]))))
     each = m.select("document_id", "start", "end", "raw", "all", F.posexplode("all").alias("n", "x"))
     stop = F.coalesce(F.try_element_at("all", F.col("n") + 2)["start"], F.length("raw"))

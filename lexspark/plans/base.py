@@ -28,7 +28,7 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def re2(pattern: str) -> str:
     """A rule's pattern in RE2's dialect, quoted for SQL."""
-    for a, b in (("(?iuU)", "(?i)"), ("(?iu)", "(?i)"), ("(?U)", ""), ("(?imu)", "(?im)")):
+    for a, b in (("(?iuU)", "(?i)"), ("(?iu)", "(?i)"), ("(?U)", ""), ("(?imuU)", "(?im)")):
         pattern = pattern.replace(a, b)
     return pattern.replace("'", "''")
 
