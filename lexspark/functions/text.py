@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import rules
 
@@ -71,7 +72,7 @@ def matching(text: Column, compose: bool = True) -> Column:
     return F.trim(F.regexp_replace(t, _U + r"\s+", " "))
 
 
-@F.pandas_udf("struct<norm:string,source:array<int>>")
+@F.pandas_udf(T.StructType([T.StructField("norm", T.StringType()), T.StructField("source", T.ArrayType(T.IntegerType()))]))
 def matching_with_offsets(texts: pd.Series) -> pd.DataFrame:
     """The matching form with the source offset of each of its characters."""
     broken = __import__("re").compile(r"-\s*\n\s*")

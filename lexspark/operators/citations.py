@@ -92,7 +92,7 @@ def extract(chunks: DataFrame, key: str = "node_id", compat: bool = False) -> Da
     Result: key, ordinal, raw, type, doc_id, span_ref, target_node_id, method, confidence, is_ambiguous,
     rel_type, rel_type_confidence. A norm and device are listed once a chunk. ``compat`` also drops a
     second mention of the same wording though it cites another device, and takes the first two to
-    four digits after a norm for its year, not a four-digit year if there is one.
+    four digits after a norm for its year, be they the day of its date.
     """
     norms = [f"(?i){p}" for _, p in rules.NORMS]
     src = chunks.select(F.col(key).alias("key"), F.col("text"), F.coalesce("document_id", F.lit("")).alias("own"))
@@ -107,7 +107,9 @@ def extract(chunks: DataFrame, key: str = "node_id", compat: bool = False) -> Da
     rest = _after(text, end, 20)
     short = F.regexp_extract(rest, rules.YEAR_AFTER, 1)
     long = F.regexp_extract(rest, r"[/\s](\d{4})(?!\d)", 1)
-    year = short if compat else F.coalesce(F.nullif(long, F.lit("")), short)
+    dated = F.regexp_extract(_after(text, end, 45), r"(?U)^\s*,?\s*de\s+\d{1,2}[º°]?\s+de\s+\p{L}+\s+de\s+(\d{4})", 1)
+    undated = F.regexp_extract(rest, r"(?U)[/\s](\d{2,4})(?!\d|[º°]?\s+de\s)", 1)
+    year = short if compat else F.coalesce(*[F.nullif(y, F.lit("")) for y in (dated, long, undated)])
     tail = F.regexp_extract(rest, rf"(?s)^.*?{rules.YEAR_AFTER}", 0)
     n = n.select("key", "text", start.alias("start"), end.alias("end"), F.col("x.k").alias("k"), F.element_at(kinds, F.col("x.k") + 1).alias("type"), F.element_at("x.g", 1).alias("found"),
                  F.regexp_replace(F.try_element_at("x.g", F.lit(2)), r"\.", "").alias("number"), F.try_element_at("x.g", F.lit(3)).alias("own_year"), F.nullif(year, F.lit("")).alias("near_year"), tail.alias("tail"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import legal
 
@@ -26,7 +27,7 @@ def split(caput: int, lens: list[int], limit: int = LIMIT) -> list[tuple[int, in
     return out
 
 
-@F.pandas_udf("array<struct<first:int,last:int>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])))
 def _split(caput: pd.Series, lens: pd.Series) -> pd.Series:
     return pd.Series([[{"first": a, "last": b} for a, b in split(c, list(x))] for c, x in zip(caput, lens, strict=True)])
 
@@ -60,6 +61,7 @@ def consolidate(chunks: DataFrame, least: int = LEAST_CHILDREN) -> DataFrame:
         "chunk_id": F.concat(F.col("document_id"), F.lit("#"), F.col("span_id"), suffix), "retrieval_text": joined, "text": joined,
     }
     keep = [c for c in chunks.columns if c != "parent_node_id"]
+    keep += [c for c in own if c not in keep]
     a = a.withColumns({"part_index": F.col("n") + 1, "child_node_ids": F.col("mine.id"), "child_offsets": spans})
     out = a.select(*[own[c].alias(c) if c in own else F.col(c) for c in keep], F.lit("").alias("parent_node_id"), "part_index", "part_total", F.lit(True).alias("is_consolidated"), "child_node_ids", "child_offsets")
     return out

@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 
@@ -65,7 +66,7 @@ ANCHOR, SIMILAR = 30, 0.80
 _NEXT_DEVICE = r"\n\s*(?:Art\.|§|Parágrafo|[IVXLCDM]+\s*[-–—]|[a-z]\))"
 
 
-@F.pandas_udf("struct<start:int,end:int,similarity:double>")
+@F.pandas_udf(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("similarity", T.DoubleType())]))
 def fuzzy(parent: pd.Series, child: pd.Series) -> pd.DataFrame:
     """Place of a child in its parent when the two were read differently: the start of its matching form anchors it, the next device ends it.
 

@@ -100,8 +100,8 @@ def confidence(target: str, name: str, entered: float, reasons: list[str]) -> st
 def zones(rows: list[dict], compat: bool = False) -> list[tuple]:
     """The state machine over a document's scored chunks in order: a zone opens at 0.60, closes with the chunk that reaches 0.40, or after 50.
 
-    The host's highest article number is taken from the chunks before; ``compat`` includes the
-    chunk itself, so that it is never out of sequence.
+    The host's highest article number is taken from the chunks before, and its successor is never
+    out of sequence; ``compat`` includes the chunk itself, so that none is.
     """
     out, zone, highest = [], None, 0.0
     for r in rows:
@@ -111,7 +111,7 @@ def zones(rows: list[dict], compat: bool = False) -> list[tuple]:
         n = r["number"] if r["number"] is not None and r["number"] == r["number"] else None
         if compat and zone is None and n is not None:
             highest = max(highest, n)
-        odd = n is not None and highest > 0 and (n >= 2 * highest or n >= highest + 100)
+        odd = n is not None and highest > 0 and n > highest + 1 and (n >= 2 * highest or n >= highest + 100)
         entered = r["enter"] + _W["sequence"] * odd
         signs = sorted([*r["enter_reasons"], *["out_of_sequence"] * odd], key=_ORDER.index)
         added, ends = [], False

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import rules
@@ -179,7 +180,8 @@ def pack(lens: list[int], head: int, tail: int, limit: int = CHUNK) -> list[tupl
     """Ranges of paragraphs (first, after last) that fill chunks of ``limit`` characters with overlap.
 
     A chunk takes whole paragraphs, one at least. The next begins so many paragraphs back as cover a
-    fifth of the chunk's text, at least one after the chunk's own first, so packing always ends.
+    fifth of the chunk's text, but never at the chunk's own first, and with fewer where the paragraph
+    after would not fit: every chunk reaches further than the one before, so packing ends.
     """
     out, i, n = [], 0, len(lens)
     while i < n:
@@ -195,10 +197,12 @@ def pack(lens: list[int], head: int, tail: int, limit: int = CHUNK) -> list[tupl
             k -= 1
             back += lens[k]
         i = max(k, i + 1)
+        while i < j and sum(lens[i:j]) + lens[j] > limit:  # overlap gives way to the next paragraph
+            i += 1
     return out
 
 
-@F.pandas_udf("array<struct<first:int,last:int>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])))
 def _packed(lens: pd.Series, head: pd.Series) -> pd.Series:
     return pd.Series([[{"first": a, "last": b} for a, b in pack(list(x), h, 0)] for x, h in zip(lens, head, strict=True)])
 

@@ -15,7 +15,10 @@ def landing(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
 
 
 def checked(files: DataFrame) -> DataFrame:
-    """Adds error to uploads: not a PDF by name, or empty; null if sound. And sha256_source of the bytes."""
+    """Adds error to uploads: not a PDF by name, or empty; null if sound. And sha256_source of the bytes.
+
+    Spark's file sources skip files of no length; rows of other sources can be empty.
+    """
     error = F.when(~F.lower("path").endswith(".pdf"), "not_pdf").when(F.col("length") == 0, "empty")
     return files.withColumn("error", error).withColumn("sha256_source", F.sha2("content", 256))
 
