@@ -23,7 +23,7 @@ BITS = 18
 #: Word beginnings that count as features, so inflected forms share their stem.
 STEMS = (4, 5)
 #: Labelled rows of each class that a model is fitted on, at most (the bound of the training sample).
-PER_CLASS = 4000
+PER_CLASS = 3000
 #: Weight of the squared score change under a swap, and of the squared weights.
 COUNTERFACTUAL, RIDGE, ROUNDS = 1.0, 1e-4, 200
 #: Terms that name groups of people, by kind; a term is swapped for others of its kind.
@@ -37,7 +37,7 @@ IDENTITY = (
 )
 _KIND = {t: k for k, terms in enumerate(IDENTITY) for t in terms}
 _words = re.compile(r"[^\W\d_]+").findall
-_CACHE = 300_000
+_CACHE = 200_000
 
 
 class Features:
@@ -57,7 +57,7 @@ class Features:
         return got
 
     def __call__(self, words: set[str]) -> np.ndarray:
-        return np.unique(np.fromiter((f for w in words for f in self.word(w)), np.int64))
+        return np.unique(np.fromiter((f for w in words for f in self.word(w)), np.int32))
 
 
 def tokens(text: str | None) -> set[str]:
@@ -90,17 +90,25 @@ def fit(texts: list[str | None], labels: list[int], weights: list[float], counte
     Two models, each fitted on one half, score the other half; the bias of the model of all rows
     is moved by the cut found there.
     """
-    whole = _fit(texts, labels, weights, counterfactual)
-    z, ys, ws = [], [], []
+    make, rng = Features(), random.Random(7)
+    rows, others = [], []
+    for t in texts:
+        words = tokens(t)
+        swapped = swaps(words, rng)
+        rows.append(make(words))
+        others.append(None if swapped is None else make(swapped))
+    make.of.clear()
+    y, sw = np.array(labels, float), np.array(weights, float)
+    every = np.arange(len(rows))
+    whole = _solve(rows, others, every, y, sw, counterfactual)
+    z = np.zeros(len(rows))
     for half in (0, 1):
-        a, b = ([k for k in range(len(texts)) if k % 2 == h] for h in (half, 1 - half))
-        if not b or len({labels[k] for k in a}) < 2:
+        a, b = every[every % 2 == half], every[every % 2 != half]
+        if not len(b) or len(set(y[a])) < 2:
             return whole
-        part, make = _fit([texts[k] for k in a], [labels[k] for k in a], [weights[k] for k in a], counterfactual), Features()
-        z += [part.bias + float(part.weights[make(tokens(texts[k]))].sum()) for k in b]
-        ys += [labels[k] for k in b]
-        ws += [weights[k] for k in b]
-    return Model(whole.weights, whole.bias - _cut(np.array(z), np.array(ys), np.array(ws)))
+        part = _solve(rows, others, a, y, sw, counterfactual)
+        z[b] = [part.bias + float(part.weights[rows[k]].sum()) for k in b]
+    return Model(whole.weights, whole.bias - _cut(z, y, sw))
 
 
 def _cut(z: np.ndarray, y: np.ndarray, sw: np.ndarray) -> float:
@@ -116,35 +124,34 @@ def _cut(z: np.ndarray, y: np.ndarray, sw: np.ndarray) -> float:
     return float((low[k] + high[k]) / 2)
 
 
-def _fit(texts: list[str | None], labels: list[int], weights: list[float], counterfactual: float) -> Model:
-    """Full-batch Adam on the weighted log loss, the ridge and the counterfactual penalty. With one class only, the base rate."""
-    y, sw = np.array(labels, float), np.array(weights, float)
-    if len(set(labels)) < 2:
+def _solve(rows: list[np.ndarray], others: list[np.ndarray | None], own: np.ndarray, y: np.ndarray, sw: np.ndarray, counterfactual: float) -> Model:
+    """Full-batch Adam on the weighted log loss, the ridge and the counterfactual penalty. With one class only, the base rate.
+
+    ``rows`` are the features of each text, ``others`` those of its swapped form; ``own`` the texts to fit.
+    """
+    y, sw = y[own], sw[own]
+    if len(set(y)) < 2:
         rate = min(max(float(y.mean()) if len(y) else 0.0, 0.01), 0.99)
-        return Model(np.zeros(1 << BITS), float(np.log(rate / (1 - rate))))
-    make, rng = Features(), random.Random(7)
-    words = [tokens(t) for t in texts]
-    rows = [make(w) for w in words]
-    col, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        return Model(np.zeros(1 << BITS, np.float32), float(np.log(rate / (1 - rate))))
+    mine, swapped = [rows[k] for k in own], [others[k] for k in own]
+    col, row = np.concatenate(mine), np.repeat(np.arange(len(mine), dtype=np.int32), [len(r) for r in mine])
     # features in three texts or more; renumbered, so that a step costs what is used
     used = np.flatnonzero(np.bincount(col, minlength=1 << BITS) >= 3)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
     col, row = place[col], row[place[col] >= 0]
     col = col[col >= 0]
     # differences of swapped texts: +1 what the text has alone, -1 what its counterpart has alone
     d_col, d_row, d_val, n_diff = [], [], [], 0
-    for w, r in zip(words, rows, strict=True):
-        other = swaps(w, rng)
-        if other is not None:
-            o = make(other)
+    for r, o in zip(mine, swapped, strict=True):
+        if o is not None:
             for fs, v in ((np.setdiff1d(r, o), 1.0), (np.setdiff1d(o, r), -1.0)):
                 fs = place[fs][place[fs] >= 0]
                 d_col.append(fs), d_row.append(np.full(len(fs), n_diff)), d_val.append(np.full(len(fs), v))
             n_diff += 1
     if n_diff:
         d_col, d_row, d_val = map(np.concatenate, (d_col, d_row, d_val))
-    n, f, total = len(rows), len(used), sw.sum()
+    n, f, total = len(mine), len(used), sw.sum()
     w, b = np.zeros(f), float(np.log((sw @ y + 1) / (sw @ (1 - y) + 1)))
     m = v = np.zeros(f + 1)
     for step in range(1, ROUNDS + 1):
@@ -158,7 +165,7 @@ def _fit(texts: list[str | None], labels: list[int], weights: list[float], count
         m, v = 0.9 * m + 0.1 * both, 0.999 * v + 0.001 * both**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-12)
         w, b = w - move[:-1], b - move[-1]
-    out = np.zeros(1 << BITS)
+    out = np.zeros(1 << BITS, np.float32)
     out[used] = w
     return Model(out, float(b))
 
