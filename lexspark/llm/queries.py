@@ -60,13 +60,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _TOPK = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
 )
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
