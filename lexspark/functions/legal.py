@@ -196,3 +196,38 @@ def client_key(api_key: Column, forwarded: Column, address: Column) -> Column:
         F.concat(F.lit("ip:"), F.trim(F.substring_index(F.nullif(forwarded, F.lit("")), ",", 1))),
         F.concat(F.lit("ip:"), address), F.lit("ip:unknown"),
     )
+
+
+#: Names of devices in an embedding text, and how much of a caput it shows from either end.
+DEVICE_LABELS = {"article": "Artigo", "paragraph": "Parágrafo", "inciso": "Inciso", "alinea": "Alínea"}
+CAPUT_HEAD, CAPUT_TAIL = 600, 200
+
+
+def safe_article_number(number: Column, span: Column) -> Column:
+    """A chunk's article number, else the one in its span id without leading zeros, else ''."""
+    return F.coalesce(F.nullif(number, F.lit("")), F.regexp_extract(span, r"(?:INC|PAR|ART)-0*([0-9]+)", 1))
+
+
+def head_and_tail(text: Column, head: int, tail: int) -> Column:
+    """The start of a text, ended at a word, and its end, joined by ' ... '."""
+    start = F.rtrim(F.left(text, F.lit(head)))
+    cut = F.length(start) - F.length(F.substring_index(start, " ", -1)) - 1
+    whole = start.rlike(r"[.,;:]$") | (cut <= head - 100)
+    start = F.when(whole, start).otherwise(F.left(start, F.greatest(cut, F.lit(0))))
+    return F.when(F.length(text) <= head + tail, text).otherwise(F.concat(start, F.lit(" ... "), F.ltrim(F.right(text, F.lit(tail)))))
+
+
+def embedding_text(document: Column, number: Column, kind: Column, text: Column, parent_text: Column, span: Column) -> Column:
+    """Text for an embedding: where the device stands, the device, then its caput as context."""
+    parts = F.split(span, "-")
+    last = F.element_at(parts, -1)
+    own = (
+        F.when((kind == "inciso") & (F.size(parts) >= 3), F.concat(F.lit(" "), last))
+        .when((kind == "paragraph") & (F.size(parts) >= 3), F.when(F.upper(last) == "UNICO", " único").otherwise(F.concat(F.lit(" "), last, F.lit("º"))))
+        .when((kind == "alinea") & (F.size(parts) >= 4), F.concat(F.lit(" "), last, F.lit(")")))
+        .otherwise("")
+    )
+    label = F.coalesce(F.try_element_at(_map(DEVICE_LABELS), kind), F.initcap(kind))
+    head = F.concat(document, F.lit(" | Art. "), number, F.lit(" | "), label, own)
+    context = F.when((F.coalesce(parent_text, F.lit("")) != "") & (kind != "article"), F.concat(F.lit("[CONTEXTO] "), head_and_tail(parent_text, CAPUT_HEAD, CAPUT_TAIL)))
+    return F.concat_ws("\n", head, text, context)

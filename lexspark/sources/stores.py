@@ -84,6 +84,16 @@ def transcribe(pages: DataFrame, client: Callable[[list[bytes]], list[str]]) ->
     return pages.withColumn("text", run("image_png"))
 
 
+def structured_pages(answers: DataFrame, width: float, height: float) -> DataFrame:
+    """Devices of pages that a model read as JSON (document_id, answer), boxes in points; an answer that holds no JSON has none."""
+    from ..functions import text as tx
+    from ..schemas import PAGE_EXTRACTION
+
+    page = F.from_json(tx.salvage_json(F.col("answer")), PAGE_EXTRACTION)
+    d = answers.select("document_id", page.alias("p")).select("document_id", F.col("p.page_number").alias("page_number"), F.inline("p.devices"))
+    return d.withColumn("bbox", legal.scale_bbox(F.col("bbox"), F.lit(width), F.lit(height)))
+
+
 def pages_with_blocks(page_table: DataFrame, blocks: DataFrame) -> DataFrame:
     """Pages with their blocks in order; a page without blocks has an empty list."""
     b = blocks.groupBy("document_id", "page_number").agg(F.sort_array(F.collect_list(F.struct("block_index", "text", "char_start", "char_end"))).alias("blocks"))
@@ -114,6 +124,13 @@ def artifacts(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
     return canonical.join(o, "document_id", "left").select("document_id", "canonical_text", F.sha2("canonical_text", 256).alias("canonical_hash"), F.coalesce("offsets_json", F.lit("{}")).alias("offsets_json"))
 
 
+#: Further columns of an index row and what stands where a chunk has none.
+_INDEX_DEFAULTS = {
+    "tipo_documento": "", "numero": "", "ano": 0, "part_index": 0, "part_total": 1, "ingest_run_id": "", "aliases": "[]", "origin_type": "self", "origin_reference": "", "origin_reference_name": "",
+    "is_external_material": False, "origin_confidence": "high", "origin_reason": "",
+}
+
+
 def index_rows(chunks: DataFrame) -> DataFrame:
     """Rows of a vector index: '@P00' ids, boxes as scalars, citations as JSON, defaults instead of nulls."""
     box = lambda k: F.coalesce(F.try_element_at("bbox", F.lit(k)), F.lit(0.0))
@@ -125,7 +142,8 @@ def index_rows(chunks: DataFrame) -> DataFrame:
         "document_id", "span_id", legal.device_type(F.col("device_type")).alias("device_type"), F.coalesce("chunk_level", F.lit("")).alias("chunk_level"), "text", F.coalesce("retrieval_text", F.col("text")).alias("retrieval_text"),
         F.coalesce("article_number", F.lit("")).alias("article_number"), legal.article_number_int(F.col("article_number")).alias("article_number_int"), F.coalesce("canonical_start", F.lit(-1)).alias("canonical_start"),
         F.coalesce("canonical_end", F.lit(-1)).alias("canonical_end"), F.coalesce("canonical_hash", F.lit("")).alias("canonical_hash"), box(1).alias("bbox_x0"), box(2).alias("bbox_y0"), box(3).alias("bbox_x1"), box(4).alias("bbox_y1"),
-        F.to_json(cites).alias("citations"), (F.size(cites) > 0).alias("has_citations"), F.coalesce("page_number", F.lit(0)).alias("page_number"),
+        F.to_json(cites).alias("citations"), (F.size(cites) > 0).alias("has_citations"), F.size(cites).alias("citations_count"), F.coalesce("page_number", F.lit(0)).alias("page_number"),
+        *[F.coalesce(F.col(c), F.lit(v)).alias(c) if has(c) else F.lit(v).alias(c) for c, v in _INDEX_DEFAULTS.items()],
     )
 
 
