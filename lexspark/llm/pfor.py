@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, bound_batches
-from .tokens import TextEncoder, crc32
+from .tokens import TextEncoder, crc32, worker_wide
 
 #: Ids in a block: four lanes of 32, so a block of width w is w words of each lane.
 BLOCK = 128
@@ -21,21 +21,21 @@ PERCENTILE = 0.9
 #: Ids after which a segment is closed.
 SEGMENT_IDS = 1 << 21
 #: Documents of a file (a range of doc_id), and the most files that the driver plans.
-FILE_DOCS, MAX_FILES = 1024, 32768
+FILE_DOCS, MAX_FILES = 2048, 32768
 MAGIC, VERSION = b"PFOR", 1
 _HEAD = "<4sHHQQQQ"  # magic, version, block, documents, ids, exceptions, payload words
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """(m, 128) values below 2**width to (m, 4 * width) 32-bit words, four lanes side by side."""
-    lanes = values.astype(np.uint32).reshape(-1, 32, 4)
-    out = np.zeros((len(values), width, 4), np.uint32)
+    lanes = np.ascontiguousarray(values.reshape(-1, 32, 4).transpose(1, 0, 2))
+    out = np.zeros((width, len(values), 4), np.uint32)
     for j in range(32 if width else 0):
         word, off = divmod(j * width, 32)
-        out[:, word] |= lanes[:, j] << np.uint32(off)
+        out[word] |= lanes[j] << np.uint32(off)
         if off + width > 32:
-            out[:, word + 1] |= lanes[:, j] >> np.uint32(32 - off)
-    return out.reshape(len(values), -1)
+            out[word + 1] |= lanes[j] >> np.uint32(32 - off)
+    return out.transpose(1, 0, 2).reshape(len(values), -1)
 
 
 def _unpack(words: np.ndarray, width: int) -> np.ndarray:
@@ -67,7 +67,8 @@ def encode_segment(ids: np.ndarray, doc_ids: np.ndarray, doc_lens: np.ndarray) -
     at = int(np.ceil(PERCENTILE * BLOCK)) - 1
     kept = np.partition(d, at, axis=1)[:, at] if blocks else np.zeros(0, np.uint32)
     width = np.searchsorted(np.uint64(1) << np.arange(33, dtype=np.uint64), kept.astype(np.uint64), "right").astype(np.uint8)
-    over = d.astype(np.uint64) >> width[:, None].astype(np.uint64) > 0
+    # a width of 32 holds every value
+    over = (d >= (np.uint64(1) << np.minimum(width, 31).astype(np.uint64)).astype(np.uint32)[:, None]) & (width < 32)[:, None]
     row, pos = np.nonzero(over)
     patch = d[row, pos]
     d[row, pos] = 0
@@ -150,8 +151,8 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
     bounds = np.array(file_bounds(docs, id_col), np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = TextEncoder(path)
-        tail = np.array([end_id], "<u4")
+        enc = worker_wide(f"text {path}", lambda: TextEncoder(path))
+        tail = np.array([end_id], enc.kind).tobytes()
         for b in batches:
             null = b["n"].to_numpy()
             ids = b["i"].to_numpy(np.int64)
@@ -159,8 +160,8 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
             lo, hi = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
             out = []
             for raw in enc.encode(b["t"].tolist()):
-                x = np.concatenate([np.frombuffer(raw, "<u4"), tail])
-                out.append(x.astype("<u2").tobytes() if len(x) * 2 and x.max() < 1 << 16 else b"\0" + x.tobytes())
+                # two bytes an id, or four behind an odd byte
+                out.append(raw + tail if enc.kind == "<u2" else b"\0" + raw + tail)
             spread = b["h"].to_numpy(np.int64) % (hi - lo + 1)
             yield pd.DataFrame({"file": np.where(null, 0, lo + spread), "i": np.where(null, _NULL, ids), "x": out})
 
@@ -192,7 +193,7 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
                     if f != file:
                         file, part, first = f, 0, 0
                 ids.append((i, x))
-                held += len(x)
+                held += len(x)  # bytes: two an id as a rule
         if ids:
             yield close()
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import Scratch, bound_batches
-from .tokens import TextEncoder
+from .tokens import TextEncoder, worker_wide
 
 #: Ids in a block of a flat file; blocks cut documents anywhere.
 BLOCK_IDS = 1 << 18
@@ -30,7 +30,9 @@ def write_flat(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, tail = TextEncoder(path), np.array([end_id], "<u2").tobytes()
+        enc, tail = worker_wide(f"text {path}", lambda: TextEncoder(path)), np.array([end_id], "<u2").tobytes()
+        if enc.kind != "<u2":
+            raise ValueError("flat files hold 16-bit ids: the vocabulary is too large")
         held, size, block, file, ends = [], 0, 0, 0, []  # ends: (place of the end id in the file, doc_id)
 
         def cut(n: int) -> pd.DataFrame:
@@ -46,8 +48,8 @@ def write_flat(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_
         for b in batches:
             file = int(b["f"].iloc[0]) if len(b) else file
             for i, null, raw in zip(b["i"].tolist(), b["n"].tolist(), enc.encode(b["t"].tolist()), strict=True):
-                held += [np.frombuffer(raw, "<u4").astype("<u2").tobytes(), tail]
-                size += len(raw) // 4 + 1
+                held += [raw, tail]
+                size += len(raw) // 2 + 1
                 ends.append((block * block_ids + size - 1, None if null else i))
                 while size >= block_ids:
                     yield cut(block_ids)

@@ -6,8 +6,11 @@ import base64
 import hashlib
 import os
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,8 +23,8 @@ from .common import bound_batches
 
 #: Pre-tokens longer than this are encoded but not remembered.
 CACHED_CHARS = 64
-#: Entries of a worker's pre-token cache; it starts afresh beyond.
-CACHE_SIZE = 600_000
+#: Entries of each of the two generations of a worker's cache.
+CACHE_SIZE = 500_000
 #: A byte b is written as the character U+0100 + b: no white space, no control character.
 _TO_CHARS = {b: 0x100 + b for b in range(256)}
 
@@ -71,6 +74,41 @@ def serialise_model(tokens: list[bytes]) -> bytes:
     return b"".join(out) + _field(2, trainer) + _field(3, plain)
 
 
+class Cache:
+    """Ids of text pieces in two generations: what is used again moves to the new one, the old one goes when that is full."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, parts: list[list[str]], learn) -> Iterator[bytes]:
+        """Joined ids of each list of pieces, by one look-up a piece; ``learn`` gives the ids of unknown ones."""
+        if len(self.new) > CACHE_SIZE:
+            self.new, self.old = {}, self.new
+        flat = list(chain.from_iterable(parts))
+        got = list(map(self.new.get, flat))
+        gaps = [k for k, x in enumerate(got) if x is None]
+        again = map(self.old.get, [flat[k] for k in gaps])
+        rest, new, need = [], self.new, set()
+        for k, x in zip(gaps, again, strict=True):
+            if x is None:
+                rest.append(k)
+                need.add(flat[k])
+            else:
+                got[k] = new[flat[k]] = x
+        if need:
+            new.update(learn(list(need)))
+        for k in rest:
+            got[k] = new[flat[k]]
+        for p in need:  # pieces too long to be worth their memory
+            if len(p) > CACHED_CHARS:
+                del self.new[p]
+        at = 0
+        for ps in parts:
+            yield b"".join(got[at : at + len(ps)])
+            at += len(ps)
+
+
 class ByteBpe:
     """Encode and decode by a rank file: pre-tokens by ``pattern``, each by the serialised model."""
 
@@ -81,7 +119,7 @@ class ByteBpe:
         self.whole = {t: r for r, t in enumerate(self.tokens)}
         self.find = regex.compile(pattern).findall
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.tokens))
-        self.cache: dict[str, bytes] = {}
+        self.cache = Cache()
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of pre-tokens, as little-endian 32-bit numbers. A pre-token that is a token stays whole."""
@@ -96,32 +134,18 @@ class ByteBpe:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
         for at in range(0, len(texts), 64):
-            parts = [self.find(t) for t in texts[at : at + 64]]
-            new = list({p for ps in parts for p in ps}.difference(self.cache))
-            known = self.cache
-            if new:
-                found = self._learn(new)
-                if len(self.cache) + len(new) > CACHE_SIZE:
-                    self.cache = {}
-                    known = {p: known[p] for ps in parts for p in ps if p in known} | found
-                elif any(len(p) > CACHED_CHARS for p in new):
-                    known = self.cache | found if len(self.cache) < 1000 else _Both(found, self.cache)
-                self.cache.update((p, x) for p, x in found.items() if len(p) <= CACHED_CHARS)
-            for ps in parts:
-                yield b"".join(map(known.__getitem__, ps))
+            yield from self.cache.ids([self.find(t) for t in texts[at : at + 64]], self._learn)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-class _Both:
-    """Two dictionaries looked up in turn."""
-
-    def __init__(self, a: dict, b: dict):
-        self.a, self.b = a, b
-
-    def __getitem__(self, key):
-        return self.b[key] if key in self.b else self.a[key]
+def worker_wide(key: str, make):
+    """An object that a Python worker keeps from task to task."""
+    kept = sys.modules.setdefault("_lexspark_worker", types.ModuleType("_lexspark_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
 
 
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN, with_ids: bool = False) -> DataFrame:
@@ -136,7 +160,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = ByteBpe(path, pattern)
+        bpe = worker_wide(f"bpe {path} {pattern}", lambda: ByteBpe(path, pattern))
         for b in batches:
             rows = []
             for ids in bpe.encode(b["t"].tolist()):
@@ -160,6 +184,10 @@ def _printable() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+#: White space that does not stand alone, other white space than space and line end, and the mark of whole texts.
+_NOT_ALONE = ("  ", "\n ", " \n", "\n\n", "\0", *(chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 class TextEncoder:
     """Whole texts to ids by the tokenizers library.
 
@@ -174,50 +202,57 @@ class TextEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
+        self.cache = Cache()
+        #: Ids of a vocabulary below 2**16 take two bytes, others four.
+        self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        self.tail = {c: np.array(self.tok.encode(c, add_special_tokens=False).ids, self.kind).tobytes() for c in ".,"}
         back = {c: b for b, c in _printable().items()}
         self.size = np.zeros(self.tok.get_vocab_size(), np.int64)  # bytes of each token
         for t, i in self.tok.get_vocab(with_added_tokens=False).items():
             self.size[i] = sum(c in back for c in t)
 
-    def _ids(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks; those that begin with their only white space, a space, are joined into lines, since every such space starts a token."""
-        lone = [c for c in chunks if c[:1] == " " and len(c) > 1 and len(c.split()) == 1 and c[1:].split()[0] == c[1:]]
-        rest = list(set(chunks).difference(lone))
-        out = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False), strict=True)} if rest else {}
-        for at in range(0, len(lone), 512):
-            line = lone[at : at + 512]
-            ids = np.array(self.tok.encode("".join(line), add_special_tokens=False).ids, "<u4")
+    def _joined(self, chunks: list[str], out: dict[str, bytes]) -> None:
+        """Ids of chunks that begin with their only white space, which always starts a token: joined into lines, then cut by bytes."""
+        lines = [chunks[at : at + 1024] for at in range(0, len(chunks), 1024)]
+        for line, e in zip(lines, self.tok.encode_batch_fast(["".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.kind)
             ends = np.cumsum([len(c.encode()) for c in line])
-            cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) * 4 + 4
+            cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) * ids.itemsize + ids.itemsize
             raw, before = ids.tobytes(), 0
             for c, cut in zip(line, cuts.tolist(), strict=True):
                 out[c], before = raw[before:cut], cut
+
+    def _learn(self, need: list[str]) -> dict[str, bytes]:
+        """Ids of pieces: those that begin with \0 are whole texts, those with white space chunks, the others the first words of texts.
+
+        A word with a point or comma behind it is always cut before that, so the bare word serves.
+        """
+        chunks = [c for c in need if c[:1] in (" ", "\n")]
+        ended = [c for c in chunks if c[-1] in ".," and c[-2].isalpha()]
+        new, old = self.cache.new, self.cache.old
+        stems = {c[:-1] for c in ended}
+        fresh = stems.difference(new).difference(old).union(chunks).difference(ended)
+        out: dict[str, bytes] = {}
+        self._joined(list(fresh), out)
+        for c in ended:
+            stem = c[:-1]
+            out[c] = (out.get(stem) or new.get(stem) or old[stem]) + self.tail[c[-1]]
+        rest = [c for c in need if c[:1] not in (" ", "\n")]
+        coded = self.tok.encode_batch_fast([c[1:] if c[:1] == "\0" else c for c in rest], add_special_tokens=False)
+        out.update((c, np.array(e.ids, self.kind).tobytes()) for c, e in zip(rest, coded, strict=True))
         return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text, as little-endian unsigned numbers of the encoder's kind."""
         for at in range(0, len(texts), 256):
-            parts = []
-            for t in texts[at : at + 256]:
-                alone = bool(t) and len(t.split()) == t.count(" ") + t.count("\n") + 1
-                # each chunk keeps the space before it; a line end starts a chunk of its own
-                parts.append([t] if not alone else self._chunks(t))
-            new = list({p for ps in parts for p in ps}.difference(self.cache))
-            found = self._ids(new) if new else {}
-            known = self.cache
-            if len(self.cache) + len(new) > CACHE_SIZE:
-                known = {p: self.cache[p] for ps in parts for p in ps if p in self.cache} | found
-                self.cache = {}
-            elif any(len(p) > CACHED_CHARS for p in new):
-                known = _Both(found, self.cache)
-            self.cache.update((p, x) for p, x in found.items() if len(p) <= CACHED_CHARS)
-            for ps in parts:
-                yield b"".join(map(known.__getitem__, ps))
+            yield from self.cache.ids([self._pieces(t) for t in texts[at : at + 256]], self._learn)
 
     @staticmethod
-    def _chunks(t: str) -> list[str]:
-        """Cut before each space and around each line end; the pieces join to the text again."""
-        return t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in t else [t]
+    def _pieces(t: str) -> list[str]:
+        """Chunks that each begin with their white space, if it all stands alone; else the whole text, marked."""
+        if not t or t[0] in " \n" or t[-1] in " \n" or any(x in t for x in _NOT_ALONE):
+            return ["\0" + t]
+        return t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
 def crc32(data: bytes) -> int:
