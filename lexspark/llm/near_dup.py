@@ -91,10 +91,13 @@ def _pairs_of(lists: DataFrame) -> DataFrame:
     return a.select("a", F.explode(F.slice("m", F.col("k") + 2, F.size("m"))).alias("b"))
 
 
-def _split(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of lists with two classes or more, by the list's size: short ones, long ones."""
-    size = lists.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    both = lists.join(size, "value")
+def _split(lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Members of lists with two classes or more, by the list's size: short ones, long ones.
+
+    The join with the sizes is written, so that nothing above it needs a list in one place and
+    Spark can split the partition of a very long one; only short lists are dealt by value again.
+    """
+    both = scratch.keep(_shared(lists))
     return both.where(F.col("df") <= LIGHT).drop("df"), both.where(F.col("df") > LIGHT)
 
 
@@ -238,7 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cls = scratch.keep(held.join(at, "digest").select("digest", named.alias("cls"), "m", "n", "sketch", "th"))
 
     keys = cls.select("cls", F.explode(F.slice("sketch", 1, KEYS)).alias("value"))
-    short, long = _split(keys)
+    short, long = _split(keys, scratch)
     pairs = _pairs_of(short)
     frequent = scratch.keep(long.select("cls").distinct())
     part = cls.join(frequent, "cls", "left_semi").select("cls", "n", F.size("sketch").alias("m"), "sketch")
@@ -248,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda n, m: F.when(n <= SKETCH * 85 // 100, n - _least(n) + 1).otherwise(m - OVERLAP + 1),
     )
     lists = scratch.keep(lists.select("cls", F.explode("v").alias("x")).select("cls", F.col("x.value").alias("value")))
-    short, long = _split(lists)
+    short, long = _split(lists, scratch)
     pairs = scratch.keep(_ordered(pairs.union(_pairs_of(short))))
     sk = cls.select("cls", "sketch", "n")
     near = pairs.join(sk.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na")), "a")
