@@ -69,9 +69,11 @@ def encode_segment(ids: np.ndarray, doc_ids: np.ndarray, doc_lens: np.ndarray) -
     width = np.searchsorted(np.uint64(1) << np.arange(33, dtype=np.uint64), kept.astype(np.uint64), "right").astype(np.uint8)
     # a width of 32 holds every value
     over = (d >= (np.uint64(1) << np.minimum(width, 31).astype(np.uint64)).astype(np.uint32)[:, None]) & (width < 32)[:, None]
-    row, pos = np.nonzero(over)
-    patch = d[row, pos]
-    d[row, pos] = 0
+    at = np.flatnonzero(over)
+    row, pos = at // BLOCK, (at % BLOCK).astype(np.uint8)
+    flat = d.reshape(-1)
+    patch = flat[at]
+    flat[at] = 0
     start = np.concatenate([[0], np.cumsum(4 * width.astype(np.int64))])
     payload = np.zeros(int(start[-1]), np.uint32)
     for w in np.unique(width[width > 0]).tolist():
@@ -82,7 +84,7 @@ def encode_segment(ids: np.ndarray, doc_ids: np.ndarray, doc_lens: np.ndarray) -
         struct.pack(_HEAD, MAGIC, VERSION, BLOCK, len(doc_ids), n, len(patch), len(payload)),
         doc_ids.astype("<i8").tobytes(), starts.astype("<u8").tobytes(),
         low.astype("<u4").tobytes(), width.tobytes(), np.bincount(row, minlength=blocks).astype(np.uint8).tobytes(), start[:-1].astype("<u8").tobytes(),
-        payload.astype("<u4").tobytes(), pos.astype(np.uint8).tobytes(), patch.astype("<u4").tobytes(),
+        payload.astype("<u4").tobytes(), pos.tobytes(), patch.astype("<u4").tobytes(),
     ])
 
 
@@ -177,9 +179,10 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
 
         def close() -> pd.DataFrame:
             nonlocal part, first, held
-            xs = [np.frombuffer(x, "<u2").astype(np.uint32) if len(x) % 2 == 0 else np.frombuffer(x, "<u4", -1, 1) for _, x in ids]
-            lens = np.array([len(x) for x in xs], np.int64)
-            raw = encode_segment(np.concatenate(xs), np.array([i for i, _ in ids], np.int64), lens)
+            narrow = len(ids[0][1]) % 2 == 0  # one vocabulary, so all are of one kind
+            lens = np.array([len(x) // 2 if narrow else len(x) // 4 for _, x in ids], np.int64)
+            joined = np.frombuffer(b"".join([x if narrow else x[1:] for _, x in ids]), "<u2" if narrow else "<u4")
+            raw = encode_segment(joined, np.array([i for i, _ in ids], np.int64), lens)
             out = pd.DataFrame({"file": [file], "part": [part], "first_id": [first], "n_ids": [int(lens.sum())], "n_docs": [len(ids)], "segment": [raw]})
             part, first, held = part + 1, first + int(lens.sum()), 0
             ids.clear()
