@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -72,29 +73,32 @@ def matching(text: Column, compose: bool = True) -> Column:
     return F.trim(F.regexp_replace(t, _U + r"\s+", " "))
 
 
+_BROKEN = re.compile(r"-\s*\n\s*")
+_ALIKE = rules.OCR_ONE | dict.fromkeys(rules.OCR_DROPPED, "") | {rules.OCR_ELLIPSIS[0]: rules.OCR_ELLIPSIS[1]}
+
+
+def matching_form(text: str | None) -> tuple[str, list[int]]:
+    """The matching form of one text and the source offset of each of its characters."""
+    wide = [(c, at) for at, ch in enumerate(text or "") for c in unicodedata.normalize("NFKC", ch)]
+    gone = {k for m in _BROKEN.finditer("".join(c for c, _ in wide)) for k in range(m.start(), m.end())}
+    out: list[tuple[str, int]] = []
+    for k, (ch, at) in enumerate(wide):
+        for c in "" if k in gone else _ALIKE.get(ch, ch):
+            blank = c in " \t\n\r\x0b\x0c"
+            if not (blank and out and out[-1][0] == " "):
+                out.append((" " if blank else c, at))
+    lo, hi = 0, len(out)
+    while lo < hi and out[lo][0].isspace():
+        lo += 1
+    while hi > lo and out[hi - 1][0].isspace():
+        hi -= 1
+    return "".join(c for c, _ in out[lo:hi]), [at for _, at in out[lo:hi]]
+
+
 @F.pandas_udf(T.StructType([T.StructField("norm", T.StringType()), T.StructField("source", T.ArrayType(T.IntegerType()))]))
 def matching_with_offsets(texts: pd.Series) -> pd.DataFrame:
     """The matching form with the source offset of each of its characters."""
-    broken = __import__("re").compile(r"-\s*\n\s*")
-    table = rules.OCR_ONE | dict.fromkeys(rules.OCR_DROPPED, "") | {rules.OCR_ELLIPSIS[0]: rules.OCR_ELLIPSIS[1]}
-
-    def one(text: str | None) -> tuple[str, list[int]]:
-        wide = [(c, at) for at, ch in enumerate(text or "") for c in unicodedata.normalize("NFKC", ch)]
-        gone = {k for m in broken.finditer("".join(c for c, _ in wide)) for k in range(m.start(), m.end())}
-        out: list[tuple[str, int]] = []
-        for k, (ch, at) in enumerate(wide):
-            for c in "" if k in gone else table.get(ch, ch):
-                blank = c in " \t\n\r\x0b\x0c"
-                if not (blank and out and out[-1][0] == " "):
-                    out.append((" " if blank else c, at))
-        lo, hi = 0, len(out)
-        while lo < hi and out[lo][0].isspace():
-            lo += 1
-        while hi > lo and out[hi - 1][0].isspace():
-            hi -= 1
-        return "".join(c for c, _ in out[lo:hi]), [at for _, at in out[lo:hi]]
-
-    return pd.DataFrame([one(t) for t in texts], columns=["norm", "source"])
+    return pd.DataFrame([matching_form(t) for t in texts], columns=["norm", "source"])
 
 
 def strip_thinking(text: Column) -> Column:

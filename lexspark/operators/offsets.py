@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import text as tx
+from ..functions.text import matching_form
 
 
 def _quoted(text: Column) -> Column:
@@ -79,7 +79,7 @@ def fuzzy(parent: pd.Series, child: pd.Series) -> pd.DataFrame:
     def one(p: str | None, c: str | None) -> tuple:
         if not p or not c or not c.strip():
             return None, None, None
-        (np_, where), (nc, _) = _forms(p), _forms(c)
+        (np_, where), (nc, _) = matching_form(p), matching_form(c)
         key = nc[:ANCHOR]
         at = np_.find(key) if key else -1
         if at < 0 or np_.find(key, at + 1) >= 0:
@@ -87,13 +87,8 @@ def fuzzy(parent: pd.Series, child: pd.Series) -> pd.DataFrame:
         start = where[at]
         m = end.search(p, start + 1)
         stop = m.start() if m else len(p)
-        like = difflib.SequenceMatcher(None, _forms(p[start:stop])[0], nc, autojunk=False).ratio()
+        like = difflib.SequenceMatcher(None, matching_form(p[start:stop])[0], nc, autojunk=False).ratio()
         return (start, stop, like) if like >= SIMILAR else (None, None, like)
 
     out = pd.DataFrame([one(p, c) for p, c in zip(parent, child, strict=True)], columns=["start", "end", "similarity"])
     return out.astype({"start": "Int32", "end": "Int32"})
-
-
-def _forms(t: str) -> tuple[str, list[int]]:
-    row = tx.matching_with_offsets.func(pd.Series([t])).iloc[0]
-    return row["norm"], list(row["source"])

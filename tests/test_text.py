@@ -39,7 +39,7 @@ def test_matching_form_and_offsets(spark):
     assert got == ['fim - "Ação" no 5...', "quebra de linha", "", ""]
     rows = df.select("t", tx.matching_with_offsets(F.col("t")).alias("m")).collect()
     assert [r.m.norm for r in rows] == got
-    assert rows[0].m.source[:4] == [0, 0, 1, 2] and rows[1].m.source[:4] == [0, 1, 2, 8]
+    assert rows[0].m.source[:4] == [0, 0, 1, 2] and rows[1].m.source[:4] == [0, 1, 2, 7]
 
 
 def test_model_output(spark):
