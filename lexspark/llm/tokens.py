@@ -23,8 +23,8 @@ from .common import bound_batches
 
 #: Pre-tokens longer than this are encoded but not remembered.
 CACHED_CHARS = 64
-#: Entries of each of the two generations of a worker's cache.
-CACHE_SIZE = 500_000
+#: Entries of each of the two generations of a worker's cache: pre-tokens, chunks of the text encoder.
+PRE_TOKENS, CHUNKS = 250_000, 500_000
 #: A byte b is written as the character U+0100 + b: no white space, no control character.
 _TO_CHARS = {b: 0x100 + b for b in range(256)}
 
@@ -77,13 +77,14 @@ def serialise_model(tokens: list[bytes]) -> bytes:
 class Cache:
     """Ids of text pieces in two generations: what is used again moves to the new one, the old one goes when that is full."""
 
-    def __init__(self):
+    def __init__(self, limit: int):
+        self.limit = limit
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def ids(self, parts: list[list[str]], learn) -> Iterator[bytes]:
         """Joined ids of each list of pieces, by one look-up a piece; ``learn`` gives the ids of unknown ones."""
-        if len(self.new) > CACHE_SIZE:
+        if len(self.new) > self.limit:
             self.new, self.old = {}, self.new
         flat = list(chain.from_iterable(parts))
         got = list(map(self.new.get, flat))
@@ -119,7 +120,7 @@ class ByteBpe:
         self.whole = {t: r for r, t in enumerate(self.tokens)}
         self.find = regex.compile(pattern).findall
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.tokens))
-        self.cache = Cache()
+        self.cache = Cache(PRE_TOKENS)
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of pre-tokens, as little-endian 32-bit numbers. A pre-token that is a token stays whole."""
@@ -202,7 +203,7 @@ class TextEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.cache = Cache()
+        self.cache = Cache(CHUNKS)
         #: Ids of a vocabulary below 2**16 take two bytes, others four.
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.tail = {c: np.array(self.tok.encode(c, add_special_tokens=False).ids, self.kind).tobytes() for c in ".,"}

@@ -50,10 +50,10 @@ def test_chunked_encoding_at_every_kind_of_boundary(reference, whole, parts):
     assert _ids(next(whole.encode([text])), whole.kind) == reference.encode_ordinary(text)
 
 
-def test_cache_generations_keep_results(bpe, reference, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_SIZE", 10)
+def test_cache_generations_keep_results(reference):
     texts = [f"palavra{k} outra{k} comum" for k in range(200)]
     own = tokens.ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own.cache.limit = 10
     assert [_ids(x) for x in own.encode(texts)] == [reference.encode_ordinary(t) for t in texts]
 
 
