@@ -46,7 +46,7 @@ def test_all_revoked_keeps_the_last(spark):
 
 
 def test_browser_headers(spark):
-    head = "01/02/2024, 10:30 L14133\nhttps://planalto.gov.br/x\n3/90\n"
+    head = "01/02/2024, 10:30 L14133\nhttps://exemplo.gov.br/x\n3/90\n"
     b = _blocks(spark, [head + "Art. 9º Texto que vem depois do cabeçalho.", head + "curto demais"])
     got = statutes.split_headers(b).orderBy("char_start", "block_index").collect()
     assert [r.block_index for r in got] == [0, 10000, 1]
