@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, bound_batches
 
-#: Template tokens of a window; the literal ones that it needs; the run of tokens that makes a hit
-#: (or the whole item, if shorter); the fewest tokens of an item that is searched for.
+#: Template tokens of a window; the literal ones that it needs to match with other values; the run of tokens
+#: that makes a hit (or the whole item, if shorter); the fewest tokens of an item that is found with other values.
 WINDOW, LITERAL, RUN, FEWEST = 8, 5, 13, 5
 #: Windows of the benchmark up to which they are broadcast; beyond, all windows are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
@@ -30,6 +30,8 @@ _NUMERIC = re.compile(r"[+-]?[\d][\d.,:/]*")
 _GLUED = re.compile(r"(\d)(?=[^\W\d_]|[%°€$£])|([€$£])(?=\d)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _CACHE = 400_000
+#: Tokens that are hashed at once.
+_CHUNK = 1 << 16
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,29 +45,29 @@ class Templates:
 
     def __init__(self):
         self.at: dict[str, int] = {}
-        self.table = np.zeros((1 << 12, 3), np.uint64)  # id, id within a sentence, ends a sentence
+        self.table = np.zeros((1 << 12, 4), np.uint64)  # id, id within a sentence, ends a sentence, id of the word itself
 
-    def _learn(self, raw: str) -> tuple[int, int, bool]:
+    def _learn(self, raw: str) -> tuple[int, int, bool, int]:
         ends = raw.rstrip("\"')]»”").endswith((".", "!", "?", ":", ";"))
         if raw in UNITS:
             core = raw
         else:
             core = _EDGES.sub("", raw)
         if not core:
-            return 0, 0, ends
-        if _NUMERIC.fullmatch(core):
-            return NUMBER, NUMBER, ends
+            return 0, 0, ends, 0
         low = core.lower()
         plain = xxhash.xxh3_64_intdigest(low.encode()) | 1 << 63
+        if _NUMERIC.fullmatch(core):
+            return NUMBER, NUMBER, ends, plain
         if low in UNITS:
             plain = plain & ~0xFF | UNIT  # the last byte marks words that can be units
         elif plain & 0xFF == UNIT:
             plain ^= 0x80
         named = core[0].isupper() and core[1:] == core[1:].lower() and len(core) > 1
-        return plain, NAME if named else plain, ends
+        return plain, NAME if named else plain, ends, plain
 
-    def __call__(self, text: str) -> tuple[np.ndarray, list[str], np.ndarray]:
-        """(template ids, raw words, place of each id's raw word)."""
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """(template ids, ids of the words themselves, raw words, place of each id's raw word)."""
         if any(c in text for c in "0123456789"):
             text = _GLUED.sub(lambda m: m[0] + " ", text)
         words = text.split()
@@ -75,7 +77,7 @@ class Templates:
                 self.at, new = {}, list(set(words))
             n = len(self.at)
             if n + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros((n + len(new), 3), np.uint64)])
+                self.table = np.concatenate([self.table, np.zeros((n + len(new), 4), np.uint64)])
             self.table[n : n + len(new)] = np.array([self._learn(w) for w in new], np.uint64)
             self.at.update(zip(new, range(n, n + len(new)), strict=True))
         got = self.table[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))]
@@ -86,54 +88,88 @@ class Templates:
         unit = (ids & np.uint64(0xFF) == UNIT) & (ids > 3)
         after = np.concatenate([[False], ids[:-1] == NUMBER])[: len(ids)]
         ids = np.where(unit & after, np.uint64(UNIT), ids)
-        return ids, words, keep
+        return ids, got[keep, 3], words, keep
+
 
+def windows(ids: np.ndarray, n: int, verbatim: bool = False) -> np.ndarray:
+    """Hashes of the windows of n tokens; of templates, 0 for one with too few literal tokens to say anything.
 
-def windows(ids: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the windows of n tokens; 0 for one with too few literal tokens to say anything."""
+    Ids of the words themselves (``verbatim``) have hashes of their own, whatever stands in the window.
+    """
     if len(ids) < n:
         return np.zeros(0, np.uint64)
     m = len(ids) - n + 1
-    h = np.full(m, n, np.uint64)
+    h = np.full(m, n + WINDOW * verbatim, np.uint64)
     for j in range(n):
         h = (h ^ ids[j : m + j]) * _SPREAD
         h ^= h >> np.uint64(29)
+    if verbatim:
+        return h | np.uint64(1)
     literal = np.concatenate([[0], np.cumsum(ids > 3)])
-    return np.where(literal[n:] - literal[:-n] >= min(LITERAL, n), h | np.uint64(1), np.uint64(0))
+    return np.where((literal[n:] - literal[:-n] >= min(LITERAL, n)) & (n >= FEWEST), h | np.uint64(1), np.uint64(0))
 
 
 def _slots(ids: np.ndarray, words: list[str], keep: np.ndarray, at: int, n: int) -> list[str]:
-    """What stands in the placeholders of a window, as place:value."""
-    return [f"{j}:{_EDGES.sub('', words[keep[at + j]]).lower() or words[keep[at + j]]}" for j in range(n) if ids[at + j] <= 3]
+    """What stands in the placeholders of a window, in order."""
+    return [_EDGES.sub("", words[keep[at + j]]).lower() or words[keep[at + j]] for j in range(n) if ids[at + j] <= 3]
 
 
 def _rows(lens: list[int], wanted: np.ndarray | None, key: str):
-    """Windows of each text; with ``wanted``, only those whose hash is among the benchmark's."""
+    """Windows of each text, as templates and verbatim; with ``wanted``, only those whose hash is among the benchmark's."""
     seen = None
     if wanted is not None:
         seen = np.zeros(1 << 22, bool)
         seen[wanted >> np.uint64(42)] = True
 
+    def search(part: list[tuple], template: Templates) -> list[tuple]:
+        if not part:
+            return []
+        ids, raw = np.concatenate([p[2] for p in part]), np.concatenate([p[3] for p in part])
+        size = np.array([len(p[2]) for p in part])
+        start, owner = np.cumsum(size) - size, np.repeat(np.arange(len(part)), size)
+        made: dict[int, tuple] = {}
+        out = []
+        for n in lens:
+            if len(ids) < n:
+                continue
+            of = owner[: len(owner) - n + 1]
+            whole = of == owner[n - 1 :]
+            if key == "item":
+                whole &= np.minimum(size, WINDOW)[of] == n
+            for verbatim in (False, True):
+                h = windows(raw if verbatim else ids, n, verbatim)
+                hit = np.flatnonzero(whole & (h > 0) if seen is None else seen[h >> np.uint64(42)] & whole & (h > 0))
+                if seen is not None and len(hit):
+                    k = np.minimum(np.searchsorted(wanted, h[hit]), len(wanted) - 1)
+                    hit = hit[wanted[k] == h[hit]]
+                if verbatim and n < WINDOW and len(hit) > 1:  # a whole item: its first place in a text says all
+                    hit = np.sort(hit[np.unique(np.stack([of[hit].astype(np.uint64), h[hit]]), axis=1, return_index=True)[1]])
+                for a in hit.tolist():
+                    o = int(of[a])
+                    if o not in made:
+                        made[o] = template(part[o][1])
+                    own, _, words, keep = made[o]
+                    at = a - int(start[o])
+                    out.append((part[o][0], int(h[a].view(np.int64)), at, n, len(own), verbatim, _slots(own, words, keep, at, n)))
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         template = Templates()
         for b in batches:
-            out = []
+            out, part, held = [], [], 0
             for i, t in zip(b["i"].tolist(), b["t"].tolist(), strict=True):
-                ids, words, keep = template(t)
-                own = [len(ids)] if key == "item" and len(ids) < WINDOW else [WINDOW] if key == "item" else lens
-                for n in own:
-                    h = windows(ids, n)
-                    hit = np.flatnonzero(h) if seen is None else np.flatnonzero(seen[h >> np.uint64(42)] & (h > 0))
-                    if seen is not None and len(hit):
-                        k = np.minimum(np.searchsorted(wanted, h[hit]), len(wanted) - 1)
-                        hit = hit[wanted[k] == h[hit]]
-                    out += [(i, int(h[a].view(np.int64)), a, n, len(ids), _slots(ids, words, keep, a, n)) for a in hit.tolist()]
-            yield pd.DataFrame(out, columns=["i", "h", "at", "n", "size", "slots"])
+                part.append((i, t, *template(t)[:2]))
+                held += len(part[-1][2])
+                if held >= _CHUNK:
+                    out += search(part, template)
+                    part, held = [], 0
+            out += search(part, template)
+            yield pd.DataFrame(out, columns=["i", "h", "at", "n", "size", "verbatim", "slots"])
 
     return run
 
 
-_SCHEMA = "i long, h long, at int, n int, size int, slots array<string>"
+_SCHEMA = "i long, h long, at int, n int, size int, verbatim boolean, slots array<string>"
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -143,7 +179,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     shift), item_tokens, coverage, n_changed (placeholders whose value differs: re-parameterised).
     A hit covers RUN tokens at one shift, or the whole item if it is shorter, and its placeholders
     are consistent: one value of the item stands for one value of the document, and the reverse.
-    Items of under FEWEST tokens are not searched for. Null and empty texts hold nothing; rows with a
+    Windows with under LITERAL literal tokens, and items of under FEWEST tokens, match verbatim only
+    (but for case and punctuation at the edges of tokens). Null and empty texts hold nothing; rows with a
     null doc_id are reported under a null doc_id; repeated rows count once; an empty table on either side
     gives no rows; other columns are ignored.
     """
@@ -151,24 +188,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     bound_batches(spark)
     scratch = Scratch(spark, "leaks")
     text = lambda df, i, t: df.where(F.col(t).isNotNull()).select(F.coalesce(F.col(i).cast("long"), F.lit(_NONE)).alias("i"), F.col(t).alias("t"))
-    items = scratch.keep(text(benchmark, item_col, item_text).mapInPandas(_rows([], None, "item"), _SCHEMA).where(F.col("size") >= FEWEST))
+    items = scratch.keep(text(benchmark, item_col, item_text).mapInPandas(_rows(list(range(1, WINDOW + 1)), None, "item"), _SCHEMA))
     lens = sorted(r["n"] for r in items.select("n").distinct().collect())  # at most WINDOW values
     small = items.count() <= BROADCAST_WINDOWS
     wanted = np.unique(np.array([r["h"] for r in items.select("h").distinct().collect()], np.int64).view(np.uint64)) if small else None
     found = text(docs, id_col, text_col).mapInPandas(_rows(lens, wanted, "doc"), _SCHEMA)
-    b = items.select(F.col("i").alias("item"), "h", "n", F.col("at").alias("b_at"), F.col("size").alias("item_tokens"), F.col("slots").alias("b_slots"))
-    met = found.drop("size").join(F.broadcast(b) if small else b, ["h", "n"])
-    # a slot's place within the window is the same on both sides, so values pair up in order
-    pairs = F.expr("filter(zip_with(b_slots, slots, (x, y) -> if(substring_index(x, ':', 1) = substring_index(y, ':', 1), struct(split(x, ':', 2)[1] as b, split(y, ':', 2)[1] as d), null)), z -> z is not null)")
-    met = met.select("i", "item", "item_tokens", (F.col("at") - F.col("b_at")).alias("shift"), "b_at", "n", pairs.alias("pairs"))
-    got = met.groupBy("i", "item", "item_tokens", "shift").agg(
+    b = items.select(F.col("i").alias("item"), "h", "n", F.col("at").alias("b_at"), F.col("size").alias("item_tokens"), "verbatim", F.col("slots").alias("b_slots"))
+    met = found.drop("size", "verbatim").join(F.broadcast(b) if small else b, ["h", "n"])
+    # equal hashes have their placeholders at the same places, so values pair up in order; verbatim ones are the item's own
+    pairs = F.expr("if(verbatim, transform(b_slots, x -> struct(x as b, x as d)), zip_with(b_slots, slots, (x, y) -> struct(x as b, y as d)))")
+    # the windows of a match are taken without the verbatim ones, and with them: either may make the hit
+    reading = F.explode(F.when(F.col("verbatim"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1))))
+    met = met.select("i", "item", "item_tokens", (F.col("at") - F.col("b_at")).alias("shift"), "b_at", "n", pairs.alias("pairs"), reading.alias("reading"))
+    got = met.groupBy("i", "item", "item_tokens", "shift", "reading").agg(
         F.countDistinct("b_at").alias("n_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("b_at"), F.col("b_at") + F.col("n") - 1))))).cast("long").alias("n_covered"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     left, right = F.size(F.array_distinct(F.col("pairs.b"))), F.size(F.array_distinct(F.col("pairs.d")))
     got = got.where((F.size("pairs") == left) & (left == right) & (F.col("n_covered") >= F.least(F.lit(RUN), F.col("item_tokens"))))
-    best = got.groupBy("i", "item").agg(F.max_by(F.struct("n_windows", "n_covered", "item_tokens", F.size(F.expr("filter(pairs, p -> p.b <> p.d)")).cast("long").alias("n_changed")), F.struct("n_covered", -F.col("shift"))).alias("x"))
+    best = got.groupBy("i", "item").agg(F.max_by(F.struct("n_windows", "n_covered", "item_tokens", F.size(F.expr("filter(pairs, p -> p.b <> p.d)")).cast("long").alias("n_changed")), F.struct("n_covered", -F.col("shift"), -F.col("reading"))).alias("x"))
     own = F.when(F.col("i") != _NONE, F.col("i"))
     return best.select(own.alias("doc_id"), F.when(F.col("item") != _NONE, F.col("item")).alias("item_id"), "x.n_windows", "x.n_covered", F.col("x.item_tokens").cast("long").alias("item_tokens"), (F.col("x.n_covered") / F.col("x.item_tokens")).alias("coverage"), "x.n_changed")
 

@@ -111,3 +111,15 @@ def test_leaks_by_shuffle_equal_those_by_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert one == sorted(map(tuple, decontaminate.find_leaks(d, b).collect()))
     assert {r[0] for r in one} == {k for k in range(120) if k % 3 == 0}
+
+
+def test_verbatim_copies_need_no_literals(spark):
+    items = {
+        1: "What is 37 times 48 plus 12 minus 5?", 2: "Add 4 and 7 now", 3: "Is 9 prime?", 4: "Why?", 5: "Die Katze von Anna jagt im Garten von Herrn Meier die Maus von Peter und Paul",
+        6: "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15",
+    }
+    docs = [(k, f"Some other words stand before it. {t} And after it others.") for k, t in items.items()]
+    docs += [(10, items[1].replace("37", "38")), (11, items[3].replace("9", "8")), (12, "1 2 3 4 5 6 7 0 9 10 11 12 13 14 15"), (13, "is 9 prime, and is 9 prime")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_covered, r.n_changed) for r in decontaminate.find_leaks(d, b).collect()}
+    assert got == {(1, 1): (9, 0), (2, 2): (5, 0), (3, 3): (3, 0), (4, 4): (1, 0), (5, 5): (16, 0), (6, 6): (15, 0), (13, 3): (3, 0)}
