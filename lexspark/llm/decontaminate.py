@@ -39,8 +39,9 @@ class Templates:
     """Turns texts into template tokens: 64-bit ids, small ones for placeholders.
 
     A token is what stands between white space, without punctuation at its edges, in lower case.
-    A capitalised word (not one all in capitals) is a name unless it begins a sentence; a unit is
-    one only after a number; a number with a unit glued on counts as two tokens.
+    A capitalised word (not one all in capitals) is a name; one that begins a sentence has two
+    readings, as a plain word and as a name. A unit is one only after a number; a number with a unit
+    glued on counts as two tokens.
     """
 
     def __init__(self):
@@ -66,8 +67,8 @@ class Templates:
         named = core[0].isupper() and core[1:] == core[1:].lower() and len(core) > 1
         return plain, NAME if named else plain, ends, plain
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-        """(template ids, ids of the words themselves, raw words, place of each id's raw word)."""
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """(template ids, ids of the words themselves, where a word may be a name too, raw words, place of each id's raw word)."""
         if any(c in text for c in "0123456789"):
             text = _GLUED.sub(lambda m: m[0] + " ", text)
         words = text.split()
@@ -88,7 +89,7 @@ class Templates:
         unit = (ids & np.uint64(0xFF) == UNIT) & (ids > 3)
         after = np.concatenate([[False], ids[:-1] == NUMBER])[: len(ids)]
         ids = np.where(unit & after, np.uint64(UNIT), ids)
-        return ids, got[keep, 3], words, keep
+        return ids, got[keep, 3], (first & (got[:, 0] != got[:, 1]))[keep], words, keep
 
 
 def windows(ids: np.ndarray, n: int, verbatim: bool = False) -> np.ndarray:
@@ -109,9 +110,47 @@ def windows(ids: np.ndarray, n: int, verbatim: bool = False) -> np.ndarray:
     return np.where((literal[n:] - literal[:-n] >= min(LITERAL, n)) & (n >= FEWEST), h | np.uint64(1), np.uint64(0))
 
 
-def _slots(ids: np.ndarray, words: list[str], keep: np.ndarray, at: int, n: int) -> list[str]:
-    """What stands in the placeholders of a window, in order."""
-    return [_EDGES.sub("", words[keep[at + j]]).lower() or words[keep[at + j]] for j in range(n) if ids[at + j] <= 3]
+def _readings(ids: np.ndarray, either: np.ndarray, n: int) -> Iterator[tuple[np.ndarray | None, int, np.ndarray]]:
+    """Windows under each reading: (places, or None for all; which of the window's open words are names, as bits; hashes).
+
+    ``either`` marks the open words: those that may be names too.
+    """
+    yield None, 0, windows(ids, n)
+    if len(ids) < n or n < FEWEST or not either.any():
+        return
+    before = np.concatenate([[0], np.cumsum(either)])
+    count = before[n:] - before[:-n]
+    spare = n - min(LITERAL, n)  # more names leave too few literal tokens
+    some = np.flatnonzero(count)
+    for bits in range(1, 1 << int(count.max())) if spare else ():
+        if bits.bit_count() > spare:
+            continue
+        at = some = some[count[some] >= bits.bit_length()]
+        place = at[:, None] + np.arange(n)
+        names = either[place] & (np.int64(bits) >> (before[place] - before[at][:, None]) & 1 > 0)
+        read = np.where(names, np.uint64(NAME), ids[place])
+        h = np.full(len(at), n, np.uint64)
+        for j in range(n):
+            h = (h ^ read[:, j]) * _SPREAD
+            h ^= h >> np.uint64(29)
+        yield at, bits, np.where((read > 3).sum(axis=1) >= min(LITERAL, n), h | np.uint64(1), np.uint64(0))
+
+
+def _slots(ids: np.ndarray, either: np.ndarray, words: list[str], keep: np.ndarray, at: int, n: int, bits: int) -> list[str]:
+    """What stands in the placeholders of a window, in order: after '~' for open words that are read as names, else after '='."""
+    out = []
+    for k in range(at, at + n):
+        if either[k]:
+            if bits & 1:
+                out.append("~" + _value(words[keep[k]]))
+            bits >>= 1
+        elif ids[k] <= 3:
+            out.append("=" + _value(words[keep[k]]))
+    return out
+
+
+def _value(word: str) -> str:
+    return _EDGES.sub("", word).lower() or word
 
 
 def _rows(lens: list[int], wanted: np.ndarray | None, key: str):
@@ -124,7 +163,7 @@ def _rows(lens: list[int], wanted: np.ndarray | None, key: str):
     def search(part: list[tuple], template: Templates) -> list[tuple]:
         if not part:
             return []
-        ids, raw = np.concatenate([p[2] for p in part]), np.concatenate([p[3] for p in part])
+        ids, raw, either = (np.concatenate([p[k] for p in part]) for k in (2, 3, 4))
         size = np.array([len(p[2]) for p in part])
         start, owner = np.cumsum(size) - size, np.repeat(np.arange(len(part)), size)
         made: dict[int, tuple] = {}
@@ -136,21 +175,23 @@ def _rows(lens: list[int], wanted: np.ndarray | None, key: str):
             whole = of == owner[n - 1 :]
             if key == "item":
                 whole &= np.minimum(size, WINDOW)[of] == n
-            for verbatim in (False, True):
-                h = windows(raw if verbatim else ids, n, verbatim)
-                hit = np.flatnonzero(whole & (h > 0) if seen is None else seen[h >> np.uint64(42)] & whole & (h > 0))
+            found = [(False, *x) for x in _readings(ids, either, n)] + [(True, None, 0, windows(raw, n, True))]
+            for verbatim, places, bits, h in found:
+                good = (whole if places is None else whole[places]) & (h > 0)
+                hit = np.flatnonzero(good if seen is None else seen[h >> np.uint64(42)] & good)
                 if seen is not None and len(hit):
                     k = np.minimum(np.searchsorted(wanted, h[hit]), len(wanted) - 1)
                     hit = hit[wanted[k] == h[hit]]
                 if verbatim and n < WINDOW and len(hit) > 1:  # a whole item: its first place in a text says all
                     hit = np.sort(hit[np.unique(np.stack([of[hit].astype(np.uint64), h[hit]]), axis=1, return_index=True)[1]])
-                for a in hit.tolist():
+                for x in hit.tolist():
+                    a = x if places is None else int(places[x])
                     o = int(of[a])
                     if o not in made:
                         made[o] = template(part[o][1])
-                    own, _, words, keep = made[o]
+                    own, _, opens, words, keep = made[o]
                     at = a - int(start[o])
-                    out.append((part[o][0], int(h[a].view(np.int64)), at, n, len(own), verbatim, _slots(own, words, keep, at, n)))
+                    out.append((part[o][0], int(h[x].view(np.int64)), at, n, len(own), verbatim, _slots(own, opens, words, keep, at, n, bits)))
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,7 +199,7 @@ def _rows(lens: list[int], wanted: np.ndarray | None, key: str):
         for b in batches:
             out, part, held = [], [], 0
             for i, t in zip(b["i"].tolist(), b["t"].tolist(), strict=True):
-                part.append((i, t, *template(t)[:2]))
+                part.append((i, t, *template(t)[:3]))
                 held += len(part[-1][2])
                 if held >= _CHUNK:
                     out += search(part, template)
@@ -179,6 +220,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     shift), item_tokens, coverage, n_changed (placeholders whose value differs: re-parameterised).
     A hit covers RUN tokens at one shift, or the whole item if it is shorter, and its placeholders
     are consistent: one value of the item stands for one value of the document, and the reverse.
+    A capitalised word that begins a sentence, on either side, may be a plain word or a name.
     Windows with under LITERAL literal tokens, and items of under FEWEST tokens, match verbatim only
     (but for case and punctuation at the edges of tokens). Null and empty texts hold nothing; rows with a
     null doc_id are reported under a null doc_id; repeated rows count once; an empty table on either side
@@ -196,10 +238,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     b = items.select(F.col("i").alias("item"), "h", "n", F.col("at").alias("b_at"), F.col("size").alias("item_tokens"), "verbatim", F.col("slots").alias("b_slots"))
     met = found.drop("size", "verbatim").join(F.broadcast(b) if small else b, ["h", "n"])
     # equal hashes have their placeholders at the same places, so values pair up in order; verbatim ones are the item's own
-    pairs = F.expr("if(verbatim, transform(b_slots, x -> struct(x as b, x as d)), zip_with(b_slots, slots, (x, y) -> struct(x as b, y as d)))")
-    # the windows of a match are taken without the verbatim ones, and with them: either may make the hit
-    reading = F.explode(F.when(F.col("verbatim"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1))))
-    met = met.select("i", "item", "item_tokens", (F.col("at") - F.col("b_at")).alias("shift"), "b_at", "n", pairs.alias("pairs"), reading.alias("reading"))
+    value = lambda x: F.substr(x, F.lit(2))
+    pair = lambda x, y: F.struct(value(x).alias("b"), value(y).alias("d"), (F.left(x, F.lit(1)).eqNullSafe("~") | F.left(y, F.lit(1)).eqNullSafe("~")).alias("open"))
+    pairs = F.when(F.col("verbatim"), F.transform("b_slots", lambda x: pair(x, x))).otherwise(F.zip_with("b_slots", "slots", pair))
+    met = met.select("i", "item", "item_tokens", (F.col("at") - F.col("b_at")).alias("shift"), "b_at", "n", "verbatim", pairs.alias("pairs"))
+    # the windows of a match are taken without the verbatim ones; with them; and with those where another name begins a
+    # sentence: any of these may make the hit. Only for the last is a word that begins a sentence a value.
+    least = F.when(F.exists("pairs", lambda p: p["open"] & (p["b"] != p["d"])), 2).when(F.col("verbatim"), 1).otherwise(0)
+    met = met.withColumn("reading", F.explode(F.sequence(least, F.lit(2))))
+    closed = F.filter("pairs", lambda p: (F.col("reading") == 2) | ~p["open"])
+    met = met.withColumn("pairs", F.transform(closed, lambda p: F.struct(p["b"].alias("b"), p["d"].alias("d"))))
     got = met.groupBy("i", "item", "item_tokens", "shift", "reading").agg(
         F.countDistinct("b_at").alias("n_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("b_at"), F.col("b_at") + F.col("n") - 1))))).cast("long").alias("n_covered"),

@@ -123,3 +123,36 @@ def test_verbatim_copies_need_no_literals(spark):
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.n_covered, r.n_changed) for r in decontaminate.find_leaks(d, b).collect()}
     assert got == {(1, 1): (9, 0), (2, 2): (5, 0), (3, 3): (3, 0), (4, 4): (1, 0), (5, 5): (16, 0), (6, 6): (15, 0), (13, 3): (3, 0)}
+
+
+def test_names_that_begin_sentences(spark):
+    items = {1: "Tom has 5 red apples. Tom buys 3 more apples. How many apples does Tom have?", 2: "Which old river runs through the quiet town near London", 3: "How many apples has Tom bought today"}
+    docs = [
+        (1, items[1].replace("Tom", "Anna")), (2, "Question 7 " + items[2].replace("London", "Paris")), (3, "He asked: how many apples has Anna bought today"),
+        (4, items[1].replace("Tom", "Anna", 1)), (5, "Here. " + items[3].replace("Tom", "Anna")), (6, items[1].replace("Tom has", "Anna has").replace("Tom buys", "Eva buys").replace("Tom have", "Mia have")),
+        (7, "It is known. Rivers of the old town run through many a quiet place."),
+    ]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_covered, r.n_changed) for r in decontaminate.find_leaks(d, b).collect()}
+    assert got[1, 1] == (16, 1) or got[1, 1] == (15, 1)
+    assert {k: v for k, v in got.items() if k[0] in (2, 3, 5)} == {(2, 2): (10, 1), (3, 3): (7, 1), (5, 3): (7, 1)}
+    assert not any(k[0] in (6, 7) for k in got)
+
+
+def test_readings_are_all_that_keep_enough_literals():
+    rng = np.random.default_rng(1)
+    ids, either = rng.integers(4, 1 << 60, 40).astype(np.uint64), rng.random(40) < 0.5
+    ids[rng.random(40) < 0.1] = decontaminate.NUMBER
+    either &= ids > 3
+    want, got = set(), set()
+    for a in range(40 - 8 + 1):
+        opens = np.flatnonzero(either[a : a + 8])
+        for bits in range(1 << len(opens)):
+            w = ids[a : a + 8].copy()
+            w[[o for k, o in enumerate(opens) if bits >> k & 1]] = decontaminate.NAME
+            h = int(decontaminate.windows(w, 8)[0])
+            want |= {(a, bits, h)} if h else set()
+    for at, bits, h in decontaminate._readings(ids, either, 8):
+        for k, x in enumerate(h.tolist()):
+            got |= {(k if at is None else int(at[k]), bits, x)} if x else set()
+    assert got == want and any(b > 2 for _, b, _ in got)
