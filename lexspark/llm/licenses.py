@@ -1,8 +1,9 @@
 """Licence scans by a positional index of rare tokens, in DataFrame functions only.
 
 Words are runs of 0-9, a-z (A-Z lowered) and characters beyond ASCII. Templates are licence texts;
-of each file the licence words of highest IDF are looked up in the templates' postings, postings
-are intersected by relative position, and a template counts only with its mandatory phrase.
+of each file the licence words of highest IDF, over the whole file and among each template's own, are
+looked up in the templates' postings, postings are intersected by relative position, and a template
+counts only with its mandatory phrase.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 #: Base phrases and their labels. Fixed values.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Licence words of highest IDF that are looked up for each file, and the share of a template's
-#: postings for them that must stand at one shift.
+#: Licence words of highest IDF that are looked up for each file, and again for each template among its
+#: own words, and the share of a template's postings for either that must stand at one shift.
 RAREST, SHARE = 12, 0.6
 #: Function words, which make no postings. Fixed values.
 STOP = frozenset("a an and any are as at be by for from if in is it its may must not of on or shall that the their this to under we with without you your".split())
@@ -65,14 +66,14 @@ def _has(line: Column, phrase: str) -> Column:
     return line.contains(f" {phrase} ")
 
 
-def _aligned(posts: list[tuple[int, int]]) -> tuple[Column, Column]:
-    """Most postings of a template at one shift against the places of the file's rare words, and postings looked up.
+def _aligned(posts: list[tuple[int, int]], rare: Column) -> tuple[Column, Column]:
+    """Most postings of a template at one shift against the places of the rare words, and postings looked up.
 
     Every looked-up posting meets every place of its word; equal shifts are counted as runs of the
     sorted shifts, so a long file costs n log n.
     """
     own = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(k).alias("k")) for r, k in posts])
-    used = F.size(F.filter(own, lambda p: F.array_contains(F.col("rare"), p["r"])))
+    own = F.filter(own, lambda p: F.array_contains(rare, p["r"]))
 
     def shifts(x: Column) -> Column:
         return F.transform(F.filter(own, lambda p: p["r"] == x["r"]), lambda p: x["i"] - p["k"])
@@ -82,7 +83,7 @@ def _aligned(posts: list[tuple[int, int]]) -> tuple[Column, Column]:
         return F.struct(s.alias("s"), run.alias("run"), F.greatest(a["best"], run).alias("best"))
 
     start = F.struct(F.lit(None).cast("int").alias("s"), F.lit(0).alias("run"), F.lit(0).alias("best"))
-    return F.aggregate(F.array_sort(F.flatten(F.transform("places", shifts))), start, step, lambda a: a["best"]), used
+    return F.aggregate(F.array_sort(F.flatten(F.transform("places", shifts))), start, step, lambda a: a["best"]), F.size(own)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
@@ -130,24 +131,27 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     d = d.withColumn("n_base", F.coalesce(sum(base[1:], base[0]), F.lit(0)).cast("long"))
     d = d.withColumn("first_word", F.least(*first).cast("long")).withColumn("last_word", F.greatest(*last).cast("long"))
 
-    # the file's rarest licence words, as their ranks
+    # the file's licence words as their ranks, rarest first
     ranks = F.create_map(*[x for w, k in rank.items() for x in (F.lit(w), F.lit(k))])
     # most rows of a corpus have no licence word of any weight; they skip the positions
-    d = d.withColumn("rare", F.slice(F.array_sort(F.transform("rare", lambda w: F.element_at(ranks, w))), 1, RAREST))
-    d = d.withColumn("at", F.when(F.size("rare") > 1, F.split(F.trim("line"), " ")))
+    d = d.withColumn("held", F.array_sort(F.transform("rare", lambda w: F.element_at(ranks, w))))
+    d = d.withColumn("at", F.when(F.size("held") > 1, F.split(F.trim("line"), " ")))
     places = F.filter(
         F.transform("at", lambda w, i: F.struct(F.try_element_at(ranks, w).alias("r"), i.alias("i"))),
-        lambda x: x["r"].isNotNull() & F.array_contains(F.col("rare"), x["r"]),
+        lambda x: x["r"].isNotNull(),
     )
     d = d.withColumn("places", places)
 
     matched = []
     for t in templates:
-        most, used = _aligned([(rank[w], k) for k, w in _content(t.text)])
+        posts = [(rank[w], k) for k, w in _content(t.text)]
+        # a file of many licences has its rarest words in few of them, so each template's own are looked up too
+        own = F.array_intersect("held", F.array(*[F.lit(r) for r in sorted({r for r, _ in posts})]))
         phrase = F.lit(False)
         for p in t.phrases:
             phrase = phrase | _has(F.col("line"), p)
-        share = F.when(phrase, F.coalesce(most, F.lit(0)) / F.greatest(used, F.lit(1))).otherwise(0.0)
+        shares = [F.coalesce(most, F.lit(0)) / F.greatest(used, F.lit(1)) for most, used in (_aligned(posts, F.slice(x, 1, RAREST)) for x in (F.col("held"), own))]
+        share = F.when(phrase, F.greatest(*shares)).otherwise(0.0)
         matched.append(F.struct(F.lit(t.label).alias("label"), F.when(share >= SHARE, F.least(share, F.lit(1.0))).otherwise(0.0).alias("share")))
     d = d.withColumn("found", F.filter(F.array(*matched), lambda m: m["share"] > 0))
     labels = F.array_join(F.array_sort(F.array_distinct(F.concat("base", F.col("found.label")))), ",")

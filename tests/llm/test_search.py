@@ -46,6 +46,18 @@ def test_templates_need_position_and_phrase(spark):
     assert {r.doc_id: r.labels for r in licenses.scan(df).collect()} == {1: "bsd", 2: "", 3: ""}
 
 
+def test_each_licence_of_a_long_notice_is_found(spark):
+    by = {}
+    for t in licenses.TEMPLATES:
+        by.setdefault(t.label, t.text)
+    four = " \n\n ".join(by[k] for k in ("cc0", "mit", "bsd", "unlicense"))
+    every = " \n\n ".join(t.text for t in licenses.TEMPLATES)
+    df = spark.createDataFrame([(1, four.replace(by["mit"], licenses.TEMPLATES[8].text)), (2, every)], "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan(df.where("doc_id = 1")).collect() + licenses.scan(df.where("doc_id = 2")).collect()}
+    assert got[1] == ["bsd", "cc0", "mit", "unlicense"]
+    assert set(got[2]) == set(by) | set(licenses.BASE.values())
+
+
 # --- top-k ------------------------------------------------------------------------------------
 def _brute(rows, k=10):
     ok = [(i, np.floor(1024 * np.array(v, float)).astype(np.int64)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
