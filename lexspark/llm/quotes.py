@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: Letters and digits that a passage needs to identify a message.
+#: Letters and digits that a passage needs to identify a message, unless only one message of the conversation has it.
 LEAST = 8
 
 
@@ -40,7 +40,8 @@ def thread(conversations: DataFrame) -> DataFrame:
     depth (0 for a start). Sorting by conv_id, root_turn, turn gives reply order, since a parent
     comes before its replies.
 
-    A passage belongs to the first message of its conversation that has it unquoted. Rows without
+    A passage belongs to the first message of its conversation that has it unquoted; one of under
+    LEAST letters and digits only if no other message has it. Passages are whole lines. Rows without
     conv_id or turn, and rows of a turn that occurs twice, are kept; the former link with nothing,
     the latter count as one message in links. Null and empty texts quote nothing. An empty table
     gives no rows; other columns are ignored. Links are joined by (conv_id, hash); only messages
@@ -50,13 +51,13 @@ def thread(conversations: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "quotes")
     messages = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").alias("role"), F.col("text").alias("text"))
     quoting = messages.where(F.col("text").contains(">") & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    quoted = lines(quoting).where("level > 0").withColumn("long", F.length(F.regexp_replace("passage", r"[^\p{L}\p{N}]", "")) >= LEAST)
-    quoted = scratch.keep(quoted.select("conv_id", "turn", "k", "level", "hash", "long").distinct())
+    quoted = lines(quoting).where("level > 0").withColumn("size", F.length(F.regexp_replace("passage", r"[^\p{L}\p{N}]", "")))
+    quoted = scratch.keep(quoted.select("conv_id", "turn", "k", "level", "hash", "size").distinct())
     # only conversations that quote anything need their other lines; the first owner of each passage
     asking = quoted.select("conv_id").distinct()
     sources = lines(messages.where(F.col("turn").isNotNull()).join(asking, "conv_id", "left_semi")).where("level = 0")
-    owner = sources.groupBy("conv_id", "hash").agg(F.min("turn").alias("owner"))
-    met = quoted.join(owner, ["conv_id", "hash"], "left").withColumn("owner", F.when(F.col("long") & (F.col("owner") < F.col("turn")), F.col("owner")))
+    owner = sources.groupBy("conv_id", "hash").agg(F.min("turn").alias("owner"), (F.min("turn") == F.max("turn")).alias("only"))
+    met = quoted.join(owner, ["conv_id", "hash"], "left").withColumn("owner", F.when(((F.col("size") >= LEAST) | (F.col("size") > 0) & F.col("only")) & (F.col("owner") < F.col("turn")), F.col("owner")))
     votes = met.groupBy("conv_id", "turn", "level", "owner").agg(F.count(F.lit(1)).alias("n"))
     # the least level that found an owner; there the most lines, then the latest message
     best = votes.groupBy("conv_id", "turn").agg(

@@ -111,3 +111,9 @@ def test_long_chain_of_replies(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = quotes.thread(df).collect()
     assert all(r.root_turn == 0 and r.depth == r.turn for r in got)
+
+
+def test_short_quotes_link_where_their_owner_is_unique(spark):
+    rows = [(1, 0, "Shall we?"), (1, 1, "Yes."), (1, 2, "No."), (1, 3, "No."), (1, 4, "> Yes.\nFine, so we do."), (1, 5, "> No.\nWhy is that so?"), (1, 6, "---"), (1, 7, "> ---\nNothing said.")]
+    df = spark.createDataFrame([(c, k, "user", t) for c, k, t in rows], "conv_id long, turn long, role string, text string")
+    assert {r.turn: r.parent_turn for r in quotes.thread(df).collect() if r.parent_turn is not None} == {4: 1}
