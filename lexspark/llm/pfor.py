@@ -141,9 +141,11 @@ def file_bounds(docs: DataFrame, id_col: str) -> list[int]:
     return list(docs.agg(F.percentile_approx(F.col(id_col), cuts, 20 * files)).first()[0] or [])
 
 
-def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> DataFrame:
+def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, destination: str | None = None) -> DataFrame:
     """Encode every text, append ``end_id``, and write segments in ascending order of the ids.
 
+    With ``destination`` the files are written to that folder and stay there; else they are scratch.
+
     The files are rows of a Spark table (file, part, first_id, n_ids, n_docs, segment), so that
     Spark's commit protocol guards them on any store: a lost executor's attempt leaves nothing.
     ``segment`` is the file image of ``encode_segment``. Only packed ids are shuffled, not texts.
@@ -169,10 +171,10 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
 
     src = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("i"), F.col(id_col).isNull().alias("n"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.abs(F.hash(F.col(text_col))).cast("long").alias("h"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.pmod(F.hash(F.col(text_col)).cast("long"), F.lit(1 << 20)).alias("h"),
     )
     coded = src.mapInPandas(run, "file int, i long, x binary")
-    ordered = coded.repartition(len(bounds) + 1, "file").sortWithinPartitions("file", "i")
+    ordered = coded.repartitionById(len(bounds) + 1, F.col("file")).sortWithinPartitions("file", "i")  # a task for each file
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file, part, first, held, ids = None, 0, 0, 0, []
@@ -200,7 +202,16 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
         if ids:
             yield close()
 
-    return scratch.keep(ordered.mapInPandas(segments, "file int, part int, first_id long, n_ids long, n_docs long, segment binary"), "uncompressed")
+    out = ordered.mapInPandas(segments, "file int, part int, first_id long, n_ids long, n_docs long, segment binary")
+    if destination is None:
+        return scratch.keep(out, "uncompressed")
+    out.write.option("compression", "uncompressed").parquet(destination)
+    return open_files(docs.sparkSession, destination)
+
+
+def open_files(spark, destination: str) -> DataFrame:
+    """Token files written earlier, for ``read_index``."""
+    return spark.read.parquet(destination)
 
 
 def file_starts(files: DataFrame) -> DataFrame:
@@ -232,11 +243,14 @@ def read_index(files: DataFrame) -> DataFrame:
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NULL, F.col("doc_id")))
 
 
-def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2) -> DataFrame:
+def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2, destination: str | None = None) -> DataFrame:
     """Write the token files of a table and return what reading them back gives.
 
-    A null text counts as empty and has the end id alone. Repeated rows and ids stay, in any order
-    among equal ids; null ids come first; an empty table gives no rows; other columns are ignored.
+    The files last in the folder ``destination``, which must not exist; without one they are scratch and
+    go with the driver. A null text counts as empty and has the end id alone. A very long text is one
+    document of one segment, which then holds more than SEGMENT_IDS ids and takes memory in proportion to
+    the text. Repeated rows and ids stay, in any order among equal ids; null ids come first; an empty
+    table gives no rows; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "pfor")
-    return read_index(write_ids(docs, scratch, path or public_tokenizers.path("byte_bpe_50k.json"), id_col, text_col, end_id))
+    return read_index(write_ids(docs, scratch, path or public_tokenizers.path("byte_bpe_50k.json"), id_col, text_col, end_id, destination))

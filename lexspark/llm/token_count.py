@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,17 +34,19 @@ def write_flat(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_
         enc, tail = worker_wide(f"text {path}", lambda: TextEncoder(path)), np.array([end_id], "<u2").tobytes()
         if enc.kind != "<u2":
             raise ValueError("flat files hold 16-bit ids: the vocabulary is too large")
-        held, size, block, file, ends = [], 0, 0, 0, []  # ends: (place of the end id in the file, doc_id)
-
-        def cut(n: int) -> pd.DataFrame:
-            nonlocal held, size, block, ends
-            raw = b"".join(held)
-            upto = (block * block_ids) + n
-            done = [i for at, i in ends if at < upto]
-            ends = ends[len(done) :]
-            out = pd.DataFrame({"file": [file], "block": [block], "ids": [raw[: 2 * n]], "doc_ids": [done]})
-            held, size, block = [raw[2 * n :]], size - n, block + 1
-            return out
+        held, size, block, file, ends = [], 0, 0, 0, deque()  # ends: (place of the end id in the file, doc_id)
+
+        def cut(every: bool) -> Iterator[pd.DataFrame]:
+            """The full blocks of what is held, joined once; with ``every``, the rest of it too."""
+            nonlocal held, size, block
+            raw, at = memoryview(b"".join(held)), 0
+            while size >= block_ids or every and size:
+                n, done = min(size, block_ids), []
+                while ends and ends[0][0] < block * block_ids + n:
+                    done.append(ends.popleft()[1])
+                yield pd.DataFrame({"file": [file], "block": [block], "ids": [bytes(raw[at : at + 2 * n])], "doc_ids": [done]})
+                at, size, block = at + 2 * n, size - n, block + 1
+            held = [bytes(raw[at:])]
 
         for b in batches:
             file = int(b["f"].iloc[0]) if len(b) else file
@@ -51,10 +54,10 @@ def write_flat(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_
                 held += [raw, tail]
                 size += len(raw) // 2 + 1
                 ends.append((block * block_ids + size - 1, None if null else i))
-                while size >= block_ids:
-                    yield cut(block_ids)
+                if size >= block_ids:
+                    yield from cut(False)
         if size:
-            yield cut(size)
+            yield from cut(True)
 
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("i"), F.col(id_col).isNull().alias("n"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.spark_partition_id().alias("f"))
     return scratch.keep(src.mapInPandas(run, "file int, block long, ids binary, doc_ids array<long>"))
@@ -93,8 +96,9 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Write flat token files and count each document's ids between separators.
 
     Result: doc_id, file, ordinal (place in the file), start (in ids of the file), n_tokens
-    (without the separator). A null or empty text has 0 tokens; null ids and repeated rows stay;
-    an empty table gives no rows; other columns are ignored.
+    (without the separator). A null or empty text has 0 tokens; a very long one runs through as many
+    blocks as it needs; null ids and repeated rows stay; an empty table gives no rows; other columns
+    are ignored.
     """
     scratch = Scratch(docs.sparkSession, "flat")
     return stitch(scan_blocks(write_flat(docs, scratch, path or public_tokenizers.path("byte_bpe_50k.json"), id_col, text_col, block_ids=block_ids)))

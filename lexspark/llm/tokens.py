@@ -61,6 +61,11 @@ def piece(token: bytes) -> str:
     return token.decode("latin-1").translate(_TO_CHARS)
 
 
+def unpiece(p: str) -> bytes:
+    """The bytes of a piece: the inverse of ``piece``."""
+    return bytes(ord(c) - 0x100 for c in p)
+
+
 def serialise_model(tokens: list[bytes]) -> bytes:
     """A sentencepiece BPE model: byte-mapped pieces scored by negative rank, identity normalisation.
 
@@ -116,10 +121,12 @@ class ByteBpe:
     def __init__(self, path: str, pattern: str):
         import sentencepiece
 
-        self.tokens = load_ranks(path)
-        self.whole = {t: r for r, t in enumerate(self.tokens)}
+        tokens = load_ranks(path)
+        self.whole = {t: r for r, t in enumerate(tokens)}
         self.find = regex.compile(pattern).findall
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.tokens))
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(tokens))
+        #: Bytes of each id by the inverse mapping of the model's pieces, for decoding.
+        self.bytes_of = list(map(unpiece, self.model.id_to_piece(list(range(len(tokens))))))
         self.cache = Cache(PRE_TOKENS)
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
@@ -138,7 +145,7 @@ class ByteBpe:
             yield from self.cache.ids([self.find(t) for t in texts[at : at + 64]], self._learn)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
 def worker_wide(key: str, make):
@@ -154,7 +161,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Result: id, n_tokens, ids_sha256, decoded_sha256, n_bytes (of the decoded text) and, with
     ``with_ids``, ids (binary, little-endian unsigned 32-bit). A null text counts as empty; empty
-    texts have no tokens; repeated rows stay repeated; a null id stays null; other columns of
+    texts have no tokens; a very long text is encoded whole, in memory in proportion to it; repeated rows stay repeated; a null id stays null; other columns of
     ``docs`` are ignored, whatever their names. A narrow scan: no shuffle.
     """
     bound_batches(docs.sparkSession)

@@ -113,3 +113,23 @@ def test_separator_counts(spark, reference):
         got = sorted(((r.doc_id, r.n_tokens) for r in token_count.count_tokens(df, block_ids=block).collect()), key=str)
         assert got == sorted(((i, len(reference.encode_ordinary(t or ""))) for i, t in rows), key=str)
     assert token_count.count_tokens(df.limit(0)).count() == 0
+
+
+def test_files_that_last_hash_extremes_and_long_texts(spark, reference, tmp_path):
+    rows = [(k, "lcov)~,2") for k in range(5)] + [(5, "word and more " * 60_000), (6, "x" * 200_000), (5, "lcov)~,2")]  # the hash of the first is -2**31
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    at = f"file://{tmp_path}/files"
+    got = sorted((r.doc_id, r.n_tokens) for r in pfor.token_files(df, destination=at).collect())
+    assert got == sorted((i, len(reference.encode_ordinary(t)) + 1) for i, t in rows)
+    assert sorted((r.doc_id, r.n_tokens) for r in pfor.read_index(pfor.open_files(spark, at)).collect()) == got
+    counts = sorted((r.doc_id, r.n_tokens + 1) for r in token_count.count_tokens(df, block_ids=1000).collect())
+    assert counts == got
+
+
+def test_separator_counts_ignore_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 7, 8, 9)], "doc_id long, text string, file int, ids int, n_tokens int")
+    assert [(r.doc_id, r.n_tokens) for r in token_count.count_tokens(df).collect()] == [(1, 2)]
+
+
+def test_pieces_map_back(bpe):
+    assert [tokens.unpiece(tokens.piece(t)) for t in bpe.whole] == list(bpe.whole) == bpe.bytes_of
