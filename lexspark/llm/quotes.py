@@ -11,13 +11,18 @@ from .common import Scratch
 LEAST = 8
 
 
+def _line_ends(text: str):
+    """A text with one kind of line end; a lone carriage return ends a line too."""
+    return F.regexp_replace(text, "\r\n?", "\n")
+
+
 def lines(messages: DataFrame) -> DataFrame:
     """A row for each line that is not blank: conv_id, turn, level (nested quote marks), passage, hash.
 
     A quote mark is '>' at the start of a line, with spaces between marks allowed. A passage is
     normalised: marks off, white space collapsed, lower case.
     """
-    each = messages.select("conv_id", "turn", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("k", "line"))
+    each = messages.select("conv_id", "turn", F.posexplode(F.split(_line_ends("text"), "\n")).alias("k", "line"))
     marks = F.regexp_extract("line", r"^\s*((?:>\s*)*)", 1)
     level = F.length(F.regexp_replace(marks, r"[^>]", ""))
     passage = F.trim(F.lower(F.regexp_replace(F.regexp_replace("line", r"^\s*(?:>\s*)*", ""), r"\s+", " ")))
@@ -26,8 +31,8 @@ def lines(messages: DataFrame) -> DataFrame:
 
 
 def unquoted(text: str = "text"):
-    """A text without its quoted lines, nor the line that introduces a quotation ('... wrote:')."""
-    attribution = F.regexp_replace(F.col(text), r"(?m)^[^\n>]*\b(?:wrote|schrieb|escribió|a écrit)\s*:[ \t]*\r?\n(?=\s*>)", "")
+    """A text without its quoted lines, nor the line that introduces a quotation ('... wrote:'). Line ends become ``\\n``."""
+    attribution = F.regexp_replace(_line_ends(text), r"(?m)^[^\n>]*\b(?:wrote|schrieb|escribió|a écrit)\s*:[ \t]*\n(?=\s*>)", "")
     return F.trim(F.regexp_replace(F.regexp_replace(attribution, r"(?m)^[ \t]*>[^\n]*(?:\n|$)", ""), r"\n{3,}", "\n\n"))
 
 
@@ -43,8 +48,8 @@ def thread(conversations: DataFrame) -> DataFrame:
     A passage belongs to the first message of its conversation that has it unquoted; one of under
     LEAST letters and digits only if no other message has it. Passages are whole lines. Rows without
     conv_id or turn, and rows of a turn that occurs twice, are kept; the former link with nothing,
-    the latter count as one message in links. Null and empty texts quote nothing. An empty table
-    gives no rows; other columns are ignored. Links are joined by (conv_id, hash); only messages
+    the latter count as one message in links. Null and empty texts quote nothing; a very long text is
+    read whole, a row a line. An empty table gives no rows; other columns are ignored. Links are joined by (conv_id, hash); only messages
     with a parent take part in the search for roots, which doubles its reach each round.
     """
     spark = conversations.sparkSession

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import bound_batches
 
@@ -24,6 +27,10 @@ BITS = 18
 STEMS = (4, 5)
 #: Labelled rows of each class that a model is fitted on, at most (the bound of the training sample).
 PER_CLASS = 3000
+#: Features of the sampled rows of a class that the driver takes, at most: 128 MB.
+FEATURES = 1 << 25
+#: Highest logit of a base rate, and the number of features that is half of much text.
+MOST_BASE, MASS = -0.2, 64
 #: Weight of the squared score change under a swap, and of the squared weights.
 COUNTERFACTUAL, RIDGE, ROUNDS = 1.0, 1e-4, 200
 #: Terms that name groups of people, by kind; a term is swapped for others of its kind.
@@ -46,18 +53,19 @@ class Features:
     def __init__(self):
         self.of: dict[str, tuple[int, ...]] = {}
 
-    def word(self, w: str) -> tuple[int, ...]:
-        got = self.of.get(w)
-        if got is None:
-            if len(self.of) > _CACHE:
-                self.of.clear()
-            mask = (1 << BITS) - 1
-            raw = [xxhash.xxh3_64_intdigest(w.encode())] + [xxhash.xxh3_64_intdigest(w[:n].encode(), seed=n) for n in STEMS if len(w) >= n]
-            got = self.of[w] = tuple(x & mask for x in raw)
-        return got
+    @staticmethod
+    def _learn(w: str) -> tuple[int, ...]:
+        mask = (1 << BITS) - 1
+        raw = [xxhash.xxh3_64_intdigest(w.encode())] + [xxhash.xxh3_64_intdigest(w[:n].encode(), seed=n) for n in STEMS if len(w) >= n]
+        return tuple(x & mask for x in raw)
 
     def __call__(self, words: set[str]) -> np.ndarray:
-        return np.unique(np.fromiter((f for w in words for f in self.word(w)), np.int32))
+        new = words.difference(self.of)
+        if len(self.of) + len(new) > _CACHE:
+            self.of.clear()
+            new = words
+        self.of.update((w, self._learn(w)) for w in new)
+        return np.unique(np.fromiter(chain.from_iterable(map(self.of.__getitem__, words)), np.int32))
 
 
 def tokens(text: str | None) -> set[str]:
@@ -75,40 +83,61 @@ def swaps(words: set[str], rng: random.Random) -> set[str] | None:
     return out
 
 
+def _mass(size: np.ndarray) -> np.ndarray:
+    """How much text there is, from 0 (none) towards 1, by the number of features."""
+    return size / (size + MASS)
+
+
 class Model:
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
+    """A text's logit: the bias, which is that of the base rate, ``level`` in proportion to how much text there is, and the weights of its features."""
+
+    def __init__(self, weights: np.ndarray, bias: float, level: float = 0.0):
+        self.weights, self.bias, self.level = weights, bias, level
+
+    def logits(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Logits of texts, from their features, by one product with a sparse matrix of ones."""
+        size = np.array([len(r) for r in rows], np.int64)
+        of = self.weights[np.concatenate([*rows, np.zeros(0, np.int32)])].astype(float)
+        return self.bias + self.level * _mass(size) + np.bincount(np.repeat(np.arange(len(rows)), size), of, len(rows))
+
+    def scores(self, rows: list[np.ndarray]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.logits(rows), -700, 700)))
+
 
-    def score(self, features: np.ndarray) -> float:
-        z = self.bias + float(self.weights[features].sum())
-        return float(1 / (1 + np.exp(-min(max(z, -700.0), 700.0))))
+def featured(text: str | None, make: Features) -> tuple[np.ndarray, np.ndarray | None]:
+    """Features of a text, and of the same text with other group terms; the text alone decides which."""
+    words = tokens(text)
+    swapped = swaps(words, random.Random(xxhash.xxh3_64_intdigest((text or "").encode())))
+    return make(words), None if swapped is None else make(swapped)
 
 
 def fit(texts: list[str | None], labels: list[int], weights: list[float], counterfactual: float = COUNTERFACTUAL) -> Model:
+    """A model of labelled texts. Their order changes nothing."""
+    key = [xxhash.xxh3_64_intdigest((t or "").encode()) for t in texts]
+    order = sorted(range(len(texts)), key=lambda k: (key[k], labels[k], weights[k]))
+    make = Features()
+    made = [featured(texts[k], make) for k in order]
+    return fit_features([r for r, _ in made], [o for _, o in made], [labels[k] for k in order], [weights[k] for k in order], [key[k] & 1 for k in order], counterfactual)
+
+
+def fit_features(rows: list[np.ndarray], others: list[np.ndarray | None], labels: list[int], weights: list[float], halves: list[int], counterfactual: float = COUNTERFACTUAL) -> Model:
     """A model whose score of one half is the cut that tells held-back training rows apart best.
 
-    Two models, each fitted on one half, score the other half; the bias of the model of all rows
-    is moved by the cut found there.
+    The bias stays at the base rate, which a text without words therefore scores. Two models, each
+    fitted on one half of the rows, score the other half; the level of the model of all rows is moved
+    by the cut found there.
     """
-    make, rng = Features(), random.Random(7)
-    rows, others = [], []
-    for t in texts:
-        words = tokens(t)
-        swapped = swaps(words, rng)
-        rows.append(make(words))
-        others.append(None if swapped is None else make(swapped))
-    make.of.clear()
-    y, sw = np.array(labels, float), np.array(weights, float)
-    every = np.arange(len(rows))
+    y, sw, half = np.array(labels, float), np.array(weights, float), np.array(halves, int)
+    every = np.array([k for k in range(len(rows)) if len(rows[k])], int)  # texts without words teach nothing
     whole = _solve(rows, others, every, y, sw, counterfactual)
     z = np.zeros(len(rows))
-    for half in (0, 1):
-        a, b = every[every % 2 == half], every[every % 2 != half]
+    for side in (0, 1):
+        a, b = every[half[every] == side], every[half[every] != side]
         if not len(b) or len(set(y[a])) < 2:
             return whole
-        part = _solve(rows, others, a, y, sw, counterfactual)
-        z[b] = [part.bias + float(part.weights[rows[k]].sum()) for k in b]
-    return Model(whole.weights, whole.bias - _cut(z, y, sw))
+        z[b] = _solve(rows, others, a, y, sw, counterfactual).logits([rows[k] for k in b])
+    z = z[every] / _mass(np.array([len(rows[k]) for k in every]))
+    return Model(whole.weights, whole.bias, whole.level - _cut(z, y[every], sw[every]))
 
 
 def _cut(z: np.ndarray, y: np.ndarray, sw: np.ndarray) -> float:
@@ -125,7 +154,9 @@ def _cut(z: np.ndarray, y: np.ndarray, sw: np.ndarray) -> float:
 
 
 def _solve(rows: list[np.ndarray], others: list[np.ndarray | None], own: np.ndarray, y: np.ndarray, sw: np.ndarray, counterfactual: float) -> Model:
-    """Full-batch Adam on the weighted log loss, the ridge and the counterfactual penalty. With one class only, the base rate.
+    """Full-batch Adam on the weighted log loss, the ridge and the counterfactual penalty, over the logit of the base rate.
+
+    With one class only, the base rate.
 
     ``rows`` are the features of each text, ``others`` those of its swapped form; ``own`` the texts to fit.
     """
@@ -152,62 +183,88 @@ def _solve(rows: list[np.ndarray], others: list[np.ndarray | None], own: np.ndar
     if n_diff:
         d_col, d_row, d_val = map(np.concatenate, (d_col, d_row, d_val))
     n, f, total = len(mine), len(used), sw.sum()
-    w, b = np.zeros(f), float(np.log((sw @ y + 1) / (sw @ (1 - y) + 1)))
+    w, b, level = np.zeros(f), min(float(np.log((sw @ y + 1) / (sw @ (1 - y) + 1))), MOST_BASE), 0.0
+    mass = _mass(np.array([len(r) for r in mine]))
     m = v = np.zeros(f + 1)
     for step in range(1, ROUNDS + 1):
-        z = b + np.bincount(row, w[col], minlength=n)
+        z = b + level * mass + np.bincount(row, w[col], minlength=n)
         g = sw * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / total
         grad = np.bincount(col, g[row], minlength=f) + RIDGE * w
         if n_diff:
             change = np.bincount(d_row, d_val * w[d_col], minlength=n_diff)
             grad += np.bincount(d_col, 2 * counterfactual / n_diff * change[d_row] * d_val, minlength=f)
-        both = np.append(grad, g.sum())
+        both = np.append(grad, g @ mass)
         m, v = 0.9 * m + 0.1 * both, 0.999 * v + 0.001 * both**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-12)
-        w, b = w - move[:-1], b - move[-1]
+        w, level = w - move[:-1], level - move[-1]
     out = np.zeros(1 << BITS, np.float32)
     out[used] = w
-    return Model(out, float(b))
+    return Model(out, b, float(level))
 
 
 def _fold(id_col: str):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, features: int = FEATURES) -> Model:
     """Fit on labelled rows outside the held-out fold: at most ``per_class`` of each class, chosen by a hash of the id.
 
     The classes' true sizes weight the sample, so scores keep the base rate. A document labelled
-    more than once counts as its highest label; null labels, ids and unlabelled rows are left out.
+    more than once counts as its highest label; null labels, ids and unlabelled rows are left out. Of
+    several texts of one id the smallest counts. Features are made on the executors; the driver gets
+    those of the rows that come first by the hash, ``features`` numbers of each class at most.
     """
+    bound_batches(docs.sparkSession)
     own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (_fold(id_col) != 0)).groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("y"))
+    own = own.where("y in (0, 1)").select(F.col(id_col).alias("__id"), "y", F.xxhash64(id_col).alias("o"))
     size = {r["y"]: r["n"] for r in own.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    texts, ys, ws = [], [], []
-    for y in (0, 1):
-        if not size.get(y):
-            continue
-        few = own.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(per_class).select(F.col(id_col).alias("__id"))
-        got = docs.join(F.broadcast(few), docs[id_col] == F.col("__id"), "left_semi").select(text_col).collect()
-        texts += [r[0] for r in got]
-        ys += [y] * len(got)
-        ws += [size[y] / max(len(got), 1)] * len(got)
-    return fit(texts, ys, ws)
+    # at most per_class rows of each class
+    few = own.where("y = 0").orderBy("o", "__id").limit(per_class).unionByName(own.where("y = 1").orderBy("o", "__id").limit(per_class))
+    got = docs.select(F.col(id_col).alias("__i"), F.col(text_col).alias("t")).join(F.broadcast(few), F.col("__i") == F.col("__id")).groupBy("__id", "y", "o").agg(F.min("t").alias("t"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        make = Features()
+        for b in batches:
+            made = [featured(t, make) for t in b["t"].tolist()]
+            n = [len(r) + (0 if o is None else len(o)) for r, o in made]
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "o": b["o"], "n": n, "r": [r.tobytes() for r, _ in made], "s": [None if o is None else o.tobytes() for _, o in made]})
+
+    made = got.select(F.col("__id").cast("string").alias("id"), "y", "o", "t").mapInPandas(run, "id string, y int, o long, n long, r binary, s binary")
+    so_far = F.sum("n").over(Window.partitionBy("y").orderBy("o", "id"))
+    rows = sorted(made.withColumn("held", so_far).where(F.col("held") <= features).collect(), key=lambda r: (r["o"], r["id"]))
+    n = Counter(r["y"] for r in rows)
+    array = lambda x: None if x is None else np.frombuffer(x, np.int32)
+    return fit_features([array(r["r"]) for r in rows], [array(r["s"]) for r in rows], [r["y"] for r in rows], [size[r["y"]] / n[r["y"]] for r in rows], [r["o"] & 1 for r in rows])
+
+
+def _scorer(spark, model: Model):
+    """Scores of a batch's texts, on executors; the weights are broadcast once: 2**BITS of them."""
+    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.bias, model.level))
+    state: dict = {}
+
+    def scores(texts: list[str | None]) -> np.ndarray:
+        if not state:
+            state.update(make=Features(), model=Model(*shared.value))
+        out = [state["model"].scores([state["make"](tokens(t)) for t in texts[at : at + 256]]) for at in range(0, len(texts), 256)]
+        return np.concatenate([*out, np.zeros(0)])
+
+    return scores
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores of whole texts by a fitted model: doc_id, held_out, score, predicted. A narrow scan.
 
-    Null and empty texts score the model's base rate; a null id counts as held out; repeated rows
-    stay; an empty table gives no rows; other columns are ignored.
+    Null and empty texts, and those of unknown words alone, score the base rate of the labelled rows,
+    which is below one half unless all labels are 1. A very long text counts by its distinct words. A
+    null id counts as held out; repeated rows stay; an empty table gives no rows; other columns are
+    ignored.
     """
     bound_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))  # 2**BITS weights
+    scores = _scorer(docs.sparkSession, model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make, m = Features(), Model(*shared.value)
         for b in batches:
-            s = [m.score(make(tokens(t))) for t in b["t"].tolist()]
-            yield pd.DataFrame({"i": b["i"], "held_out": b["h"], "score": s})
+            yield pd.DataFrame({"i": b["i"], "held_out": b["h"], "score": scores(b["t"].tolist())})
 
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("i"), F.coalesce(_fold(id_col) == 0, F.lit(True)).alias("h"), F.col(text_col).alias("t"))
@@ -218,13 +275,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Rows whose text scores below one half, all columns kept, in one narrow scan."""
     bound_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
-    state: dict = {}
+    scores = _scorer(docs.sparkSession, model)
 
     @F.pandas_udf("boolean")
     def rejected(t: pd.Series) -> pd.Series:
-        if not state:
-            state.update(make=Features(), model=Model(*shared.value))
-        return pd.Series([state["model"].score(state["make"](tokens(x))) >= 0.5 for x in t.tolist()], dtype=bool)
+        return pd.Series(scores(t.tolist()) >= 0.5)
 
     return docs.where(~rejected(F.col(text_col)))

@@ -40,7 +40,7 @@ def test_held_out_accuracy_and_edges(labelled):
 def _blank():
     import numpy as np
 
-    return np.zeros(1 << toxicity.BITS), -2.0
+    return np.zeros(1 << toxicity.BITS), -2.0, 0.0
 
 
 def test_a_group_mention_alone_moves_the_score_less(labelled):
@@ -52,11 +52,52 @@ def test_a_group_mention_alone_moves_the_score_less(labelled):
     gap = []
     for weight in (0.0, 20.0):
         m, make = toxicity.fit(texts, ys, [1.0] * len(ys), weight), toxicity.Features()
-        logit = lambda t, m=m, make=make: m.bias + m.weights[make(toxicity.tokens(t))].sum()
+        logit = lambda t, m=m, make=make: m.logits([make(toxicity.tokens(t))])[0]
         gap.append(sum(abs(logit(t) - logit(t.replace("muslim", "christian"))) for t, _ in probes) / len(probes))
     assert gap[1] < 0.5 * gap[0]
 
 
+def test_the_order_of_rows_changes_nothing(spark, labelled):
+    docs, labels, _ = labelled
+    one, two = toxicity.train(docs, labels), toxicity.train(docs.repartition(7).orderBy("text"), labels.orderBy("toxic", "doc_id"))
+    assert (one.weights == two.weights).all() and (one.bias, one.level) == (two.bias, two.level)
+    rng = random.Random(1)
+    rows = [(_text(rng, k % 5 == 0, "hindu" if k % 3 else None), k % 5 == 0) for k in range(200)]
+    a = toxicity.fit([t for t, _ in rows], [int(y) for _, y in rows], [1.0] * 200)
+    rng.shuffle(rows)
+    b = toxicity.fit([t for t, _ in rows], [int(y) for _, y in rows], [1.0] * 200)
+    assert (a.weights == b.weights).all() and a.level == b.level
+
+
+def test_short_texts_score_near_the_base_rate(spark):
+    rng = random.Random(6)
+    word = lambda k: "".join(chr(97 + int(d)) for d in str(k)) + "um"
+    texts = [[word(rng.randrange(400)) for _ in range(rng.randrange(20, 60))] + ["the"] + ["horrible"] * (k % 6 == 0) for k in range(1200)]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    m = toxicity.train(docs, spark.createDataFrame([(k, int(k % 6 == 0)) for k in range(1200)], "doc_id long, toxic int"))
+    short = spark.createDataFrame([(1, None), (2, ""), (3, "the"), (4, "neverseen"), (5, "12 !"), (6, "the " + word(7))], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(short, m).collect()}
+    assert got[1] == got[2] == got[5] and 0.1 < got[1] < 0.25 and all(x < 0.5 for x in got.values())
+    assert toxicity.keep_clean(short, m).count() == 6
+
+
+def test_scores_equal_the_sum_over_distinct_features(labelled):
+    docs, labels, _ = labelled
+    m = toxicity.train(docs, labels)
+    for r in toxicity.score(docs, m).join(docs.select("doc_id", "text"), "doc_id").limit(300).collect():
+        fs = {int(f) for f in toxicity.Features()(toxicity.tokens(r.text))}
+        z = m.bias + m.level * len(fs) / (len(fs) + toxicity.MASS) + sum(float(m.weights[f]) for f in fs)
+        assert abs(r.score - 1 / (1 + 2.718281828459045**-z)) < 1e-6
+
+
+def test_repeated_ids_and_bound_of_features(spark, labelled):
+    docs, labels, _ = labelled
+    many = docs.unionByName(docs.where("doc_id = 7")).unionByName(spark.createDataFrame([(7, "zzz other text", 0.0)], docs.schema))
+    one, two = toxicity.train(docs, labels), toxicity.train(many, labels)
+    assert one.bias == two.bias and (one.weights == two.weights).all()  # of several texts the smallest counts
+    assert toxicity.train(docs, labels, features=2000).weights.any()
+
+
 def test_one_class_and_no_labels(spark, labelled):
     docs, labels, _ = labelled
     m = toxicity.train(docs, labels.where("toxic = 0"))
@@ -117,3 +158,18 @@ def test_short_quotes_link_where_their_owner_is_unique(spark):
     rows = [(1, 0, "Shall we?"), (1, 1, "Yes."), (1, 2, "No."), (1, 3, "No."), (1, 4, "> Yes.\nFine, so we do."), (1, 5, "> No.\nWhy is that so?"), (1, 6, "---"), (1, 7, "> ---\nNothing said.")]
     df = spark.createDataFrame([(c, k, "user", t) for c, k, t in rows], "conv_id long, turn long, role string, text string")
     assert {r.turn: r.parent_turn for r in quotes.thread(df).collect() if r.parent_turn is not None} == {4: 1}
+
+
+def test_a_lone_carriage_return_ends_a_line(spark):
+    rows = [(0, "A question that is long enough.\rSecond line here too."), (1, "> A question that is long enough.\rMy own answer"), (2, "> My own answer\r\n> \rThanks\rfor it")]
+    df = spark.createDataFrame([(1, k, "user", t) for k, t in rows], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in quotes.thread(df).collect()}
+    assert got[1].text_clean == "My own answer" and got[2].text_clean == "Thanks\nfor it"
+    assert (got[1].parent_turn, got[2].parent_turn) == (0, 1)
+
+
+def test_very_long_message_and_repeated_turns(spark):
+    long = "\n".join(f"Line number {k} of a very long message." for k in range(20_000))
+    rows = [(1, 0, "user", long), (1, 1, "user", "> Line number 17345 of a very long message.\nThat one."), (1, 1, "user", "> Line number 3 of a very long message.\nAgain."), (1, 2, "user", "> That one.\nNo.")]
+    got = quotes.thread(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r.turn, r.parent_turn, r.text_clean[:9]) for r in got if r.turn) == [(1, 0, "Again."), (1, 0, "That one."), (2, 1, "No.")]
