@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +17,9 @@ from .common import Scratch, bound_batches
 #: Template tokens of a window; the literal ones that it needs to match with other values; the run of tokens
 #: that makes a hit (or the whole item, if shorter); the fewest tokens of an item that is found with other values.
 WINDOW, LITERAL, RUN, FEWEST = 8, 5, 13, 5
-#: Windows of the benchmark up to which they are broadcast; beyond, all windows are joined by a shuffle.
-BROADCAST_WINDOWS = 1_000_000
+#: Windows of the benchmark whose hashes (8 bytes each) are broadcast to look windows of documents up at once; beyond,
+#: all windows are joined by a shuffle. Bytes of a table that is broadcast for a join, here and in ``clean``.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 4_000_000, 64 << 20
 NUMBER, NAME, UNIT = 1, 2, 3
 #: Words that count as units after a number.
 UNITS = frozenset(
@@ -153,14 +155,10 @@ def _value(word: str) -> str:
     return _EDGES.sub("", word).lower() or word
 
 
-def _rows(lens: list[int], wanted: np.ndarray | None, key: str):
-    """Windows of each text, as templates and verbatim; with ``wanted``, only those whose hash is among the benchmark's."""
-    seen = None
-    if wanted is not None:
-        seen = np.zeros(1 << 22, bool)
-        seen[wanted >> np.uint64(42)] = True
+def _rows(lens: list[int], hashes: Broadcast | None, key: str):
+    """Windows of each text, as templates and verbatim; with ``hashes``, only those whose hash is among the benchmark's."""
 
-    def search(part: list[tuple], template: Templates) -> list[tuple]:
+    def search(part: list[tuple], template: Templates, wanted: np.ndarray | None, seen: np.ndarray | None) -> list[tuple]:
         if not part:
             return []
         ids, raw, either = (np.concatenate([p[k] for p in part]) for k in (2, 3, 4))
@@ -191,79 +189,140 @@ def _rows(lens: list[int], wanted: np.ndarray | None, key: str):
                         made[o] = template(part[o][1])
                     own, _, opens, words, keep = made[o]
                     at = a - int(start[o])
-                    out.append((part[o][0], int(h[x].view(np.int64)), at, n, len(own), verbatim, _slots(own, opens, words, keep, at, n, bits)))
+                    out.append((*part[o][0], int(h[x].view(np.int64)), at, n, len(own), verbatim, _slots(own, opens, words, keep, at, n, bits)))
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        template = Templates()
+        template, wanted, seen = Templates(), None, None
+        if hashes is not None:
+            wanted, seen = hashes.value, np.zeros(1 << 22, bool)
+            seen[wanted >> np.uint64(42)] = True
         for b in batches:
             out, part, held = [], [], 0
-            for i, t in zip(b["i"].tolist(), b["t"].tolist(), strict=True):
-                part.append((i, t, *template(t)[:3]))
+            for i, th, t in zip(b["i"].tolist(), b["th"].tolist(), b["t"].tolist(), strict=True):
+                part.append(((i, th), t, *template(t)[:3]))
                 held += len(part[-1][2])
                 if held >= _CHUNK:
-                    out += search(part, template)
+                    out += search(part, template, wanted, seen)
                     part, held = [], 0
-            out += search(part, template)
-            yield pd.DataFrame(out, columns=["i", "h", "at", "n", "size", "verbatim", "slots"])
+            out += search(part, template, wanted, seen)
+            yield pd.DataFrame(out, columns=["i", "th", "h", "at", "n", "size", "verbatim", "slots"])
 
     return run
 
 
-_SCHEMA = "i long, h long, at int, n int, size int, verbatim boolean, slots array<string>"
+_SCHEMA = "i long, th long, h long, at int, n int, size int, verbatim boolean, slots array<string>"
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """A row for each document and benchmark item that it holds, also with other numbers, names or units.
+def best_run(met: list[tuple[int, int, int, list[tuple[str, str, bool]]]], need: int) -> tuple[int, int, int] | None:
+    """The run of matched windows that covers most of an item, if it covers ``need`` tokens: (windows, tokens covered, values changed).
 
-    Result: doc_id, item_id, n_windows, n_covered (template tokens of the item that match at one
-    shift), item_tokens, coverage, n_changed (placeholders whose value differs: re-parameterised).
-    A hit covers RUN tokens at one shift, or the whole item if it is shorter, and its placeholders
-    are consistent: one value of the item stands for one value of the document, and the reverse.
-    A capitalised word that begins a sentence, on either side, may be a plain word or a name.
-    Windows with under LITERAL literal tokens, and items of under FEWEST tokens, match verbatim only
-    (but for case and punctuation at the edges of tokens). Null and empty texts hold nothing; rows with a
-    null doc_id are reported under a null doc_id; repeated rows count once; an empty table on either side
-    gives no rows; other columns are ignored.
+    ``met``: (place in the item, tokens, least reading, pairs of (item's value, document's, open)) of the windows
+    that match at one shift. In a run each value of the item stands for one value of the document, and the reverse.
+    Where a pair contradicts an earlier one, a run ends and the next begins behind that earlier window. Windows
+    are taken without verbatim ones (reading 0), with them (1), and with those where another name begins a
+    sentence (2); only in the last is a word that begins a sentence a value. The first of the best is taken.
     """
+    best = None
+    for reading in range(3):
+        own = [(at, n, {(b, d) for b, d, opens in pairs if reading == 2 or not opens}) for at, n, least, pairs in met if least <= reading]
+        own = sorted((w for w in own if len({b for b, _ in w[2]}) == len({d for _, d in w[2]}) == len(w[2])), key=lambda w: (w[0], w[1], sorted(w[2])))
+        there, back, low = {}, {}, 0  # value of one side: [value of the other, windows of the run that say so]
+        ranges = []
+        for k, (_, _, pairs) in enumerate(own):
+            clash = lambda p: any(b in there and there[b][0] != d or d in back and back[d][0] != b for b, d in p)
+            if clash(pairs):
+                ranges.append((low, k))
+                while clash(pairs):
+                    for b, d in own[low][2]:
+                        for side, x in ((there, b), (back, d)):
+                            side[x][1] -= 1
+                            if not side[x][1]:
+                                del side[x]
+                    low += 1
+            for b, d in pairs:
+                there.setdefault(b, [d, 0])[1] += 1
+                back.setdefault(d, [b, 0])[1] += 1
+        for a, z in [*ranges, (low, len(own))]:
+            covered, end = 0, -1
+            for at, n, _ in own[a:z]:
+                covered += max(0, at + n - max(at, end))
+                end = max(end, at + n)
+            if covered >= need and (best is None or covered > best[1]):
+                best = (len({w[0] for w in own[a:z]}), covered, len({p for w in own[a:z] for p in w[2] if p[0] != p[1]}))
+    return best
+
+
+def _best_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for i, th, item, size, shift, windows_ in zip(*(b[c].tolist() for c in ("i", "th", "item", "item_tokens", "shift", "w")), strict=True):
+            got = best_run([(w["at"], w["n"], w["least"], [(p["b"], p["d"], p["open"]) for p in w["pairs"]]) for w in windows_], min(RUN, size))
+            if got:
+                out.append((i, th, item, size, shift, *got))
+        yield pd.DataFrame(out, columns=["i", "th", "item", "item_tokens", "shift", "n_windows", "n_covered", "n_changed"])
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
+    """Leaks by row: i (the id, a number of its own for null), th (hash of the text), item and the figures of ``find_leaks``."""
     spark = docs.sparkSession
     bound_batches(spark)
     scratch = Scratch(spark, "leaks")
-    text = lambda df, i, t: df.where(F.col(t).isNotNull()).select(F.coalesce(F.col(i).cast("long"), F.lit(_NONE)).alias("i"), F.col(t).alias("t"))
+    text = lambda df, i, t: df.where(F.col(t).isNotNull()).select(*_key(F.col(i), F.col(t)), F.col(t).alias("t"))
     items = scratch.keep(text(benchmark, item_col, item_text).mapInPandas(_rows(list(range(1, WINDOW + 1)), None, "item"), _SCHEMA))
     lens = sorted(r["n"] for r in items.select("n").distinct().collect())  # at most WINDOW values
-    small = items.count() <= BROADCAST_WINDOWS
-    wanted = np.unique(np.array([r["h"] for r in items.select("h").distinct().collect()], np.int64).view(np.uint64)) if small else None
-    found = text(docs, id_col, text_col).mapInPandas(_rows(lens, wanted, "doc"), _SCHEMA)
-    b = items.select(F.col("i").alias("item"), "h", "n", F.col("at").alias("b_at"), F.col("size").alias("item_tokens"), "verbatim", F.col("slots").alias("b_slots"))
-    met = found.drop("size", "verbatim").join(F.broadcast(b) if small else b, ["h", "n"])
+    rows, held = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(F.array_join("slots", "----")) + 80), F.lit(0))).first()
+    hashes = None
+    if rows <= BROADCAST_WINDOWS:
+        hashes = spark.sparkContext.broadcast(np.unique(np.array([r["h"] for r in items.select("h").distinct().collect()], np.int64).view(np.uint64)))
+    found = text(docs, id_col, text_col).mapInPandas(_rows(lens, hashes, "doc"), _SCHEMA)
+    b = items.select(F.col("i").alias("item"), F.col("th").alias("item_th"), "h", "n", F.col("at").alias("b_at"), F.col("size").alias("item_tokens"), "verbatim", F.col("slots").alias("b_slots"))
+    met = found.drop("size", "verbatim").join(F.broadcast(b) if held <= BROADCAST_BYTES else b, ["h", "n"])
     # equal hashes have their placeholders at the same places, so values pair up in order; verbatim ones are the item's own
     value = lambda x: F.substr(x, F.lit(2))
     pair = lambda x, y: F.struct(value(x).alias("b"), value(y).alias("d"), (F.left(x, F.lit(1)).eqNullSafe("~") | F.left(y, F.lit(1)).eqNullSafe("~")).alias("open"))
     pairs = F.when(F.col("verbatim"), F.transform("b_slots", lambda x: pair(x, x))).otherwise(F.zip_with("b_slots", "slots", pair))
-    met = met.select("i", "item", "item_tokens", (F.col("at") - F.col("b_at")).alias("shift"), "b_at", "n", "verbatim", pairs.alias("pairs"))
-    # the windows of a match are taken without the verbatim ones; with them; and with those where another name begins a
-    # sentence: any of these may make the hit. Only for the last is a word that begins a sentence a value.
+    met = met.select("i", "th", "item", "item_th", "item_tokens", (F.col("at") - F.col("b_at")).alias("shift"), "b_at", "n", "verbatim", pairs.alias("pairs"))
     least = F.when(F.exists("pairs", lambda p: p["open"] & (p["b"] != p["d"])), 2).when(F.col("verbatim"), 1).otherwise(0)
-    met = met.withColumn("reading", F.explode(F.sequence(least, F.lit(2))))
-    closed = F.filter("pairs", lambda p: (F.col("reading") == 2) | ~p["open"])
-    met = met.withColumn("pairs", F.transform(closed, lambda p: F.struct(p["b"].alias("b"), p["d"].alias("d"))))
-    got = met.groupBy("i", "item", "item_tokens", "shift", "reading").agg(
-        F.countDistinct("b_at").alias("n_windows"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("b_at"), F.col("b_at") + F.col("n") - 1))))).cast("long").alias("n_covered"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-    )
-    left, right = F.size(F.array_distinct(F.col("pairs.b"))), F.size(F.array_distinct(F.col("pairs.d")))
-    got = got.where((F.size("pairs") == left) & (left == right) & (F.col("n_covered") >= F.least(F.lit(RUN), F.col("item_tokens"))))
-    best = got.groupBy("i", "item").agg(F.max_by(F.struct("n_windows", "n_covered", "item_tokens", F.size(F.expr("filter(pairs, p -> p.b <> p.d)")).cast("long").alias("n_changed")), F.struct("n_covered", -F.col("shift"), -F.col("reading"))).alias("x"))
-    own = F.when(F.col("i") != _NONE, F.col("i"))
-    return best.select(own.alias("doc_id"), F.when(F.col("item") != _NONE, F.col("item")).alias("item_id"), "x.n_windows", "x.n_covered", F.col("x.item_tokens").cast("long").alias("item_tokens"), (F.col("x.n_covered") / F.col("x.item_tokens")).alias("coverage"), "x.n_changed")
+    # a row holds the windows of one item at one shift: no more than the item has, under each reading; repeated rows fall together
+    got = met.groupBy("i", "th", "item", "item_th", "item_tokens", "shift").agg(F.collect_set(F.struct(F.col("b_at").alias("at"), "n", least.alias("least"), "pairs")).alias("w"))
+    reach = F.size(F.array_distinct(F.flatten(F.transform("w", lambda w: F.sequence(w["at"], w["at"] + w["n"] - 1)))))
+    got = got.where(reach >= F.least(F.lit(RUN), F.col("item_tokens"))).select("i", "th", "item", "item_tokens", "shift", "w")
+    got = got.mapInPandas(_best_runs, "i long, th long, item long, item_tokens long, shift long, n_windows long, n_covered long, n_changed long")
+    best = F.max_by(F.struct("n_windows", "n_covered", "item_tokens", "n_changed"), F.struct("n_covered", -F.col("n_changed"), "n_windows", -F.col("shift"), "item_tokens"))
+    return got.groupBy("i", "th", "item").agg(best.alias("x")).select("i", "th", "item", "x.*")
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """A row for each document and benchmark item that it holds, also with other numbers, names or units.
+
+    Result: doc_id, item_id, n_windows, n_covered (template tokens of the item that match at one
+    shift), item_tokens, coverage, n_changed (placeholders whose value differs: re-parameterised).
+    A hit covers RUN tokens at one shift, or the whole item if it is shorter, by a run of windows whose
+    placeholders are consistent: one value of the item stands for one value of the document, and the
+    reverse. A capitalised word that begins a sentence, on either side, may be a plain word or a name.
+    Windows with under LITERAL literal tokens, and items of under FEWEST tokens, match verbatim only
+    (but for case and punctuation at the edges of tokens). Null and empty texts hold nothing; a very long
+    text is read whole, in memory in proportion to it. Rows that repeat in id and text count once; rows
+    with one id (or none) and different texts are searched apart, and each that holds an item has a row.
+    An empty table on either side gives no rows; other columns are ignored.
+    """
+    best = _leaks(docs, benchmark, id_col, text_col, item_col, item_text)
+    own = lambda c: F.when(F.col(c) != _NONE, F.col(c))
+    return best.select(own("i").alias("doc_id"), own("item").alias("item_id"), "n_windows", "n_covered", "item_tokens", (F.col("n_covered") / F.col("item_tokens")).alias("coverage"), "n_changed")
 
 
 _NONE = -(1 << 63)
 
 
+def _key(i, t) -> tuple:
+    """What names a row: its id, or a number that stands for none, and a hash of its text."""
+    return F.coalesce(i.cast("long"), F.lit(_NONE)).alias("i"), F.xxhash64(t).alias("th")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without a leak, all columns kept. A row of a null id stays."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs[id_col] == leaks["__leak"], "left_anti")
+    """Documents without a leak, all columns kept. Rows go by id and text, so a leaky row goes whatever its id."""
+    leaks = Scratch(docs.sparkSession, "leaky").keep(_leaks(docs, benchmark, id_col, text_col, "item_id", "text").select(F.col("i").alias("__i"), F.col("th").alias("__th")).distinct())
+    small = 32 * leaks.count() <= BROADCAST_BYTES  # then the texts need no shuffle
+    i, th = _key(docs[id_col], docs[text_col])
+    return docs.join(F.broadcast(leaks) if small else leaks, (i == F.col("__i")) & (th == F.col("__th")), "left_anti")

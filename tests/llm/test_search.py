@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -103,12 +104,13 @@ def test_leaks_with_other_numbers_and_names(spark):
     assert {k[0] for k in got} == {1, 2, 3, 8, 9, None} and {k[1] for k in got} == {77}
     assert got[2, 77].n_changed >= 2 and got[1, 77].n_changed == 0 and got[1, 77].coverage > 0.9
     left = decontaminate.clean(d, b).collect()
-    assert sorted(str(r.doc_id) for r in left if r.doc_id is not None) == sorted(["4", "5", "6", "7"]) and left[0].n_windows == 0
+    assert sorted(str(r.doc_id) for r in left) == sorted(["4", "5", "6", "7"]) and left[0].n_windows == 0
     assert decontaminate.find_leaks(d.limit(0), b).count() == 0 and decontaminate.find_leaks(d, b.limit(0)).count() == 0
 
 
 def test_slots_must_be_consistent(spark):
-    item = "If Anna has 5 apples and gives 5 apples away then the remaining basket of the girl holds none at all today"
+    # no run of 13 tokens is consistent in the second document
+    item = "If Anna has 5 apples and gives 5 apples away then the remaining basket holds none"
     d = spark.createDataFrame([(1, item.replace("5", "9")), (2, item.replace("5 apples and", "9 apples and"))], "doc_id long, text string")
     b = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert [r.doc_id for r in decontaminate.find_leaks(d, b).collect()] == [1]
@@ -121,6 +123,7 @@ def test_leaks_by_shuffle_equal_those_by_broadcast(spark, monkeypatch):
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     one = sorted(map(tuple, decontaminate.find_leaks(d, b).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     assert one == sorted(map(tuple, decontaminate.find_leaks(d, b).collect()))
     assert {r[0] for r in one} == {k for k in range(120) if k % 3 == 0}
 
@@ -148,7 +151,89 @@ def test_names_that_begin_sentences(spark):
     got = {(r.doc_id, r.item_id): (r.n_covered, r.n_changed) for r in decontaminate.find_leaks(d, b).collect()}
     assert got[1, 1] == (16, 1) or got[1, 1] == (15, 1)
     assert {k: v for k, v in got.items() if k[0] in (2, 3, 5)} == {(2, 2): (10, 1), (3, 3): (7, 1), (5, 3): (7, 1)}
-    assert not any(k[0] in (6, 7) for k in got)
+    # three names for one: only the 13 tokens around the second are consistent
+    assert got[6, 1][0] == 13 and not any(k[0] == 7 for k in got)
+
+
+def _brute_leaks(docs, items):
+    """Hits by comparing every window of every item with every window of every document, under every reading."""
+    template, out = decontaminate.Templates(), {}
+
+    def options(ids, own, opens, words, keep, k):
+        value = decontaminate._value(words[keep[k]])
+        yield int(ids[k]), value if ids[k] <= 3 else None, False
+        if opens[k]:
+            yield decontaminate.NAME, value, True
+
+    for (i, t), (item, bt) in itertools.product(docs, items):
+        if t is None or bt is None:
+            continue
+        d, b = template(t), template(bt)
+        n = min(len(b[0]), decontaminate.WINDOW)
+        if not n or len(d[0]) < n:
+            continue
+        by_shift = {}
+        for at, b_at in itertools.product(range(len(d[0]) - n + 1), range(len(b[0]) - n + 1)):
+            both = [[(x, y) for x in options(*b, b_at + j) for y in options(*d, at + j) if x[0] == y[0]] for j in range(n)]
+            found = by_shift.setdefault(at - b_at, [])
+            for way in itertools.product(*both):
+                pairs = [(x[1], y[1], x[2] or y[2]) for x, y in way if x[0] <= 3]
+                if n >= decontaminate.FEWEST and n - len(pairs) >= min(decontaminate.LITERAL, n):
+                    found.append((b_at, n, 2 if any(p[2] and p[0] != p[1] for p in pairs) else 0, pairs))
+            if (d[1][at : at + n] == b[1][b_at : b_at + n]).all():
+                values = [(decontaminate._value(b[3][b[4][k]]), False) for k in range(b_at, b_at + n) if b[0][k] <= 3]
+                found.append((b_at, n, 1, [(v, v, o) for v, o in values]))
+        need, most = min(decontaminate.RUN, len(b[0])), 0
+        for found in by_shift.values():
+            for reading in range(3):
+                own = sorted((f for f in found if f[2] <= reading), key=lambda f: f[0])
+                for a in range(len(own)):
+                    for z in range(a + 1, len(own) + 1):
+                        pairs = {p[:2] for f in own[a:z] for p in f[3] if reading == 2 or not p[2]}
+                        if len(pairs) > len({p[0] for p in pairs}) or len(pairs) > len({p[1] for p in pairs}):
+                            break
+                        most = max(most, len({k for f in own[a:z] for k in range(f[0], f[0] + f[1])}))
+        if most >= need:
+            out[i, item] = max(most, out.get((i, item), 0))
+    return out
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta", "stone", "river", "Tom", "Anna", "Eva", "5", "7", "12", "km", "5.", "river.", "runs", "holds", "The"]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(k, text(rng.choice([1, 3, 4, 5, 6, 8, 9, 13, 14, 20, 30]))) for k in range(14)]
+    docs = []
+    for k in range(70):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        if rng.random() < 0.3:
+            w = [{"5": "9", "7": "8", "Tom": "Mia"}.get(x, x) for x in w]
+        docs.append((k, " ".join([text(rng.randrange(5)), *w, text(rng.randrange(5))])))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_covered for r in decontaminate.find_leaks(d, b).collect()}
+    assert got == _brute_leaks(docs, items) and len(got) > 40
+
+
+def test_consistency_is_asked_of_each_run(spark):
+    item = "If Anna has 5 apples and 7 pears in the basket near the old stone bridge over the river then she gives 5 apples to the girl who holds the other basket and walks home over the same bridge with 7 pears left"
+    docs = [(1, item[::-1].replace("5", "6", 1)[::-1]), (2, item.replace("gives 5", "gives 6")), (3, item.replace("5", "6"))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.find_leaks(d, b).collect()}
+    assert set(got) == {1, 2, 3} and 13 <= got[2].n_covered < got[3].n_covered == got[3].item_tokens and got[3].n_changed == 1
+
+
+def test_rows_without_id_or_with_one_id_are_searched_apart(spark):
+    w = ITEM.split()
+    half, rest = " ".join(w[:11]), " ".join(w[8:19])
+    docs = [(None, half), (None, rest), (5, half), (5, rest), (None, ITEM), (6, ITEM), (6, "clean words only"), (7, None), (None, None), (8, "x " * 50_000 + ITEM)]
+    d, b = spark.createDataFrame([(i, t, 1, 2) for i, t in docs], "doc_id long, text string, i int, th int"), spark.createDataFrame([(1, ITEM), (1, "other words of the same id here"), (None, ITEM)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in decontaminate.find_leaks(d, b).collect()), key=str)
+    assert got == sorted([(x, y) for x in (None, 6, 8) for y in (1, None)], key=str)
+    left = decontaminate.clean(d, b)
+    assert left.columns == d.columns and sorted((str(r.doc_id), r.text) for r in left.collect() if r.text) == sorted((str(i), t) for i, t in docs if t and ITEM not in t)
+    assert left.where("text is null").count() == 2
 
 
 def test_readings_are_all_that_keep_enough_literals():
