@@ -16,8 +16,12 @@ five-word shingles as 64-bit hashes. Stages:
    A list links its classes to one pivot first. A class that stays outside the pivot's component can
    only be linked to one that shares some of the values which the pivot lacks, and those are rare:
    they are looked up in the full sets. So a group costs rows in proportion to its size.
-5. Union sketches estimate each pair's similarity and drop hopeless pairs; full sets decide.
+5. Union sketches estimate each pair's similarity and drop hopeless pairs, of short lists and of
+   large groups alike; full sets decide.
 6. Components by hash-to-minimum label propagation with pointer jumping.
+
+Values, pivots and labels that many rows name are hot keys: ``_deal`` joins them apart, and
+``_beside`` deals the pairs of a frequent member over several tasks.
 """
 
 from __future__ import annotations
@@ -38,8 +42,10 @@ WORDS = 5
 #: Retained values of a set; those that make the first lists; the least overlap of two sketches at
 #: the threshold (missed with a probability of 5e-9 at the very threshold); classes of a short list.
 SKETCH, KEYS, OVERLAP, LIGHT = 64, 16, 34, 32
-#: A class is named by its smallest doc_id; one of null ids alone by a number from here on.
+#: A class is named by its smallest doc_id; one of null ids alone, or of an id that has several texts, by a number from here on.
 NO_ID = 1 << 62
+#: A key is hot if it has more than HOT rows and more than one in SHARE of all; so there are fewer than SHARE such keys.
+HOT, SHARE = 1024, 10_000
 
 _ONE, _TWO, _SPREAD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,19 +97,32 @@ def _pairs_of(lists: DataFrame) -> DataFrame:
     return a.select("a", F.explode(F.slice("m", F.col("k") + 2, F.size("m"))).alias("b"))
 
 
+def _deal(rows: DataFrame, key: str, table: DataFrame, scratch: Scratch, how: str = "inner") -> DataFrame:
+    """``rows`` joined with a table of one row a key, such that no task gets all rows of a hot key.
+
+    The table's rows of hot keys, fewer than SHARE by their definition, are broadcast.
+    """
+    cut = max(HOT, rows.count() // SHARE)
+    hot = scratch.keep(rows.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > cut).select(key))
+    if not hot.count():
+        return rows.join(table, key, how)
+    apart = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(table.join(F.broadcast(hot), key, "left_semi")), key, how)
+    return apart.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how))
+
+
 def _split(lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Members of lists with two classes or more, by the list's size: short ones, long ones.
 
-    The join with the sizes is written, so that nothing above it needs a list in one place and
-    Spark can split the partition of a very long one; only short lists are dealt by value again.
+    The join with the sizes is written, so that nothing above it needs a list in one place; only
+    short lists are dealt by value again.
     """
-    both = scratch.keep(_shared(lists))
+    both = scratch.keep(_shared(lists, scratch))
     return both.where(F.col("df") <= LIGHT).drop("df"), both.where(F.col("df") > LIGHT)
 
 
-def _shared(lists: DataFrame) -> DataFrame:
+def _shared(lists: DataFrame, scratch: Scratch) -> DataFrame:
     """Members of lists (cls, n, m, value) that two classes or more are on, with the list's size df."""
-    return lists.join(lists.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value")
+    return _deal(lists, "value", lists.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), scratch)
 
 
 def _rarest(shared: DataFrame, take) -> DataFrame:
@@ -130,7 +149,35 @@ def estimate(a: str, b: str):
     return F.size(both) / F.greatest(F.size(union), F.lit(1))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _beside(pairs: DataFrame, table: DataFrame, scratch: Scratch, names: dict[str, str], hot: bool = False) -> DataFrame:
+    """Pairs (a, b) with columns of each side's row in a table (cls, ...): ``names`` gives them, as {column: its name before a or b}.
+
+    With ``hot``, a class may be in very many pairs: its row is then given to one task for each HOT of them.
+    """
+    out = pairs
+    for side, other in (("a", "b"), ("b", "a")):
+        own = table.select(F.col("cls").alias(side), *[F.col(c).alias(n + side) for c, n in names.items()])
+        heavy = None
+        if hot:
+            cut = max(HOT, pairs.count() // SHARE)
+            heavy = scratch.keep(pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("parts")).where(F.col("parts") > cut // HOT))
+        if heavy is None or not heavy.count():
+            out = out.join(own, side)
+            continue
+        part = F.coalesce("parts", F.lit(1))
+        own = own.join(F.broadcast(heavy), side, "left").withColumn("part", F.explode(F.sequence(F.lit(0), part - 1))).drop("parts")
+        out = out.join(F.broadcast(heavy), side, "left").withColumn("part", F.pmod(F.hash(other), part)).drop("parts").join(own, [side, "part"]).drop("part")
+    return out
+
+
+def _hopeful(pairs: DataFrame, cls: DataFrame, scratch: Scratch, hot: bool = False) -> DataFrame:
+    """Pairs whose union sketch does not rule the threshold out."""
+    near = _beside(pairs, cls, scratch, {"sketch": "s", "n": "n"}, hot)
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 85
+    return scratch.keep(near.where(sizes & (estimate("sa", "sb") * SKETCH >= F.least(F.lit(OVERLAP), F.floor(F.lit(0.85 * SKETCH))))).select("a", "b"))
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, hot: bool = False) -> DataFrame:
     """Links among pairs (a, b): 100 * |intersection| >= 85 * |union| of full sets, made again from whole texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,9 +196,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 keep.append(100 * both >= 85 * (len(x) + len(y) - both) and both > 0)
             yield p.loc[keep, ["a", "b"]]
 
-    one = texts.select(F.col("cls").alias("a"), F.col("t").alias("ta"))
-    two = texts.select(F.col("cls").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
+    return _beside(pairs, texts, scratch, {"t": "t"}, hot).select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -163,31 +208,31 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.keep(links.select("a", "b").union(links.select("b", "a")).toDF("cls", "to"))
     labels = scratch.keep(edges.groupBy("cls").agg(F.least(F.min("to"), F.first("cls")).alias("label")))
     while True:
-        near = edges.join(labels.withColumnRenamed("cls", "to"), "to").groupBy("cls").agg(F.min("label").alias("near"))
-        low = labels.join(near, "cls").select("cls", F.least("label", "near").alias("now"), F.col("label").alias("old"))
+        near = _deal(edges, "to", labels.withColumnRenamed("cls", "to"), scratch).groupBy("cls").agg(F.min("label").alias("near"))
+        low = scratch.keep(labels.join(near, "cls").select("cls", F.least("label", "near").alias("now"), F.col("label").alias("old")))
         jump = labels.select(F.col("cls").alias("now"), F.col("label").alias("far"))
-        step = scratch.keep(low.join(jump, "now", "left").select("cls", F.least("now", "far").alias("label"), "old"))
+        step = scratch.keep(_deal(low, "now", jump, scratch, "left").select("cls", F.least("now", "far").alias("label"), "old"))
         changed = step.where("label <> old").limit(1).count()
-        scratch.drop(labels)
+        scratch.drop(labels, low)
         labels = step.drop("old")
         if not changed:
             return labels
 
 
-def _large_groups(full: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+def _large_groups(full: DataFrame, cls: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Links among classes on long lists, from their full sets (cls, n, m, value)."""
     # values that only one class holds are in no intersection; s = n - own values bounds each one
-    shared = scratch.keep(_shared(full))
+    shared = scratch.keep(_shared(full, scratch))
     held = _rarest(shared, lambda n, m: n - _least(n) + 1).withColumn("s", F.col("n") - F.col("own"))
     held = held.where(F.col("s") * 100 >= F.col("n") * 85)
     lists = scratch.keep(held.select("cls", "n", "s", F.explode("v").alias("x")).select("cls", "n", "s", F.col("x.value").alias("value")))
     pivot = lists.groupBy("value").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("share"), -F.col("cls"), "n", "s")).alias("p"))
     pivot = scratch.keep(pivot.select("value", (-F.col("p.col2")).alias("p"), F.col("p.n").alias("pn"), F.col("p.s").alias("ps")))
     can = lambda s, t, n, m: F.least(s, t) * 185 >= (F.col(n) + F.col(m)) * 85
-    met = scratch.keep(lists.join(pivot, "value"))
+    met = scratch.keep(_deal(lists, "value", pivot, scratch))
     first = met.where((F.col("cls") != F.col("p")) & can(F.col("s"), F.col("ps"), "n", "pn"))
     first = scratch.keep(_ordered(first.select(F.col("cls").alias("a"), F.col("p").alias("b"))))
-    links = scratch.keep(_verify(first, texts))
+    links = scratch.keep(_verify(_hopeful(first, cls, scratch, True), texts, scratch, True))
     label = components(links, scratch)
     named = scratch.keep(met.join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")))
     home = label.select(F.col("cls").alias("p"), F.col("label").alias("home"))
@@ -213,32 +258,25 @@ def _large_groups(full: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFr
     small = (F.col("bn") - F.col("d")) * 185 >= (F.col("n") + F.col("bn")) * 85
     rest = rest.union(named.join(few, "value").where(differ & small).select(F.col("cls").alias("a"), "b"))
     rest = _ordered(rest).join(first, ["a", "b"], "left_anti")
-    return links.unionByName(_verify(scratch.keep(rest), texts))
+    return links.unionByName(_verify(_hopeful(scratch.keep(rest), cls, scratch, True), texts, scratch, True))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id, kept.
-
-    Documents whose sets have 100 * intersection >= 85 * union are linked; component_id is the
-    smallest doc_id reachable; kept marks that document. Null and wordless texts have empty sets
-    and are linked with nothing. Repeated rows stay, each with the same answer; rows of one doc_id
-    with different texts count as one node. A null doc_id takes part: its component_id is the
-    smallest doc_id of its component, null if there is none, and it is kept only then. An empty
-    table gives no rows; other columns are ignored.
-    """
-    spark = docs.sparkSession
-    bound_batches(spark)
-    scratch = Scratch(spark, "near")
+def _classified(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """A row for each document: doc_id, th (hash of the text), n (set size), key (its component, null without words), top (the smallest doc_id there)."""
+    bound_batches(docs.sparkSession)
     each = scratch.keep(sketches(docs, id_col, text_col))
-    held = each.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("m"), F.min(F.struct("doc_id", "th")).alias("any"), F.min("n").alias("n"), F.first("sketch").alias("sketch"))
-    named = F.coalesce("m", F.lit(NO_ID) + F.shiftright(F.xxhash64("digest"), 4).bitwiseAND(F.lit((1 << 59) - 1)))
-    # the text of a class: a row with its smallest doc_id and that row's text
-    at = each.where("n > 0").join(held.select("digest", "m"), "digest").where(F.col("doc_id").eqNullSafe(F.col("m"))).groupBy("digest").agg(F.min("th").alias("th"))
-    cls = scratch.keep(held.join(at, "digest").select("digest", named.alias("cls"), "m", "n", "sketch", "th"))
+    # a class's text is that of its smallest doc_id, and there of the smallest hash
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
+    held = each.where("n > 0").groupBy("digest").agg(first.alias("x"), F.min("n").alias("n"), F.first("sketch").alias("sketch")).select("digest", F.col("x.doc_id").alias("m"), F.col("x.th").alias("th"), "n", "sketch")
+    # an id that has several texts cannot name their classes; as a rule there is none, and the written table is read as a small one
+    several = each.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select(F.col("doc_id").alias("m"), F.lit(True).alias("several"))
+    number = F.lit(NO_ID) + F.shiftright(F.xxhash64("digest"), 4).bitwiseAND(F.lit((1 << 59) - 1))
+    named = F.when(F.col("m").isNull() | F.col("several"), number).otherwise(F.col("m"))
+    cls = scratch.keep(held.join(scratch.keep(several), "m", "left").select("digest", named.alias("cls"), "m", "n", "sketch", "th"))
 
     keys = cls.select("cls", F.explode(F.slice("sketch", 1, KEYS)).alias("value"))
     short, long = _split(keys, scratch)
@@ -246,25 +284,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent = scratch.keep(long.select("cls").distinct())
     part = cls.join(frequent, "cls", "left_semi").select("cls", "n", F.size("sketch").alias("m"), "sketch")
     lists = _rarest(
-        _shared(part.select("cls", "n", "m", F.explode("sketch").alias("value"))),
+        _shared(part.select("cls", "n", "m", F.explode("sketch").alias("value")), scratch),
         # a set within the sketch is exact, and so is every partner's as long as 0.85 of it fits
         lambda n, m: F.when(n <= SKETCH * 85 // 100, n - _least(n) + 1).otherwise(m - OVERLAP + 1),
     )
     lists = scratch.keep(lists.select("cls", F.explode("v").alias("x")).select("cls", F.col("x.value").alias("value")))
     short, long = _split(lists, scratch)
-    pairs = scratch.keep(_ordered(pairs.union(_pairs_of(short))))
-    sk = cls.select("cls", "sketch", "n")
-    near = pairs.join(sk.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na")), "a")
-    near = near.join(sk.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb")), "b")
-    sizes = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 85) & (estimate("sa", "sb") * SKETCH >= F.least(F.lit(OVERLAP), F.floor(F.lit(0.85 * SKETCH))))
-    near = scratch.keep(near.where(sizes).select("a", "b"))
+    near = _hopeful(scratch.keep(_ordered(pairs.union(_pairs_of(short)))), cls, scratch)
 
     grouped = scratch.keep(long.select("cls").distinct())
     text = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h"))
     want = near.select("a").union(near.select("b")).union(grouped).toDF("cls").distinct()
     want = cls.join(want, "cls", "left_semi").select("cls", "m", "th")
     texts = text.join(want, text["h"].eqNullSafe(want["th"]) & text["i"].eqNullSafe(want["m"])).select("cls", "t")
-    texts = scratch.keep(texts.dropDuplicates(["cls"]))
+    texts = scratch.keep(texts.dropDuplicates(["cls"]))  # rows that repeat in id and text
 
     def explode_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -273,10 +306,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pd.DataFrame({"cls": c, "n": len(s), "m": len(s), "value": _signed(s)})
 
     full = texts.join(grouped, "cls", "left_semi").mapInPandas(explode_sets, "cls long, n long, m int, value long")
-    links = _large_groups(scratch.keep(full), texts, scratch).unionByName(_verify(near, texts))
+    links = _large_groups(scratch.keep(full), cls, texts, scratch).unionByName(_verify(near, texts, scratch))
     labels = components(scratch.keep(links), scratch)
-    joined = cls.select("digest", "cls").join(labels, "cls").select("digest", "label")
-    whole = each.select("doc_id", "n", "digest").join(joined, "digest", "left").join(cls.select("digest", F.col("cls").alias("own")), "digest", "left")
-    top = F.coalesce("label", "own", "doc_id")
-    comp = F.when(top < NO_ID, top)
+    joined = cls.join(labels, "cls", "left").select("digest", "cls", "m", F.coalesce("label", "cls").alias("key"))
+    # classes not named by their doc_id may have a smaller one than their component's name
+    other = scratch.keep(joined.where(F.col("cls") >= NO_ID).where("m is not null").groupBy("key").agg(F.min("m").alias("least")))
+    joined = joined.join(other, "key", "left").select("digest", "key", F.least(F.when(F.col("key") < NO_ID, F.col("key")), "least").alias("top"))
+    return each.select("doc_id", "th", "n", "digest").join(joined, "digest", "left").drop("digest")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: doc_id, n_shingles, component_id, kept.
+
+    Documents whose sets have 100 * intersection >= 85 * union are linked; component_id is the
+    smallest doc_id reachable; kept marks that document. Null and wordless texts have empty sets
+    and are linked with nothing. Repeated rows stay, each with the same answer; rows of one doc_id
+    with different texts are different documents, so each may be kept. A null doc_id takes part: its
+    component_id is the smallest doc_id of its component, null if there is none, and it is kept only
+    then. A very long text is read whole, in memory in proportion to it. An empty table gives no rows;
+    other columns are ignored.
+    """
+    whole = _classified(docs, id_col, text_col, Scratch(docs.sparkSession, "near"))
+    comp = F.when(F.col("n") > 0, F.col("top")).otherwise(F.col("doc_id"))
     return whole.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of near copies, all columns kept.
+
+    It is the row of the smallest doc_id (null ids come last), and there of the smallest text hash; of
+    rows that repeat in both, any one. Rows without words are copies of nothing and stay.
+    """
+    scratch = Scratch(docs.sparkSession, "one")
+    own = _classified(docs, id_col, text_col, scratch).where("n > 0")
+    first = own.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("x"))
+    first = scratch.keep(first.select(F.coalesce("x.doc_id", F.lit(_NONE)).alias("__i"), F.col("x.th").alias("__th")))
+    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    named = docs.where(words).withColumns({"__i": F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)), "__th": F.xxhash64(text_col)})
+    return named.join(first, ["__i", "__th"], "left_semi").dropDuplicates(["__i", "__th"]).select(*docs.columns).unionByName(docs.where(~words))
+
+
+_NONE = -(1 << 63)

@@ -71,6 +71,37 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_id_with_several_texts_and_clashing_columns(spark):
+    text = lambda k, n=40: " ".join(f"t{k}w{j}" for j in range(n))
+    rows = [(2, text(1)), (2, text(2)), (7, text(2)), (9, text(1)), (5, text(3)), (5, text(4)), (1, text(4)), (None, text(3)), (None, text(5)), (None, text(5)), (2, text(1)), (4, None), (4, ""), (None, " ")]
+    df = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, cls int, kept int, th int")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(df).collect()), key=str)
+    want = [(2, 2, True)] * 3 + [(7, 2, False), (9, 2, False), (5, 5, True), (5, 1, False), (1, 1, True), (None, 5, False)] + [(None, None, True)] * 3 + [(4, 4, True)] * 2
+    assert got == sorted(want, key=str)
+    one = near_dup.keep_one(df)
+    assert one.columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in one.collect()), key=str)
+    assert kept == sorted([(2, text(1)), (2, text(2)), (5, text(3)), (1, text(4)), (None, text(5)), (4, None), (4, ""), (None, " ")], key=str)
+
+
+def test_hot_keys_dealt_apart_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "HOT", 8)
+    monkeypatch.setattr(near_dup, "LIGHT", 4)
+    rng = random.Random(9)
+    rows = []
+    for size in (12, 60, 200):
+        base = _words(rng, size)
+        for _ in range(70):
+            w = list(base)
+            for _ in range(rng.randrange(0, max(2, size // 10))):
+                w[rng.randrange(len(w))] = rng.choice(["e1", "e2", "w%d" % rng.randrange(5000)])
+            rows.append((len(rows), " ".join(w)))
+    for k in range(60):  # a chain and a star of small changes
+        rows.append((len(rows), " ".join(f"c{j}" for j in range(k, k + 40))))
+    rows.append((len(rows), " ".join(f"l{j % 9000}" for j in range(60_000))))  # a very long text
+    assert _got(spark, rows) == brute(rows)
+
+
 def test_shingles_are_of_whole_texts():
     assert len(near_dup.shingle_set(" ".join(map(str, range(1000))))) == 996
     assert np.array_equal(near_dup.shingle_set("A b c"), near_dup.shingle_set("a  B\tc"))
