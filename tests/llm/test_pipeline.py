@@ -34,3 +34,15 @@ def test_stages_take_nulls_repeats_and_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, SF).count() > 0
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_no_stage_loses_another_text_of_an_id_or_a_clean_null_row(spark):
+    docs = table(spark, SF, "documents")
+    rows = [(1, "alpha beta gamma delta one two three"), (1, "other words stand in this text of the id"), (None, "a row without id that nothing repeats here"), (None, None), (3, ""), (4, "word")]
+    fields = [f.name for f in docs.schema]
+    odd = spark.createDataFrame([tuple({"doc_id": i, "text": t}.get(f) for f in fields) for i, t in rows], docs.schema)
+    both = docs.unionByName(odd)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        both = stage(spark, both, SF)
+    left = [(r.doc_id, r.text) for r in both.collect()]
+    assert all(r in left for r in rows)
