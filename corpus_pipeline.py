@@ -7,7 +7,6 @@ as the next stage's docs; all but the last keep the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lexspark.llm import decontaminate, near_dup, tokens, toxicity
 from lexspark.llm.common import Scratch, table
@@ -19,10 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest doc_id of each group. Rows of a null doc_id stay; of repeated rows one does."""
-    kept = near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Keep one row of each group of near copies: that of the smallest doc_id. Rows without words stay."""
+    return near_dup.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
