@@ -45,3 +45,49 @@ def test_stored_map_and_empty_table(spark, tmp_path):
     assert sharding.load_map(spark, f"file://{tmp_path}/map", 0).owner == plan.owner
     out, _ = sharding.shard(spark.createDataFrame([], "doc_id long, text string"), 4)
     assert out.count() == 0
+
+
+def test_repeated_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 512)
+    half = [(k, "y" * (k % 90), 0) for k in range(10_000)]
+    for row in ((5, "the very same text", 0), (None, None, 0)):
+        df = spark.createDataFrame(half + [row] * 10_000, "doc_id long, text string, shard int")
+        got = sharding.shard(df, 40)[0].collect()
+        by = {}
+        for r in got:
+            by.setdefault(r.shard, []).append(r)
+        total = [sum(r["size"] for r in rs) for rs in by.values()]
+        assert len(got) == 20_000 and len(by) == 40 and max(total) - min(total) <= max(r["size"] for r in got)
+        assert all(sorted(r.slot for r in rs) == list(range(len(rs))) for rs in by.values())
+
+
+def test_few_slots_move():
+    rng = random.Random(3)
+    load = {s: rng.randrange(50_000, 150_000) for s in range(sharding.SLOTS)}
+    plan = sharding.SlotMap.even(40).rebalanced(load)
+    held = lambda m: [sum(load[s] for s, k in enumerate(m.owner) if k == n) for n in range(m.shards)]
+    mean = sum(load.values()) / 40
+    assert max(held(plan)) - min(held(plan)) <= sharding.TOLERANCE * mean
+    assert plan.rebalanced(load).history[-1] == []
+    more = plan.rebalanced(load, 41)
+    assert len(more.history[-1]) <= 1.2 * len(plan.owner) / 41 and sum(to == 40 for _, _, to in more.history[-1]) >= 0.6 * len(more.history[-1])
+    assert max(held(more)) - min(held(more)) <= sharding.TOLERANCE * mean
+    less = more.rebalanced(load, 39)
+    assert max(less.owner) == 38 and max(held(less)) - min(held(less)) <= sharding.TOLERANCE * mean
+    load[0] = 10**10  # a slot above the mean: the other shards are level all the same
+    giant = sharding.SlotMap.even(40).rebalanced(load, 41)
+    rest = sorted(held(giant))[:-1]
+    assert max(rest) - min(rest) <= sharding.TOLERANCE * sum(load.values()) / 40
+    assert sharding.SlotMap.even(3, 8).rebalanced({}).owner == sharding.SlotMap.even(3, 8).owner
+
+
+def test_the_query_stores_its_map_and_a_retry_changes_nothing(spark, tmp_path):
+    at = f"file://{tmp_path}/maps"
+    df = spark.createDataFrame([*_rows(500), (9000, "z" * 2_000_000, 0)], "doc_id long, text string, shard int")
+    _, plan = sharding.shard(df, 8, maps=at)
+    sharding.store_map(spark, plan, at)
+    back = sharding.load_map(spark, at)
+    assert (back.owner, back.version, back.shards) == (plan.owner, 1, 8) and back.history == plan.history
+    _, plan2 = sharding.shard(df, 9, old=back, maps=at)
+    again = sharding.load_map(spark, at)
+    assert again.version == 2 and again.owner == plan2.owner and again.history == plan2.history
