@@ -81,6 +81,32 @@ def test_top_k_matches_brute_force(spark, monkeypatch, block):
     assert sorted(map(tuple, topk.top_k(df).collect())) == _brute(rows)
 
 
+def test_the_cutoff_saves_scoring(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for c in range(40):  # clusters whose vectors lie in a few components each
+        centre = np.zeros(32)
+        at = rng.choice(32, 4, replace=False)
+        centre[at] = rng.normal(size=4) * 3
+        rows += [(v, centre + (centre != 0) * rng.normal(size=32) * 0.1) for v in range(c * 60, c * 60 + 60)]
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in rows] + [(100, rows[5][1].tolist()), (100, rows[6][1].tolist())]
+    df, work = spark.createDataFrame(rows, "vec_id long, embedding array<float>"), {}
+    got = sorted(map(tuple, topk.top_k(df, work=work).collect()))
+    first = {}
+    for i, v in rows:
+        first[i] = min(first.get(i, v), v)
+    want = [r for r in _brute([(i, v) for i, v in rows]) if r[0] != 100]
+    assert [r for r in got if r[0] != 100] == want and not any(r[2] == 100 for r in got if r[0] == 100)
+    assert work["first"] <= 0.3 * work["all"] and work["second"] < 0.7 * work["all"] and work["resolved"] * 32 < 0.2 * work["all"]
+
+
+def test_very_long_and_large_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, (rng.normal(size=3000) * 5000).astype(np.float32).tolist()) for k in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, topk.top_k(df, k=3).collect())) == _brute(rows, 3)
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-1.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, topk.top_k(df).collect())) == [(0, 1, 1, 1024 * 2048), (0, 2, 2, -1024 * 1024)]
