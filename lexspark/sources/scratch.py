@@ -29,12 +29,12 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self.made = 0
+        self.made, self.last = 0, ""
         atexit.register(self._end)
 
     def keep(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         self.made += 1
-        path = f"{self.root}/{self.made}"
+        path = self.last = f"{self.root}/{self.made}"
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
