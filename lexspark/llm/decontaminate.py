@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
@@ -31,7 +32,7 @@ UNITS = frozenset(
 _NUMERIC = re.compile(r"[+-]?[\d][\d.,:/]*")
 _GLUED = re.compile(r"(\d)(?=[^\W\d_]|[%°€$£])|([€$£])(?=\d)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_CACHE = 400_000
+_CACHE = 200_000
 #: Tokens that are hashed at once.
 _CHUNK = 1 << 16
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -253,14 +254,16 @@ def best_run(met: list[tuple[int, int, int, list[tuple[str, str, bool]]]], need:
     return best
 
 
-def _best_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _best_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["i", "th", "item", "item_tokens", "shift", "n_windows", "n_covered", "n_changed"]
     for b in batches:
         out = []
-        for i, th, item, size, shift, windows_ in zip(*(b[c].tolist() for c in ("i", "th", "item", "item_tokens", "shift", "w")), strict=True):
-            got = best_run([(w["at"], w["n"], w["least"], [(p["b"], p["d"], p["open"]) for p in w["pairs"]]) for w in windows_], min(RUN, size))
-            if got:
-                out.append((i, th, item, size, shift, *got))
-        yield pd.DataFrame(out, columns=["i", "th", "item", "item_tokens", "shift", "n_windows", "n_covered", "n_changed"])
+        for at in range(0, b.num_rows, 32):  # few rows at a time: as Python objects they take many times their size
+            for r in b.slice(at, 32).to_pylist():
+                got = best_run([(w["at"], w["n"], w["least"], [(p["b"], p["d"], p["open"]) for p in w["pairs"]]) for w in r["w"]], min(RUN, r["item_tokens"]))
+                if got:
+                    out.append((*(r[c] for c in names[:5]), *got))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(len(names))], names)
 
 
 def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
@@ -288,7 +291,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     got = met.groupBy("i", "th", "item", "item_th", "item_tokens", "shift").agg(F.collect_set(F.struct(F.col("b_at").alias("at"), "n", least.alias("least"), "pairs")).alias("w"))
     reach = F.size(F.array_distinct(F.flatten(F.transform("w", lambda w: F.sequence(w["at"], w["at"] + w["n"] - 1)))))
     got = got.where(reach >= F.least(F.lit(RUN), F.col("item_tokens"))).select("i", "th", "item", "item_tokens", "shift", "w")
-    got = got.mapInPandas(_best_runs, "i long, th long, item long, item_tokens long, shift long, n_windows long, n_covered long, n_changed long")
+    got = got.mapInArrow(_best_runs, "i long, th long, item long, item_tokens long, shift long, n_windows long, n_covered long, n_changed long")
     best = F.max_by(F.struct("n_windows", "n_covered", "item_tokens", "n_changed"), F.struct("n_covered", -F.col("n_changed"), "n_windows", -F.col("shift"), "item_tokens"))
     return got.groupBy("i", "th", "item").agg(best.alias("x")).select("i", "th", "item", "x.*")
 

@@ -100,14 +100,21 @@ def _pairs_of(lists: DataFrame) -> DataFrame:
 def _deal(rows: DataFrame, key: str, table: DataFrame, scratch: Scratch, how: str = "inner") -> DataFrame:
     """``rows`` joined with a table of one row a key, such that no task gets all rows of a hot key.
 
-    The table's rows of hot keys, fewer than SHARE by their definition, are broadcast.
+    The table's rows of hot keys, fewer than SHARE by their definition, are broadcast. Then the rows of
+    hot keys need nothing more: they go through the shuffle of the others dealt by a hash of the row.
     """
     cut = max(HOT, rows.count() // SHARE)
     hot = scratch.keep(rows.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > cut).select(key))
     if not hot.count():
         return rows.join(table, key, how)
-    apart = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(table.join(F.broadcast(hot), key, "left_semi")), key, how)
-    return apart.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how))
+    names = [c for c in table.columns if c != key]
+    near = table.join(F.broadcast(hot), key, "left_semi").select(key, F.struct(*names).alias("__near"))
+    far = table.select(F.col(key).alias("__key"), F.lit(False).alias("__hot"), F.struct(*names).alias("__far"))
+    out = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), key, "left").join(F.broadcast(near), key, "left")
+    out = out.withColumns({"__hot": F.coalesce("__hot", F.lit(False)), "__key": F.when(F.col("__hot"), F.xxhash64(*rows.columns)).otherwise(F.col(key))})
+    both = out.join(far, ["__key", "__hot"], "left").withColumn("__x", F.coalesce("__near", "__far"))
+    both = both.select(*rows.columns, "__x")
+    return (both.where("__x is not null") if how == "inner" else both).select(*rows.columns, "__x.*")
 
 
 def _split(lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -182,15 +189,16 @@ def _verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, hot: bool = Fa
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: dict[int, np.ndarray] = {}
+        held = 0  # hashes in ``last``
         for p in batches:
             keep = []
             for a, b, ta, tb in zip(p["a"].tolist(), p["b"].tolist(), p["ta"].tolist(), p["tb"].tolist(), strict=True):
+                if held > 1 << 20:
+                    last, held = {}, 0
                 for key, t in ((a, ta), (b, tb)):
                     if key not in last:
-                        if len(last) > 256:
-                            last.clear()
-                            last[a] = shingle_set(ta)
                         last[key] = shingle_set(t)
+                        held += len(last[key])
                 x, y = last[a], last[b]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= 85 * (len(x) + len(y) - both) and both > 0)

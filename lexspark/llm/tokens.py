@@ -24,7 +24,7 @@ from .common import bound_batches
 #: Pre-tokens longer than this are encoded but not remembered.
 CACHED_CHARS = 64
 #: Entries of each of the two generations of a worker's cache: pre-tokens, chunks of the text encoder.
-PRE_TOKENS, CHUNKS = 250_000, 500_000
+PRE_TOKENS, CHUNKS = 120_000, 500_000
 #: A byte b is written as the character U+0100 + b: no white space, no control character.
 _TO_CHARS = {b: 0x100 + b for b in range(256)}
 

@@ -44,7 +44,7 @@ IDENTITY = (
 )
 _KIND = {t: k for k, terms in enumerate(IDENTITY) for t in terms}
 _words = re.compile(r"[^\W\d_]+").findall
-_CACHE = 200_000
+_CACHE = 100_000
 
 
 class Features:
