@@ -14,7 +14,8 @@ MATCHES = "array<struct<k:int,start:int,end:int,g:array<string>>>"
 def find_all(text: Column, *patterns: str) -> Column:
     """All matches of Python patterns: (k: number of the pattern, start, end, g: groups from 0), offsets in code points.
 
-    Arrow-batched. Patterns compile once a worker, and '' or null texts have no matches.
+    Arrow-batched. Patterns compile once a worker, and '' or null texts have no matches. The function counts
+    as non-deterministic, so that Spark evaluates it once, whatever is built on it.
     """
     compiled: list[re.Pattern] = []
 
@@ -25,4 +26,4 @@ def find_all(text: Column, *patterns: str) -> Column:
         one = lambda t: [{"k": k, "start": m.start(), "end": m.end(), "g": [m[0], *m.groups()]} for k, p in enumerate(compiled) for m in p.finditer(t)]
         return texts.map(lambda t: one(t) if t else [])
 
-    return found(text)
+    return found.asNondeterministic()(text)

@@ -171,6 +171,13 @@ KNOWN_REFERENCES = {
 }
 ENTER, EXIT, ZONE_TTL, ZONE_WINDOW = 0.60, 0.40, 50, 800
 
+ZONE_ARTICLE = r"(?iuU)Art\.\s*([\d.]+(?:-[A-Z])?)"
+ZONE_QUOTE_OPEN = '["“]\\s*[A-Z]'
+ZONE_QUOTED_CHAPTER = '(?iuU)["“](CAP[ÍI]TULO|Se[çc][ãa]o|T[ÍI]TULO|LIVRO|PARTE)'
+ZONE_ANNEX = r"(?imuU)^\s*ANEXO\s+[IVXLCDM\d]+"
+ZONE_NEW_WORDING = '["”]\\s*\\(NR\\)'
+ZONE_QUOTE_CLOSE = '(?m)["”]\\s*$'
+
 # --- matching normalisation -----------------------------------------------------------------
 OCR_ONE = {
     "\u2013": "-", "\u2014": "-", "\u2015": "-", "\u2010": "-", "\u2011": "-", "\u2012": "-",
@@ -182,6 +189,17 @@ OCR_DROPPED = "\u00ad\u200b\ufeff"
 OCR_ELLIPSIS = ("\u2026", "...")
 
 # --- rulings --------------------------------------------------------------------------------
+RULING_HEADER = {
+    "processo": r"TC\s+(\d{3}\.\d{3}/\d{4}-\d)",
+    "natureza": r"Natureza:\s*(.+?)(?:\n|$)",
+    "relator": r"Relator:\s*(?:Ministro\s+)?(.+?)(?:\n|$)",
+    "unidade_tecnica": r"(?iuU)Unidade\s+T[eé]cnica:\s*(.+?)(?:\n|$)",
+    "data_sessao": r"Data\s+da\s+Sess[aã]o:\s*(\d{1,2}/\d{1,2}/\d{4})",
+}
+RULING_NUMBER = r"(?iuU)AC[OÓ]RD[AÃ]O\s+(?:N[°ºo.]?\s*)?(\d+)/(\d{4})"
+RULING_BODY = r"(?iuU)(Plen[aá]rio|1[ªa]\s*C[aâ]mara|2[ªa]\s*C[aâ]mara|Primeira\s+C[aâ]mara|Segunda\s+C[aâ]mara)"
+RULING_SUMMARY = r"(?isuU)SUM[AÁ]RIO:\s*(.+?)(?=\n\s*(?:RELAT[OÓ]RIO|VOTO|AC[OÓ]RD[AÃ]O)\s)"
+RULING_OUTCOME = r"(?iuU)considerar\s+(?:a\s+\w+\s+)?(parcialmente\s+procedente|procedente|improcedente)"
 RULING_MARKERS = {
     "relatorio": r"(?m)^\s*RELAT[OÓ]RIO\s*$",
     "voto": r"(?m)^\s*VOTO\s*$",

@@ -1,29 +1,21 @@
 """Citations of norms and devices in text, with typed relations.
 
-Patterns are matched once, in an Arrow function that returns offsets; everything after that (years,
-ids, devices before and after, confidence, relation type, de-duplication) is column expressions.
+Patterns are matched once, in an Arrow function that returns offsets and the text near each match;
+everything after that (years, ids, devices before and after, confidence, relation type,
+de-duplication) is column expressions on that, so texts are neither repeated nor shuffled.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import legal, rules
-from ..functions.matches import find_all
-
-_I = "(?iuU)"
-
-
-def _before(text: Column, at: Column, n: int = 100) -> Column:
-    lo = F.greatest(at - n, F.lit(0))
-    return F.substring(text, lo + 1, at - lo)
-
-
-def _after(text: Column, at: Column, n: int) -> Column:
-    return F.substring(text, at + 1, F.lit(n))
-
 
 def full_year(digits: Column) -> Column:
     """Four digits of a year of two (below 50: 2000s); other lengths stay."""
@@ -51,30 +43,53 @@ def norm_id(kind: Column, number: Column, year: Column, compat: bool = False) ->
     return F.when(kind == "CF", none).when(F.coalesce(number, F.lit("")) != "", out)
 
 
-def _group(text: Column, pattern: str, k: int) -> Column:
-    return F.nullif(F.regexp_extract(text, _I + pattern, k), F.lit(""))
+_MATCH = "array<struct<k:int,start:int,end:int,g:array<string>,before:string,after:string,led:array<string>,followed:array<string>>>"
+
+
+def _matches(texts: pd.Series) -> pd.Series:
+    """Norms (k by precedence) and devices (k after the last norm) of each text, with the text around them.
+
+    ``led`` has the groups of the device that directly precedes a norm: article, further numbers,
+    paragraph, inciso, alínea. ``followed`` has article, paragraph, inciso and alínea of the first device
+    within 100 characters after it, looked for in turn.
+    """
+    if not _compiled:
+        flags = re.IGNORECASE
+        _compiled.update(cited=[re.compile(p, flags) for p in (*(p for _, p in rules.NORMS), rules.DEVICE_CITED)], before=re.compile(rules.DEVICE_BEFORE, flags), parts=[re.compile(p, flags) for p in rules.DEVICE_PARTS])
+    last, near = len(rules.NORMS), rules.REL_WINDOW
+
+    def followed(rest: str) -> list[str | None]:
+        out = []
+        for p, reach in zip(_compiled["parts"], (100, 50, 50, 30), strict=True):
+            m = p.search(rest[:reach])
+            out.append(m and m[1])
+            if m:
+                rest = rest[m.end() :]
+            elif len(out) == 1:
+                break
+        return out + [None] * (4 - len(out))
+
+    def one(t: str) -> list[dict]:
+        out = []
+        for k, p in enumerate(_compiled["cited"]):
+            for m in p.finditer(t):
+                a, z = m.span()
+                row = {"k": k, "start": a, "end": z, "g": [m[0], *m.groups()], "before": t[max(a - near, 0) : a], "after": t[z : z + near], "led": None, "followed": None}
+                if k < last:
+                    d = _compiled["before"].search(t[max(a - 100, 0) : a])
+                    row |= {"led": d and list(d.groups()), "followed": followed(t[z : z + 100])}
+                out.append(row)
+        return out
+
+    return texts.map(lambda t: one(t) if t else [])
 
 
-def _device_before(text: Column, start: Column) -> tuple[Column, Column, Column]:
-    """(span ref, first number, list of further numbers as text) of the device that directly precedes a norm."""
-    t = _before(text, start)
-    g = [_group(t, rules.DEVICE_BEFORE, k) for k in range(1, 6)]
-    plain = g[2].isNull() & g[3].isNull() & g[4].isNull()
-    return F.when(g[0].isNotNull(), legal.span_ref(g[0], g[2], g[3], g[4])), g[0], F.when(plain, g[1])
+_compiled: dict = {}
 
 
-def _device_after(text: Column, end: Column) -> Column:
-    """Span ref of the first device within 100 characters after a norm, its parts looked for in turn."""
-    t = _after(text, end, 100)
-    art, par, inc, ali = rules.DEVICE_PARTS
-    number = _group(t, art, 1)
-    rest = F.regexp_extract(t, rf"(?s){_I}^.*?{art}(.*)$", 2)
-    p = _group(F.left(rest, F.lit(50)), par, 1)
-    rest = F.when(p.isNull(), rest).otherwise(F.regexp_extract(rest, rf"(?s){_I}^.*?{par}(.*)$", 2))
-    i = _group(F.left(rest, F.lit(50)), inc, 1)
-    rest = F.when(i.isNull(), rest).otherwise(F.regexp_extract(rest, rf"(?s){_I}^.*?{inc}(.*)$", 2))
-    a = _group(F.left(rest, F.lit(30)), ali, 1)
-    return F.when(number.isNotNull(), legal.span_ref(number, p, i, a))
+def _once(text: Column) -> Column:
+    """The matches of a text. The function counts as non-deterministic, so that Spark evaluates it once, whatever is built on it."""
+    return F.pandas_udf(_matches, _MATCH).asNondeterministic()(text)
 
 
 def further_articles(first: Column, listed: Column) -> Column:
@@ -94,73 +109,69 @@ def extract(chunks: DataFrame, key: str = "node_id", compat: bool = False) -> Da
     second mention of the same wording though it cites another device, and takes the first two to
     four digits after a norm for its year, be they the day of its date.
     """
-    norms = [f"(?i){p}" for _, p in rules.NORMS]
-    src = chunks.select(F.col(key).alias("key"), F.col("text"), F.coalesce("document_id", F.lit("")).alias("own"))
-    # the match function runs once; its two kinds of matches are told apart by number
-    src = src.withColumn("m", find_all(F.col("text"), *norms, f"(?i){rules.DEVICE_CITED}"))
-    src = src.withColumn("norms", F.filter("m", lambda x: x["k"] < len(norms))).withColumn("devices", F.filter("m", lambda x: x["k"] == len(norms))).drop("m")
-    text = F.col("text")
-
-    n = src.select("key", "text", F.explode("norms").alias("x"))
-    kinds = F.array(*[F.lit(k) for k, _ in rules.NORMS])
-    start, end = F.col("x.start"), F.col("x.end")
-    rest = _after(text, end, 20)
+    norms = rules.NORMS
+    src = chunks.select(F.col(key).alias("key"), F.coalesce("document_id", F.lit("")).alias("own"), _once(F.col("text")).alias("m"))
+    # one row a match, norm or device, with the text around it; where the norms stand goes along for the devices
+    places = F.transform(F.filter("m", lambda x: x["k"] < len(norms)), lambda x: F.struct(x["start"], x["end"]))
+    each = src.select("key", "own", places.alias("norms"), F.explode("m").alias("x")).select("key", "own", "norms", "x.*")
+    norm = F.col("k") < len(norms)
+    g = [F.try_element_at("g", F.lit(j + 1)) for j in range(6)]
+    after = F.lower(F.left("after", F.lit(50)))
+    outside = reduce(lambda a, b: a | b, [after.contains(h) for h in rules.EXTERNAL_HINTS]) & ~F.left(after, F.lit(30)).contains("desta")
+    near = F.exists("norms", lambda x: x["start"].between(F.col("start"), F.col("end") + 60) | ((F.col("start") >= x["start"] - 120) & (F.col("end") <= x["start"])))
+    each = each.withColumn("outside", ~norm & outside).where(norm | (F.length(g[0]) >= 4) & ~(F.col("outside") & near)).drop("norms")
+
+    rest = F.left("after", F.lit(20))
     short = F.regexp_extract(rest, rules.YEAR_AFTER, 1)
     long = F.regexp_extract(rest, r"[/\s](\d{4})(?!\d)", 1)
-    dated = F.regexp_extract(_after(text, end, 45), r"(?U)^\s*,?\s*de\s+\d{1,2}[º°]?\s+de\s+\p{L}+\s+de\s+(\d{4})", 1)
+    dated = F.regexp_extract(F.left("after", F.lit(45)), r"(?U)^\s*,?\s*de\s+\d{1,2}[º°]?\s+de\s+\p{L}+\s+de\s+(\d{4})", 1)
     undated = F.regexp_extract(rest, r"(?U)[/\s](\d{2,4})(?!\d|[º°]?\s+de\s)", 1)
     year = short if compat else F.coalesce(*[F.nullif(y, F.lit("")) for y in (dated, long, undated)])
-    tail = F.regexp_extract(rest, rf"(?s)^.*?{rules.YEAR_AFTER}", 0)
-    n = n.select("key", "text", start.alias("start"), end.alias("end"), F.col("x.k").alias("k"), F.element_at(kinds, F.col("x.k") + 1).alias("type"), F.element_at("x.g", 1).alias("found"),
-                 F.regexp_replace(F.try_element_at("x.g", F.lit(2)), r"\.", "").alias("number"), F.try_element_at("x.g", F.lit(3)).alias("own_year"), F.nullif(year, F.lit("")).alias("near_year"), tail.alias("tail"))
-    own_year = F.when(F.col("own_year").rlike(r"^\d+$"), F.col("own_year"))
-    n = n.withColumn("year", full_year(F.coalesce(own_year, "near_year")))
+    own_year = F.when(g[2].rlike(r"^\d+$"), g[2])
+    n = each.withColumns({
+        "type": F.when(norm, F.element_at(F.array(*[F.lit(k) for k, _ in rules.NORMS]), F.col("k") + 1)).otherwise("INTERNO"),
+        "number": F.when(norm, F.regexp_replace(g[1], r"\.", "")), "year": F.when(norm, full_year(F.coalesce(own_year, F.nullif(year, F.lit(""))))),
+        "found": F.concat(g[0], F.when(norm, F.regexp_extract(rest, rf"(?s)^.*?{rules.YEAR_AFTER}", 0)).otherwise("")),
+    })
     if compat:
-        first = Window.partitionBy("key", F.lower("found")).orderBy("k", "start")
+        first = Window.partitionBy("key", F.when(norm, F.lower(g[0])).otherwise(F.col("start").cast("string"))).orderBy("k", "start")
         n = n.withColumn("r", F.row_number().over(first)).where("r = 1").drop("r")
-    n = n.withColumn("doc_id", norm_id(F.col("type"), F.col("number"), F.col("year"), compat))
-    before, article, listed = _device_before(text, F.col("start"))
-    n = n.withColumn("span_ref", F.coalesce(before, _device_after(text, F.col("end")))).withColumn("more", further_articles(article, listed))
-    sure = legal.citation_confidence(F.col("number"), F.col("year"), F.col("doc_id"))
-    if not compat:
-        sure = F.when(F.col("type") == "CF", F.struct(F.lit(0.95).alias("confidence"), F.lit(False).alias("is_ambiguous"))).otherwise(sure)
-    n = n.withColumn("sure", sure).withColumn("rel", legal.rel_type(legal.around(text, F.col("start"), F.col("end"))))
-    prefix = F.when(F.col("type") == "ACORDAO", "acordaos").otherwise("leis")
-    more = F.when(F.col("span_ref").isNotNull() & F.col("doc_id").isNotNull(), F.transform("more", lambda a: legal.span_ref(a, F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string"))))
-    spans = F.concat(F.array("span_ref"), F.coalesce(more, F.array().cast("array<string>")))
-    n = n.select("key", "k", "start", F.posexplode(spans).alias("j", "span_ref"), F.trim(F.concat("found", "tail")).alias("raw"), "type", "doc_id", "sure", "rel", prefix.alias("prefix"))
-    target = F.when(F.col("doc_id").isNotNull(), F.concat(F.col("prefix"), F.lit(":"), F.concat_ws("#", "doc_id", "span_ref")))
-    once = Window.partitionBy("key", F.coalesce("doc_id", F.lit("None")), F.coalesce("span_ref", F.lit(""))).orderBy("k", "start", "j")
-    n = n.withColumn("target_node_id", target).withColumn("r", F.row_number().over(once)).where("r = 1")
-    n = n.select("key", F.struct("k", "start", "j").alias("at"), "raw", "type", "doc_id", "span_ref", "target_node_id", "sure", "rel")
-
-    d = src.select("key", "text", "own", "norms", F.explode("devices").alias("x"))
-    d = d.select("key", "text", "own", "norms", F.col("x.start").alias("start"), F.col("x.end").alias("end"), *[F.try_element_at("x.g", F.lit(j + 1)).alias(f"g{j}") for j in range(5)]).where(F.length("g0") >= 4)
-    after = F.lower(_after(text, F.col("end"), 50))
-    outside = F.lit(False)
-    for h in rules.EXTERNAL_HINTS:
-        outside = outside | after.contains(h)
-    outside = outside & ~F.left(after, F.lit(30)).contains("desta")
-    near = F.exists("norms", lambda x: x["start"].between(F.col("start"), F.col("end") + 60) | ((F.col("start") >= x["start"] - 120) & (F.col("end") <= x["start"])))
-    d = d.where(~(outside & near)).withColumn("outside", outside)
-    plain = F.col("g2").isNull() & F.col("g3").isNull() & F.col("g4").isNull()
-    tail = F.regexp_extract(_after(text, F.col("end"), 60), r"(?U)^(\s+a\s+\d+|(?:\s*,\s*\d+[ºo°]?)*(?:\s+e\s+\d+)?)", 1)
-    d = d.withColumn("more", F.when(plain, further_articles(F.col("g1"), tail)).otherwise(F.array().cast("array<string>")))
-    d = d.withColumn("rel", legal.rel_type(legal.around(text, F.col("start"), F.col("end"))))
+    cited = norm_id(F.col("type"), F.col("number"), F.col("year"), compat)
+    n = n.withColumn("doc_id", F.when(norm, cited).otherwise(F.nullif("own", F.lit(""))))
+
     none = F.lit(None).cast("string")
-    refs = F.concat(
-        F.array(F.struct(F.trim("g0").alias("raw"), legal.span_ref(F.col("g1"), F.col("g2"), F.col("g3"), F.col("g4"), compat).alias("span"))),
-        F.transform("more", lambda a: F.struct(F.concat(F.lit("art. "), a).alias("raw"), legal.span_ref(a, none, none, none).alias("span"))),
+    empty = F.array().cast("array<string>")
+    plain = F.coalesce(*g[2:6]).isNull()
+    tail = F.regexp_extract(F.left("after", F.lit(60)), r"(?U)^(\s+a\s+\d+|(?:\s*,\s*\d+[ºo°]?)*(?:\s+e\s+\d+)?)", 1)
+    led, followed = ([F.nullif(F.try_element_at(c, F.lit(j + 1)), F.lit("")) for j in range(5)] for c in ("led", "followed"))
+    before = F.when(led[0].isNotNull(), legal.span_ref(led[0], led[2], led[3], led[4]))
+    behind = F.when(followed[0].isNotNull(), legal.span_ref(*followed[:4]))
+    article, listed = led[0], F.when(led[2].isNull() & led[3].isNull() & led[4].isNull(), led[1])
+    n = n.withColumns({
+        "span": F.when(norm, F.coalesce(before, behind)).otherwise(legal.span_ref(g[1], g[2], g[3], g[4], compat)),
+        "more": F.when(norm, further_articles(article, listed)).otherwise(F.when(plain, further_articles(g[1], tail)).otherwise(empty)),
+    })
+    more = F.when(~norm | F.col("span").isNotNull() & F.col("doc_id").isNotNull(), F.col("more"))
+    spans = F.concat(
+        F.array(F.struct(F.trim("found").alias("raw"), "span")),
+        F.transform(F.coalesce(more, empty), lambda a: F.struct(F.when(norm, F.trim("found")).otherwise(F.concat(F.lit("art. "), a)).alias("raw"), legal.span_ref(a, none, none, none).alias("span"))),
     )
-    d = d.select("key", "own", "outside", "rel", "start", F.posexplode(refs).alias("j", "x")).select("key", "own", "outside", "rel", "start", "j", "x.*")
-    w = Window.partitionBy("key", F.lower("raw")).orderBy("start", "j")
-    d = d.withColumn("r", F.row_number().over(w)).where("r = 1")
+    n = n.withColumn("context", F.concat("before", g[0], "after")).select("key", "own", "k", "start", "type", "number", "year", "doc_id", "outside", "context", F.posexplode(spans).alias("j", "x"))
+    # a norm and device count once a chunk, a device of the chunk's own document once in each wording
+    same = [F.when(norm, F.coalesce("doc_id", F.lit("None"))), F.when(norm, F.coalesce("x.span", F.lit(""))).otherwise(F.lower("x.raw"))]
+    once = Window.partitionBy("key", *same).orderBy("k", "start", "j")
+    n = n.withColumn("r", F.row_number().over(once)).where("r = 1")
+    # what only the references that stay need
     known = F.col("own") != ""
-    sure = F.struct(F.when(F.col("outside"), 0.6).when(known, 0.9).otherwise(0.5).alias("confidence"), (~known).alias("is_ambiguous"))
-    d = d.select("key", F.struct(F.lit(len(norms)).alias("k"), "start", "j").alias("at"), "raw", F.lit("INTERNO").alias("type"), F.when(known, F.col("own")).alias("doc_id"), F.col("span").alias("span_ref"),
-                 F.when(known, F.concat(F.lit("leis:"), F.concat_ws("#", "own", "span"))).alias("target_node_id"), sure.alias("sure"), "rel")
-    both = n.unionByName(d).withColumn("ordinal", F.row_number().over(Window.partitionBy("key").orderBy("at")))
-    return both.select(F.col("key").alias(key), "ordinal", "raw", "type", "doc_id", "span_ref", "target_node_id", F.lit("regex").alias("method"), "sure.*", "rel.*")
+    sure = legal.citation_confidence(F.col("number"), F.col("year"), F.col("doc_id"))
+    if not compat:
+        sure = F.when(F.col("type") == "CF", F.struct(F.lit(0.95).alias("confidence"), F.lit(False).alias("is_ambiguous"))).otherwise(sure)
+    sure = F.when(norm, sure).otherwise(F.struct(F.when(F.col("outside"), 0.6).when(known, 0.9).otherwise(0.5).alias("confidence"), (~known).alias("is_ambiguous")))
+    prefix = F.when(F.col("type") == "ACORDAO", "acordaos:").otherwise("leis:")
+    target = F.when(F.col("doc_id").isNotNull(), F.concat(prefix, F.concat_ws("#", "doc_id", "x.span")))
+    ordinal = F.row_number().over(Window.partitionBy("key").orderBy("k", "start", "j"))
+    out = n.select("key", ordinal.alias("ordinal"), "x.raw", "type", "doc_id", F.col("x.span").alias("span_ref"), target.alias("target_node_id"), sure.alias("sure"), legal.rel_type(F.col("context")).alias("rel"))
+    return out.select(F.col("key").alias(key), "ordinal", "raw", "type", "doc_id", "span_ref", "target_node_id", F.lit("regex").alias("method"), "sure.*", "rel.*")
 
 
 def normalise(citations: DataFrame, chunks: DataFrame, compat: bool = False) -> DataFrame:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import legal
 
@@ -27,9 +26,13 @@ def split(caput: int, lens: list[int], limit: int = LIMIT) -> list[tuple[int, in
     return out
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])))
-def _split(caput: pd.Series, lens: pd.Series) -> pd.Series:
-    return pd.Series([[{"first": a, "last": b} for a, b in split(c, list(x))] for c, x in zip(caput, lens, strict=True)])
+def parts(caput: Column, lens: Column) -> Column:
+    """Parts of an article (array of first, last child) by the lengths of its caput and children, evaluated once."""
+
+    def run(caput: pd.Series, lens: pd.Series) -> pd.Series:
+        return pd.Series([[{"first": a, "last": b} for a, b in split(c, list(x))] for c, x in zip(caput, lens, strict=True)])
+
+    return F.pandas_udf(run, "array<struct<first:int,last:int>>").asNondeterministic()(caput, lens)
 
 
 def consolidate(chunks: DataFrame, least: int = LEAST_CHILDREN) -> DataFrame:
@@ -45,7 +48,7 @@ def consolidate(chunks: DataFrame, least: int = LEAST_CHILDREN) -> DataFrame:
     articles = chunks.where("device_type = 'article'").withColumnRenamed("parent_node_id", "__above")
     a = articles.join(kids, articles["node_id"] == kids["parent_node_id"]).drop("parent_node_id")
     kept = F.filter("k", lambda x: x["t"] != "")
-    a = a.withColumn("k", kept).withColumn("parts", _split(F.length("text"), F.transform("k", lambda x: F.length(x["t"]))))
+    a = a.withColumn("k", kept).withColumn("parts", parts(F.length("text"), F.transform("k", lambda x: F.length(x["t"]))))
     a = a.select("*", F.size("parts").alias("part_total"), F.posexplode("parts").alias("n", "part"))
     mine = F.slice("k", F.col("part.first") + 1, F.col("part.last") - F.col("part.first"))
     a = a.withColumn("mine", mine)

@@ -15,19 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 
-_ARTICLE = r"(?iuU)Art\.\s*([\d.]+(?:-[A-Z])?)"
-_QUOTE_OPEN = '["“]\\s*[A-Z]'
-_QUOTED_CHAPTER = '(?iuU)["“](CAP[ÍI]TULO|Se[çc][ãa]o|T[ÍI]TULO|LIVRO|PARTE)'
-_ANNEX = r"(?imuU)^\s*ANEXO\s+[IVXLCDM\d]+"
-_NEW_WORDING = '["”]\\s*\\(NR\\)'
-_QUOTE_CLOSE = '(?m)["”]\\s*$'
 #: Weights of the signs of a zone's start, but for the article's number, and of its end.
 _W = {"trigger": 0.40, "quote": 0.20, "sequence": 0.50, "chapter": 0.40, "ref": 0.30, "name": 0.20, "annex": 0.15, "nr": 0.70, "nr_alone": 0.35, "close": 0.50, "resume": 0.30, "again": 0.40}
 
 
 def article_number(text: Column) -> Column:
     """Number of the first article named, without points and letter; null if none."""
-    digits = F.regexp_replace(F.substring_index(F.regexp_extract(text, _ARTICLE, 1), "-", 1), r"\.", "")
+    digits = F.regexp_replace(F.substring_index(F.regexp_extract(text, rules.ZONE_ARTICLE, 1), "-", 1), r"\.", "")
     return digits.try_cast("double")
 
 
@@ -72,12 +66,12 @@ def scores(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
     for r, (_, _, _, n) in list(zip(refers, rules.REFERENCES, strict=True))[1:]:
         first_named = first_named.when(r & F.lit(n), True)
     named = F.coalesce(first_named, named)
-    enter = [(_triggered(area), _W["trigger"], "trigger_phrase"), (quote.rlike(_QUOTE_OPEN), _W["quote"], "quote_open"), (t.rlike(_QUOTED_CHAPTER), _W["chapter"], "chapter_in_quotes"), (reduce(lambda a, b: a | b, refers), _W["ref"], "target_ref"), (named, _W["name"], "target_name"), (t.rlike(_ANNEX), _W["annex"], "annex_header")]
+    enter = [(_triggered(area), _W["trigger"], "trigger_phrase"), (quote.rlike(rules.ZONE_QUOTE_OPEN), _W["quote"], "quote_open"), (t.rlike(rules.ZONE_QUOTED_CHAPTER), _W["chapter"], "chapter_in_quotes"), (reduce(lambda a, b: a | b, refers), _W["ref"], "target_ref"), (named, _W["name"], "target_name"), (t.rlike(rules.ZONE_ANNEX), _W["annex"], "annex_header")]
     next_art = article_number(F.left("after", F.lit(400))).isNotNull()
     again = _triggered(F.left("after", F.lit(400)))
-    nr = F.concat(t, F.left("after", F.lit(200))).rlike(_NEW_WORDING)
+    nr = F.concat(t, F.left("after", F.lit(200))).rlike(rules.ZONE_NEW_WORDING)
     full = nr & (next_art | again)
-    closed = (t.rlike(_QUOTE_CLOSE) | F.left("after", F.lit(100)).rlike(_QUOTE_CLOSE)) & ~full & next_art
+    closed = (t.rlike(rules.ZONE_QUOTE_CLOSE) | F.left("after", F.lit(100)).rlike(rules.ZONE_QUOTE_CLOSE)) & ~full & next_art
     leave = [(full, _W["nr"], "nr_marker"), (nr & ~full, _W["nr_alone"], "nr_marker_isolated"), (closed, _W["close"], "quote_close_resume"), (next_art & ~closed & ~full, _W["resume"], "resume_sequence"), (again, _W["again"], "new_trigger")]
     (es, er), (xs, xr) = _sum(enter), _sum(leave)
     c = c.select("*", es.alias("enter"), er.alias("enter_reasons"), xs.alias("exit"), xr.alias("exit_reasons"), article_number(t).alias("number"), reference(area).alias("ref"))
@@ -142,9 +136,13 @@ def zones(rows: list[dict], compat: bool = False) -> list[tuple]:
 
 
 def classify(chunks: DataFrame, canonical: DataFrame, compat: bool = False) -> DataFrame:
-    """Chunks with the six origin columns. Chunks without offsets are the document's own."""
-    scored = scores(chunks, canonical)
+    """Chunks with the six origin columns, one row each whatever its id. Chunks without offsets are the document's own.
+
+    A document's chunks pass through one task in order, as the zones ask; rows without a document are their own.
+    """
     names = [c.split()[0] for c in _OUT.split(", ")]
+    scored = scores(chunks.drop(*names), canonical)
+    own = [c for c in chunks.columns if c not in names]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["canonical_start", "node_id"], kind="stable")
@@ -152,11 +150,12 @@ def classify(chunks: DataFrame, canonical: DataFrame, compat: bool = False) -> D
             {"start": s, "end": e, "number": n, "enter": a, "enter_reasons": list(ar), "exit": x, "exit_reasons": list(xr), "id": i or "", "name": m or ""}
             for s, e, n, a, ar, x, xr, i, m in pdf[["canonical_start", "canonical_end", "number", "enter", "enter_reasons", "exit", "exit_reasons", "ref_id", "ref_name"]].itertuples(index=False)
         ]
-        return pd.DataFrame(zones(rows, compat), columns=names).assign(node_id=pdf["node_id"].to_numpy())
+        found = pd.DataFrame(zones(rows, compat), columns=names, index=pdf.index)
+        return pd.concat([pdf[own], found], axis=1)
 
-    slim = scored.select("document_id", "node_id", "canonical_start", "canonical_end", "number", "enter", "enter_reasons", "exit", "exit_reasons", F.col("ref.id").alias("ref_id"), F.col("ref.name").alias("ref_name"))
-    found = slim.groupBy("document_id").applyInPandas(run, _OUT + ", node_id string")
-    return chunks.drop(*names).join(found, "node_id")
+    flat = scored.select(*own, "number", "enter", "enter_reasons", "exit", "exit_reasons", F.col("ref.id").alias("ref_id"), F.col("ref.name").alias("ref_name"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema if f.name in own)
+    return flat.groupBy("document_id").applyInPandas(run, f"{kinds}, {_OUT}")
 
 
 def prefix_external(chunks: DataFrame) -> DataFrame:

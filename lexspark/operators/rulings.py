@@ -9,43 +9,29 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import rules
 from ..functions import text as tx
 from ..functions.matches import find_all
+from ..sources.scratch import Scratch
 
 #: Chunk limits in characters.
 CHUNK, OVERLAP, OVERLAP_LEAST, OVERLAP_MOST, RUNT = 4000, 0.20, 200, 1200, 0.20
 #: Characters of an average page, for chunks without page extents.
 PAGE = 3500
 
-#: Header fields.
-_HEADER = {
-    "processo": r"TC\s+(\d{3}\.\d{3}/\d{4}-\d)",
-    "natureza": r"Natureza:\s*(.+?)(?:\n|$)",
-    "relator": r"Relator:\s*(?:Ministro\s+)?(.+?)(?:\n|$)",
-    "unidade_tecnica": r"(?iuU)Unidade\s+T[eé]cnica:\s*(.+?)(?:\n|$)",
-    "data_sessao": r"Data\s+da\s+Sess[aã]o:\s*(\d{1,2}/\d{1,2}/\d{4})",
-}
-_NUMBER = r"(?iuU)AC[OÓ]RD[AÃ]O\s+(?:N[°ºo.]?\s*)?(\d+)/(\d{4})"
-_BODY = r"(?iuU)(Plen[aá]rio|1[ªa]\s*C[aâ]mara|2[ªa]\s*C[aâ]mara|Primeira\s+C[aâ]mara|Segunda\s+C[aâ]mara)"
-_SUMMARY = r"(?isuU)SUM[AÁ]RIO:\s*(.+?)(?=\n\s*(?:RELAT[OÓ]RIO|VOTO|AC[OÓ]RD[AÃ]O)\s)"
-_OUTCOME = r"(?iuU)considerar\s+(?:a\s+\w+\s+)?(parcialmente\s+procedente|procedente|improcedente)"
-
-
 def header(docs: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """Header fields of each ruling; with ``requests`` (document_id and fields), what the header lacks comes from there."""
     t = F.col("text")
-    body = F.lower(F.regexp_extract(t, _BODY, 1))
+    body = F.lower(F.regexp_extract(t, rules.RULING_BODY, 1))
     body = F.when(body.contains("plen"), "Plenario").when(body.rlike("1|primeira"), "1a_Camara").when(body.rlike("2|segunda"), "2a_Camara").otherwise("")
-    fields = {k: F.trim(F.regexp_extract(t, p, 1)) for k, p in _HEADER.items()}
+    fields = {k: F.trim(F.regexp_extract(t, p, 1)) for k, p in rules.RULING_HEADER.items()}
     fields["processo"] = F.when(fields["processo"] != "", F.concat(F.lit("TC "), fields["processo"])).otherwise("")
-    summary = F.trim(F.regexp_replace(F.regexp_extract(t, _SUMMARY, 1), r"(?U)\s+", " "))
-    outcome = F.lower(F.trim(F.regexp_extract(t, _OUTCOME, 1)))
+    summary = F.trim(F.regexp_replace(F.regexp_extract(t, rules.RULING_SUMMARY, 1), r"(?U)\s+", " "))
+    outcome = F.lower(F.trim(F.regexp_extract(t, rules.RULING_OUTCOME, 1)))
     outcome = F.concat(F.upper(F.left(outcome, F.lit(1))), F.substring(outcome, F.lit(2), F.length(outcome)))
-    out = docs.select("document_id", F.regexp_extract(t, _NUMBER, 1).alias("numero"), F.regexp_extract(t, _NUMBER, 2).alias("ano"), body.alias("colegiado"), *[c.alias(k) for k, c in fields.items()], summary.alias("sumario"), outcome.alias("resultado"))
+    out = docs.select("document_id", F.regexp_extract(t, rules.RULING_NUMBER, 1).alias("numero"), F.regexp_extract(t, rules.RULING_NUMBER, 2).alias("ano"), body.alias("colegiado"), *[c.alias(k) for k, c in fields.items()], summary.alias("sumario"), outcome.alias("resultado"))
     if requests is None:
         return out
     shared = [c for c in out.columns if c in requests.columns and c != "document_id"]
@@ -104,10 +90,14 @@ def _numbered(parts: DataFrame, pattern: str, compat: bool) -> DataFrame:
 def devices(docs: DataFrame, pages: DataFrame | None = None, compat: bool = False) -> DataFrame:
     """The device table of rulings: sections, subsections, paragraphs and items, with ids, parents and children.
 
+    Each kind of marker is matched once; sections, subsections and the devices before they are numbered are
+    written, since several branches build on each.
+
     ``pages`` (document_id, page_number, start, end) places devices on pages; beyond the last one
     counts the last. ``compat`` skips paragraphs after a line that ends in a digit and a point.
     """
-    sec = sections(docs)
+    scratch = Scratch(docs.sparkSession, "rulings")
+    sec = scratch.keep(sections(docs))
     name, authority = (F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("section_type")) for m in (rules.SECTION_NAMES, rules.AUTHORITY))
     slug = F.create_map(*[F.lit(x) for kv in {"relatorio": "RELATORIO", "voto": "VOTO", "acordao": "ACORDAO"}.items() for x in kv])
     upper = F.element_at(slug, F.col("section_type"))
@@ -119,7 +109,7 @@ def devices(docs: DataFrame, pages: DataFrame | None = None, compat: bool = Fals
     out = row(sec, rank(F.col("seq"), F.lit(-1), none, F.col("start")), "section", F.col("id"), F.lit(""), tx.strip_offsets(F.col("raw"), F.col("start")), F.col("name"), F.col("name"), none)
 
     report = sec.where("section_type = 'relatorio'")
-    sub = subsections(report).join(report.select("document_id", "seq", "section_type", "name"), "document_id")
+    sub = scratch.keep(subsections(report)).join(report.select("document_id", "seq", "section_type", "name"), "document_id")
     path = F.concat_ws(" > ", "name", "heading")
     out = out.unionByName(row(sub, rank(F.col("seq"), F.col("n"), none, F.col("start")), "section", F.col("id"), F.lit("SEC-RELATORIO"), tx.strip_offsets(F.col("raw"), F.col("start")), F.col("heading"), path, F.col("depth")))
 
@@ -138,7 +128,7 @@ def devices(docs: DataFrame, pages: DataFrame | None = None, compat: bool = Fals
     out = out.unionByName(row(items, rank(F.col("seq"), F.lit(-1), F.lit(1), F.col("p.start")), "item_dispositivo", F.concat(F.lit("ITEM-"), F.col("num")), parent, F.col("p"), F.col("num"), F.concat_ws(" > ", "name", "num"), depth))
 
     r = F.row_number().over(Window.partitionBy("document_id", "base_id").orderBy("order"))
-    out = out.select(*cols).withColumn("span_id", F.when(r > 1, F.concat_ws("-", "base_id", r.cast("string"))).otherwise(F.col("base_id")))
+    out = scratch.keep(out.select(*cols)).withColumn("span_id", F.when(r > 1, F.concat_ws("-", "base_id", r.cast("string"))).otherwise(F.col("base_id")))
     kids = out.where("parent_span_id <> ''").groupBy("document_id", F.col("parent_span_id").alias("span_id")).agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("order", F.col("span_id").alias("s"))))["s"]).alias("children_span_ids"))
     out = out.join(kids, ["document_id", "span_id"], "left")
     out = out.select(
@@ -202,9 +192,11 @@ def pack(lens: list[int], head: int, tail: int, limit: int = CHUNK) -> list[tupl
     return out
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])))
-def _packed(lens: pd.Series, head: pd.Series) -> pd.Series:
-    return pd.Series([[{"first": a, "last": b} for a, b in pack(list(x), h, 0)] for x, h in zip(lens, head, strict=True)])
+def _packed(lens: Column, head: Column) -> Column:
+    def run(lens: pd.Series, head: pd.Series) -> pd.Series:
+        return pd.Series([[{"first": a, "last": b} for a, b in pack(list(x), h, 0)] for x, h in zip(lens, head, strict=True)])
+
+    return F.pandas_udf(run, "array<struct<first:int,last:int>>").asNondeterministic()(lens, head)  # evaluated once
 
 
 def chunk(parsed: DataFrame, heads: DataFrame) -> DataFrame:

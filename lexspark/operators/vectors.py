@@ -50,6 +50,8 @@ def embed(texts: DataFrame, make_model: Callable = hashing_model, text_col: str
         model = make_model()
         for b in batches:
             dense, sparse = model([t or "" for t in b])
+            if not len(dense) == len(sparse) == len(b):
+                raise ValueError(f"the model gave {len(dense)} and {len(sparse)} vectors for {len(b)} texts")
             yield pd.DataFrame({"dense": [d.tolist() for d in dense], "sparse": sparse})
 
     out = texts.withColumn("__e", run(F.col(text_col)))

@@ -350,20 +350,20 @@ def element_order(spark, d):
     return e.groupBy("document_id").agg(F.count_if("outside_parent").alias("outside"), F.count_if("depth_wrong").alias("wrong"))
 
 
-@query("""SELECT concat('leis:C', c_custkey, '#ART-00', n) AS node_id, CASE WHEN n >= 2 THEN 'external' ELSE 'self' END AS origin_type, CASE WHEN n >= 2 THEN 'LEI-8987-1995' ELSE '' END AS origin_reference, CASE WHEN n >= 2 THEN 'high' ELSE 'high' END AS origin_confidence FROM customer, range(1, 5) r(n) WHERE c_custkey <= 500""")
+@query("""SELECT concat('leis:C', c_custkey, '#ART-00', n) AS node_id, CASE WHEN n >= 2 THEN 'external' ELSE 'self' END AS origin_type, CASE WHEN n >= 2 THEN 'LEI-8987-1995' ELSE '' END AS origin_reference, CASE WHEN n >= 2 THEN 'high' ELSE 'high' END AS origin_confidence FROM customer, range(1, 5) r(n)""")
 def origin_zones(spark, d):
     said = ["Art. 1º Esta lei trata de concessões.\n", "Art. 2º A ementa da Lei nº 8.987, de 13 de fevereiro de 1995, passa a vigorar com a seguinte redação: “Art. 3º A concessão\n", "será outorgada.” (NR)\n", "Art. 4º Esta lei entra em vigor.\n"]
     ends = [sum(map(len, said[: k + 1])) for k in range(4)]
-    c = t(spark, d, "customer").where("c_custkey <= 500").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("document_id"))
+    c = t(spark, d, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("document_id"))
     rows = F.array(*[F.struct(F.lit(k + 1).alias("n"), F.lit(x.strip()).alias("text"), F.lit(e - len(x)).alias("canonical_start"), F.lit(e - 1).alias("canonical_end")) for k, (x, e) in enumerate(zip(said, ends, strict=True))])
     ch = c.select("document_id", F.inline(rows)).withColumn("node_id", F.concat(F.lit("leis:"), "document_id", F.lit("#ART-00"), F.col("n").cast("string")))
     canon = c.select("document_id", F.lit("".join(said)).alias("canonical_text"))
     return origin.classify(ch, canon).select("node_id", "origin_type", "origin_reference", "origin_confidence")
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS document_id, s AS span_id, CAST(a AS BIGINT) AS start_at, r AS reason FROM (SELECT o_orderkey, unnest([{'s': 'ART-001', 'a': 0, 'r': NULL}, {'s': 'INC-001-I', 'a': 8, 'r': NULL}, {'s': 'ALI-001-I-a', 'a': 15, 'r': NULL}, {'s': 'INC-001-II', 'a': NULL, 'r': 'NOT_FOUND'}, {'s': 'ALI-001-II-a', 'a': NULL, 'r': 'INVALID_PARENT_RANGE'}], recursive := true) FROM orders WHERE o_orderkey <= 500)""")
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS document_id, s AS span_id, CAST(a AS BIGINT) AS start_at, r AS reason FROM (SELECT o_orderkey, unnest([{'s': 'ART-001', 'a': 0, 'r': NULL}, {'s': 'INC-001-I', 'a': 8, 'r': NULL}, {'s': 'ALI-001-I-a', 'a': 15, 'r': NULL}, {'s': 'INC-001-II', 'a': NULL, 'r': 'NOT_FOUND'}, {'s': 'ALI-001-II-a', 'a': NULL, 'r': 'INVALID_PARENT_RANGE'}], recursive := true) FROM orders)""")
 def offsets_down_the_tree(spark, d):
-    o = t(spark, d, "orders").where("o_orderkey <= 500").select(F.col("o_orderkey").cast("string").alias("document_id"))
+    o = t(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("document_id"))
     text = "Art. 1. I - um a) dois"
     rows = [("ART-001", "", text, 0, len(text)), ("INC-001-I", "ART-001", "I - um a) dois", None, None), ("ALI-001-I-a", "INC-001-I", "a) dois", None, None), ("INC-001-II", "ART-001", "II - nada", None, None), ("ALI-001-II-a", "INC-001-II", "a) dois", None, None)]
     dev = o.select("document_id", F.inline(F.array(*[F.struct(F.lit(s).alias("span_id"), F.lit(p).alias("parent_span_id"), F.lit(x).alias("text"), F.lit(a).cast("int").alias("char_start"), F.lit(z).cast("int").alias("char_end")) for s, p, x, a, z in rows])))

@@ -66,13 +66,17 @@ def matching_normalize(spark, d):
     return t(spark, d, "documents").where("text is not null").select("doc_id", m.alias("m")).select("doc_id", tx.sha256(F.col("m")).alias("matching_sha256"), F.length("m").cast("long").alias("n"))
 
 
-@query("SELECT doc_id, CAST(length(regexp_replace(left(text, 300), '\\s+', ' ', 'g')) - CASE WHEN regexp_matches(left(text, 300), '\\s$') THEN 1 ELSE 0 END AS BIGINT) AS n_norm, true AS maps_back FROM documents WHERE text IS NOT NULL AND regexp_matches(left(text, 1), '\\S') AND NOT regexp_matches(left(text, 300), '-\\s*\\n')")
+_FOLD = """trim(regexp_replace(regexp_replace(replace(translate({0}, '–—“”‘’«»ºª°', '--""''''""oao'), '…', '...'), '-\\s*\\n\\s*', '', 'g'), '\\s+', ' ', 'g'))"""
+
+
+@query(f"SELECT doc_id, CAST(length({_FOLD.format(_MARKED)}) AS BIGINT) AS n_norm, true AS maps_back FROM documents WHERE text IS NOT NULL")
 def matching_offset_map(spark, d):
-    docs = t(spark, d, "documents").where("text is not null").where(F.left("text", F.lit(1)).rlike(r"\S") & ~F.left("text", F.lit(300)).rlike(r"-\s*\n")).select("doc_id", F.left("text", F.lit(300)).alias("s"))
-    m = docs.select("doc_id", "s", tx.matching_with_offsets(F.col("s")).alias("m"))
-    # every character that is not a blank stands in the source at its offset
-    back = F.forall(F.sequence(F.lit(1), F.length("m.norm")), lambda k: (F.substring(F.col("m.norm"), k, F.lit(1)) == " ") | (F.substring(F.col("s"), F.element_at("m.source", k) + 1, F.lit(1)) == F.substring(F.col("m.norm"), k, F.lit(1))))
-    return m.select("doc_id", F.length("m.norm").cast("long").alias("n_norm"), back.alias("maps_back"))
+    docs = t(spark, d, "documents").where("text is not null").select("doc_id", F.expr(_MARKED).alias("s"))
+    m = docs.select("doc_id", F.split("s", "").alias("s"), tx.matching_with_offsets(F.col("s")).alias("m"))
+    # a letter or digit of the matching form stands in the source at its offset, and offsets ascend
+    pairs = F.zip_with(F.split("m.norm", ""), "m.source", lambda c, k: ~c.rlike("[A-Za-z0-9]") | F.try_element_at("s", k + 1).isin("º", "ª", "°") | (F.try_element_at("s", k + 1) == c))
+    up = F.forall(F.zip_with(F.slice("m.source", 1, F.size("m.source") - 1), F.slice("m.source", 2, F.size("m.source")), lambda a, b: a <= b), lambda x: x)
+    return m.select("doc_id", F.length("m.norm").cast("long").alias("n_norm"), (F.forall(pairs, lambda x: x) & up).alias("maps_back"))
 
 
 _THOUGHT = "CASE WHEN turn % 3 = 0 THEN concat(text, '<think>', role) WHEN turn % 3 = 1 THEN concat('<think>', role, ' hm</think> ', text) ELSE text END"
@@ -158,27 +162,27 @@ def reading_agreement(spark, d):
     return quality.reading_checks(m).select("document_id", "pairs", "differing", F.round("share", 6).alias("share"))
 
 
-@query("SELECT doc_id, CAST(len(list_filter(string_split_regex(lower(text), '\\W+'), lambda x: x <> '')) > 0 AS BOOLEAN) AS has_vector, CAST(length(text) > 8192 AS BOOLEAN) AS truncated FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, CAST(len(list_filter(string_split_regex(lower(text), '\\W+'), lambda x: x <> '')) > 0 AS BOOLEAN) AS has_vector, CAST(length(text) > 8192 AS BOOLEAN) AS truncated, CAST(len(list_distinct(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+'), lambda x: x <> ''))) AS BIGINT) AS n_words FROM documents WHERE text IS NOT NULL")
 def embed_documents(spark, d):
     e = vectors.embed(t(spark, d, "documents").where("text is not null").select("doc_id", "text"))
-    return e.select("doc_id", (F.round(vectors.dot(F.col("dense_vector"), F.col("dense_vector")), 3) == 1.0).alias("has_vector"), "truncated")
+    return e.select("doc_id", (F.round(vectors.dot(F.col("dense_vector"), F.col("dense_vector")), 3) == 1.0).alias("has_vector"), "truncated", F.size("sparse_vector").cast("long").alias("n_words"))
 
 
 @query("""SELECT a.vec_id AS query_id, CAST(r AS INTEGER) AS rank, b AS vec_id, s AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, b) AS r FROM (
-    SELECT q.vec_id, c.vec_id AS b, round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS s FROM embeddings q JOIN embeddings c ON q.label = c.label AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)) a WHERE r <= 5""")
+    SELECT q.vec_id, c.vec_id AS b, round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS s FROM embeddings q JOIN embeddings c ON q.label = c.label AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)) a WHERE r <= 5""")
 def rerank_topk(spark, d):
     e = t(spark, d, "embeddings").select("vec_id", "embedding", "label")
-    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"), "label")
+    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"), "label")
     p = e.join(q, "label").where("vec_id <> query_id")
     s = p.select("query_id", F.col("vec_id").alias("pos"), F.round(vectors.cosine(F.col("qv"), F.col("embedding")), 6).alias("score"))
     return vectors.rerank(s, 5).select("query_id", F.col("rank"), F.col("pos").alias("vec_id"), "score")
 
 
 @query("""SELECT query_id, pos, CAST(place AS INTEGER) AS place, score FROM (SELECT label AS query_id, vec_id AS pos, CASE WHEN label = 0 THEN row_number() OVER (PARTITION BY label ORDER BY vec_id) ELSE row_number() OVER (PARTITION BY label ORDER BY vec_id % 17 DESC, vec_id) END AS place,
-  CASE WHEN label <> 0 THEN CAST(vec_id % 17 AS DOUBLE) END AS score FROM embeddings WHERE vec_id < 60)""")
+  CASE WHEN label <> 0 THEN CAST(vec_id % 17 AS DOUBLE) END AS score FROM embeddings)""")
 def reorder_by_ranking(spark, d):
-    docs = t(spark, d, "embeddings").where("vec_id < 60").select(F.col("label").alias("query_id"), "vec_id")
+    docs = t(spark, d, "embeddings").select(F.col("label").alias("query_id"), "vec_id")
     w = Window.partitionBy("query_id").orderBy("vec_id")
     docs = docs.withColumn("pos", F.row_number().over(w) - 1)
     scored = docs.where("query_id <> 0").select("query_id", "pos", (F.col("vec_id") % 17).cast("double").alias("score"))

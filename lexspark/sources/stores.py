@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -147,17 +149,105 @@ def index_rows(chunks: DataFrame) -> DataFrame:
     )
 
 
-def replace_rows(spark: SparkSession, new: DataFrame, path: str, keys: list[str], at: str) -> DataFrame:
-    """Upsert into a Parquet table: the merged table goes to a new version beside the old one; returns it.
+class Conflict(RuntimeError):
+    """Another writer has committed the version in the meantime: read the table again and retry."""
 
-    Versions are folders v=N; readers take the newest complete one, so a lost job changes nothing.
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def put(spark: SparkSession, path: str, data: bytes, overwrite: bool = True) -> None:
+    """Write one object of any file system that Spark reaches."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def get(spark: SparkSession, path: str) -> bytes:
+    return bytes(spark.read.format("binaryFile").load(path).first()["content"])
+
+
+def stat(spark: SparkSession, path: str) -> dict | None:
+    """Length and time of an object; None if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    s = fs.getFileStatus(p)
+    return {"length": s.getLen(), "modified": s.getModificationTime() / 1000}
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.delete(p, True)
+
+
+def newest(spark: SparkSession, path: str) -> int:
+    """Number of a table's newest version, 0 if it has none."""
+    return max(_versions(spark, path), default=0)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, p = _fs(spark, f"{path}/log")
+    return sorted(int(s.getPath().getName()[:-5]) for s in fs.listStatus(p) if s.getPath().getName().endswith(".json")) if fs.exists(p) else []
+
+
+def commit(spark: SparkSession, path: str, version: int, state: dict) -> None:
+    """Make a version by creating its log file, which fails if there is one: of two writers one commits."""
+    try:
+        put(spark, f"{path}/log/{version:020d}.json", json.dumps(state).encode(), overwrite=False)
+    except Exception as e:
+        if "Exist" in str(e):
+            raise Conflict(f"version {version} of {path}") from e
+        raise
+
+
+def _state(spark: SparkSession, path: str) -> dict:
+    n = newest(spark, path)
+    return json.loads(get(spark, f"{path}/log/{n:020d}.json")) if n else {}
+
+
+def table_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table that ``replace_rows`` keeps."""
+    state = _state(spark, path)
+    return spark.read.schema(state["schema"]).parquet(*[f"{path}/{f}" for f in sorted(set(state["buckets"].values()))])
+
+
+def replace_rows(spark: SparkSession, new: DataFrame, path: str, keys: list[str], at: str, buckets: int = 64, keep: int = 8) -> DataFrame:
+    """Upsert into a Parquet table by keys; returns the table as it is then. New rows replace old ones of their key, the latest ``at`` of several new ones.
+
+    Rows lie in ``buckets`` by a hash of their keys (fixed with the first version), each a folder. Only buckets that new
+    rows fall into are merged and written anew; a version is a log file that names the folder of each bucket, created
+    last and only if no other writer made it, so a lost job or a lost race (``Conflict``) changes nothing. Folders that
+    none of the last ``keep`` versions names are deleted.
     """
     from ..operators.registry import upsert
 
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [int(s.getPath().getName()[2:]) for s in (fs.listStatus(fs_path) if fs.exists(fs_path) else []) if s.getPath().getName().startswith("v=") and fs.exists(s.getPath().suffix("/_SUCCESS"))]
-    old = spark.read.schema(new.schema).parquet(f"{path}/v={max(done)}") if done else new.limit(0)
-    target = f"{path}/v={max(done, default=0) + 1}"
-    upsert(old, new, keys, at).write.mode("overwrite").parquet(target)
-    return spark.read.schema(new.schema).parquet(target)
+    version, state = newest(spark, path), _state(spark, path)
+    buckets, at_now = state.get("count", buckets), state.get("buckets", {})
+    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+    touched = [r["b"] for r in new.select(bucket.alias("b")).distinct().collect()]  # at most the number of buckets
+    old = [f"{path}/{at_now[str(b)]}" for b in touched if str(b) in at_now]
+    merged = upsert(spark.read.schema(new.schema).parquet(*old) if old else new.limit(0), new, keys, at)
+    run = uuid.uuid4().hex
+    merged.withColumn("__bucket", bucket).repartition("__bucket").write.partitionBy("__bucket").parquet(f"{path}/data/{run}")
+    state = {"count": buckets, "schema": state.get("schema") or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema), "buckets": at_now | {str(b): f"data/{run}/__bucket={b}" for b in touched}}
+    commit(spark, path, version + 1, state)
+    _forget(spark, path, keep)
+    return table_rows(spark, path)
+
+
+def _forget(spark: SparkSession, path: str, keep: int) -> None:
+    """Drop old versions and the bucket folders that only they name."""
+    versions = _versions(spark, path)
+    named = lambda vs: {f for v in vs for f in json.loads(get(spark, f"{path}/log/{v:020d}.json"))["buckets"].values()}
+    gone = versions[:-keep]
+    if gone:
+        for f in named(gone) - named(versions[-keep:]):
+            delete(spark, f"{path}/{f}")
+        for v in gone:
+            delete(spark, f"{path}/log/{v:020d}.json")

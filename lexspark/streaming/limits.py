@@ -30,19 +30,42 @@ def admit(times: Iterator[float], limit: int = REQUESTS, seconds: float = SECOND
 
 
 def admit_batch(requests: DataFrame, limit: int = REQUESTS, seconds: float = SECONDS) -> DataFrame:
-    """Requests (key, ts, id) with admitted and remaining. A fold over each key; state is at most ``limit`` times.
+    """Requests (key, ts, id) with admitted and remaining. A streamed fold over each key; state is at most ``limit`` times.
 
     A rejected request is not recorded, so no window function gives this.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "id"], kind="stable")
-        got = list(admit(pdf["t"], limit, seconds))
-        return pdf.assign(admitted=[a for a, _ in got], remaining=[r for _, r in got])[["key", "id", "admitted", "remaining"]]
+    def start():
+        kept: deque = deque()
+        return lambda t: next(admit([t], limit, seconds, kept))
 
-    slim = requests.select("key", "id", F.col("ts").cast("timestamp").cast("double").alias("t"))
+    return _fold(requests, start, "admitted boolean, remaining int")
+
+
+def _fold(rows: DataFrame, start, result: str) -> DataFrame:
+    """Rows (key, ts, id) with what a fold over each key's rows in order says of each.
+
+    Rows are sorted within partitions and streamed: a worker holds the state of one key, never its rows, so a key
+    of any length needs no memory. ``start`` gives the fold of a new key: a function of the time.
+    """
+    slim = rows.select("key", "id", F.col("ts").cast("timestamp").cast("double").alias("t"))
     kinds = dict(slim.dtypes)
-    return slim.groupBy("key").applyInPandas(run, f"key {kinds['key']}, id {kinds['id']}, admitted boolean, remaining int")
+    names = [x.split()[0] for x in result.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, step = object(), None
+        for b in batches:
+            keys = b["key"].astype(object).where(b["key"].notna(), None).tolist()
+            out = []
+            for k, t in zip(keys, b["t"].tolist(), strict=True):
+                if k != last:
+                    last, step = k, start()
+                out.append(step(t))
+            got = pd.DataFrame(out, columns=names, index=b.index)
+            yield pd.concat([b[["key", "id"]], got], axis=1)
+
+    ordered = slim.repartition("key").sortWithinPartitions("key", "t", "id")
+    return ordered.mapInPandas(run, f"key {kinds['key']}, id {kinds['id']}, {result}")
 
 
 def offered(requests: DataFrame, seconds: int = SECONDS) -> DataFrame:
@@ -84,27 +107,22 @@ def admit_stream(requests: DataFrame, limit: int = REQUESTS, seconds: float = SE
     )
 
 
-def batches(times: Iterator[float], most: int, wait_ms: float) -> Iterator[tuple[int, int]]:
-    """(batch, place in it) of items in order of arrival: a batch is full at ``most`` items and closes ``wait_ms`` after its first."""
-    batch, n, opened = -1, 0, 0.0
-    for t in times:
-        if batch < 0 or n >= most or (t - opened) * 1000 > wait_ms:
-            batch, n, opened = batch + 1, 0, t
-        yield batch, n
-        n += 1
+def group_batches(items: DataFrame, most: int = EMBED_BATCH[0], wait_ms: float = EMBED_BATCH[1]) -> DataFrame:
+    """Items (key, ts, id) with the micro-batch that each falls into, by a streamed fold over each key (a collector)."""
 
+    def start():
+        batch, n, opened = -1, 0, 0.0
 
-def group_batches(items: DataFrame, most: int = EMBED_BATCH[0], wait_ms: float = EMBED_BATCH[1]) -> DataFrame:
-    """Items (key, ts, id) with the micro-batch that each falls into, by a fold over each key (a collector)."""
+        def step(t: float) -> tuple[int, int]:
+            nonlocal batch, n, opened
+            if batch < 0 or n >= most or (t - opened) * 1000 > wait_ms:
+                batch, n, opened = batch + 1, 0, t
+            n += 1
+            return batch, n - 1
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "id"], kind="stable")
-        got = list(batches(pdf["t"], most, wait_ms))
-        return pdf.assign(batch=[b for b, _ in got], place=[p for _, p in got])[["key", "id", "batch", "place"]]
+        return step
 
-    slim = items.select("key", "id", F.col("ts").cast("timestamp").cast("double").alias("t"))
-    kinds = dict(slim.dtypes)
-    return slim.groupBy("key").applyInPandas(run, f"key {kinds['key']}, id {kinds['id']}, batch long, place int")
+    return _fold(items, start, "batch long, place int")
 
 
 def batch_stats(grouped: DataFrame) -> DataFrame:

@@ -135,3 +135,14 @@ def test_statute_to_chunks_and_manifest(spark):
     assert i.mismatched == 0 and i.hashes_hold and i.idempotent
     m = quality.manifest(ch, canon).first()
     assert m.chunks == 4 and m.article_numbers == ["1", "2"] and m.coverage_pct > 90
+
+
+def test_origin_keeps_every_row_whatever_its_id(spark):
+    from lexspark.operators import origin
+
+    text = "Art. 1º Esta lei.\nArt. 2º Texto.\n"
+    rows = [("D", "n", "Art. 1º Esta lei.", 0, 17, "old"), ("D", "n", "Art. 2º Texto.", 18, 32, "old"), ("D", None, "sem id", -1, -1, None), (None, "m", "sem documento", 0, 3, None)]
+    ch = spark.createDataFrame(rows, "document_id string, node_id string, text string, canonical_start int, canonical_end int, origin_type string")
+    out = origin.classify(ch, spark.createDataFrame([("D", text)], "document_id string, canonical_text string"))
+    assert sorted((str(r.node_id), r.text, r.origin_type) for r in out.collect()) == sorted((str(n), x, "self") for _, n, x, *_ in rows)
+    assert origin.classify(ch.limit(0), spark.createDataFrame([], "document_id string, canonical_text string")).count() == 0
