@@ -15,7 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session by bytes too, unless the session has set its own bound."""
+    """Bound the Arrow batches of this session by bytes too, unless the session has set its own bound.
+
+    The setting stays: results are lazy, and their batches are made when they are read.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(key, "2147483647")) > 1 << 28:
         spark.conf.set(key, str(BATCH_BYTES))

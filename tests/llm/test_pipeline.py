@@ -46,3 +46,51 @@ def test_no_stage_loses_another_text_of_an_id_or_a_clean_null_row(spark):
         both = stage(spark, both, SF)
     left = [(r.doc_id, r.text) for r in both.collect()]
     assert all(r in left for r in rows)
+
+
+def test_the_whole_pipeline_equals_brute_force(spark, tmp_path):
+    import base64
+    import random
+
+    import numpy as np
+    import public_tokenizers
+    import tiktoken
+
+    from tests.llm.test_near_dup import brute
+    from tests.llm.test_search import _brute_leaks
+
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(150)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(k, text(rng.choice([6, 15, 20]))) for k in range(5)]
+    docs = []
+    for k in range(120):
+        t = text(rng.randrange(25, 40))
+        if k % 6 == 0:
+            t += " horrible scum"
+        if k % 10 == 3:
+            t += " " + items[k % 5][1]
+        docs.append((k, t))
+        if k % 8 == 1:  # near and exact copies
+            w = t.split() * 3
+            docs[-1] = (k, " ".join(w))
+            w[rng.randrange(len(w))] = "changed"
+            docs.append((1000 + k, " ".join(w if k % 16 == 1 else t.split() * 3)))
+    docs += [(2000, None), (2001, "")]
+    spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int("scum" in (t or ""))) for i, t in docs], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    at = f"file://{tmp_path}"
+    model, make = toxicity.train(table(spark, at, "documents"), table(spark, at, "labels")), toxicity.Features()
+    clean = [(i, t) for i, t in docs if model.scores([make(toxicity.tokens(t))])[0] < 0.5]
+    assert 60 < len(clean) < len(docs)
+    kept = {i for i, _, _, keep in brute(clean) if keep}
+    single = [(i, t) for i, t in clean if i in kept]
+    leaky = {i for i, _ in _brute_leaks(single, items)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {i: enc.encode_ordinary(t or "") for i, t in single if i not in leaky}
+    assert len(single) < len(clean) and leaky and {2000, 2001} <= set(want)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in corpus_pipeline.run(spark, at).collect()}
+    assert got == want
