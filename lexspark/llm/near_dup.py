@@ -44,7 +44,7 @@ WORDS = 5
 SKETCH, KEYS, OVERLAP, LIGHT = 64, 16, 34, 32
 #: A class is named by its smallest doc_id; one of null ids alone, or of an id that has several texts, by a number from here on.
 NO_ID = 1 << 62
-#: A key is hot if it has more than HOT rows and more than one in SHARE of all; so there are fewer than SHARE such keys.
+#: A key is hot if it has more than HOT rows and is among the SHARE most frequent.
 HOT, SHARE = 1024, 10_000
 
 _ONE, _TWO, _SPREAD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -97,17 +97,22 @@ def _pairs_of(lists: DataFrame) -> DataFrame:
     return a.select("a", F.explode(F.slice("m", F.col("k") + 2, F.size("m"))).alias("b"))
 
 
-def _deal(rows: DataFrame, key: str, table: DataFrame, scratch: Scratch, how: str = "inner") -> DataFrame:
+def _hot(counts: DataFrame, key: str, count: str, scratch: Scratch) -> DataFrame | None:
+    """Keys with more than HOT rows, the SHARE most frequent at most, so that any other has less than one row in SHARE; None if there are none."""
+    hot = scratch.keep(counts.where(F.col(count) > HOT).orderBy(F.desc(count)).limit(SHARE).select(key, count))
+    return hot if hot.count() else None
+
+
+def _deal(rows: DataFrame, key: str, table: DataFrame, hot: DataFrame | None, how: str = "inner") -> DataFrame:
     """``rows`` joined with a table of one row a key, such that no task gets all rows of a hot key.
 
-    The table's rows of hot keys, fewer than SHARE by their definition, are broadcast. Then the rows of
-    hot keys need nothing more: they go through the shuffle of the others dealt by a hash of the row.
+    The table's rows of hot keys, SHARE at most, are broadcast. Then the rows of hot keys need nothing
+    more: they go through the shuffle of the others dealt by a hash of the row.
     """
-    cut = max(HOT, rows.count() // SHARE)
-    hot = scratch.keep(rows.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > cut).select(key))
-    if not hot.count():
+    if hot is None:
         return rows.join(table, key, how)
     names = [c for c in table.columns if c != key]
+    hot = hot.select(key)
     near = table.join(F.broadcast(hot), key, "left_semi").select(key, F.struct(*names).alias("__near"))
     far = table.select(F.col(key).alias("__key"), F.lit(False).alias("__hot"), F.struct(*names).alias("__far"))
     out = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), key, "left").join(F.broadcast(near), key, "left")
@@ -129,7 +134,8 @@ def _split(lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
 
 def _shared(lists: DataFrame, scratch: Scratch) -> DataFrame:
     """Members of lists (cls, n, m, value) that two classes or more are on, with the list's size df."""
-    return _deal(lists, "value", lists.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), scratch)
+    sizes = scratch.keep(lists.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    return _deal(lists, "value", sizes, _hot(sizes, "value", "df", scratch))
 
 
 def _rarest(shared: DataFrame, take) -> DataFrame:
@@ -156,35 +162,37 @@ def estimate(a: str, b: str):
     return F.size(both) / F.greatest(F.size(union), F.lit(1))
 
 
-def _beside(pairs: DataFrame, table: DataFrame, scratch: Scratch, names: dict[str, str], hot: bool = False) -> DataFrame:
+def _frequent(pairs: DataFrame, scratch: Scratch) -> dict[str, DataFrame | None]:
+    """Of each side of the pairs, the classes that are in very many."""
+    return {side: _hot(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("c")), side, "c", scratch) for side in ("a", "b")}
+
+
+def _beside(pairs: DataFrame, table: DataFrame, names: dict[str, str], frequent: dict[str, DataFrame | None]) -> DataFrame:
     """Pairs (a, b) with columns of each side's row in a table (cls, ...): ``names`` gives them, as {column: its name before a or b}.
 
-    With ``hot``, a class may be in very many pairs: its row is then given to one task for each HOT of them.
+    The row of a frequent class is given to one task for each HOT of its pairs.
     """
     out = pairs
     for side, other in (("a", "b"), ("b", "a")):
         own = table.select(F.col("cls").alias(side), *[F.col(c).alias(n + side) for c, n in names.items()])
-        heavy = None
-        if hot:
-            cut = max(HOT, pairs.count() // SHARE)
-            heavy = scratch.keep(pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("parts")).where(F.col("parts") > cut // HOT))
-        if heavy is None or not heavy.count():
+        if frequent.get(side) is None:
             out = out.join(own, side)
             continue
+        heavy = F.broadcast(frequent[side].select(side, F.ceil(F.col("c") / HOT).cast("int").alias("parts")))  # SHARE rows at most
         part = F.coalesce("parts", F.lit(1))
-        own = own.join(F.broadcast(heavy), side, "left").withColumn("part", F.explode(F.sequence(F.lit(0), part - 1))).drop("parts")
-        out = out.join(F.broadcast(heavy), side, "left").withColumn("part", F.pmod(F.hash(other), part)).drop("parts").join(own, [side, "part"]).drop("part")
+        own = own.join(heavy, side, "left").withColumn("part", F.explode(F.sequence(F.lit(0), part - 1))).drop("parts")
+        out = out.join(heavy, side, "left").withColumn("part", F.pmod(F.hash(other), part)).drop("parts").join(own, [side, "part"]).drop("part")
     return out
 
 
-def _hopeful(pairs: DataFrame, cls: DataFrame, scratch: Scratch, hot: bool = False) -> DataFrame:
+def _hopeful(pairs: DataFrame, cls: DataFrame, scratch: Scratch, frequent: dict[str, DataFrame | None]) -> DataFrame:
     """Pairs whose union sketch does not rule the threshold out."""
-    near = _beside(pairs, cls, scratch, {"sketch": "s", "n": "n"}, hot)
+    near = _beside(pairs, cls, {"sketch": "s", "n": "n"}, frequent)
     sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 85
     return scratch.keep(near.where(sizes & (estimate("sa", "sb") * SKETCH >= F.least(F.lit(OVERLAP), F.floor(F.lit(0.85 * SKETCH))))).select("a", "b"))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, hot: bool = False) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, frequent: dict[str, DataFrame | None]) -> DataFrame:
     """Links among pairs (a, b): 100 * |intersection| >= 85 * |union| of full sets, made again from whole texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,7 +212,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, hot: bool = Fa
                 keep.append(100 * both >= 85 * (len(x) + len(y) - both) and both > 0)
             yield p.loc[keep, ["a", "b"]]
 
-    return _beside(pairs, texts, scratch, {"t": "t"}, hot).select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
+    return _beside(pairs, texts, {"t": "t"}, frequent).select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -214,12 +222,15 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     length n takes about log n rounds and a star two. Nothing is gathered on the driver but a count.
     """
     edges = scratch.keep(links.select("a", "b").union(links.select("b", "a")).toDF("cls", "to"))
-    labels = scratch.keep(edges.groupBy("cls").agg(F.least(F.min("to"), F.first("cls")).alias("label")))
+    first = scratch.keep(edges.groupBy("cls").agg(F.least(F.min("to"), F.first("cls")).alias("label"), F.count(F.lit(1)).alias("c")))
+    centres = _hot(first.withColumnRenamed("cls", "to"), "to", "c", scratch)
+    labels = first.select("cls", "label")
     while True:
-        near = _deal(edges, "to", labels.withColumnRenamed("cls", "to"), scratch).groupBy("cls").agg(F.min("label").alias("near"))
+        near = _deal(edges, "to", labels.withColumnRenamed("cls", "to"), centres).groupBy("cls").agg(F.min("label").alias("near"))
         low = scratch.keep(labels.join(near, "cls").select("cls", F.least("label", "near").alias("now"), F.col("label").alias("old")))
         jump = labels.select(F.col("cls").alias("now"), F.col("label").alias("far"))
-        step = scratch.keep(_deal(low, "now", jump, scratch, "left").select("cls", F.least("now", "far").alias("label"), "old"))
+        large = _hot(low.groupBy("now").agg(F.count(F.lit(1)).alias("c")), "now", "c", scratch)
+        step = scratch.keep(_deal(low, "now", jump, large, "left").select("cls", F.least("now", "far").alias("label"), "old"))
         changed = step.where("label <> old").limit(1).count()
         scratch.drop(labels, low)
         labels = step.drop("old")
@@ -234,13 +245,14 @@ def _large_groups(full: DataFrame, cls: DataFrame, texts: DataFrame, scratch: Sc
     held = _rarest(shared, lambda n, m: n - _least(n) + 1).withColumn("s", F.col("n") - F.col("own"))
     held = held.where(F.col("s") * 100 >= F.col("n") * 85)
     lists = scratch.keep(held.select("cls", "n", "s", F.explode("v").alias("x")).select("cls", "n", "s", F.col("x.value").alias("value")))
-    pivot = lists.groupBy("value").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("share"), -F.col("cls"), "n", "s")).alias("p"))
-    pivot = scratch.keep(pivot.select("value", (-F.col("p.col2")).alias("p"), F.col("p.n").alias("pn"), F.col("p.s").alias("ps")))
+    pivot = lists.groupBy("value").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("share"), -F.col("cls"), "n", "s")).alias("p"), F.count(F.lit(1)).alias("c"))
+    pivot = scratch.keep(pivot.select("value", (-F.col("p.col2")).alias("p"), F.col("p.n").alias("pn"), F.col("p.s").alias("ps"), "c"))
     can = lambda s, t, n, m: F.least(s, t) * 185 >= (F.col(n) + F.col(m)) * 85
-    met = scratch.keep(_deal(lists, "value", pivot, scratch))
+    met = scratch.keep(_deal(lists, "value", pivot, _hot(pivot, "value", "c", scratch)).drop("c"))
     first = met.where((F.col("cls") != F.col("p")) & can(F.col("s"), F.col("ps"), "n", "pn"))
     first = scratch.keep(_ordered(first.select(F.col("cls").alias("a"), F.col("p").alias("b"))))
-    links = scratch.keep(_verify(_hopeful(first, cls, scratch, True), texts, scratch, True))
+    often = _frequent(first, scratch)
+    links = scratch.keep(_verify(_hopeful(first, cls, scratch, often), texts, often))
     label = components(links, scratch)
     named = scratch.keep(met.join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")))
     home = label.select(F.col("cls").alias("p"), F.col("label").alias("home"))
@@ -266,7 +278,9 @@ def _large_groups(full: DataFrame, cls: DataFrame, texts: DataFrame, scratch: Sc
     small = (F.col("bn") - F.col("d")) * 185 >= (F.col("n") + F.col("bn")) * 85
     rest = rest.union(named.join(few, "value").where(differ & small).select(F.col("cls").alias("a"), "b"))
     rest = _ordered(rest).join(first, ["a", "b"], "left_anti")
-    return links.unionByName(_verify(_hopeful(scratch.keep(rest), cls, scratch, True), texts, scratch, True))
+    rest = scratch.keep(rest)
+    often = _frequent(rest, scratch)
+    return links.unionByName(_verify(_hopeful(rest, cls, scratch, often), texts, often))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -298,7 +312,8 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -
     )
     lists = scratch.keep(lists.select("cls", F.explode("v").alias("x")).select("cls", F.col("x.value").alias("value")))
     short, long = _split(lists, scratch)
-    near = _hopeful(scratch.keep(_ordered(pairs.union(_pairs_of(short)))), cls, scratch)
+    # a class is in few such pairs: it has at most SKETCH short lists
+    near = _hopeful(scratch.keep(_ordered(pairs.union(_pairs_of(short)))), cls, scratch, {})
 
     grouped = scratch.keep(long.select("cls").distinct())
     text = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h"))
@@ -314,7 +329,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -
                 yield pd.DataFrame({"cls": c, "n": len(s), "m": len(s), "value": _signed(s)})
 
     full = texts.join(grouped, "cls", "left_semi").mapInPandas(explode_sets, "cls long, n long, m int, value long")
-    links = _large_groups(scratch.keep(full), cls, texts, scratch).unionByName(_verify(near, texts, scratch))
+    links = _large_groups(scratch.keep(full), cls, texts, scratch).unionByName(_verify(near, texts, {}))
     labels = components(scratch.keep(links), scratch)
     joined = cls.join(labels, "cls", "left").select("digest", "cls", "m", F.coalesce("label", "cls").alias("key"))
     # classes not named by their doc_id may have a smaller one than their component's name
