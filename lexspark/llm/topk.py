@@ -58,8 +58,8 @@ def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 class _Queries:
     """The queries of a block with vectors of one length, cut into lists."""
 
-    def __init__(self, ids: list[int], vectors: list[list[float]]):
-        self.ids, self.q = np.array(ids, np.int64), np.floor(SCALE * np.array(vectors, float))
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.q = ids, np.floor(SCALE * vectors)
         n = self.q.shape[1]
         self.lists = [slice(c[0], c[-1] + 1) for c in np.array_split(np.arange(n), min(LISTS, n))]
         self.norms = self.norms_of(self.q)
@@ -77,11 +77,12 @@ class _Queries:
         return self.q.astype(np.int64), x.astype(np.int64)
 
 
-def _by_length(queries: list[tuple[int, list[float]]]) -> dict[int, _Queries]:
+def _by_length(queries: list[tuple[int, list[float]]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of each length: plain arrays, which a broadcast takes to executors that know nothing of this module."""
     by: dict[int, list] = {}
     for i, v in queries:
         by.setdefault(len(v), []).append((i, v))
-    return {n: _Queries([i for i, _ in qs], [v for _, v in qs]) for n, qs in by.items()}
+    return {n: (np.array([i for i, _ in qs], np.int64), np.array([v for _, v in qs], float)) for n, qs in by.items()}
 
 
 def _totals(q: np.ndarray, x: np.ndarray, r: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -129,10 +130,10 @@ def _local_lists(queries, k: int, counts):
     """Phase 1: the k highest entries of each query's strongest list, resolved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(k)
+        held, block = _Held(k), {n: _Queries(*x) for n, x in queries.value.items()}
         for b in batches:
             for ids, x in _matrices(b):
-                own = queries.value.get(x.shape[1])
+                own = block.get(x.shape[1])
                 if own is None:
                     continue
                 q, x = own.exact(x)
@@ -158,10 +159,10 @@ def _entries(queries, cutoffs, k: int, counts):
     """Phases 2 and 3: entries that reach their share of the cutoff in some list, resolved; the k best of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(k)
+        held, block = _Held(k), {n: _Queries(*x) for n, x in queries.value.items()}
         for b in batches:
             for ids, x in _matrices(b):
-                own = queries.value.get(x.shape[1])
+                own = block.get(x.shape[1])
                 if own is None:
                     continue
                 cut = np.array([cutoffs.value.get(i, -np.inf) for i in own.ids.tolist()])
@@ -238,7 +239,7 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id
         cutoffs.destroy()
     if work is not None:
         size = {r["n"]: (r["q"], r["r"]) for r in rows.groupBy(F.size("v").alias("n")).agg(F.count(F.when(F.col("i") % every == 0, 1)).alias("q"), F.count(F.lit(1)).alias("r")).collect()}
-        work.update({c: a.value for c, a in counts.items()}, all=sum(m * q * r for m, (q, r) in size.items()))
+        work.update({c: int(a.value) for c, a in counts.items()}, all=sum(m * q * r for m, (q, r) in size.items()))
     if not paths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return spark.read.schema(found.schema).parquet(*paths)
