@@ -32,7 +32,7 @@ UNITS = frozenset(
 _NUMERIC = re.compile(r"[+-]?[\d][\d.,:/]*")
 _GLUED = re.compile(r"(\d)(?=[^\W\d_]|[%°€$£])|([€$£])(?=\d)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_CACHE = 200_000
+_CACHE = 300_000
 #: Tokens that are hashed at once.
 _CHUNK = 1 << 16
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -52,16 +52,17 @@ class Templates:
         self.table = np.zeros((1 << 12, 4), np.uint64)  # id, id within a sentence, ends a sentence, id of the word itself
 
     def _learn(self, raw: str) -> tuple[int, int, bool, int]:
-        ends = raw.rstrip("\"')]»”").endswith((".", "!", "?", ":", ";"))
-        if raw in UNITS:
+        bare = raw[-1].isalnum()  # most words: nothing at their edges to look at
+        ends = not bare and raw.rstrip("\"')]»”").endswith((".", "!", "?", ":", ";"))
+        if bare and raw[0].isalnum() or raw in UNITS:
             core = raw
         else:
-            core = _EDGES.sub("", raw)
+            core = raw[:-1] if not bare and raw[:-1].isalnum() else _EDGES.sub("", raw)
         if not core:
             return 0, 0, ends, 0
         low = core.lower()
         plain = xxhash.xxh3_64_intdigest(low.encode()) | 1 << 63
-        if _NUMERIC.fullmatch(core):
+        if (core[0].isdecimal() or core[0] in "+-") and _NUMERIC.fullmatch(core):
             return NUMBER, NUMBER, ends, plain
         if low in UNITS:
             plain = plain & ~0xFF | UNIT  # the last byte marks words that can be units
