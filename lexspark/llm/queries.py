@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, filter_audit, infill, licenses, near_dup, pfor, quotes, sharding, token_count, tokens, topk, toxicity
+from . import decontaminate, filter_audit, infill, licenses, near_dup, pfor, private_data, quotes, sharding, token_count, tokens, topk, toxicity
 from .common import table
 
 
@@ -53,6 +53,11 @@ def op10_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("text_clean", F.sha2(F.coalesce("text_clean", F.lit("")), 256)).withColumnRenamed("text_clean", "clean_sha256")
 
 
+def op11_boosted_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = private_data.scan(table(spark, sf_dir, "documents"), private_data.train(spark))
+    return out.select("doc_id", *[f"n_{k}" for k in private_data.KINDS], F.sha2(private_data.joined(F.col("base")), 256).alias("base_sha256"), private_data.joined(F.col("spans")).alias("spans"))
+
+
 def op12_event_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = infill.transform(table(spark, sf_dir, "documents"))
     sha = lambda c: F.sha2(c, 256)
@@ -64,7 +69,7 @@ def op13_filter_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_byte_bpe, op2_slot_shards, op3_template_leaks, op4_pfor_files, op5_bottom_k_near_dup, op6_license_index, op7_threshold_topk, op8_separator_counts, op9_counterfactual_toxicity, op10_quote_threads, op12_event_infill, op13_filter_matrix)
+    own = (op1_byte_bpe, op2_slot_shards, op3_template_leaks, op4_pfor_files, op5_bottom_k_near_dup, op6_license_index, op7_threshold_topk, op8_separator_counts, op9_counterfactual_toxicity, op10_quote_threads, op11_boosted_private_data, op12_event_infill, op13_filter_matrix)
     return {f.__name__: f for f in own}
 
 
