@@ -1,6 +1,6 @@
 """Toxicity by a counterfactual-regularised classifier.
 
-A logistic model on hashed words and word beginnings. For labelled texts that mention a group, the
+A logistic model on hashed words and word beginnings that go with the labels beyond chance. For labelled texts that mention a group, the
 same text with another group's term is made, and the squared change of the score between the two
 is penalised, so the mention itself neither raises nor lowers a score.
 """
@@ -22,15 +22,18 @@ from pyspark.sql.window import Window
 
 from .common import bound_batches
 
-BITS = 18
 #: Word beginnings that count as features, so inflected forms share their stem.
-STEMS = (4, 5)
+STEMS = (5, 7)
 #: Labelled rows of each class that a model is fitted on, at most (the bound of the training sample).
 PER_CLASS = 3000
 #: Features of the sampled rows of a class that the driver takes, at most: 128 MB.
-FEATURES = 1 << 25
-#: Highest logit of a base rate, and the number of features that is half of much text.
-MOST_BASE, MASS = -0.2, 64
+FEATURES = 1 << 24
+#: Highest logit of a base rate, and the least evidence that may ever outweigh it.
+MOST_BASE, LEAST_EVIDENCE = -0.2, 0.25
+#: A feature counts if as many texts have it and its share of toxic ones is as many standard errors off the sample's.
+LEAST_TEXTS, LEAST_Z = 3, 4.5
+#: Of all held-back rows, as many times the labelled share may score one half or more.
+MOST_FLAGGED = 1.5
 #: Weight of the squared score change under a swap, and of the squared weights.
 COUNTERFACTUAL, RIDGE, ROUNDS = 1.0, 1e-4, 200
 #: Terms that name groups of people, by kind; a term is swapped for others of its kind.
@@ -48,16 +51,14 @@ _CACHE = 100_000
 
 
 class Features:
-    """Distinct feature numbers of a text."""
+    """Distinct feature numbers of a text: 64-bit hashes of words and of their beginnings."""
 
     def __init__(self):
         self.of: dict[str, tuple[int, ...]] = {}
 
-    @staticmethod
-    def _learn(w: str) -> tuple[int, ...]:
-        mask = (1 << BITS) - 1
+    def _learn(self, w: str) -> tuple[int, ...]:
         raw = [xxhash.xxh3_64_intdigest(w.encode())] + [xxhash.xxh3_64_intdigest(w[:n].encode(), seed=n) for n in STEMS if len(w) >= n]
-        return tuple(x & mask for x in raw)
+        return tuple(x >> 1 for x in raw)
 
     def __call__(self, words: set[str]) -> np.ndarray:
         new = words.difference(self.of)
@@ -65,7 +66,18 @@ class Features:
             self.of.clear()
             new = words
         self.of.update((w, self._learn(w)) for w in new)
-        return np.unique(np.fromiter(chain.from_iterable(map(self.of.__getitem__, words)), np.int32))
+        return np.unique(np.fromiter(chain.from_iterable(map(self.of.__getitem__, words)), np.int64))
+
+
+class Known(Features):
+    """Places of a text's features in a model, those alone that it has."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.place = {f: k for k, f in enumerate(model.features.tolist())}
+
+    def _learn(self, w: str) -> tuple[int, ...]:
+        return tuple(self.place[f] for f in super()._learn(w) if f in self.place)
 
 
 def tokens(text: str | None) -> set[str]:
@@ -83,25 +95,33 @@ def swaps(words: set[str], rng: random.Random) -> set[str] | None:
     return out
 
 
-def _mass(size: np.ndarray) -> np.ndarray:
-    """How much text there is, from 0 (none) towards 1, by the number of features."""
-    return size / (size + MASS)
-
-
 class Model:
-    """A text's logit: the bias, which is that of the base rate, ``level`` in proportion to how much text there is, and the weights of its features."""
+    """A text's logit: the bias, which is that of the base rate, and the weights of those of its features that the model has.
 
-    def __init__(self, weights: np.ndarray, bias: float, level: float = 0.0):
-        self.weights, self.bias, self.level = weights, bias, level
+    What a model has not seen says nothing: such a text scores the base rate, however long it is.
+    """
+
+    def __init__(self, features: np.ndarray, weights: np.ndarray, bias: float):
+        self.features, self.weights, self.bias = features, weights, bias
 
-    def logits(self, rows: list[np.ndarray]) -> np.ndarray:
-        """Logits of texts, from their features, by one product with a sparse matrix of ones."""
-        size = np.array([len(r) for r in rows], np.int64)
-        of = self.weights[np.concatenate([*rows, np.zeros(0, np.int32)])].astype(float)
-        return self.bias + self.level * _mass(size) + np.bincount(np.repeat(np.arange(len(rows)), size), of, len(rows))
+    def evidence(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Sums of weights of texts, from the places of their features, by one product with a sparse matrix of ones."""
+        of = self.weights[np.concatenate([*rows, np.zeros(0, np.int64)])]
+        return np.bincount(np.repeat(np.arange(len(rows)), [len(r) for r in rows]), of, len(rows))
 
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(rows), -700, 700)))
+        return 1 / (1 + np.exp(-np.clip(self.bias + self.evidence(rows), -700, 700)))
+
+    def places(self, rows: list[np.ndarray]) -> list[np.ndarray]:
+        """Feature numbers as places; those that the model lacks are left out."""
+        if not len(self.features):
+            return [np.zeros(0, np.int64)] * len(rows)
+        at = [np.minimum(np.searchsorted(self.features, r), len(self.features) - 1) for r in rows]
+        return [k[self.features[k] == r] for k, r in zip(at, rows, strict=True)]
+
+    def of_texts(self, texts: list[str | None]) -> np.ndarray:
+        make = Known(self)
+        return self.scores([make(tokens(t)) for t in texts])
 
 
 def featured(text: str | None, make: Features) -> tuple[np.ndarray, np.ndarray | None]:
@@ -123,9 +143,9 @@ def fit(texts: list[str | None], labels: list[int], weights: list[float], counte
 def fit_features(rows: list[np.ndarray], others: list[np.ndarray | None], labels: list[int], weights: list[float], halves: list[int], counterfactual: float = COUNTERFACTUAL) -> Model:
     """A model whose score of one half is the cut that tells held-back training rows apart best.
 
-    The bias stays at the base rate, which a text without words therefore scores. Two models, each
-    fitted on one half of the rows, score the other half; the level of the model of all rows is moved
-    by the cut found there.
+    The bias stays at the base rate. Two models, each fitted on one half of the rows, weigh the
+    other half; the evidence at the best cut there is scaled to make up for the bias, no more and no
+    less, so a text without evidence keeps the base rate.
     """
     y, sw, half = np.array(labels, float), np.array(weights, float), np.array(halves, int)
     every = np.array([k for k in range(len(rows)) if len(rows[k])], int)  # texts without words teach nothing
@@ -135,19 +155,20 @@ def fit_features(rows: list[np.ndarray], others: list[np.ndarray | None], labels
         a, b = every[half[every] == side], every[half[every] != side]
         if not len(b) or len(set(y[a])) < 2:
             return whole
-        z[b] = _solve(rows, others, a, y, sw, counterfactual).logits([rows[k] for k in b])
-    z = z[every] / _mass(np.array([len(rows[k]) for k in every]))
-    return Model(whole.weights, whole.bias, whole.level - _cut(z, y[every], sw[every]))
+        part = _solve(rows, others, a, y, sw, counterfactual)
+        z[b] = part.evidence(part.places([rows[k] for k in b]))
+    return Model(whole.features, whole.weights * (-whole.bias / max(_cut(z[every], y[every], sw[every]), LEAST_EVIDENCE)), whole.bias)
 
 
-def _cut(z: np.ndarray, y: np.ndarray, sw: np.ndarray) -> float:
-    """The cut of logits with the highest weighted F1, in the middle of the widest gap that has it."""
+def _cut(z: np.ndarray, y: np.ndarray, sw: np.ndarray, most: float = MOST_FLAGGED) -> float:
+    """The cut of evidence with the highest weighted F1, in the middle of the widest gap that has it, among those that flag at most ``most`` times the labelled share."""
     order = np.argsort(z)
     z, pos, neg = z[order], (sw * (y == 1))[order], (sw * (y == 0))[order]
     hit = pos.sum() - np.concatenate([[0], np.cumsum(pos)])
     false = neg.sum() - np.concatenate([[0], np.cumsum(neg)])
     f1 = 2 * hit / np.maximum(hit + false + pos.sum(), 1e-9)
     low, high = np.concatenate([[z[0] - 1], z]), np.concatenate([z, [z[-1] + 1]])
+    f1[(hit + false > most * pos.sum()) | (low == high)] = -1  # no cut parts equal rows
     best = np.flatnonzero(f1 >= f1.max() - 1e-12)
     k = best[np.argmax((high - low)[best])]
     return float((low[k] + high[k]) / 2)
@@ -157,49 +178,43 @@ def _solve(rows: list[np.ndarray], others: list[np.ndarray | None], own: np.ndar
     """Full-batch Adam on the weighted log loss, the ridge and the counterfactual penalty, over the logit of the base rate.
 
     With one class only, the base rate.
-
     ``rows`` are the features of each text, ``others`` those of its swapped form; ``own`` the texts to fit.
     """
     y, sw = y[own], sw[own]
     if len(set(y)) < 2:
         rate = min(max(float(y.mean()) if len(y) else 0.0, 0.01), 0.99)
-        return Model(np.zeros(1 << BITS, np.float32), float(np.log(rate / (1 - rate))))
+        return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(rate / (1 - rate))))
     mine, swapped = [rows[k] for k in own], [others[k] for k in own]
-    col, row = np.concatenate(mine), np.repeat(np.arange(len(mine), dtype=np.int32), [len(r) for r in mine])
-    # features in three texts or more; renumbered, so that a step costs what is used
-    used = np.flatnonzero(np.bincount(col, minlength=1 << BITS) >= 3)
-    place = np.full(1 << BITS, -1, np.int32)
-    place[used] = np.arange(len(used))
-    col, row = place[col], row[place[col] >= 0]
-    col = col[col >= 0]
+    # only features that go with the labels beyond chance: the many rare ones of a small sample would add up to noise
+    used, place, times = np.unique(np.concatenate(mine), return_inverse=True, return_counts=True)
+    toxic = np.bincount(place, np.repeat(y, [len(r) for r in mine]), len(used))
+    off = np.abs(toxic - times * y.mean()) / np.sqrt(times * y.mean() * (1 - y.mean()))
+    model = Model(used[(times >= LEAST_TEXTS) & (off >= LEAST_Z)], np.zeros(0), 0.0)
+    placed = model.places(mine)
+    col, row = np.concatenate(placed), np.repeat(np.arange(len(mine)), [len(r) for r in placed])
     # differences of swapped texts: +1 what the text has alone, -1 what its counterpart has alone
     d_col, d_row, d_val, n_diff = [], [], [], 0
     for r, o in zip(mine, swapped, strict=True):
         if o is not None:
             for fs, v in ((np.setdiff1d(r, o), 1.0), (np.setdiff1d(o, r), -1.0)):
-                fs = place[fs][place[fs] >= 0]
+                fs = model.places([fs])[0]
                 d_col.append(fs), d_row.append(np.full(len(fs), n_diff)), d_val.append(np.full(len(fs), v))
             n_diff += 1
     if n_diff:
         d_col, d_row, d_val = map(np.concatenate, (d_col, d_row, d_val))
-    n, f, total = len(mine), len(used), sw.sum()
-    w, b, level = np.zeros(f), min(float(np.log((sw @ y + 1) / (sw @ (1 - y) + 1))), MOST_BASE), 0.0
-    mass = _mass(np.array([len(r) for r in mine]))
-    m = v = np.zeros(f + 1)
+    n, f, total = len(mine), len(model.features), sw.sum()
+    w, b = np.zeros(f), min(float(np.log((sw @ y + 1) / (sw @ (1 - y) + 1))), MOST_BASE)
+    m = v = np.zeros(f)
     for step in range(1, ROUNDS + 1):
-        z = b + level * mass + np.bincount(row, w[col], minlength=n)
+        z = b + np.bincount(row, w[col], minlength=n)
         g = sw * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / total
         grad = np.bincount(col, g[row], minlength=f) + RIDGE * w
         if n_diff:
             change = np.bincount(d_row, d_val * w[d_col], minlength=n_diff)
             grad += np.bincount(d_col, 2 * counterfactual / n_diff * change[d_row] * d_val, minlength=f)
-        both = np.append(grad, g @ mass)
-        m, v = 0.9 * m + 0.1 * both, 0.999 * v + 0.001 * both**2
-        move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-12)
-        w, level = w - move[:-1], level - move[-1]
-    out = np.zeros(1 << BITS, np.float32)
-    out[used] = w
-    return Model(out, b, float(level))
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        w = w - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-12)
+    return Model(model.features, w, b)
 
 
 def _fold(id_col: str):
@@ -233,18 +248,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     so_far = F.sum("n").over(Window.partitionBy("y").orderBy("o", "id"))
     rows = sorted(made.withColumn("held", so_far).where(F.col("held") <= features).collect(), key=lambda r: (r["o"], r["id"]))
     n = Counter(r["y"] for r in rows)
-    array = lambda x: None if x is None else np.frombuffer(x, np.int32)
+    array = lambda x: None if x is None else np.frombuffer(x, np.int64)
     return fit_features([array(r["r"]) for r in rows], [array(r["s"]) for r in rows], [r["y"] for r in rows], [size[r["y"]] / n[r["y"]] for r in rows], [r["o"] & 1 for r in rows])
 
 
 def _scorer(spark, model: Model):
-    """Scores of a batch's texts, on executors; the weights are broadcast once: 2**BITS of them."""
-    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.bias, model.level))
+    """Scores of a batch's texts, on executors; the model is broadcast once: at most a third of ``2 * FEATURES`` numbers and weights."""
+    shared = spark.sparkContext.broadcast((model.features, model.weights.astype(np.float32), model.bias))
     state: dict = {}
 
     def scores(texts: list[str | None]) -> np.ndarray:
         if not state:
-            state.update(make=Features(), model=Model(*shared.value))
+            features, weights, bias = shared.value
+            state["model"] = Model(features, weights.astype(float), bias)
+            state["make"] = Known(state["model"])
         out = [state["model"].scores([state["make"](tokens(t)) for t in texts[at : at + 256]]) for at in range(0, len(texts), 256)]
         return np.concatenate([*out, np.zeros(0)])
 
@@ -254,8 +271,8 @@ def _scorer(spark, model: Model):
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores of whole texts by a fitted model: doc_id, held_out, score, predicted. A narrow scan.
 
-    Null and empty texts, and those of unknown words alone, score the base rate of the labelled rows,
-    which is below one half unless all labels are 1. A very long text counts by its distinct words. A
+    Null and empty texts, and those of words that the model has not, score the base rate of the labelled
+    rows, however long they are; it is below one half unless all labels are 1. A very long text counts by its distinct words. A
     null id counts as held out; repeated rows stay; an empty table gives no rows; other columns are
     ignored.
     """

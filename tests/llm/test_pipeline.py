@@ -48,6 +48,20 @@ def test_no_stage_loses_another_text_of_an_id_or_a_clean_null_row(spark):
     assert all(r in left for r in rows)
 
 
+def test_a_language_without_labels_is_kept(spark):
+    import random
+
+    rng = random.Random(3)
+    docs = table(spark, SF, "documents")
+    fields = [f.name for f in docs.schema]
+    texts = [" ".join("".join(chr(0x3B1 + rng.randrange(24)) for _ in range(rng.randrange(2, 9))) for _ in range(rng.choice([3, 40, 400, 2000]))) for _ in range(60)]
+    greek = spark.createDataFrame([tuple({"doc_id": 10**6 + k, "text": t, "lang": "el"}.get(f) for f in fields) for k, t in enumerate(texts)], docs.schema)
+    left = docs.unionByName(greek)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, SF)
+    assert {r.doc_id for r in left.where("doc_id >= 1000000").collect()} == {10**6 + k for k in range(60)}
+
+
 def test_the_whole_pipeline_equals_brute_force(spark, tmp_path):
     import base64
     import random
@@ -82,8 +96,9 @@ def test_the_whole_pipeline_equals_brute_force(spark, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
 
     at = f"file://{tmp_path}"
-    model, make = toxicity.train(table(spark, at, "documents"), table(spark, at, "labels")), toxicity.Features()
-    clean = [(i, t) for i, t in docs if model.scores([make(toxicity.tokens(t))])[0] < 0.5]
+    model = toxicity.train(table(spark, at, "documents"), table(spark, at, "labels"))
+    scores = model.of_texts([t for _, t in docs])
+    clean = [d for d, x in zip(docs, scores, strict=True) if x < 0.5]
     assert 60 < len(clean) < len(docs)
     kept = {i for i, _, _, keep in brute(clean) if keep}
     single = [(i, t) for i, t in clean if i in kept]
