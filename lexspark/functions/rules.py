@@ -79,6 +79,10 @@ REL_TYPES = (
     (r"a\s+que\s+(?:se\s+)?refere\s+(?:o\s+)?(?:art|§|inciso)", "REFERENCIA", 0.72),
 )
 REL_DEFAULT, REL_WINDOW = ("CITA", 0.5), 120
+#: Relations that change what a norm says, all relations, and the least confidence at which an expansion follows each.
+REL_IMPACT = ("REVOGA_EXPRESSAMENTE", "ALTERA_EXPRESSAMENTE", "REGULAMENTA", "EXCEPCIONA", "DEPENDE_DE")
+REL_BROAD = (*REL_IMPACT, "REFERENCIA", "CITA")
+REL_FLOORS = {**dict.fromkeys(REL_IMPACT, 0.80), "REFERENCIA": 0.0, "CITA": 0.0}
 REL_DESCRIPTIONS = {
     "CITA": "Citação genérica",
     "REFERENCIA": "Menção sem efeito jurídico",

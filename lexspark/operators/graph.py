@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import legal
+from ..sources.scratch import Scratch
 from .registry import last_wins
 
 PREVIEW, CITATION = 200, 500
@@ -33,26 +36,46 @@ def stubs(edge_table: DataFrame, node_table: DataFrame) -> DataFrame:
     return lost.select("node_id", F.substring_index(body, "#", 1).alias("document_id"), F.when(F.instr(body, "#") > 0, F.substring_index(body, "#", -1)).otherwise("").alias("span_id"), F.lit(True).alias("is_stub"))
 
 
-def expand(edge_table: DataFrame, seeds: DataFrame, hops: int = 2, least_tier: str = "LOW", rel_types: list[str] | None = None, floors: dict[str, float] | None = None, top_k: int | None = None) -> DataFrame:
-    """Nodes within ``hops`` of the seeds (node_id) over edges that pass tier, relation types and their floors of confidence.
+def followed(edge_table: DataFrame, least_tier: str = "LOW", rel_types: list[str] | None = None, floors: dict[str, float] | float | None = None) -> DataFrame:
+    """Edges that an expansion may follow: of a tier, of allowed relations, and at or above their relation's floor.
 
-    Result: node_id, hop (the least), frequency (edges that led there at that hop). Each round joins
-    the new frontier alone and leaves out what was reached before.
+    ``floors`` is a number for all relations, or a number for each; other relations have none. The
+    confidence of the relation counts where the table has it, else that of the edge.
     """
     e = edge_table.where(F.coalesce(F.try_element_at(legal._map(TIERS), F.col("confidence_tier")), F.lit(0)) >= TIERS[least_tier])
     if rel_types is not None:
         e = e.where(F.col("rel_type").isin(*rel_types))
-    for rel, floor in (floors or {}).items():
-        e = e.where((F.col("rel_type") != rel) | (F.col("confidence") >= floor))
-    e = e.select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("to"))
-    start = seeds.select("node_id").distinct()
-    seen = start.select("node_id", F.lit(0).alias("hop"), F.lit(0).cast("long").alias("frequency"))
-    frontier = start
-    for hop in range(1, hops + 1):
-        step = frontier.join(e, "node_id").groupBy(F.col("to").alias("node_id")).agg(F.count(F.lit(1)).alias("frequency"))
-        step = step.join(seen.select("node_id"), "node_id", "left_anti").select("node_id", F.lit(hop).alias("hop"), "frequency")
-        seen, frontier = seen.unionByName(step), step.select("node_id")
-    found = seen.where("hop > 0")
+    sure = F.coalesce("rel_type_confidence" if "rel_type_confidence" in edge_table.columns else "confidence", F.lit(0.0))
+    if isinstance(floors, dict) and floors:
+        return e.where(sure >= F.coalesce(F.try_element_at(legal._map(floors), F.col("rel_type")), F.lit(float("-inf"))))
+    return e if floors is None or isinstance(floors, dict) else e.where(sure >= floors)
+
+
+def expand(edge_table: DataFrame, seeds: DataFrame, hops: int | None = 2, least_tier: str = "LOW", rel_types: list[str] | None = None, floors: dict[str, float] | float | None = None, top_k: int | None = None) -> DataFrame:
+    """Nodes within ``hops`` of the seeds (node_id), or all that can be reached, over edges that pass ``followed``.
+
+    Result: node_id, hop (the least), frequency (edges that led there at that hop), rel_types (of
+    those edges, sorted). Circles end where a node was reached before. Each round reads the edges once
+    against the nodes that the round before reached first, and writes those; the rows of a recursive
+    query could not be made distinct between rounds, and paths through hubs would multiply.
+    """
+    scratch = Scratch(edge_table.sparkSession, "expand")
+    e = followed(edge_table, least_tier, rel_types, floors).select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("to"), "rel_type")
+    if hops is None or hops > 1:
+        e = scratch.keep(e)
+    frontier = scratch.keep(seeds.select("node_id").where("node_id is not null").distinct())
+    rounds = [frontier.select("node_id", F.lit(0).alias("hop"), F.lit(0).cast("long").alias("frequency"), F.array().cast("array<string>").alias("rel_types"))]
+    hop = 0
+    while hops is None or hop < hops:
+        hop += 1
+        step = frontier.join(e, "node_id").groupBy(F.col("to").alias("node_id")).agg(F.lit(hop).alias("hop"), F.count(F.lit(1)).alias("frequency"), F.array_sort(F.collect_set("rel_type")).alias("rel_types"))
+        seen = reduce(DataFrame.unionByName, rounds).select("node_id")
+        step = scratch.keep(step.join(seen, "node_id", "left_anti"))
+        if step.isEmpty():
+            break
+        frontier = step.select("node_id")
+        rounds = [*rounds, step] if len(rounds) < 8 else [scratch.keep(reduce(DataFrame.unionByName, rounds)), step]
+    found = reduce(DataFrame.unionByName, rounds).where("hop > 0")
     return found if top_k is None else found.orderBy("hop", F.desc("frequency"), "node_id").limit(top_k)
 
 

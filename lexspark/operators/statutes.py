@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import legal, rules, text
+from . import recursion
 
 DEVICES = ("article", "paragraph", "inciso", "alinea")
 
@@ -249,17 +250,14 @@ def ocr_quality(device_table: DataFrame, canonical: DataFrame, pages: DataFrame)
 
 
 def subtree_text(device_table: DataFrame) -> DataFrame:
-    """retrieval_text of each device: its text and its subtree's, depth first in structural order.
+    """retrieval_text of each device: its text and its subtree's, depth first in structural order, however deep.
 
-    Depth is at most 3, so three rounds from the bottom join each level into the one above it.
+    A recursive query pairs devices with all below them; a span that leads back to itself ends there.
     """
-    t = device_table.withColumn("retrieval_text", F.col("text"))
-    for depth in (3, 2, 1):
-        kids = t.where(F.col("hierarchy_depth") == depth).groupBy("document_id", F.col("parent_span_id").alias("span_id")).agg(
-            F.array_join(F.sort_array(F.collect_list(F.struct(legal.child_order(F.col("span_id")).alias("o"), "char_start", "retrieval_text")))["retrieval_text"], "\n").alias("below")
-        )
-        t = t.join(kids, ["document_id", "span_id"], "left").withColumn("retrieval_text", F.concat_ws("\n", "retrieval_text", "below")).drop("below")
-    return t
+    own = F.transform(F.sort_array(F.collect_list(F.struct("path", "text"))), lambda x: x["text"])
+    below = recursion.descendants(device_table).groupBy("document_id", F.col("ancestor").alias("span_id")).agg(F.array_join(own, "\n").alias("below"))
+    t = device_table.join(below, ["document_id", "span_id"], "left")
+    return t.withColumn("retrieval_text", F.concat_ws("\n", "text", "below")).drop("below").select(*device_table.columns, "retrieval_text")
 
 
 def to_chunks(device_table: DataFrame, requests: DataFrame, canonical: DataFrame) -> DataFrame:

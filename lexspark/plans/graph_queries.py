@@ -144,6 +144,35 @@ def khop_reach(spark, d):
     return graph.expand(graph.edges(_edges(spark, d)), seeds, hops=2, least_tier="MEDIUM", rel_types=["CITA"]).select("node_id", "hop")
 
 
+_RELS = "element_at(array('CITA', 'REFERENCIA', 'REGULAMENTA', 'DEPENDE_DE', 'EXCEPCIONA'), cast(l_linenumber % 5 as int) + 1)"
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT s, g, rel, max(c) AS c, CASE WHEN max(l_tax) >= 0.06 THEN 'HIGH' WHEN max(l_tax) >= 0.03 THEN 'MEDIUM' ELSE 'LOW' END AS tier FROM (SELECT {_EDGE}, ['CITA', 'REFERENCIA', 'REGULAMENTA', 'DEPENDE_DE', 'EXCEPCIONA'][l_linenumber % 5 + 1] AS rel, l_discount * 10 AS c, l_tax FROM lineitem) GROUP BY s, g, rel),
+ f AS (SELECT * FROM e WHERE tier <> 'LOW' AND rel <> 'EXCEPCIONA' AND c >= CASE WHEN rel IN ('CITA', 'REFERENCIA') THEN 0 ELSE 0.8 END),
+ r AS (SELECT 'leis:P' || (x * 70) AS n, 0 AS hop FROM range(1, 8) t(x) UNION SELECT f.g, r.hop + 1 FROM r JOIN f ON f.s = r.n WHERE r.hop < 4),
+ m AS (SELECT n, min(hop) AS hop FROM r GROUP BY n)
+ SELECT z.n AS node_id, CAST(z.hop AS INTEGER) AS hop, count(*) AS frequency, array_to_string(list_sort(list_distinct(list(f.rel))), ',') AS rel_types FROM m z JOIN f ON f.g = z.n JOIN m a ON a.n = f.s AND z.hop = a.hop + 1 GROUP BY z.n, z.hop ORDER BY hop, frequency DESC, node_id LIMIT 200""")
+def graph_expansion(spark, d):
+    """Four hops over edges of tier, allowed relations and each relation's own floor, circles included; the first 200."""
+    e = t(spark, d, "lineitem").selectExpr(*_EDGE.replace(" AS s, ", " AS source_node_id;").replace(" AS g", " AS target_node_id").split(";"), f"{_RELS} AS rel_type", "l_discount * 10 AS c", "l_tax")
+    e = e.groupBy("source_node_id", "target_node_id", "rel_type").agg(F.max("c").alias("rel_type_confidence"), F.max("l_tax").alias("x")).withColumn("confidence_tier", F.when(F.col("x") >= 0.06, "HIGH").when(F.col("x") >= 0.03, "MEDIUM").otherwise("LOW"))
+    seeds = spark.range(1, 8).select(F.concat(F.lit("leis:P"), (F.col("id") * 70).cast("string")).alias("node_id"))
+    out = graph.expand(e, seeds, hops=4, least_tier="MEDIUM", rel_types=[r for r in rules.REL_BROAD if r != "EXCEPCIONA"], floors=rules.REL_FLOORS, top_k=200)
+    return out.withColumn("rel_types", F.array_join("rel_types", ","))
+
+
+@query("SELECT concat('O', o_orderkey) AS node_id, CAST(r - 1 AS INTEGER) AS hop, CAST(1 AS BIGINT) AS frequency FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders) WHERE r > 1")
+def chain_reach(spark, d):
+    """All that the first order of each customer leads to, along chains as long as its orders, which close to circles."""
+    from pyspark.sql.window import Window
+
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    o = t(spark, d, "orders").select("o_orderkey", F.lead("o_orderkey").over(w).alias("next"), F.min("o_orderkey").over(w).alias("first"))
+    name = lambda c: F.concat(F.lit("O"), F.col(c).cast("string"))
+    e = o.select(name("o_orderkey").alias("source_node_id"), F.coalesce(name("next"), name("first")).alias("target_node_id"), F.lit("CITA").alias("rel_type"), F.lit(0.5).alias("confidence"), F.lit("LOW").alias("confidence_tier"))
+    return graph.expand(e, o.where("o_orderkey = first").select(name("first").alias("node_id")), hops=None).select("node_id", "hop", "frequency")
+
+
 @query(f"""WITH e AS (SELECT DISTINCT s, g FROM (SELECT {_EDGE} FROM lineitem) WHERE s <> g) SELECT (SELECT count(*) FROM part WHERE p_partkey % 3 = 0) AS nodes, count(*) AS edges, CAST(0 AS BIGINT) AS self_loops,
  count(*) FILTER (s NOT IN (SELECT concat('leis:P', p_partkey) FROM part WHERE p_partkey % 3 = 0) OR g NOT IN (SELECT concat('leis:P', p_partkey) FROM part WHERE p_partkey % 3 = 0)) AS dangling_edges FROM e""")
 def graph_audit(spark, d):

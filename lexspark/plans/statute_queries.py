@@ -376,3 +376,41 @@ def embedding_text(spark, d):
     p = t(spark, d, "part")
     chosen = vectors.choose_text(F.when(F.col("p_size") % 2 == 0, F.col("p_name")).otherwise(""), F.col("p_type"))
     return p.select("p_partkey", (F.length("p_name") > 0).alias("present"), F.left(chosen, F.lit(40)).alias("chosen"))
+
+
+#: A tree for each customer: its orders, each below the one before or below that of half its place; depths to dozens.
+_DEEP = "SELECT o_custkey, o_orderkey, k, CASE WHEN k = 1 THEN 0 WHEN o_custkey % 2 = 0 THEN k - 1 ELSE {0} END AS p, concat('N', o_orderkey % 100, ' ', k) AS x FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders)"
+
+
+@query(f"""WITH RECURSIVE n AS ({_DEEP.format("k // 2")}),
+ r AS (SELECT o_custkey, o_orderkey AS root, k, [k] AS path, x FROM n UNION ALL SELECT n.o_custkey, r.root, n.k, list_append(r.path, n.k), n.x FROM r JOIN n ON n.o_custkey = r.o_custkey AND n.p = r.k)
+ SELECT root AS o_orderkey, string_agg(x, chr(10) ORDER BY path) AS retrieval_text FROM r GROUP BY root""")
+def deep_subtree_text(spark, d):
+    o = t(spark, d, "orders")
+    o.createOrReplaceTempView("__deep_orders")
+    n = spark.sql(_DEEP.format("k div 2").replace("FROM orders", "FROM __deep_orders"))
+    span = lambda c: F.concat(F.lit("N-"), F.col(c).cast("string"))
+    tree = n.select("o_orderkey", F.col("o_custkey").cast("string").alias("document_id"), span("k").alias("span_id"), F.when(F.col("p") > 0, span("p")).otherwise("").alias("parent_span_id"), F.col("x").alias("text"), F.col("k").alias("char_start"))
+    return statutes.subtree_text(tree).select("o_orderkey", "retrieval_text")
+
+
+_NEST = "SELECT o_custkey, o_orderkey, CAST(k AS {0}) AS k, CASE WHEN o_orderkey % 23 = 0 THEN '' WHEN o_orderkey % 17 = 0 THEN 'absent' ELSE {1} END AS x, {1} AS whole FROM (SELECT o_custkey, o_orderkey, row_number() OVER w AS k, {2} OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS own FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))"
+
+
+@query(f"""WITH RECURSIVE n AS ({_NEST.format("INTEGER", "concat('Art. ', array_to_string(own, ' Art. '))", "list(o_orderkey % 97)")}),
+ c AS (SELECT c.o_custkey, c.o_orderkey, c.k, c.x, CASE WHEN p.k = 1 THEN p.whole ELSE p.x END AS above FROM n c JOIN n p ON p.o_custkey = c.o_custkey AND p.k = c.k - 1),
+ q AS (SELECT *, instr(above, x) - 1 AS at, CASE WHEN x = '' THEN 'EMPTY_TEXT' WHEN above = '' THEN 'INVALID_PARENT_RANGE' WHEN instr(above, x) = 0 THEN 'NOT_FOUND' WHEN instr(substr(above, instr(above, x) + 1), x) > 0 THEN 'AMBIGUOUS_MULTIPLE_MATCHES' END AS why FROM c),
+ r AS (SELECT o_custkey, o_orderkey, k, CAST(0 AS BIGINT) AS a, CAST(length(whole) AS BIGINT) AS z, CAST(NULL AS VARCHAR) AS reason FROM n WHERE k = 1
+  UNION ALL SELECT q.o_custkey, q.o_orderkey, q.k, CASE WHEN q.why IS NULL THEN r.a + q.at END, CASE WHEN q.why IS NULL THEN r.a + q.at + length(q.x) END, CASE WHEN q.why = 'EMPTY_TEXT' OR r.a IS NOT NULL THEN q.why ELSE 'INVALID_PARENT_RANGE' END FROM r JOIN q ON q.o_custkey = r.o_custkey AND q.k = r.k + 1)
+ SELECT o_orderkey, a AS start_at, z AS end_at, reason FROM r""")
+def deep_offsets(spark, d):
+    """Texts nested as deep as a customer has orders; some are empty, absent or stand twice, and what lies below them is unresolved."""
+    t(spark, d, "orders").createOrReplaceTempView("__nest_orders")
+    whole = "concat('Art. ', array_join(own, ' Art. '))"
+    n = spark.sql(_NEST.format("INT", whole, "collect_list(o_orderkey % 97)").replace("FROM orders", "FROM __nest_orders"))
+    doc, top = F.col("o_custkey").cast("string").alias("document_id"), F.col("k") == 1
+    dev = n.select(doc, F.concat(F.lit("N-"), F.col("o_orderkey").cast("string")).alias("key"), F.col("k"), F.when(top, F.col("whole")).otherwise(F.col("x")).alias("text"), F.when(top, 0).alias("char_start"), F.when(top, F.length("whole")).alias("char_end"), "o_orderkey")
+    span = lambda k: F.concat(F.lit("N-"), k.cast("string"))
+    dev = dev.withColumn("span_id", span(F.col("k"))).withColumn("parent_span_id", F.when(F.col("k") > 1, span(F.col("k") - 1)).otherwise(""))
+    got = offsets.resolve_tree(dev, n.where("k = 1").select(doc, F.col("whole").alias("canonical_text")))
+    return got.join(dev.select("document_id", "span_id", "o_orderkey"), ["document_id", "span_id"]).select("o_orderkey", F.col("start").alias("start_at"), F.col("end").alias("end_at"), "reason")

@@ -9,14 +9,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. A local session without one (tests) gets a local folder; on a cluster that is an error."""
+    """The folder in ``spark.checkpoint.dir``. A local session without one (tests) gets a local folder of its own; on a cluster that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="lexspark-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        if not _OWN:
+            _OWN.append("file://" + tempfile.mkdtemp(prefix="lexspark-"))
+        at = _OWN[0]
     return at.rstrip("/")
 
 
