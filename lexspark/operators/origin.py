@@ -1,17 +1,20 @@
 """Provenance: which chunks of a statute quote another norm that it amends.
 
 Scores are column expressions over each chunk and 800 characters around it. The state machine with
-two thresholds runs once over a document's chunks in order; as its zones have no bound but a count,
-it is a grouped Arrow function rather than a fold whose state would be copied at each step.
+two thresholds runs once over a document's chunks in order: a fold over sorted partitions in batch, a
+stateful operator with a buffer for chunks out of order on a stream.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import rules
 
@@ -48,15 +51,36 @@ def reference(area: Column) -> Column:
     return pick.otherwise(F.struct(F.lit("").alias("id"), F.lit("").alias("name")))
 
 
+#: Code points of a piece of canonical text.
+PIECE = 4000
+
+
+def _windows(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
+    """Chunks with the text before and after each, as far as the window reaches; empty without offsets or text.
+
+    Texts are cut into pieces that overlap by the window, and each chunk meets the piece where it starts and
+    the one where it ends, so no row carries a whole text and the length of a text costs nothing twice.
+    """
+    reach = rules.ZONE_WINDOW
+    cut = canonical.select("document_id", F.regexp_extract_all("canonical_text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("__a"))
+    whole = F.transform("__a", lambda x, i: F.concat(F.when(i > 0, F.right(F.get("__a", i - 1), F.lit(reach))).otherwise(""), x, F.coalesce(F.left(F.get("__a", i + 1), F.lit(reach)), F.lit(""))))
+    pieces = cut.select("document_id", F.posexplode(whole).alias("__n", "__piece"))
+    s, e = F.col("canonical_start"), F.col("canonical_end")
+    has = (s >= 0) & (e >= 0)
+    number = lambda at: F.when(has, F.floor(at / PIECE).cast("int"))
+    out = chunks.withColumn("__s", number(s)).withColumn("__e", number(e))
+    for name, at, n in (("before", s, "__s"), ("after", e, "__e")):
+        out = out.join(pieces.withColumnRenamed("__n", n), ["document_id", n], "left")
+        local = at - F.col(n) * PIECE + F.when(F.col(n) > 0, reach).otherwise(0)  # where the offset lies in the piece
+        low = F.greatest(local - reach, F.lit(0)) if name == "before" else local
+        text = F.substring(F.col("__piece"), (low + 1).cast("int"), (F.least(local, F.lit(reach)) if name == "before" else F.lit(reach)).cast("int"))
+        out = out.withColumn(name, F.coalesce(text, F.lit(""))).drop("__piece", n)
+    return out.select(*chunks.columns, "before", "after")
+
+
 def scores(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
     """Signs of start and end for each chunk: enter (without the article's number), exit, their reasons, number, reference."""
-    c = chunks.join(canonical.select("document_id", "canonical_text"), "document_id", "left")
-    s, e, whole = F.col("canonical_start"), F.col("canonical_end"), F.col("canonical_text")
-    has = (s >= 0) & (e >= 0) & whole.isNotNull()
-    lo = F.greatest(s - rules.ZONE_WINDOW, F.lit(0))
-    before = F.when(has, F.substring(whole, lo + 1, s - lo)).otherwise("")
-    after = F.when(has, F.substring(whole, e + 1, F.lit(rules.ZONE_WINDOW))).otherwise("")
-    c = c.withColumn("before", before).withColumn("after", after).drop("canonical_text")
+    c = _windows(chunks, canonical)
     t, area = F.col("text"), F.concat("before", "text")
     quote = F.when(F.col("before") == "", F.left(t, F.lit(200))).otherwise(F.concat(F.right("before", F.lit(200)), F.left(t, F.lit(200))))
     refers = [area.rlike(p) for p, *_ in rules.REFERENCES]
@@ -91,71 +115,176 @@ def confidence(target: str, name: str, entered: float, reasons: list[str]) -> st
     return "high" if e >= 0.7 - 1e-9 else "medium" if e >= 0.4 - 1e-9 else "low"
 
 
-def zones(rows: list[dict], compat: bool = False) -> list[tuple]:
+class Zones:
     """The state machine over a document's scored chunks in order: a zone opens at 0.60, closes with the chunk that reaches 0.40, or after 50.
 
     The host's highest article number is taken from the chunks before, and its successor is never
-    out of sequence; ``compat`` includes the chunk itself, so that none is.
+    out of sequence; ``compat`` includes the chunk itself, so that none is. The state is an open zone
+    and that number, whatever the document's length.
     """
-    out, zone, highest = [], None, 0.0
-    for r in rows:
-        if r["start"] is None or r["start"] < 0 or r["end"] < 0:
-            out.append(("self", False, "", "", "high", ""))
-            continue
+
+    def __init__(self, compat: bool = False, zone: dict | None = None, highest: float = 0.0):
+        self.compat, self.zone, self.highest = compat, zone, highest
+
+    def step(self, r: dict) -> tuple:
+        if r["start"] is None or r["start"] != r["start"] or r["start"] < 0 or r["end"] < 0:
+            return "self", False, "", "", "high", ""
         n = r["number"] if r["number"] is not None and r["number"] == r["number"] else None
-        if compat and zone is None and n is not None:
-            highest = max(highest, n)
-        odd = n is not None and highest > 0 and n > highest + 1 and (n >= 2 * highest or n >= highest + 100)
+        if self.compat and self.zone is None and n is not None:
+            self.highest = max(self.highest, n)
+        odd = n is not None and self.highest > 0 and n > self.highest + 1 and (n >= 2 * self.highest or n >= self.highest + 100)
         entered = r["enter"] + _W["sequence"] * odd
         signs = sorted([*r["enter_reasons"], *["out_of_sequence"] * odd], key=_ORDER.index)
         added, ends = [], False
-        if zone is None:
+        if self.zone is None:
             if entered >= rules.ENTER - 1e-9:
-                zone = {"id": r["id"], "name": r["name"], "score": entered, "why": list(signs), "n": 0}
+                self.zone = {"id": r["id"] or "", "name": r["name"] or "", "score": entered, "why": list(signs), "n": 0}
                 added = signs
             elif n is not None:
-                highest = max(highest, n)
+                self.highest = max(self.highest, n)
         else:
+            zone = self.zone
             zone["n"] += 1
             if r["id"] and not zone["id"]:
-                zone["id"], zone["name"] = r["id"], r["name"]
+                zone["id"], zone["name"] = r["id"], r["name"] or ""
             added = signs
             if r["exit"] >= rules.EXIT - 1e-9:
                 added, ends = list(r["exit_reasons"]), True
             elif zone["n"] >= rules.ZONE_TTL:
                 zone["why"].append("ttl_forced_close")
                 added, ends = ["ttl_forced_close"], True
-        if zone is None:
-            out.append(("self", False, "", "", "high", ""))
-        else:
-            why = " + ".join(dict.fromkeys([*zone["why"], *added]))
-            out.append(("external", True, zone["id"], zone["name"], confidence(zone["id"], zone["name"], zone["score"], zone["why"]), why))
+        if self.zone is None:
+            return "self", False, "", "", "high", ""
+        zone = self.zone
+        why = " + ".join(dict.fromkeys([*zone["why"], *added]))
         if ends:
-            zone = None
-    return out
+            self.zone = None
+        return "external", True, zone["id"], zone["name"], confidence(zone["id"], zone["name"], zone["score"], zone["why"]), why
+
+
+def zones(rows: list[dict], compat: bool = False) -> list[tuple]:
+    """What the machine says of a document's chunks."""
+    machine = Zones(compat)
+    return [machine.step(r) for r in rows]
+
+
+#: What the machine reads of a scored chunk, and its names in the table.
+_READ = {"start": "canonical_start", "end": "canonical_end", "number": "number", "enter": "enter", "enter_reasons": "enter_reasons", "exit": "exit", "exit_reasons": "exit_reasons", "id": "ref_id", "name": "ref_name"}
+_SCORED = ("number", "enter", "enter_reasons", "exit", "exit_reasons", "ref", "ref_id", "ref_name")
+_NAMES = [c.split()[0] for c in _OUT.split(", ")]
+
+
+def _flat(scored: DataFrame, own: list[str]) -> DataFrame:
+    return scored.select(*own, *_SCORED[:5], F.col("ref.id").alias("ref_id"), F.col("ref.name").alias("ref_name"))
+
+
+def _kinds(schema, own: list[str]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name in own)
 
 
 def classify(chunks: DataFrame, canonical: DataFrame, compat: bool = False) -> DataFrame:
     """Chunks with the six origin columns, one row each whatever its id. Chunks without offsets are the document's own.
 
-    A document's chunks pass through one task in order, as the zones ask; rows without a document are their own.
+    Chunks are sorted within partitions and streamed past the machine, which keeps the state of one
+    document and never its rows. A document's chunks pass through one task in order, as the zones
+    ask; rows without a document are one document.
     """
-    names = [c.split()[0] for c in _OUT.split(", ")]
-    scored = scores(chunks.drop(*names), canonical)
-    own = [c for c in chunks.columns if c not in names]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["canonical_start", "node_id"], kind="stable")
-        rows = [
-            {"start": s, "end": e, "number": n, "enter": a, "enter_reasons": list(ar), "exit": x, "exit_reasons": list(xr), "id": i or "", "name": m or ""}
-            for s, e, n, a, ar, x, xr, i, m in pdf[["canonical_start", "canonical_end", "number", "enter", "enter_reasons", "exit", "exit_reasons", "ref_id", "ref_name"]].itertuples(index=False)
-        ]
-        found = pd.DataFrame(zones(rows, compat), columns=names, index=pdf.index)
-        return pd.concat([pdf[own], found], axis=1)
-
-    flat = scored.select(*own, "number", "enter", "enter_reasons", "exit", "exit_reasons", F.col("ref.id").alias("ref_id"), F.col("ref.name").alias("ref_name"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema if f.name in own)
-    return flat.groupBy("document_id").applyInPandas(run, f"{kinds}, {_OUT}")
+    # columns of the chunks that are named as a score go by another name meanwhile
+    clash = {c: f"__own_{c}" for c in chunks.columns if c in (*_SCORED, "before", "after")}
+    chunks = chunks.drop(*_NAMES).withColumnsRenamed(clash)
+    scored, own = scores(chunks, canonical), chunks.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, machine = object(), None
+        for b in batches:
+            keys = b["document_id"].astype(object).where(b["document_id"].notna(), None).tolist()
+            out = []
+            for key, *values in zip(keys, *[b[c].tolist() for c in _READ.values()], strict=True):
+                if key != last:
+                    last, machine = key, Zones(compat)
+                out.append(machine.step(dict(zip(_READ, values, strict=True))))
+            yield pd.concat([b[own], pd.DataFrame(out, columns=_NAMES, index=b.index)], axis=1)
+
+    ordered = _flat(scored, own).repartition("document_id").sortWithinPartitions("document_id", "canonical_start", "node_id")
+    return ordered.mapInPandas(run, f"{_kinds(chunks.schema, own)}, {_OUT}").withColumnsRenamed({v: k for k, v in clash.items()})
+
+
+class ZoneStream(StatefulProcessor):
+    """The machine on a stream of scored chunks with their number in the document (seq, from 0).
+
+    State of a document: the machine and the number expected next, as JSON, and a map of the chunks
+    that came before their turn. They wait for the missing ones; if a wait ends, by a timer, what is there goes on
+    in order, and a chunk that comes after its turn is judged as the machine then stands.
+    """
+
+    def __init__(self, compat: bool, wait_ms: int):
+        self.compat, self.wait_ms = compat, wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.at = handle.getValueState("machine", "json string")
+        self.early = handle.getMapState("early", "seq long", "json string")
+
+    def _load(self) -> tuple[Zones, int]:
+        if not self.at.exists():
+            return Zones(self.compat), 0
+        got = json.loads(self.at.get()[0])
+        return Zones(self.compat, got["zone"], got["highest"]), got["next"]
+
+    def _save(self, machine: Zones, due: int) -> None:
+        self.at.update((json.dumps({"zone": machine.zone, "highest": machine.highest, "next": due}),))
+
+    def _frame(self, key, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        if rows:
+            out = pd.DataFrame(rows, columns=["node_id", *_NAMES])
+            out.insert(0, "document_id", key[0])
+            yield out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        machine, due = self._load()
+        out = []
+        new = sorted((r for b in rows for r in b.to_dict("records")), key=lambda r: r["seq"])
+        for r in new:
+            chunk = {k: list(r[c]) if k.endswith("reasons") else r[c] for k, c in _READ.items()} | {"node_id": r["node_id"]}
+            if r["seq"] > due:
+                self.early.updateValue((int(r["seq"]),), (json.dumps(chunk, default=float),))
+                continue
+            out.append((chunk["node_id"], *machine.step(chunk)))
+            due += r["seq"] == due
+            while self.early.containsKey((due,)):
+                waiting = json.loads(self.early.getValue((due,))[0])
+                self.early.removeKey((due,))
+                out.append((waiting["node_id"], *machine.step(waiting)))
+                due += 1
+        self._save(machine, due)
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if next(iter(self.early.keys()), None) is not None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
+        yield from self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        machine, due = self._load()
+        out = []
+        for seq in sorted(k[0] for k in self.early.keys()):
+            waiting = json.loads(self.early.getValue((seq,))[0])
+            self.early.removeKey((seq,))
+            out.append((waiting["node_id"], *machine.step(waiting)))
+            due = seq + 1
+        self._save(machine, due)
+        yield from self._frame(key, out)
+
+    def close(self) -> None:
+        pass
+
+
+def classify_stream(scored: DataFrame, compat: bool = False, wait_ms: int = 600_000) -> DataFrame:
+    """document_id, node_id and the origin columns for a stream of ``scores`` with ``seq``. Needs the RocksDB state store."""
+    slim = _flat(scored, ["document_id", "node_id", "seq", "canonical_start", "canonical_end"])
+    kinds = dict(scored.dtypes)
+    return slim.groupBy("document_id").transformWithStateInPandas(
+        statefulProcessor=ZoneStream(compat, wait_ms), outputStructType=f"document_id {kinds['document_id']}, node_id {kinds['node_id']}, {_OUT}", outputMode="Append", timeMode="ProcessingTime"
+    )
 
 
 def prefix_external(chunks: DataFrame) -> DataFrame:

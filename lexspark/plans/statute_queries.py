@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import legal, rules
 from ..operators import consolidation, offsets, origin, quality, registry, statutes, vectors
@@ -414,3 +415,33 @@ def deep_offsets(spark, d):
     dev = dev.withColumn("span_id", span(F.col("k"))).withColumn("parent_span_id", F.when(F.col("k") > 1, span(F.col("k") - 1)).otherwise(""))
     got = offsets.resolve_tree(dev, n.where("k = 1").select(doc, F.col("whole").alias("canonical_text")))
     return got.join(dev.select("document_id", "span_id", "o_orderkey"), ["document_id", "span_id"]).select("o_orderkey", F.col("start").alias("start_at"), F.col("end").alias("end_at"), "reason")
+
+
+#: Chunks of a document for each customer, one for each order, with a head and a tail by the order's key and 820 characters between,
+#: so that no window of 800 reaches another head. Kinds: own article, amendment, end of new wording, annex, chapter quoted from a decree,
+#: article out of sequence that refers to a law, end of a quotation, quoted chapter.
+_HEADS = (
+    "Art. 5º Texto próprio", "Art. 6º O art. 2º da Lei nº 8.987, de 13 de fevereiro de 1995, passa a vigorar com a seguinte redação: “Art. 2º Nova", "continua", "ANEXO II",
+    "“CAPÍTULO V do Decreto nº 10.024", "Art. 312 Nos termos da Lei nº 9.784, de 29 de janeiro de 1999,", "segue", "“CAPÍTULO I",
+)
+_TAILS = ("", "", ".” (NR)", "", "", "", ".”", "")
+_OF_KIND = lambda xs: "element_at(array(" + ", ".join(f"'{x}'" for x in xs) + "), kind + 1)"
+
+
+@query("""WITH RECURSIVE c AS (SELECT o_custkey, o_orderkey, o_orderkey * 7 // 3 % 8 AS kind, row_number() OVER w AS k, lead(o_orderkey * 7 // 3 % 8) OVER w AS following FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+ e AS (SELECT *, CASE kind WHEN 0 THEN 5 WHEN 1 THEN 6 WHEN 5 THEN 312 END AS number, CASE kind WHEN 1 THEN 'LEI-8987-1995' WHEN 4 THEN 'DEC-10024' WHEN 5 THEN 'LEI-9784-1999' ELSE '' END AS ref, CASE kind WHEN 1 THEN 'Lei de Concessões' WHEN 5 THEN 'Lei do Processo Administrativo' ELSE '' END AS name,
+  coalesce(following = 1 OR following IN (0, 5) AND kind IN (2, 6), false) AS leaves FROM c),
+ z AS (SELECT o_custkey, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS o_orderkey, false AS inside, false AS ends, '' AS id, '' AS name, 0.0 AS base, 0 AS highest FROM (SELECT DISTINCT o_custkey FROM orders)
+  UNION ALL SELECT o_custkey, k, o_orderkey, was OR enters, was AND leaves, CASE WHEN was AND z_id <> '' THEN z_id WHEN was OR enters THEN ref ELSE '' END, CASE WHEN was AND z_id <> '' THEN z_name WHEN was OR enters THEN name ELSE '' END, CASE WHEN was THEN z_base ELSE sure END, CASE WHEN was OR enters OR number IS NULL THEN highest ELSE greatest(highest, number) END FROM (
+   SELECT *, kind IN (1, 4, 7) OR odd AS enters, CASE WHEN kind = 1 THEN 0.4 WHEN kind = 4 THEN 0.4 WHEN odd THEN 0.3 ELSE 0.1 END AS sure FROM (
+    SELECT e.*, z.inside AND NOT z.ends AS was, z.id AS z_id, z.name AS z_name, z.base AS z_base, z.highest, kind = 5 AND z.highest > 0 AND 312 > z.highest + 1 AND 312 >= z.highest + 100 AS odd FROM z JOIN e ON e.o_custkey = z.o_custkey AND e.k = z.k + 1)))
+ SELECT o_orderkey, CASE WHEN inside THEN 'external' ELSE 'self' END AS origin_type, CASE WHEN inside THEN id ELSE '' END AS origin_reference, CASE WHEN inside THEN name ELSE '' END AS origin_reference_name,
+  CASE WHEN NOT inside THEN 'high' ELSE CASE WHEN base + 0.4 * (id <> '')::INT + 0.2 * (name <> '')::INT >= 0.7 - 1e-9 THEN 'high' WHEN base + 0.4 * (id <> '')::INT + 0.2 * (name <> '')::INT >= 0.4 - 1e-9 THEN 'medium' ELSE 'low' END END AS origin_confidence FROM z WHERE k > 0""")
+def origin_of_orders(spark, d):
+    """Zones of documents whose amendments, annexes and quotations follow from the orders' keys."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey", F.expr("cast(o_orderkey * 7 div 3 % 8 as int)").alias("kind"))
+    c = o.select("o_orderkey", F.col("o_custkey").cast("string").alias("document_id"), F.concat(F.expr(_OF_KIND(_HEADS)), F.lit(" "), F.repeat(F.lit("y"), F.lit(820)), F.expr(_OF_KIND(_TAILS))).alias("text"), F.sum(F.length(F.concat(F.expr(_OF_KIND(_HEADS)), F.expr(_OF_KIND(_TAILS)))) + 822).over(w).cast("int").alias("next"))
+    c = c.select("o_orderkey", "document_id", F.col("o_orderkey").cast("string").alias("node_id"), "text", (F.col("next") - F.length("text") - 1).alias("canonical_start"), (F.col("next") - 1).alias("canonical_end"))
+    whole = c.groupBy("document_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("canonical_start", "text")))["text"], "\n").alias("canonical_text"))
+    return origin.classify(c, whole).select("o_orderkey", "origin_type", "origin_reference", "origin_reference_name", "origin_confidence")
