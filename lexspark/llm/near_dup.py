@@ -20,8 +20,8 @@ five-word shingles as 64-bit hashes. Stages:
    large groups alike; full sets decide.
 6. Components by hash-to-minimum label propagation with pointer jumping.
 
-Values, pivots and labels that many rows name are hot keys: ``_deal`` joins them apart, and
-``_beside`` deals the pairs of a frequent member over several tasks.
+Values, pivots, labels and sets that many rows name are hot keys: ``_deal`` joins them apart,
+``_meet`` deals one side of a join of two lists, and ``_beside`` the pairs of a frequent member, over several tasks.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -104,24 +104,42 @@ def _hot(counts: DataFrame, key: str, count: str, scratch: Scratch) -> DataFrame
 
 
 def _deal(rows: DataFrame, key: str, table: DataFrame, hot: DataFrame | None, how: str = "inner") -> DataFrame:
-    """``rows`` joined with a table of one row a key, such that no task gets all rows of a hot key.
+    """``rows`` joined with a table of one row a key, such that no task gets all rows of a hot key, nor all rows without key.
 
     The table's rows of hot keys, SHARE at most, are broadcast. Then the rows of hot keys need nothing
     more: they go through the shuffle of the others dealt by a hash of the row.
     """
-    if hot is None:
-        return rows.join(table, key, how)
     names = [c for c in table.columns if c != key]
-    hot = hot.select(key)
-    near = table.join(F.broadcast(hot), key, "left_semi").select(key, F.struct(*names).alias("__near"))
-    far = table.select(F.col(key).alias("__key"), F.lit(False).alias("__hot"), F.struct(*names).alias("__far"))
-    out = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), key, "left").join(F.broadcast(near), key, "left")
-    out = out.withColumns({"__hot": F.coalesce("__hot", F.lit(False)), "__key": F.when(F.col("__hot"), F.xxhash64(*rows.columns)).otherwise(F.col(key))})
-    both = out.join(far, ["__key", "__hot"], "left").withColumn("__x", F.coalesce("__near", "__far"))
-    both = both.select(*rows.columns, "__x")
+    salt = F.lit(1) + F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20))
+    far = table.select(key, F.lit(0).cast("long").alias("__salt"), F.struct(*names).alias("__far"))
+    if hot is None:
+        out, found, dealt = rows, F.col("__far"), F.col(key).isNull()
+    else:
+        hot = hot.select(key)
+        near = table.join(F.broadcast(hot), key, "left_semi").select(key, F.struct(*names).alias("__near"))
+        out = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), key, "left").join(F.broadcast(near), key, "left")
+        found, dealt = F.coalesce("__near", "__far"), F.coalesce("__hot", F.lit(False)) | F.col(key).isNull()
+    if how == "inner":
+        out = out.where(F.col(key).isNotNull())
+    both = out.withColumn("__salt", F.when(dealt, salt).otherwise(0)).join(far, [key, "__salt"], "left").select(*rows.columns, found.alias("__x"))
     return (both.where("__x is not null") if how == "inner" else both).select(*rows.columns, "__x.*")
 
 
+def _meet(rows: DataFrame, table: DataFrame, keys: list[str], parts, by: str) -> DataFrame:
+    """An inner join of two sides with many rows a key: the rows dealt over ``parts`` tasks for each key by a hash of ``by``, the table's rows given to each of them.
+
+    ``parts`` is a column that both sides have.
+    """
+    dealt = rows.withColumn("__part", F.pmod(F.hash(by), F.col(parts))).drop(parts)
+    given = table.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col(parts) - 1))).drop(parts)
+    return dealt.join(given, [*keys, "__part"]).drop("__part")
+
+
+def _tasks(size) -> Column:
+    """Tasks for a key of so many rows."""
+    return F.greatest(F.ceil(size / HOT), F.lit(1)).cast("int")
+
+
 def _split(lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Members of lists with two classes or more, by the list's size: short ones, long ones.
 
@@ -248,7 +266,7 @@ def _large_groups(full: DataFrame, cls: DataFrame, texts: DataFrame, scratch: Sc
     pivot = lists.groupBy("value").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("share"), -F.col("cls"), "n", "s")).alias("p"), F.count(F.lit(1)).alias("c"))
     pivot = scratch.keep(pivot.select("value", (-F.col("p.col2")).alias("p"), F.col("p.n").alias("pn"), F.col("p.s").alias("ps"), "c"))
     can = lambda s, t, n, m: F.least(s, t) * 185 >= (F.col(n) + F.col(m)) * 85
-    met = scratch.keep(_deal(lists, "value", pivot, _hot(pivot, "value", "c", scratch)).drop("c"))
+    met = scratch.keep(_deal(lists, "value", pivot, _hot(pivot, "value", "c", scratch)))
     first = met.where((F.col("cls") != F.col("p")) & can(F.col("s"), F.col("ps"), "n", "pn"))
     first = scratch.keep(_ordered(first.select(F.col("cls").alias("a"), F.col("p").alias("b"))))
     often = _frequent(first, scratch)
@@ -257,26 +275,33 @@ def _large_groups(full: DataFrame, cls: DataFrame, texts: DataFrame, scratch: Sc
     named = scratch.keep(met.join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")))
     home = label.select(F.col("cls").alias("p"), F.col("label").alias("home"))
     # what follows are pairs of different components, one of them away from the component of its list's pivot
-    away = named.join(home, "p", "left").where(F.col("label") != F.coalesce("home", "p"))
+    led = _hot(named.groupBy("p").agg(F.count(F.lit(1)).alias("c")), "p", "c", scratch)
+    away = _deal(named, "p", home, led, "left").where(F.col("label") != F.coalesce("home", "p"))
     away = away.groupBy("cls", "n", "s", "label", "p").agg(F.count(F.lit(1)).alias("c")).groupBy("cls", "n", "s", "label").agg(F.max_by("p", F.struct("c", "p")).alias("p"))
     away = scratch.keep(away)
     # A partner of m values misses at most b = n - 0.85 / 1.85 * (n + m) values of a class of n. So it
     # holds one of any b + 1 of them: here the rarest that the class's pivot lacks, own ones first.
-    mine = shared.join(away.select("cls", "p", "s", "label"), "cls").select("cls", "p", "n", "s", "label", "value", "df")
-    lacks = mine.join(shared.select(F.col("cls").alias("p"), "value"), ["p", "value"], "left_anti")
+    led = _hot(away.groupBy("p").agg(F.count(F.lit(1)).alias("c")), "p", "c", scratch)
+    of = away.select("cls", "p", "s", "label")
+    of = of.withColumn("tasks", F.lit(1)) if led is None else of.join(F.broadcast(led), "p", "left").withColumn("tasks", _tasks(F.coalesce("c", F.lit(1)))).drop("c")
+    led = of.select("p", "tasks").distinct()
+    mine = shared.join(of, "cls").select("cls", "p", "n", "s", "label", "value", "df", F.pmod(F.hash("cls"), F.col("tasks")).alias("part"))
+    pivots = shared.select(F.col("cls").alias("p"), "value").join(led, "p").select("p", "value", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part"))
+    lacks = scratch.keep(mine.join(pivots, ["p", "value", "part"], "left_anti").drop("part"))
     rare = lacks.withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("df", "value")))
     probes = rare.where(F.col("r") <= F.col("n") - _least(F.col("n")) + 1 - (F.col("n") - F.col("s")))
-    probes = scratch.keep(probes.select("value", F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), F.col("label").alias("bl")))
-    every = shared.join(held.select("cls", "s"), "cls").join(label, "cls", "left").select("value", "cls", "n", "s", F.coalesce("label", "cls").alias("label"))
+    probes = scratch.keep(probes.select("value", _tasks(F.col("df")).alias("tasks"), F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), F.col("label").alias("bl")))
+    every = shared.join(held.select("cls", "s"), "cls").join(label, "cls", "left").select("value", "cls", "n", "s", F.coalesce("label", "cls").alias("label"), _tasks(F.col("df")).alias("tasks"))
     differ = (F.col("label") != F.col("bl")) & can(F.col("s"), F.col("bs"), "n", "bn")
-    rest = every.join(probes, "value").where(differ).select(F.col("cls").alias("a"), "b")
+    rest = _meet(every, probes, ["value"], "tasks", "cls").where(differ).select(F.col("cls").alias("a"), "b")
     # a partner so much smaller that b reaches all values the pivot lacks can share the pivot's values alone
     few = away.join(lacks.groupBy("cls").agg(F.count(F.lit(1)).alias("d")), "cls", "left").select(
         F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("s").alias("bs"), F.col("label").alias("bl"), (F.coalesce("d", F.lit(0)) + F.col("n") - F.col("s")).alias("d")
     )
-    few = few.join(named.select(F.col("cls").alias("b"), "value"), "b")
+    named = named.withColumn("tasks", _tasks(F.col("c"))).drop("c")
+    few = few.join(named.select(F.col("cls").alias("b"), "value", "tasks"), "b")
     small = (F.col("bn") - F.col("d")) * 185 >= (F.col("n") + F.col("bn")) * 85
-    rest = rest.union(named.join(few, "value").where(differ & small).select(F.col("cls").alias("a"), "b"))
+    rest = rest.union(_meet(named, few, ["value"], "tasks", "cls").where(differ & small).select(F.col("cls").alias("a"), "b"))
     rest = _ordered(rest).join(first, ["a", "b"], "left_anti")
     rest = scratch.keep(rest)
     often = _frequent(rest, scratch)
@@ -293,12 +318,12 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -
     each = scratch.keep(sketches(docs, id_col, text_col))
     # a class's text is that of its smallest doc_id, and there of the smallest hash
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
-    held = each.where("n > 0").groupBy("digest").agg(first.alias("x"), F.min("n").alias("n"), F.first("sketch").alias("sketch")).select("digest", F.col("x.doc_id").alias("m"), F.col("x.th").alias("th"), "n", "sketch")
+    held = each.where("n > 0").groupBy("digest").agg(first.alias("x"), F.min("n").alias("n"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies")).select("digest", F.col("x.doc_id").alias("m"), F.col("x.th").alias("th"), "n", "sketch", "copies")
     # an id that has several texts cannot name their classes; as a rule there is none, and the written table is read as a small one
     several = each.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select(F.col("doc_id").alias("m"), F.lit(True).alias("several"))
     number = F.lit(NO_ID) + F.shiftright(F.xxhash64("digest"), 4).bitwiseAND(F.lit((1 << 59) - 1))
     named = F.when(F.col("m").isNull() | F.col("several"), number).otherwise(F.col("m"))
-    cls = scratch.keep(held.join(scratch.keep(several), "m", "left").select("digest", named.alias("cls"), "m", "n", "sketch", "th"))
+    cls = scratch.keep(held.join(scratch.keep(several), "m", "left").select("digest", named.alias("cls"), "m", "n", "sketch", "th", "copies"))
 
     keys = cls.select("cls", F.explode(F.slice("sketch", 1, KEYS)).alias("value"))
     short, long = _split(keys, scratch)
@@ -335,7 +360,8 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -
     # classes not named by their doc_id may have a smaller one than their component's name
     other = scratch.keep(joined.where(F.col("cls") >= NO_ID).where("m is not null").groupBy("key").agg(F.min("m").alias("least")))
     joined = joined.join(other, "key", "left").select("digest", "key", F.least(F.when(F.col("key") < NO_ID, F.col("key")), "least").alias("top"))
-    return each.select("doc_id", "th", "n", "digest").join(joined, "digest", "left").drop("digest")
+    # many exact copies, and rows without words, are dealt over tasks
+    return _deal(each.select("doc_id", "th", "n", "digest"), "digest", joined, _hot(cls, "digest", "copies", scratch), "left").drop("digest")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -131,14 +131,16 @@ class Segment:
 _NULL = -(1 << 63)
 
 
-def file_bounds(docs: DataFrame, id_col: str) -> list[int]:
-    """Upper bounds of all files but the last: quantiles of the ids, from a scan of that column alone."""
-    rows = docs.count()
+def file_bounds(docs: DataFrame, id_col: str) -> tuple[int, list[int]]:
+    """Files of rows without id, which come first, and upper bounds of all other files but the last: quantiles of the ids, from a scan of that column alone."""
+    rows, known = docs.agg(F.count(F.lit(1)), F.count(id_col)).first()
     files = min(MAX_FILES, max(1, -(-rows // FILE_DOCS)))
+    unknown = -(-files * (rows - known) // max(rows, 1))
+    files = max(1, files - unknown)
     if files == 1:
-        return []
+        return unknown, []
     cuts = [k / files for k in range(1, files)]
-    return list(docs.agg(F.percentile_approx(F.col(id_col), cuts, 20 * files)).first()[0] or [])
+    return unknown, list(docs.agg(F.percentile_approx(F.col(id_col), cuts, 20 * files)).first()[0] or [])
 
 
 def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, destination: str | None = None) -> DataFrame:
@@ -152,7 +154,8 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
     A document stays in one segment. Null ids come first.
     """
     bound_batches(docs.sparkSession)
-    bounds = np.array(file_bounds(docs, id_col), np.int64)
+    unknown, bounds = file_bounds(docs, id_col)
+    bounds = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = worker_wide(f"text {path}", lambda: TextEncoder(path))
@@ -166,15 +169,17 @@ def write_ids(docs: DataFrame, scratch: Scratch, path: str, id_col: str = "doc_i
             for raw in enc.encode(b["t"].tolist()):
                 # two bytes an id, or four behind an odd byte
                 out.append(raw + tail if enc.kind == "<u2" else b"\0" + raw + tail)
-            spread = b["h"].to_numpy(np.int64) % (hi - lo + 1)
-            yield pd.DataFrame({"file": np.where(null, 0, lo + spread), "i": np.where(null, _NULL, ids), "x": out})
+            # rows of one id, and those without, take turns, be their texts alike or not
+            turn = b["h"].to_numpy(np.int64) + np.arange(len(b))
+            file = np.where(null, turn % max(unknown, 1), unknown + lo + turn % (hi - lo + 1))
+            yield pd.DataFrame({"file": file, "i": np.where(null, _NULL, ids), "x": out})
 
     src = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("i"), F.col(id_col).isNull().alias("n"),
         F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.pmod(F.hash(F.col(text_col)).cast("long"), F.lit(1 << 20)).alias("h"),
     )
     coded = src.mapInPandas(run, "file int, i long, x binary")
-    ordered = coded.repartitionById(len(bounds) + 1, F.col("file")).sortWithinPartitions("file", "i")  # a task for each file
+    ordered = coded.repartitionById(unknown + len(bounds) + 1, F.col("file")).sortWithinPartitions("file", "i")  # a task for each file
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file, part, first, held, ids = None, 0, 0, 0, []
