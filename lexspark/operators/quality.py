@@ -79,6 +79,20 @@ def manifest(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
     return out.withColumn("covered_chars", F.coalesce("covered", F.lit(0))).withColumn("coverage_pct", share).withColumn("vehicle_articles", F.array().cast("array<string>")).drop("covered", "islands")
 
 
+def manifest_levels(chunks: DataFrame) -> DataFrame:
+    """Chunks, external ones and characters by document, by document and type, by document and level, by type, and in all.
+
+    Rows are (document_id, device_type, chunk_level, of, chunks, external, chars); ``of`` names the
+    columns that a row stands for, the others are null. Grouping sets: one exchange serves all of them.
+    """
+    by = ["document_id", "device_type", "chunk_level"]
+    c = chunks.select(*by, (F.col("origin_type") == "external" if "origin_type" in chunks.columns else F.lit(False)).alias("x"), F.greatest(F.col("canonical_end") - F.col("canonical_start"), F.lit(0)).alias("size"))
+    sets = [["document_id"], ["document_id", "device_type"], ["document_id", "chunk_level"], ["device_type"], []]
+    named = F.concat_ws(",", *[F.when(F.grouping(k) == 0, k) for k in by])
+    sums = [F.count(F.lit(1)).alias("chunks"), F.count_if("x").alias("external"), F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("chars")]
+    return c.groupingSets([[F.col(k) for k in s] for s in sets], *by).agg(named.alias("of"), *sums).select(*by, "of", "chunks", "external", "chars")
+
+
 def run_manifest(runs: DataFrame) -> DataFrame:
     """Runs (run_id, document_id, status, started_at, ended_at, error) with their duration and outcome."""
     seconds = F.col("ended_at").cast("double") - F.col("started_at").cast("double")

@@ -15,6 +15,7 @@ from ..functions import rules
 from ..functions import text as tx
 from ..functions.matches import find_all
 from ..sources.scratch import Scratch
+from . import ranges
 
 #: Chunk limits in characters.
 CHUNK, OVERLAP, OVERLAP_LEAST, OVERLAP_MOST, RUNT = 4000, 0.20, 200, 1200, 0.20
@@ -138,12 +139,28 @@ def devices(docs: DataFrame, pages: DataFrame | None = None, compat: bool = Fals
     return on_pages(out, pages) if pages is not None else out.withColumn("page_number", F.lit(1))
 
 
+#: Code points of a bin of offsets, and tasks over which the last page of a document is given.
+BIN, LAST = 2048, 16
+
+
 def on_pages(rows: DataFrame, pages: DataFrame, at: str = "char_start") -> DataFrame:
-    """Adds the page whose extent holds an offset; the last page for offsets beyond, 1 for documents without pages."""
-    p = pages.groupBy("document_id").agg(F.sort_array(F.collect_list(F.struct("page_number", "start", "end"))).alias("__p"))
-    hit = F.try_element_at(F.filter("__p", lambda x: (x["start"] <= F.col(at)) & (F.col(at) < x["end"])), F.lit(1))["page_number"]
-    out = rows.join(p, "document_id", "left")
-    return out.withColumn("page_number", F.coalesce(hit, F.try_element_at("__p", F.lit(-1))["page_number"], F.lit(1))).drop("__p")
+    """Adds the page whose extent holds an offset; the last page for offsets beyond or null, 1 for documents without pages.
+
+    A range join by bins on the distinct offsets; of overlapping pages the first counts. The last
+    page of a document stands in ``LAST`` bins of its own, so that a document of very many offsets is dealt too.
+    """
+    p = pages.select("document_id", "page_number", F.col("start").cast("long").alias("__low"), F.col("end").cast("long").alias("__high"))
+    where = rows.select("document_id", F.col(at).cast("long").alias("__at")).distinct()
+    hit = ranges.points_in(where, p, ["document_id"], "__at", "__low", "__high", BIN).groupBy("document_id", "__at").agg(F.min("page_number").alias("__hit"))
+    last = p.groupBy("document_id").agg(F.max("page_number").alias("__last")).withColumn("__deal", F.explode(F.sequence(F.lit(0), F.lit(LAST - 1))))
+    deal = lambda d, c: d.withColumn("__deal", F.pmod(F.hash(c), F.lit(LAST)))
+    found = deal(where, "__at").join(last, ["document_id", "__deal"]).drop("__deal")
+    found = found.join(hit, (found["document_id"] == hit["document_id"]) & found["__at"].eqNullSafe(hit["__at"]), "left").select(found["document_id"], found["__at"], F.coalesce("__hit", "__last").alias("__page"))
+    # null offsets are equal to each other here
+    mark = F.coalesce(F.col(at).cast("long"), F.lit(-(1 << 62)))
+    found = found.select("document_id", F.coalesce("__at", F.lit(-(1 << 62))).alias("__at"), "__page")
+    out = rows.drop("page_number").withColumn("__at", mark).join(found, ["document_id", "__at"], "left")
+    return out.withColumn("page_number", F.coalesce("__page", F.lit(1))).drop("__page", "__at").select(*[c for c in rows.columns if c != "page_number"], "page_number")
 
 
 def parsed_sections(device_table: DataFrame, docs: DataFrame, heads: DataFrame | None = None) -> DataFrame:

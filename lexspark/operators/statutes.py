@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import legal, rules, text
-from . import recursion
+from . import ranges, recursion
 
 DEVICES = ("article", "paragraph", "inciso", "alinea")
 
@@ -57,19 +57,24 @@ def canonical_of_pages(pages: DataFrame) -> DataFrame:
     return kept.groupBy("document_id").agg(F.concat(joined, F.lit("\n")).alias("canonical_text"))
 
 
+#: Points of a bin of heights on a page.
+BAND = 64.0
+
+
 def struck(blocks: DataFrame, strokes: DataFrame) -> DataFrame:
     """Blocks that a horizontal stroke crosses: longer than 20 points, flat, and over 0.3 of the block's width.
 
     Strokes are (document_id, page_number, x0, y0, x1, y1); a rectangle under 3 points high counts
-    as one. A range join within a page.
+    as one. A range join within a page by bands of heights. Blocks without a box are not struck.
     """
+    keys = ["document_id", "page_number"]
     flat = strokes.where((F.col("x1") - F.col("x0") > 20) & (F.abs(F.col("y1") - F.col("y0")) < 3))
-    mid = flat.select("document_id", "page_number", "x0", "x1", ((F.col("y0") + F.col("y1")) / 2).alias("y"))
-    b = blocks.alias("b")
-    over = (F.least(F.col("b.bbox")[2], mid["x1"]) - F.greatest(F.col("b.bbox")[0], mid["x0"])) / (F.col("b.bbox")[2] - F.col("b.bbox")[0])
-    hit = b.join(mid, ["document_id", "page_number"]).where((mid["y"] >= F.col("b.bbox")[1]) & (mid["y"] <= F.col("b.bbox")[3]) & (over > 0.3))
-    hit = hit.select("document_id", "page_number", "block_index").distinct().withColumn("has_strikethrough", F.lit(True))
-    out = blocks.drop("has_strikethrough").join(hit, ["document_id", "page_number", "block_index"], "left")
+    mid = flat.select(*keys, "x0", "x1", ((F.col("y0") + F.col("y1")) / 2).alias("y"))
+    boxes = blocks.select(*keys, "block_index", *[F.col("bbox")[k].alias(f"b{k}") for k in range(4)])
+    over = (F.least("b2", "x1") - F.greatest("b0", "x0")) / F.nullif(F.col("b2") - F.col("b0"), F.lit(0.0))
+    hit = ranges.points_in(mid, boxes, keys, "y", "b1", "b3", BAND, closed=True).where(over > 0.3)
+    hit = hit.select(*keys, "block_index").distinct().withColumn("has_strikethrough", F.lit(True))
+    out = blocks.drop("has_strikethrough").join(hit, [*keys, "block_index"], "left")
     return out.withColumn("has_strikethrough", F.coalesce("has_strikethrough", F.lit(False)))
 
 

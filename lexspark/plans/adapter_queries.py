@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..operators import consolidation, offsets, origin, quality, statutes, vectors
 from ..sources import remote, stores
 from ..sources.scratch import Scratch
 from ..streaming import progress
 from . import flows
-from .base import query, t
+from .base import SQL_CANONICAL, query, t
 
 
 def _key(k, n: int = 1):
@@ -150,11 +151,12 @@ def object_keys(spark, d):
     return o.select("o_orderkey", stores.object_key(F.concat(F.lit("D"), F.col("o_custkey").cast("string")), F.concat(F.lit("v"), (F.col("o_orderkey") % 3).cast("string")), F.lit("canonical.md")).alias("object_key"))
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS document_id, doc_id % 3 <> 0 AS canonical FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '^[!-~]([ -~]*[!-~])?$')")
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS document_id, doc_id % 3 <> 0 OR {SQL_CANONICAL.format('text')} = '' AS canonical FROM documents")
 def canonical_documents(spark, d):
-    """The gate before the flows: a text that ends in one line feed is canonical, one with blanks behind it is not."""
-    docs = t(spark, d, "documents").where(F.col("text").rlike(r"^[!-~]([ -~]*[!-~])?\z"))
-    c = docs.select(F.col("doc_id").cast("string").alias("document_id"), F.concat("text", F.when(F.col("doc_id") % 3 == 0, "  \n").otherwise("\n")).alias("canonical_text"))
+    """The gate before the flows, on all documents: a canonical text ends in one line feed, one with blanks before that is not canonical."""
+    whole = tx.canonical(F.col("text"))
+    blank = F.when(whole == "", whole).otherwise(F.concat(F.left(whole, F.length(whole) - 1), F.lit("  \n")))
+    c = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("document_id"), F.when(F.col("doc_id") % 3 == 0, blank).otherwise(whole).alias("canonical_text"))
     good, bad = flows.canonical_gate(c)
     return good.select("document_id", F.lit(True).alias("canonical")).unionByName(bad.select("document_id", F.lit(False).alias("canonical")))
 

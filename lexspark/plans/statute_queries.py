@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from ..functions import legal, rules
 from ..operators import consolidation, offsets, origin, quality, registry, statutes, vectors
 from ..sources import stores
-from .base import query, re2, t
+from .base import SQL_CANONICAL, query, re2, t
 
 _LINES = (
     "Art. {k}º Texto do artigo.", "§ {k}º Texto do parágrafo.", "Parágrafo único. Texto.", "IV - texto do inciso;", "b) texto da alínea;", "Publicado em: {k}", "{k} / 12", "Órgão: Ministério",
@@ -281,13 +281,19 @@ def custody_audit(spark, d):
     return j.groupBy(F.col("lang").alias("document_id")).agg(F.count_if(F.col("index_rows") == 0).alias("index_less"), F.bool_and(F.col("hash_matches")).alias("ok"))
 
 
-@query("""SELECT doc_id, true AS idempotent, CAST(1 AS BIGINT) AS sliced, CAST(0 AS BIGINT) AS mismatched, true AS hashes_hold FROM documents WHERE length(text) > 40""")
+@query(f"""SELECT doc_id, true AS idempotent, CAST(2 AS BIGINT) AS sliced, CAST(doc_id % 4 = 0 AND n > 0 AS BIGINT) AS mismatched, doc_id % 6 <> 1 AS hashes_hold FROM (SELECT doc_id, length({SQL_CANONICAL.format("text")}) AS n FROM documents)""")
 def integrity_checks(spark, d):
+    """Both halves of every whole text as chunks; of some documents the second differs, of some the hash."""
     from ..functions import text as tx
 
-    docs = t(spark, d, "documents").where(F.length("text") > 40).select("doc_id", F.col("doc_id").alias("document_id"), tx.canonical(F.col("text")).alias("canonical_text"))
-    ch = docs.select("document_id", F.lit(3).alias("canonical_start"), F.lit(20).alias("canonical_end"), F.concat(F.substring("canonical_text", 4, 17), F.lit("+")).alias("text"), F.sha2("canonical_text", 256).alias("canonical_hash"))
-    i = quality.integrity(ch, docs.select("document_id", "canonical_text"))
+    docs = t(spark, d, "documents").select(F.col("doc_id").alias("document_id"), tx.canonical(F.col("text")).alias("canonical_text"))
+    n, k = F.length("canonical_text"), F.col("document_id")
+    half = (n / 2).cast("int")
+    of = lambda lo, hi, text: F.struct(lo.alias("canonical_start"), hi.alias("canonical_end"), text.alias("text"))
+    second = F.when(k % 4 == 0, F.lit("\x01")).otherwise(F.substring(F.col("canonical_text"), half + 1, n))
+    halves = F.inline(F.array(of(F.lit(0), half, F.substring(F.col("canonical_text"), F.lit(1), half)), of(half, n, second)))
+    ch = docs.withColumn("canonical_hash", F.when(k % 6 == 1, "x").otherwise(F.sha2("canonical_text", 256))).select("document_id", "canonical_hash", halves)
+    i = quality.integrity(ch, docs)
     return i.select(F.col("document_id").alias("doc_id"), "idempotent", "sliced", "mismatched", "hashes_hold")
 
 
@@ -312,12 +318,14 @@ def page_blocks(spark, d):
     return b.select("document_id", F.col("block_index").cast("int").alias("block_index"), "text")
 
 
-@query("""SELECT CAST(o_custkey AS VARCHAR) AS document_id, CASE WHEN count(*) % 2 = 0 THEN ['QG1'] ELSE CAST([] AS VARCHAR[]) END || CASE WHEN count(*) > 2 AND count(*) FILTER (o_orderkey % 2 = 0) = 0 THEN ['QG3'] ELSE CAST([] AS VARCHAR[]) END AS warnings FROM orders GROUP BY o_custkey HAVING false""")
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS document_id, list_filter([CASE WHEN count(*) FILTER (o_orderkey % 3 > 0 AND o_orderkey % 2 = 1 AND o_custkey % 5 > 0) = 0 THEN 'QG1' END, CASE WHEN o_custkey % 200 < 100 THEN 'QG2' END, CASE WHEN count(*) > 2 AND count(*) FILTER (o_orderkey % 3 > 0) < count(*) THEN 'QG3' END], lambda w: w IS NOT NULL) AS warnings FROM orders GROUP BY o_custkey""")
 def ocr_quality_gate(spark, d):
-    p = t(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("document_id"), F.col("o_orderkey").alias("page_number"), F.lit("x").alias("text"))
-    dev = p.select("document_id", F.lit("article").alias("device_type"))
-    canon = p.groupBy("document_id").agg(F.repeat(F.lit("x"), (F.count(F.lit(1)) * 200).cast("int")).alias("canonical_text"))
-    return statutes.ocr_quality(dev, canon, p).where(F.size("warnings") > 0)
+    """A page for each order; devices, articles and characters a page follow from the keys, so that every warning occurs."""
+    o = t(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("document_id"), F.col("o_orderkey").alias("page_number"), "o_custkey")
+    k = F.col("page_number")
+    dev = o.where(k % 3 > 0).select("document_id", F.when((k % 2 == 1) & (F.col("o_custkey") % 5 > 0), "article").otherwise("paragraph").alias("device_type"))
+    canon = o.groupBy("document_id", "o_custkey").agg(F.count(F.lit(1)).alias("n")).select("document_id", F.repeat(F.lit("x"), (F.col("n") * (F.col("o_custkey") % 200)).cast("int")).alias("canonical_text"))
+    return statutes.ocr_quality(dev, canon, o)
 
 
 @query("""SELECT n_nationkey AS document_id, 2 AS chapters, 3 AS articles, 2 AS items, 1 AS sub_items FROM nation""")
@@ -445,3 +453,20 @@ def origin_of_orders(spark, d):
     c = c.select("o_orderkey", "document_id", F.col("o_orderkey").cast("string").alias("node_id"), "text", (F.col("next") - F.length("text") - 1).alias("canonical_start"), (F.col("next") - 1).alias("canonical_end"))
     whole = c.groupBy("document_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("canonical_start", "text")))["text"], "\n").alias("canonical_text"))
     return origin.classify(c, whole).select("o_orderkey", "origin_type", "origin_reference", "origin_reference_name", "origin_confidence")
+
+
+@query(f"""SELECT d AS document_id, kind AS device_type, CASE WHEN kind IS NULL AND level_ IS NULL AND d IS NULL THEN NULL ELSE level_ END AS chunk_level, concat_ws(',', CASE WHEN grouping(d) = 0 THEN 'document_id' END, CASE WHEN grouping(kind) = 0 THEN 'device_type' END, CASE WHEN grouping(level_) = 0 THEN 'chunk_level' END) AS of,
+ count(*) AS chunks, count(*) FILTER (k % 7 = 0) AS external, CAST(sum(greatest(z - a, 0)) AS BIGINT) AS chars FROM (SELECT *, CASE WHEN k % 3 = 0 THEN 'article' ELSE 'device' END AS level_ FROM {_CH}) GROUP BY GROUPING SETS ((d), (d, kind), (d, level_), (kind), ())""")
+def manifest_levels(spark, d):
+    return quality.manifest_levels(_chunks(spark, d))
+
+
+@query("SELECT source, count(DISTINCT text) AS distinct_texts, true AS halves_agree, true AS close FROM documents WHERE text IS NOT NULL GROUP BY source")
+def distinct_sketches(spark, d):
+    """Sketches of two runs, stored and merged, against one of all rows and the exact count."""
+    docs = t(spark, d, "documents").where("text is not null").select("source", "text", (F.col("doc_id") % 2).alias("run"))
+    halves = registry.merged(registry.sketches(docs, ["source", "run"], "text"), ["source"])
+    whole = registry.merged(registry.sketches(docs, ["source"], "text"), ["source"]).withColumnRenamed("distinct_values", "whole")
+    exact = docs.groupBy("source").agg(F.countDistinct("text").alias("distinct_texts"))
+    close = F.abs(F.col("distinct_values") - F.col("distinct_texts")) <= F.greatest(F.lit(1), 0.04 * F.col("distinct_texts"))
+    return exact.join(halves, "source").join(whole, "source").select("source", "distinct_texts", (F.abs(F.col("distinct_values") - F.col("whole")) <= F.greatest(F.lit(1), 0.02 * F.col("whole"))).alias("halves_agree"), close.alias("close"))

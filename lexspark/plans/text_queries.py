@@ -123,13 +123,18 @@ def client_keys(spark, d):
     return docs.select("doc_id", legal.client_key(key, fwd, F.col("source")).alias("client"))
 
 
-@query("""SELECT doc_id, s AS start_at, CASE WHEN s IS NOT NULL THEN s + length(q) END AS end_at, CASE WHEN n = 0 THEN 'NOT_FOUND' WHEN n > 1 THEN 'AMBIGUOUS_MULTIPLE_MATCHES' END AS reason FROM (
-  SELECT *, CASE WHEN n = 1 THEN instr(text, q) - 1 END AS s FROM (
-    SELECT doc_id, text, q, (length(text) - length(replace(text, q, ''))) / length(q) AS n FROM (SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN '@@none@@' ELSE split_part(text, '.', 1) || '.' END AS q FROM documents
-      WHERE length(split_part(text, '.', 1)) > 30 AND instr(text, '.') > 0 AND NOT regexp_matches(split_part(text, '.', 1), '^\\s'))))""")
+_WS = "[\\s\\x0B\\x{85}\\p{Z}]+"
+
+
+@query(f"""SELECT doc_id, CASE WHEN n = 1 THEN pos END AS start_at, CASE WHEN n = 1 THEN pos + length(q) END AS end_at, CASE WHEN q = '' THEN 'EMPTY_TEXT' WHEN text = '' THEN 'INVALID_PARENT_RANGE' WHEN n = 0 THEN 'NOT_FOUND' WHEN n > 1 THEN 'AMBIGUOUS_MULTIPLE_MATCHES' END AS reason FROM (
+  SELECT doc_id, text, q, len(own) AS n, CAST(list_sum(list_transform(ps[1:own[1]], lambda x: length(x))) + (own[1] - 1) * length(q) AS BIGINT) AS pos FROM (
+   SELECT *, list_filter(range(1, len(ps)), lambda i: ps[i] = '' OR NOT regexp_matches(right(ps[i], 1), '[\\p{{L}}\\p{{N}}]')) AS own FROM (
+    SELECT *, CASE WHEN q = '' THEN [] ELSE string_split(text, q) END AS ps FROM (
+     SELECT doc_id, text, coalesce(regexp_replace(regexp_replace(CASE WHEN doc_id % 5 = 0 THEN '@@none@@' ELSE split_part(text, '.', 1) || '.' END, '^{_WS}', ''), '{_WS}$', ''), '') AS q FROM documents))))""")
 def child_offset_status(spark, d):
-    docs = t(spark, d, "documents").withColumn("q0", F.substring_index("text", ".", 1)).where(F.length("q0") > 30).where(F.instr("text", ".") > 0).where(~F.col("q0").rlike(r"^\s"))
-    rows = docs.select("doc_id", F.col("text").alias("canonical_text"), F.lit(0).alias("parent_start"), F.length("text").alias("parent_end"), F.when(F.col("doc_id") % 5 == 0, "@@none@@").otherwise(F.concat("q0", F.lit("."))).alias("chunk_text"))
+    """The first sentence of every document, sought in the whole of it."""
+    first = F.when(F.col("doc_id") % 5 == 0, "@@none@@").otherwise(F.concat(F.substring_index("text", ".", 1), F.lit(".")))
+    rows = t(spark, d, "documents").select("doc_id", F.col("text").alias("canonical_text"), F.lit(0).alias("parent_start"), F.length("text").alias("parent_end"), first.alias("chunk_text"))
     r = offsets.resolve(rows)
     return r.select("doc_id", F.col("start").cast("long").alias("start_at"), F.col("end").cast("long").alias("end_at"), "reason")
 
@@ -141,10 +146,18 @@ def jaccard_pairs(spark, d):
     return docs.join(b, "doc_id").select(F.col("doc_id").alias("a_id"), "b_id", F.round(legal.word_jaccard(F.col("text"), F.col("other")), 6).alias("jaccard"))
 
 
-@query("""SELECT document_id, CAST(row_number() OVER (PARTITION BY document_id ORDER BY n) - 1 AS BIGINT) AS place, sha256(x) AS text_sha256 FROM (
-  SELECT page_id AS document_id, i AS n, trim(regexp_replace(regexp_extract_all(bare, '(?s)<(?:p|h[1-6])\\b[^>]*>([^<]*)', 1)[i], '\\s+', ' ', 'g')) AS x
-  FROM (SELECT page_id, regexp_replace(html, '(?s)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', '', 'g') AS bare FROM pages), unnest(range(1, 2000)) u(i)
-  WHERE i <= len(regexp_extract_all(bare, '(?s)<(?:p|h[1-6])\\b[^>]*>([^<]*)', 1))) WHERE x <> ''""")
+_TAGS = "|".join(stores.HTML_BLOCKS)
+_CHARS = "x"
+for _name, _code in (*stores.HTML_NAMED.items(), ("amp", 38)):
+    _CHARS = f"replace({_CHARS}, '&{_name};', chr({_code}))"
+
+
+@query(f"""SELECT document_id, CAST(row_number() OVER (PARTITION BY document_id ORDER BY n) - 1 AS BIGINT) AS place, sha256(x) AS text_sha256 FROM (
+  SELECT document_id, n, trim(regexp_replace({_CHARS}, '\\s+', ' ', 'g')) AS x FROM (
+   SELECT document_id, n, regexp_replace(regexp_replace(substr(piece, instr(piece, chr(2)) + 1), '(?i)<br[^>]*>', ' ', 'g'), '</?[A-Za-z][^>]*>', '', 'g') AS x FROM (
+    SELECT page_id AS document_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS n FROM (
+     SELECT page_id, string_split(regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', '', 'g'), '(?i)<(/?(?:{_TAGS}))(?:\\s[^>]*)?/?>', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS pieces FROM pages))
+   WHERE regexp_matches(piece, '^(?i)(p|h[1-6])\\x02'))) WHERE x <> ''""")
 def html_block_scan(spark, d):
     b = stores.html_blocks(t(spark, d, "pages"))
     place = F.row_number().over(Window.partitionBy("document_id").orderBy("block_index")) - 1

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import legal
@@ -104,12 +104,50 @@ def pages_with_blocks(page_table: DataFrame, blocks: DataFrame) -> DataFrame:
     return out.withColumn("blocks", F.coalesce("blocks", F.array().cast(kind)))
 
 
+#: Elements that end a paragraph where they begin or end, and named characters.
+HTML_BLOCKS = "address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section table tbody td tfoot th thead tr ul".split()
+HTML_NAMED = {
+    "quot": 34, "apos": 39, "lt": 60, "gt": 62, "nbsp": 160, "iexcl": 161, "cent": 162, "pound": 163, "sect": 167, "copy": 169, "ordf": 170, "laquo": 171, "reg": 174, "deg": 176, "middot": 183, "ordm": 186, "raquo": 187,
+    "ndash": 8211, "mdash": 8212, "lsquo": 8216, "rsquo": 8217, "ldquo": 8220, "rdquo": 8221, "bull": 8226, "hellip": 8230, "euro": 8364, "trade": 8482,
+}
+_TAG_REST = r"""(?:[^>"']|"[^"]*+"|'[^']*+')*+>?"""
+
+
+def _character(code: Column) -> Column:
+    """The character of a number; the replacement character if there is none."""
+    none = code.isNull() | (code <= 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(none, 0xFFFD).otherwise(code)), 8, "0")), "UTF-32")
+
+
+def unescaped(text: Column) -> Column:
+    """A text of HTML with its named and numbered characters as themselves, each read once."""
+    parts = F.split(text, "&", -1)
+
+    def one(part: Column, k: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z]+);", 1)
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)).otherwise(F.substring(name, F.lit(2), F.length(name))).try_cast("int")
+        known = F.try_element_at(F.create_map(*[F.lit(x) for n, c in (HTML_NAMED | {"amp": 38}).items() for x in (n, chr(c))]), name)
+        read = F.when(name == "", F.concat(F.lit("&"), part)).when(name.startswith("#"), F.concat(_character(number), rest)).when(known.isNotNull(), F.concat(known, rest)).otherwise(F.concat(F.lit("&"), part))
+        return F.when(k == 0, part).otherwise(read)
+
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, one), "")).otherwise(text)
+
+
 def html_blocks(html_pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Text of paragraphs and headings of HTML pages in order: a native scan without a parser."""
-    bare = F.regexp_replace(html_col, r"(?s)<(script|style)\b.*?</(script|style)>|<!--.*?-->", "")
-    found = F.regexp_extract_all(bare, F.lit(r"(?s)<(?:p|h[1-6])\b[^>]*>([^<]*)"), F.lit(1))
+    """Text of paragraphs and headings of HTML pages in order, whole: a native scan without a parser.
+
+    A paragraph reaches to its end tag or to where another block begins or ends; elements within it
+    leave their text, a line break is a blank, characters written by name or number are themselves.
+    Text outside of paragraphs and headings is left out, as are comments, scripts and styles.
+    """
+    bare = F.regexp_replace(html_col, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
+    pieces = F.split(bare, rf"(?i)<(?=/?(?:{'|'.join(HTML_BLOCKS)})(?![A-Za-z0-9]))", -1)
+    found = F.filter(pieces, lambda x: x.rlike(r"^(?i)(?:p|h[1-6])(?![A-Za-z0-9])"))
     each = html_pages.select(F.col(id_col).alias("document_id"), F.posexplode(found).alias("block_index", "text"))
-    text = F.trim(F.regexp_replace("text", r"\s+", " "))
+    text = F.regexp_replace(F.col("text"), f"^[A-Za-z0-9]+{_TAG_REST}", "")
+    text = F.regexp_replace(F.regexp_replace(text, rf"(?i)<br(?![A-Za-z0-9]){_TAG_REST}", " "), f"</?[A-Za-z]{_TAG_REST}", "")
+    text = F.trim(F.regexp_replace(unescaped(text), r"\s+", " "))
     return each.select("document_id", "block_index", text.alias("text")).where("text <> ''")
 
 
