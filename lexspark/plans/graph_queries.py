@@ -83,10 +83,15 @@ def rel_type(spark, d):
     return t(spark, d, "orders").select("o_orderkey", legal.rel_type(F.expr(_PHRASE)).alias("r")).select("o_orderkey", "r.*")
 
 
-@query("SELECT unnest([" + ", ".join(f"'{k}'" for k in sorted(rules.REL_DESCRIPTIONS)) + "]) AS rel_type, unnest([" + ", ".join(str(sum(r == k for _, r, _ in rules.REL_TYPES)) for k in sorted(rules.REL_DESCRIPTIONS)) + "])::BIGINT AS patterns")
+_DESCRIBED = "CASE rel_type " + " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in rules.REL_DESCRIPTIONS.items()) + " ELSE concat('Tipo desconhecido: ', rel_type) END"
+
+
+@query(f"""SELECT rel_type, {_DESCRIBED} AS description, count(*) AS uses FROM (SELECT {_rel(["'CITA'", *[f"'{r}'" for _, r, _ in rules.REL_TYPES], "'CITA'"])} AS rel_type FROM (SELECT {_PHRASE} AS x FROM orders) UNION ALL SELECT o_orderpriority FROM orders) GROUP BY ALL""")
 def rel_type_catalogue(spark, d):
-    rows = spark.createDataFrame([(k, sum(r == k for _, r, _ in rules.REL_TYPES)) for k in sorted(rules.REL_DESCRIPTIONS)], "rel_type string, patterns long")
-    return rows.where(legal.rel_type_description(F.col("rel_type")) != "")
+    """Relations of the orders' phrases with their descriptions, and names that are no relation."""
+    o = t(spark, d, "orders")
+    rel = o.select(legal.rel_type(F.expr(_PHRASE))["rel_type"].alias("rel_type")).unionByName(o.select(F.col("o_orderpriority").alias("rel_type")))
+    return rel.groupBy("rel_type", legal.rel_type_description(F.col("rel_type")).alias("description")).agg(F.count(F.lit(1)).alias("uses"))
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_discount * 10 >= 0.8 THEN 'HIGH' WHEN l_discount * 10 >= 0.5 THEN 'MEDIUM' ELSE 'LOW' END AS tier, CASE WHEN l_returnflag = 'R' THEN 'REGEX' ELSE 'UNKNOWN' END AS method, CASE l_linestatus WHEN 'O' THEN 'ART' ELSE 'UNKNOWN' END AS device, CAST(l_linenumber AS INTEGER) AS number FROM lineitem")

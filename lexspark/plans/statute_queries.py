@@ -328,18 +328,29 @@ def ocr_quality_gate(spark, d):
     return statutes.ocr_quality(dev, canon, o)
 
 
-@query("""SELECT n_nationkey AS document_id, 2 AS chapters, 3 AS articles, 2 AS items, 1 AS sub_items FROM nation""")
+def _trees(spark, d):
+    """A tree in JSON for each customer: a chapter for each status of its orders and an empty one, an article for each order, items and sub-items by its key."""
+    o = t(spark, d, "orders")
+    sub = F.expr("CASE WHEN o_orderkey % 2 = 1 THEN array(named_struct('identifier', 'a', 'content', CASE WHEN o_orderkey % 5 = 0 THEN 'c' ELSE 'd' END)) END")
+    item = lambda i: F.struct(F.when((i == 1) & (F.col("o_orderkey") % 4 == 0), "§ 1º").otherwise(F.repeat(F.lit("I"), i)).alias("identifier"), F.lit("c").alias("content"), sub.alias("sub_items"))
+    n = (F.col("o_orderkey") % 3).cast("int")
+    items = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), item))
+    article = F.struct(F.col("o_orderkey").alias("k"), F.struct(F.concat(F.lit("Art. "), F.col("o_orderkey").cast("string")).alias("number"), items.alias("items")).alias("a"))
+    chapters = o.groupBy("o_custkey", "o_orderstatus").agg(F.sort_array(F.collect_list(article))["a"].alias("articles"))
+    whole = chapters.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct(F.col("o_orderstatus").alias("title"), F.to_json("articles").alias("articles")))).alias("c"))
+    text = F.concat(F.lit('{"chapters":['), F.array_join(F.transform("c", lambda c: F.concat(F.lit('{"title":"'), c["title"], F.lit('","articles":'), c["articles"], F.lit("},"))), ""), F.lit('{"title":"vazio","articles":[]}]}'))
+    return whole.select(F.col("o_custkey").alias("document_id"), quality.parse_statute(text).alias("s")).select("document_id", "s.chapters")
+
+
+@query("""SELECT o_custkey AS document_id, CAST(count(DISTINCT o_orderstatus) + 1 AS INTEGER) AS chapters, CAST(count(*) AS INTEGER) AS articles, 0 AS paragraphs, CAST(sum(o_orderkey % 3) AS INTEGER) AS items, CAST(sum(o_orderkey % 3 * (o_orderkey % 2)) AS INTEGER) AS sub_items, list(CAST(o_orderkey AS INTEGER) ORDER BY o_orderkey) AS article_numbers FROM orders GROUP BY o_custkey""")
 def statute_tree_counts(spark, d):
-    j = '{"chapters":[{"title":"a","articles":[{"number":"Art. 2","items":[{"identifier":"I","content":"x","sub_items":[{"identifier":"a","content":"y"}]}]},{"number":"Art. 1"}]},{"title":"b","articles":[{"number":"3","items":[{"identifier":"I","content":"z"}]}]}]}'
-    n = t(spark, d, "nation").select(F.col("n_nationkey").alias("document_id"), quality.parse_statute(F.lit(j)).alias("s")).select("document_id", "s.chapters")
-    return quality.statute_counts(n).select("document_id", "chapters", "articles", "items", "sub_items")
+    return quality.statute_counts(_trees(spark, d))
 
 
-@query("""SELECT n_nationkey AS document_id, 1 AS chapters, 1 AS articles, 1 AS paragraphs, 1 AS items, 0 AS sub_items FROM nation""")
+@query("""SELECT o_custkey AS document_id, CAST(count(DISTINCT o_orderstatus) AS INTEGER) AS chapters, CAST(count(*) AS INTEGER) AS articles, CAST(count(*) FILTER (o_orderkey % 4 = 0 AND o_orderkey % 3 > 0) AS INTEGER) AS paragraphs,
+ CAST(sum(o_orderkey % 3) - count(*) FILTER (o_orderkey % 4 = 0 AND o_orderkey % 3 > 0) AS INTEGER) AS items, CAST(sum(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 3 * (o_orderkey % 2) END) AS INTEGER) AS sub_items FROM orders GROUP BY o_custkey""")
 def statute_tree_fixed(spark, d):
-    j = '{"chapters":[{"title":"a","articles":[{"number":"1","items":[{"identifier":"§ 1º","content":"p"},{"identifier":"I","content":"x","sub_items":[{"identifier":"a","content":"x"}]}]}]},{"title":"b","articles":[]}]}'
-    n = t(spark, d, "nation").select(F.col("n_nationkey").alias("document_id"), quality.parse_statute(F.lit(j)).alias("s")).select("document_id", "s.chapters")
-    return quality.statute_counts(quality.fix_statute(n)).drop("article_numbers")
+    return quality.statute_counts(quality.fix_statute(_trees(spark, d))).drop("article_numbers")
 
 
 @query("""SELECT CAST(k // 30 AS BIGINT) AS document_id, kind, count(*) AS n FROM (SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'article' WHEN 1 THEN 'paragraph' WHEN 2 THEN 'item' WHEN 3 THEN 'sub_item' ELSE 'chapter' END AS kind FROM orders) GROUP BY ALL""")
