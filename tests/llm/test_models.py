@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import pytest
@@ -214,3 +215,54 @@ def test_very_long_message_and_repeated_turns(spark):
     rows = [(1, 0, "user", long), (1, 1, "user", "> Line number 17345 of a very long message.\nThat one."), (1, 1, "user", "> Line number 3 of a very long message.\nAgain."), (1, 2, "user", "> That one.\nNo.")]
     got = quotes.thread(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert sorted((r.turn, r.parent_turn, r.text_clean[:9]) for r in got if r.turn) == [(1, 0, "Again."), (1, 0, "That one."), (2, 1, "No.")]
+
+
+def test_rewrapped_paragraphs_and_cut_sentences_link(spark):
+    import textwrap
+
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(300)]
+    sentence = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(5, 14))).capitalize() + rng.choice([".", "!", "?", '."'])
+    rows, want = [], {}
+    for conv in range(30):
+        said = []
+        for turn in range(8):
+            body = [[sentence() for _ in range(rng.randrange(2, 7))] for _ in range(rng.randrange(1, 4))]
+            text = "\n\n".join(textwrap.fill(" ".join(p), rng.choice([40, 70, 10_000])) for p in body)
+            if turn and rng.random() < 0.8:
+                of = rng.randrange(turn)
+                p = rng.choice(said[of])
+                how = rng.randrange(4)
+                part = [rng.choice(p)] if how == 0 else p[rng.randrange(len(p)) :]
+                if how == 3 and len(part) > 1:  # begins within a sentence
+                    part = [part[0].split(" ", 2)[-1], *part[1:]]
+                quote = "\n".join("> " + x for x in textwrap.wrap(" ".join(part).upper(), rng.choice([25, 60, 5000])))
+                text = f"Someone wrote:\n{quote}\n\n{text}" if rng.random() < 0.5 else f"{text}\n{quote}"
+                if how != 3 or len(part) > 1:
+                    want[conv, turn] = of
+            said.append(body)
+            rows.append((conv, turn, "user", text))
+    got = {(r.conv_id, r.turn): r for r in quotes.thread(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert len(want) > 120 and {k: got[k].parent_turn for k in want} == want
+    assert all(r.parent_turn is None for k, r in got.items() if k not in want and ">" not in dict(((c, n), t) for c, n, _, t in rows)[k])
+    assert all(r.n_linked <= r.n_quoted for r in got.values())
+
+
+def test_passages_against_plain_reading():
+    rng = random.Random(5)
+    bits = ["> ", ">> ", "One two. ", "Three four five? ", "six", "\n", "\n\n", "  ", "\r\n", "\r", "e.g. this", '"Seven eight." ', "…", "\t"]
+    for _ in range(400):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(0, 25)))
+        plain = [(len(re.match(r"\s*((?:>\s*)*)", x)[1].replace(" ", "").replace("\t", "")), " ".join(re.sub(r"^\s*(?:>\s*)*", "", x).split()).lower()) for x in re.split("\r\n|\r|\n", text)]
+        got = list(quotes.passages(text))
+        assert [(k, v) for k, v, _, _, _, rank in got if rank == 0] == [(k, v) for k, (v, x) in enumerate(plain) if x]
+        want, k = set(), 0
+        while k < len(plain):
+            j = k
+            while j < len(plain) and plain[j][1] and plain[j][0] == plain[k][0]:
+                j += 1
+            whole = " ".join(x for _, x in plain[k:j])
+            for said in re.split(r"(?<=[.!?…])(?: )|(?<=[.!?…][\"'”’»)\]]) ", whole) if whole else ():
+                want.add(quotes._hashed(said.strip())[0])
+            k = max(j, k + 1)
+        assert {h for _, _, own, h, _, rank in got} == want | {own for _, _, own, _, _, _ in got}
