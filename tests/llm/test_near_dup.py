@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lexspark.llm import near_dup
 
@@ -105,3 +106,52 @@ def test_hot_keys_dealt_apart_change_nothing(spark, monkeypatch):
 def test_shingles_are_of_whole_texts():
     assert len(near_dup.shingle_set(" ".join(map(str, range(1000))))) == 996
     assert np.array_equal(near_dup.shingle_set("A b c"), near_dup.shingle_set("a  B\tc"))
+
+
+def _largest(df):
+    """The most rows of one partition of a frame, and all of them."""
+    n = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(n, default=0), sum(n)
+
+
+def test_exact_copies_and_wordless_rows_are_dealt(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(near_dup, "HOT", 16)
+    scratch = near_dup.Scratch(spark, "test")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(4000).select("id", F.when(F.col("id") % 10 < 6, F.lit("hot").cast("binary")).when(F.col("id") % 10 < 9, F.lit(None).cast("binary")).otherwise(F.col("id").cast("string").cast("binary")).alias("digest"))
+        table = rows.where("digest is not null").select("digest").distinct().withColumn("name", F.col("digest").cast("string"))
+        hot = near_dup._hot(rows.where("digest is not null").groupBy("digest").agg(F.count(F.lit(1)).alias("c")), "digest", "c", scratch)
+        out = near_dup._deal(rows, "digest", table, hot, "left")
+        most, n = _largest(out)
+        assert n == 4000 and most < 0.5 * n
+        assert out.where("digest is not null and name <> cast(digest as string)").count() == 0 and out.where("digest is null and name is not null").count() == 0
+        assert near_dup._deal(rows, "digest", table, hot).count() == rows.where("digest is not null").count()
+        one = near_dup._deal(rows, "digest", table, None, "left")
+        assert one.count() == 4000
+        # many rows on both sides of a key
+        a = spark.range(3000).select(F.lit(1).alias("value"), F.col("id").alias("cls"), F.lit(8).alias("tasks"))
+        b = spark.createDataFrame([(1, k, 8) for k in range(3)] + [(2, 9, 1)], "value int, b int, tasks int")
+        met = near_dup._meet(a, b, ["value"], "tasks", "cls")
+        assert met.count() == 9000 and met.select("cls", "b").distinct().count() == 9000
+        most, n = _largest(met)
+        assert most < 0.75 * n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_nearly_all_rows_copies_or_without_words(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "HOT", 16)
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(500)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    base = text(60)
+    docs = [(k, base) for k in range(300)] + [(1000 + k, rng.choice(["", None, " \t"])) for k in range(200)]
+    for k in range(60):  # near copies around one text, and others
+        w = base.split()
+        w[rng.randrange(60)] = f"x{k}"
+        docs.append((2000 + k, " ".join(w)))
+        docs.append((3000 + k, text(40)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: (n, c, k) for i, n, c, k in brute(docs)}

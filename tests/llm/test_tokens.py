@@ -9,6 +9,8 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from lexspark.llm import pfor, token_count, tokens
 
 NASTY = [None, "", " ", "\n", "  a  b\n\n c \t  x\n ", "\x00\x01 <|endoftext|> it's 12 34 é漢字🙂 ", "a" * 3000, " " * 500 + "x", "x \n y", "Of. And,the;end", "um dois  três", "fim "]
@@ -133,3 +135,19 @@ def test_separator_counts_ignore_clashing_columns(spark):
 
 def test_pieces_map_back(bpe):
     assert [tokens.unpiece(tokens.piece(t)) for t in bpe.whole] == list(bpe.whole) == bpe.bytes_of
+
+
+def test_rows_without_id_are_spread_over_files(spark, monkeypatch):
+    monkeypatch.setattr(pfor, "FILE_DOCS", 50)
+    rows = [(None, "one text for all rows without id") for _ in range(600)] + [(k, f"text {k}") for k in range(200)] + [(7, "the same id") for _ in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    scratch = pfor.Scratch(spark, "test")
+    files = pfor.write_ids(df, scratch, public_tokenizers.path("byte_bpe_50k.json"))
+    held = {r["file"]: r["n"] for r in files.groupBy("file").agg(F.sum("n_docs").alias("n")).collect()}
+    assert sum(held.values()) == 1000 and max(held.values()) < 300 and len(held) >= 12
+    out = pfor.read_index(files).orderBy("start").collect()
+    assert [r.doc_id for r in out] == [None] * 600 + sorted([*range(200), *[7] * 200])
+    at = 0
+    for r in out:
+        assert r.start == at
+        at += r.n_tokens
