@@ -481,3 +481,29 @@ def distinct_sketches(spark, d):
     exact = docs.groupBy("source").agg(F.countDistinct("text").alias("distinct_texts"))
     close = F.abs(F.col("distinct_values") - F.col("distinct_texts")) <= F.greatest(F.lit(1), 0.04 * F.col("distinct_texts"))
     return exact.join(halves, "source").join(whole, "source").select("source", "distinct_texts", (F.abs(F.col("distinct_values") - F.col("whole")) <= F.greatest(F.lit(1), 0.02 * F.col("whole"))).alias("halves_agree"), close.alias("close"))
+
+
+_DEVICE = "CASE o_orderkey % 5 WHEN 0 THEN '{0}' WHEN 1 THEN '{1}' WHEN 2 THEN '{2}' WHEN 3 THEN '{3}' ELSE '{4}' END"
+_DEVICE_KINDS = _DEVICE.format("article", "paragraph", "paragraph", "inciso", "alinea")
+_DEVICE_SPANS = _DEVICE.format("ART-007", "PAR-007-2", "PAR-007-UNICO", "INC-007-IV", "ALI-007-IV-b")
+
+
+@query(f"""SELECT o_orderkey, concat_ws(chr(10), concat('LEI-', o_custkey, ' | Art. 7 | ', {_DEVICE.format(legal.DEVICE_LABELS["article"], legal.DEVICE_LABELS["paragraph"] + " 2º", legal.DEVICE_LABELS["paragraph"] + " único", legal.DEVICE_LABELS["inciso"] + " IV", legal.DEVICE_LABELS["alinea"] + " b)")}), concat('texto ', o_orderkey),
+ CASE WHEN o_orderkey % 5 > 0 AND n > 0 THEN concat('[CONTEXTO] ', CASE WHEN 5 * n <= {legal.CAPUT_HEAD + legal.CAPUT_TAIL} THEN repeat('caput', n) ELSE concat(left(repeat('caput', n), {legal.CAPUT_HEAD}), ' ... ', right(repeat('caput', n), {legal.CAPUT_TAIL})) END) END) AS embedded
+ FROM (SELECT *, CAST(o_orderkey % 300 AS INTEGER) AS n FROM orders)""")
+def device_embedding_text(spark, d):
+    """Texts for embedding of devices of every kind, with caputs from none to longer than their share."""
+    o = t(spark, d, "orders")
+    made = legal.embedding_text(F.concat(F.lit("LEI-"), F.col("o_custkey").cast("string")), F.lit("7"), F.expr(_DEVICE_KINDS), F.concat(F.lit("texto "), F.col("o_orderkey").cast("string")), F.repeat(F.lit("caput"), (F.col("o_orderkey") % 300).cast("int")), F.expr(_DEVICE_SPANS))
+    return o.select("o_orderkey", made.alias("embedded"))
+
+
+@query("SELECT lang, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS bytes FROM documents GROUP BY lang")
+def object_inventory(spark, d):
+    """Documents written as objects, a folder for each language, and what a listing of them holds."""
+    from ..sources.scratch import Scratch
+
+    root = f"{Scratch(spark, 'objects').root}/texts"
+    stores.write(t(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("value"), "lang"), root, "text", by=["lang"])
+    found = stores.files(spark, root, content=False)
+    return found.groupBy(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")).agg(F.sum("length").alias("bytes"))
