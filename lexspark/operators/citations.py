@@ -1,6 +1,6 @@
 """Citations of norms and devices in text, with typed relations.
 
-Patterns are matched once, in an Arrow function that returns offsets and the text near each match;
+Patterns are matched once, where an automaton of their leading letters says that they can, in an Arrow function that returns offsets and the text near each match;
 everything after that (years, ids, devices before and after, confidence, relation type,
 de-duplication) is column expressions on that, so texts are neither repeated nor shuffled.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import legal, rules
+from ..functions.matches import Anchored
 
 def full_year(digits: Column) -> Column:
     """Four digits of a year of two (below 50: 2000s); other lengths stay."""
@@ -55,7 +56,7 @@ def _matches(texts: pd.Series) -> pd.Series:
     """
     if not _compiled:
         flags = re.IGNORECASE
-        _compiled.update(cited=[re.compile(p, flags) for p in (*(p for _, p in rules.NORMS), rules.DEVICE_CITED)], before=re.compile(rules.DEVICE_BEFORE, flags), parts=[re.compile(p, flags) for p in rules.DEVICE_PARTS])
+        _compiled.update(cited=Anchored([*(p for _, p in rules.NORMS), rules.DEVICE_CITED]), before=re.compile(rules.DEVICE_BEFORE, flags), parts=[re.compile(p, flags) for p in rules.DEVICE_PARTS])
     last, near = len(rules.NORMS), rules.REL_WINDOW
 
     def followed(rest: str) -> list[str | None]:
@@ -71,14 +72,13 @@ def _matches(texts: pd.Series) -> pd.Series:
 
     def one(t: str) -> list[dict]:
         out = []
-        for k, p in enumerate(_compiled["cited"]):
-            for m in p.finditer(t):
-                a, z = m.span()
-                row = {"k": k, "start": a, "end": z, "g": [m[0], *m.groups()], "before": t[max(a - near, 0) : a], "after": t[z : z + near], "led": None, "followed": None}
-                if k < last:
-                    d = _compiled["before"].search(t[max(a - 100, 0) : a])
-                    row |= {"led": d and list(d.groups()), "followed": followed(t[z : z + 100])}
-                out.append(row)
+        for k, m in _compiled["cited"](t):
+            a, z = m.span()
+            row = {"k": k, "start": a, "end": z, "g": [m[0], *m.groups()], "before": t[max(a - near, 0) : a], "after": t[z : z + near], "led": None, "followed": None}
+            if k < last:
+                d = _compiled["before"].search(t[max(a - 100, 0) : a])
+                row |= {"led": d and list(d.groups()), "followed": followed(t[z : z + 100])}
+            out.append(row)
         return out
 
     return texts.map(lambda t: one(t) if t else [])
