@@ -8,6 +8,7 @@ a bounded number of generated sentences and run as nested CASE expressions.
 
 from __future__ import annotations
 
+import json
 import random
 from dataclasses import dataclass, field
 from functools import reduce
@@ -277,7 +278,9 @@ def train(spark: SparkSession, examples: int = EXAMPLES, seed: int = 11) -> Mode
     the corpus is read, so the model is the same at every size; the seed decides it.
     """
     made = [sentence(random.Random(f"{seed}:{k}")) for k in range(examples)]
-    texts = spark.createDataFrame([(k, t) for k, (t, _, _, _) in enumerate(made)], "id long, t string")
+    # a literal, so that no rows pass through Python on the way to the executors
+    literal = F.from_json(F.lit(json.dumps([t for t, _, _, _ in made])), "array<string>")
+    texts = spark.range(1).select(F.posexplode(literal).alias("id", "t")).repartition(8, "id")
     rows, ys, halves = [], [], []
     # arrays as they are: a filter that comes with an explode would be pushed down and repeat every expression above
     for line in candidates(base_spans(texts, "t")).select("id", "proposed").orderBy("id").collect():  # at most a few candidates for each sentence
