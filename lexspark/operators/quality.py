@@ -205,6 +205,11 @@ def missing_columns(df: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS)
     return sorted(set(required) - set(df.columns))
 
 
+def missing_fields(record: Column, required: tuple[str, ...] = REQUIRED_COLUMNS) -> Column:
+    """Required fields that a record in JSON lacks, sorted; all of them where it is no object."""
+    return F.array_sort(F.array_except(F.array(*map(F.lit, required)), F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))))
+
+
 def reading_checks(matches: DataFrame) -> DataFrame:
     """How two readings of a page agree (document_id, page, text_a, text_b): pairs under 0.5 similar, share of them, whether it stays within a tenth."""
     from ..functions.legal import word_jaccard
