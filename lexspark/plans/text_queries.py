@@ -32,14 +32,14 @@ def corpus_profile(spark, d):
     return t(spark, d, "documents").select("lang", "text", h.alias("h")).groupBy("lang").agg(F.count(F.lit(1)).alias("documents"), F.countDistinct("h").alias("distinct_texts"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
 
 
-_RUNS = "doc_id, source AS pdf_hash, lang AS pipeline_version, CASE WHEN doc_id % 4 = 0 THEN left(text, 5) ELSE source END AS canonical_hash"
+_RUNS = "doc_id, source AS pdf_hash, lang AS pipeline_version, CASE WHEN doc_id % 4 = 0 THEN sha256(text) ELSE source END AS canonical_hash"
 
 
 @query(f"""SELECT doc_id, p AS previous_hash, CASE WHEN p IS NULL THEN 'first_run' WHEN p = canonical_hash THEN 'deterministic' ELSE 'drifted' END AS state FROM (
   SELECT *, CASE WHEN run_ts - lag(run_ts) OVER w <= INTERVAL 30 DAY THEN lag(canonical_hash) OVER w END AS p
   FROM (SELECT {_RUNS}, TIMESTAMP '2024-01-01' + to_minutes(doc_id * 700) AS run_ts FROM documents) WINDOW w AS (PARTITION BY pdf_hash, pipeline_version ORDER BY run_ts, doc_id))""")
 def drift_check(spark, d):
-    runs = t(spark, d, "documents").selectExpr(*[x.strip() for x in ["doc_id", "source AS pdf_hash", "lang AS pipeline_version", "CASE WHEN doc_id % 4 = 0 THEN left(text, 5) ELSE source END AS canonical_hash", "timestampadd(MINUTE, doc_id * 700, timestamp '2024-01-01') AS run_ts", "doc_id AS document_id"]])
+    runs = t(spark, d, "documents").selectExpr(*[x.strip() for x in ["doc_id", "source AS pdf_hash", "lang AS pipeline_version", "CASE WHEN doc_id % 4 = 0 THEN sha2(text, 256) ELSE source END AS canonical_hash", "timestampadd(MINUTE, doc_id * 700, timestamp '2024-01-01') AS run_ts", "doc_id AS document_id"]])
     return registry.drift(runs).select("doc_id", "previous_hash", "state")
 
 
