@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,32 +75,70 @@ def matching(text: Column, compose: bool = True) -> Column:
     return F.trim(F.regexp_replace(t, _U + r"\s+", " "))
 
 
-_BROKEN = re.compile(r"-\s*\n\s*")
+_BROKEN, _SPACES = re.compile(r"-\s*\n\s*"), re.compile(" +")
 _ALIKE = rules.OCR_ONE | dict.fromkeys(rules.OCR_DROPPED, "") | {rules.OCR_ELLIPSIS[0]: rules.OCR_ELLIPSIS[1]}
 
 
-def matching_form(text: str | None) -> tuple[str, list[int]]:
-    """The matching form of one text and the source offset of each of its characters."""
-    wide = [(c, at) for at, ch in enumerate(text or "") for c in unicodedata.normalize("NFKC", ch)]
-    gone = {k for m in _BROKEN.finditer("".join(c for c, _ in wide)) for k in range(m.start(), m.end())}
-    out: list[tuple[str, int]] = []
-    for k, (ch, at) in enumerate(wide):
-        for c in "" if k in gone else _ALIKE.get(ch, ch):
-            blank = c in " \t\n\r\x0b\x0c"
-            if not (blank and out and out[-1][0] == " "):
-                out.append((" " if blank else c, at))
-    lo, hi = 0, len(out)
-    while lo < hi and out[lo][0].isspace():
-        lo += 1
-    while hi > lo and out[hi - 1][0].isspace():
-        hi -= 1
-    return "".join(c for c, _ in out[lo:hi]), [at for _, at in out[lo:hi]]
+class _Table(dict):
+    """What characters become, by code point; each is asked for once."""
+
+    def __init__(self, by: Callable[[str], str]):
+        self.by = by
+
+    def __missing__(self, code: int) -> str:
+        out = self[code] = self.by(chr(code))
+        return out
+
+
+_WIDE, _PLAIN = _Table(lambda c: unicodedata.normalize("NFKC", c)), _Table(lambda c: _ALIKE.get(c, c))
+_BLANK = str.maketrans("\t\n\r\x0b\x0c", "     ")
+
+
+def _put(text: str, source: np.ndarray, table: _Table) -> tuple[str, np.ndarray]:
+    """A text with every character as the table has it, one or more or none; sources go along."""
+    if text.isascii():  # no table changes those
+        return text, source
+    if any(len(table[ord(c)]) != 1 for c in set(text)):
+        source = np.repeat(source, np.fromiter((len(table[ord(c)]) for c in text), np.int64, len(text)))
+    return text.translate(table), source
+
+
+def matching_form(text: str | None) -> tuple[str, np.ndarray]:
+    """The matching form of one text and the source offset of each of its characters, as an array of numbers: a few bytes a character."""
+    t = text or ""
+    t, source = _put(t, np.arange(len(t), dtype=np.int32), _WIDE)
+    broken = [m.span() for m in _BROKEN.finditer(t)] if "\n" in t else []
+    if broken:
+        own = list(zip([0, *(z for _, z in broken)], [*(a for a, _ in broken), len(t)], strict=True))
+        t, source = "".join(t[a:z] for a, z in own), np.concatenate([source[a:z] for a, z in own])
+    t, source = _put(t, source, _PLAIN)
+    t = t.translate(_BLANK)
+    if "  " in t:
+        blank = np.frombuffer(t.encode("utf-32-le"), np.uint32) == 32
+        keep = np.ones(len(t), bool)
+        keep[1:] = ~(blank[1:] & blank[:-1])
+        t, source = _SPACES.sub(" ", t), source[keep]
+    lead = len(t) - len(t.lstrip())
+    core = t.strip()
+    return core, source[lead : lead + len(core)]
+
+
+#: Characters that are answered at once.
+_PART = 1 << 20
 
 
 @F.pandas_udf(T.StructType([T.StructField("norm", T.StringType()), T.StructField("source", T.ArrayType(T.IntegerType()))]))
-def matching_with_offsets(texts: pd.Series) -> pd.DataFrame:
-    """The matching form with the source offset of each of its characters."""
-    return pd.DataFrame([matching_form(t) for t in texts], columns=["norm", "source"])
+def matching_with_offsets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """The matching form with the source offset of each of its characters. A batch of long texts is answered in parts, so that memory is bounded by a part."""
+    for texts in batches:
+        out, chars = [], 0
+        for t in texts:
+            out.append(matching_form(t))
+            chars += len(t or "")
+            if chars >= _PART:
+                yield pd.DataFrame(out, columns=["norm", "source"])
+                out, chars = [], 0
+        yield pd.DataFrame(out, columns=["norm", "source"])
 
 
 def strip_thinking(text: Column) -> Column:

@@ -77,3 +77,14 @@ def test_boxes_and_tiers(spark):
     df = spark.createDataFrame([([0.0, 0.0, 2.0, 2.0], [1.0, 1.0, 3.0, 3.0], 0.8), ([0.0, 0.0, 1.0, 1.0], [2.0, 2.0, 3.0, 3.0], 0.5)], "a array<double>, b array<double>, s double")
     got = df.select(F.round(legal.bbox_iou(F.col("a"), F.col("b")), 4).alias("i"), legal.confidence_tier(F.col("s")).alias("t"), legal.valid_bbox(F.col("a"), F.lit(1.5), F.lit(9.0)).alias("v"))
     assert [tuple(r) for r in got.collect()] == [(0.1429, "HIGH", True), (0.0, "MEDIUM", True)]
+
+
+def test_offsets_of_the_matching_form_are_a_few_bytes_a_character_and_answered_in_parts(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    form, at = tx.matching_form("«Ação»  que-\n bra…" * 100)
+    assert isinstance(at, np.ndarray) and at.itemsize == 4 and len(at) == len(form)
+    monkeypatch.setattr(tx, "_PART", 10)
+    parts = list(tx.matching_with_offsets.func(iter([pd.Series(["abcdef"] * 5 + [None])])))
+    assert [len(p) for p in parts] == [2, 2, 2] and [x for p in parts for x in p["norm"]] == ["abcdef"] * 5 + [""]
