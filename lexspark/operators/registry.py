@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -45,6 +45,11 @@ def by_run(registry: DataFrame, run_id: str) -> DataFrame:
     return registry.where(F.col("ingest_run_id") == run_id)
 
 
+def _micros(at: Column) -> Column:
+    """A time to the microsecond; whole seconds would end a lifetime up to a second early."""
+    return F.unix_micros(at.cast("timestamp"))
+
+
 def drift(runs: DataFrame) -> DataFrame:
     """Each run (document_id, pdf_hash, pipeline_version, canonical_hash, run_ts) against the one before it of the same source and version.
 
@@ -52,7 +57,7 @@ def drift(runs: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("pdf_hash", "pipeline_version").orderBy("run_ts", "document_id")
     before, then = F.lag("canonical_hash").over(w), F.lag("run_ts").over(w)
-    fresh = before.isNotNull() & (F.unix_timestamp(F.col("run_ts").cast("timestamp")) - F.unix_timestamp(then.cast("timestamp")) <= DRIFT_TTL)
+    fresh = before.isNotNull() & (_micros(F.col("run_ts")) - _micros(then) <= DRIFT_TTL * 1_000_000)
     previous = F.when(fresh, before)
     state = F.when(previous.isNull(), "first_run").when(previous == F.col("canonical_hash"), "deterministic").otherwise("drifted")
     return runs.select("*", previous.alias("previous_hash"), state.alias("state"))
@@ -65,7 +70,7 @@ def register_run(registry: DataFrame, runs: DataFrame) -> DataFrame:
 
 def alive(rows: DataFrame, now, ttl: int = INSPECTION_TTL, at: str = "saved_at") -> DataFrame:
     """Rows younger than a lifetime in seconds."""
-    return rows.where(F.unix_timestamp(now) - F.unix_timestamp(F.col(at).cast("timestamp")) < ttl)
+    return rows.where(_micros(now) - _micros(F.col(at)) < ttl * 1_000_000)
 
 
 def recent_inspections(artifacts: DataFrame, metadata: DataFrame) -> DataFrame:
