@@ -5,7 +5,7 @@ BLOCKS = "document_id string, page_number int, block_index int, text string, cha
 CHUNKS = (
     "node_id string, chunk_id string, parent_node_id string, span_id string, device_type string, chunk_level string, text string, parent_text string, retrieval_text string, enriched_text string, context_header string, thesis_text string,"
     " thesis_type string, synthetic_questions string, document_id string, tipo_documento string, numero string, ano int, article_number string, colegiado string, processo string, relator string, data_sessao string, unidade_tecnica string,"
-    " section_type string, authority_level string, section_path string, dense_vector array<float>, thesis_vector array<float>, sparse_vector map<int,float>, citations array<struct<target_node_id:string,rel_type:string,rel_type_confidence:double>>,"
+    " section_type string, authority_level string, section_path string, dense_vector array<float>, thesis_vector array<float>, sparse_vector map<bigint,float>, citations array<struct<target_node_id:string,rel_type:string,rel_type_confidence:double>>,"
     " schema_version string, aliases string, sparse_source string, canonical_start int, canonical_end int, canonical_hash string, origin_type string, origin_confidence string, origin_reference string, origin_reference_name string,"
     " is_external_material boolean, origin_reason string, page_number int, bbox array<double>, bbox_img array<double>, img_width int, img_height int, confidence double, is_cross_page boolean,"
     " bbox_spans array<struct<page_number:int,bbox_pdf:array<double>,bbox_img:array<double>>>, part_index int, part_total int, is_consolidated boolean, child_node_ids array<string>, child_offsets array<struct<node_id:string,start:int,end:int>>"
