@@ -196,7 +196,7 @@ def contract_sound_documents(spark, d):
     return good.groupBy("document_id").agg(F.count(F.lit(1)).alias("chunks"))
 
 
-@query("""SELECT l_orderkey, CAST(sum(z - a) AS DOUBLE) AS covered, count(*) AS islands FROM (SELECT l_orderkey, i, min(a) AS a, max(z) AS z FROM (SELECT *, sum(n) OVER (PARTITION BY l_orderkey ORDER BY a, z ROWS UNBOUNDED PRECEDING) AS i FROM (
+@query("""SELECT l_orderkey, CAST(sum(z - a) AS DOUBLE) AS covered, count(*) AS islands FROM (SELECT l_orderkey, i, min(a) AS a, max(z) AS z FROM (SELECT *, sum(n) OVER (PARTITION BY l_orderkey ORDER BY a, z RANGE UNBOUNDED PRECEDING) AS i FROM (
  SELECT *, CASE WHEN a > max(z) OVER (PARTITION BY l_orderkey ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) OR row_number() OVER (PARTITION BY l_orderkey ORDER BY a, z) = 1 THEN 1 ELSE 0 END AS n FROM (SELECT l_orderkey, l_quantity AS a, l_quantity + l_linenumber * 2 AS z FROM lineitem))) GROUP BY ALL) GROUP BY l_orderkey""")
 def offset_coverage(spark, d):
     li = t(spark, d, "lineitem").select("l_orderkey", F.col("l_quantity").alias("start"), (F.col("l_quantity") + F.col("l_linenumber") * 2).alias("end"))
