@@ -158,6 +158,8 @@ REFERENCES = (
     (r"(?iuU)da Lei Complementar n[ºo°]\s*([\d.]+)", "LC", False, False),
     (r"(?iuU)da Medida Provis[óo]ria n[ºo°]\s*([\d.]+)", "MP", False, False),
 )
+#: What every match of a kind's patterns begins with in lower case, up to a letter of which Unicode has other forms (i, s).
+REFERENCE_STARTS = {"LEI": "da le", "DL": "do decreto-le", "DEC": "do decreto n", "LC": "da le", "MP": "da med"}
 KNOWN_REFERENCES = {
     "2.848": ("DL-2848-1940", "Código Penal"),
     "13.105": ("LEI-13105-2015", "Código de Processo Civil"),

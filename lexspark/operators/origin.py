@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import rules
+from . import ranges
 
 #: Weights of the signs of a zone's start, but for the article's number, and of its end.
 _W = {"trigger": 0.40, "quote": 0.20, "sequence": 0.50, "chapter": 0.40, "ref": 0.30, "name": 0.20, "annex": 0.15, "nr": 0.70, "nr_alone": 0.35, "close": 0.50, "resume": 0.30, "again": 0.40}
@@ -28,9 +29,9 @@ def article_number(text: Column) -> Column:
     return digits.try_cast("double")
 
 
-def _triggered(text: Column) -> Column:
-    low = F.lower(text)
-    return reduce(lambda a, b: a | b, [low.contains(p) for p in rules.TRIGGERS])
+def _triggered(low: str) -> Column:
+    """Whether a column of text in lower case holds a trigger."""
+    return reduce(lambda a, b: a | b, [F.col(low).contains(p) for p in rules.TRIGGERS])
 
 
 def _sum(signs: list[tuple[Column, float, str]]) -> tuple[Column, Column]:
@@ -38,16 +39,16 @@ def _sum(signs: list[tuple[Column, float, str]]) -> tuple[Column, Column]:
     return score, F.array_compact(F.array(*[F.when(c, n) for c, _, n in signs]))
 
 
-def reference(area: Column) -> Column:
-    """(id, name) of the first norm referred to, by patterns in order; known numbers have a fixed id."""
+def reference(area: Column, refers: list[Column]) -> Column:
+    """(id, name) of the first norm referred to, by patterns in order, of which ``refers`` says whether they match; known numbers have a fixed id."""
     known = [F.create_map(*[F.lit(x) for n, v in rules.KNOWN_REFERENCES.items() for x in (n, v[j])]) for j in (0, 1)]
     pick = F.when(F.lit(False), F.struct(F.lit("").alias("id"), F.lit("").alias("name")))
-    for pattern, kind, dated, named in rules.REFERENCES:
+    for (pattern, kind, dated, named), found in zip(rules.REFERENCES, refers, strict=True):
         num = F.regexp_extract(area, pattern, 1)
         year = F.regexp_extract(F.regexp_extract(area, pattern, 2), r"(\d{4})", 1) if dated else F.lit("")
         own = F.concat_ws("-", F.lit(kind), F.regexp_replace(num, r"\.", ""), F.nullif(year, F.lit("")))
         name = F.regexp_extract(area, pattern, 3) if named else F.lit("")
-        pick = pick.when(area.rlike(pattern), F.struct(F.coalesce(F.try_element_at(known[0], num), own).alias("id"), F.coalesce(F.try_element_at(known[1], num), name).alias("name")))
+        pick = pick.when(found, F.struct(F.coalesce(F.try_element_at(known[0], num), own).alias("id"), F.coalesce(F.try_element_at(known[1], num), name).alias("name")))
     return pick.otherwise(F.struct(F.lit("").alias("id"), F.lit("").alias("name")))
 
 
@@ -60,6 +61,7 @@ def _windows(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
 
     Texts are cut into pieces that overlap by the window, and each chunk meets the piece where it starts and
     the one where it ends, so no row carries a whole text and the length of a text costs nothing twice.
+    Spark takes cut texts for small and would send all of them to every task; the joins are by sorted keys.
     """
     reach = rules.ZONE_WINDOW
     cut = canonical.select("document_id", F.regexp_extract_all("canonical_text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("__a"))
@@ -70,7 +72,7 @@ def _windows(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
     number = lambda at: F.when(has, F.floor(at / PIECE).cast("int"))
     out = chunks.withColumn("__s", number(s)).withColumn("__e", number(e))
     for name, at, n in (("before", s, "__s"), ("after", e, "__e")):
-        out = out.join(pieces.withColumnRenamed("__n", n), ["document_id", n], "left")
+        out = ranges.dealt(out, "document_id", n).join(pieces.withColumnRenamed("__n", n).hint("merge"), ["document_id", n], "left")
         local = at - F.col(n) * PIECE + F.when(F.col(n) > 0, reach).otherwise(0)  # where the offset lies in the piece
         low = F.greatest(local - reach, F.lit(0)) if name == "before" else local
         text = F.substring(F.col("__piece"), (low + 1).cast("int"), (F.least(local, F.lit(reach)) if name == "before" else F.lit(reach)).cast("int"))
@@ -80,26 +82,31 @@ def _windows(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
 
 def scores(chunks: DataFrame, canonical: DataFrame) -> DataFrame:
     """Signs of start and end for each chunk: enter (without the article's number), exit, their reasons, number, reference."""
-    c = _windows(chunks, canonical)
-    t, area = F.col("text"), F.concat("before", "text")
-    quote = F.when(F.col("before") == "", F.left(t, F.lit(200))).otherwise(F.concat(F.right("before", F.lit(200)), F.left(t, F.lit(200))))
-    refers = [area.rlike(p) for p, *_ in rules.REFERENCES]
+    # columns that several signs read stand in a projection of their own, so that each pattern is matched once a chunk
+    c = _windows(chunks, canonical).withColumns({"__area": F.concat("before", "text"), "__next": F.left("after", F.lit(400))})
+    c = c.withColumns({"__low": F.lower("__area"), "__low_next": F.lower("__next"), "__quote": F.concat(F.right("before", F.lit(200)), F.left("text", F.lit(200)))})
+    t, area = F.col("text"), F.col("__area")
+    refers = [f"__refers_{k}" for k in range(len(rules.REFERENCES))]
+    c = c.withColumns({
+        **{n: F.col("__low").contains(rules.REFERENCE_STARTS[kind]) & area.rlike(p) for n, (p, kind, *_) in zip(refers, rules.REFERENCES, strict=True)},
+        "__trigger": _triggered("__low"), "__opened": F.col("__quote").rlike(rules.ZONE_QUOTE_OPEN), "__chapter": t.rlike(rules.ZONE_QUOTED_CHAPTER), "__annex": t.rlike(rules.ZONE_ANNEX),
+        "__article": article_number(F.col("__next")).isNotNull(), "__again": _triggered("__low_next"), "__nr": F.concat(t, F.left("after", F.lit(200))).rlike(rules.ZONE_NEW_WORDING),
+        "__shut": t.rlike(rules.ZONE_QUOTE_CLOSE) | F.left("after", F.lit(100)).rlike(rules.ZONE_QUOTE_CLOSE), "number": article_number(t),
+    })
+    refers = [F.col(n) for n in refers]
     # the name counts if the first pattern that matches and has one does: patterns without one never stop the search
     named = reduce(lambda a, b: a | b, [r for r, (_, _, _, n) in zip(refers, rules.REFERENCES, strict=True) if n])
     first_named = F.when(refers[0], True)
     for r, (_, _, _, n) in list(zip(refers, rules.REFERENCES, strict=True))[1:]:
         first_named = first_named.when(r & F.lit(n), True)
     named = F.coalesce(first_named, named)
-    enter = [(_triggered(area), _W["trigger"], "trigger_phrase"), (quote.rlike(rules.ZONE_QUOTE_OPEN), _W["quote"], "quote_open"), (t.rlike(rules.ZONE_QUOTED_CHAPTER), _W["chapter"], "chapter_in_quotes"), (reduce(lambda a, b: a | b, refers), _W["ref"], "target_ref"), (named, _W["name"], "target_name"), (t.rlike(rules.ZONE_ANNEX), _W["annex"], "annex_header")]
-    next_art = article_number(F.left("after", F.lit(400))).isNotNull()
-    again = _triggered(F.left("after", F.lit(400)))
-    nr = F.concat(t, F.left("after", F.lit(200))).rlike(rules.ZONE_NEW_WORDING)
+    enter = [(F.col("__trigger"), _W["trigger"], "trigger_phrase"), (F.col("__opened"), _W["quote"], "quote_open"), (F.col("__chapter"), _W["chapter"], "chapter_in_quotes"), (reduce(lambda a, b: a | b, refers), _W["ref"], "target_ref"), (named, _W["name"], "target_name"), (F.col("__annex"), _W["annex"], "annex_header")]
+    next_art, again, nr = F.col("__article"), F.col("__again"), F.col("__nr")
     full = nr & (next_art | again)
-    closed = (t.rlike(rules.ZONE_QUOTE_CLOSE) | F.left("after", F.lit(100)).rlike(rules.ZONE_QUOTE_CLOSE)) & ~full & next_art
+    closed = F.col("__shut") & ~full & next_art
     leave = [(full, _W["nr"], "nr_marker"), (nr & ~full, _W["nr_alone"], "nr_marker_isolated"), (closed, _W["close"], "quote_close_resume"), (next_art & ~closed & ~full, _W["resume"], "resume_sequence"), (again, _W["again"], "new_trigger")]
     (es, er), (xs, xr) = _sum(enter), _sum(leave)
-    c = c.select("*", es.alias("enter"), er.alias("enter_reasons"), xs.alias("exit"), xr.alias("exit_reasons"), article_number(t).alias("number"), reference(area).alias("ref"))
-    return c.drop("before", "after")
+    return c.select(*chunks.columns, es.alias("enter"), er.alias("enter_reasons"), xs.alias("exit"), xr.alias("exit_reasons"), "number", reference(area, refers).alias("ref"))
 
 
 _OUT = "origin_type string, is_external_material boolean, origin_reference string, origin_reference_name string, origin_confidence string, origin_reason string"

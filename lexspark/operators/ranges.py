@@ -9,6 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all shuffle partitions by keys, ahead of work that is heavy for their size.
+
+    Few small rows stand in one split of a file, and adaptive execution joins small partitions; a number given holds.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def bin_of(at: Column, width: float) -> Column:
     return F.floor(at / width).cast("long")
 
