@@ -25,14 +25,17 @@ PAGE = 3500
 def header(docs: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """Header fields of each ruling; with ``requests`` (document_id and fields), what the header lacks comes from there."""
     t = F.col("text")
-    body = F.lower(F.regexp_extract(t, rules.RULING_BODY, 1))
+    # each pattern goes over a text once: what it finds stands in a projection that the rest reads
+    found = {"__number": F.regexp_extract(t, rules.RULING_NUMBER, 0), "__body": F.lower(F.regexp_extract(t, rules.RULING_BODY, 1)), "__outcome": F.lower(F.trim(F.regexp_extract(t, rules.RULING_OUTCOME, 1))), **{f"__{k}": F.trim(F.regexp_extract(t, p, 1)) for k, p in rules.RULING_HEADER.items()}}
+    docs = docs.withColumns(found)
+    body, outcome = F.col("__body"), F.col("__outcome")
     body = F.when(body.contains("plen"), "Plenario").when(body.rlike("1|primeira"), "1a_Camara").when(body.rlike("2|segunda"), "2a_Camara").otherwise("")
-    fields = {k: F.trim(F.regexp_extract(t, p, 1)) for k, p in rules.RULING_HEADER.items()}
+    fields = {k: F.col(f"__{k}") for k in rules.RULING_HEADER}
     fields["processo"] = F.when(fields["processo"] != "", F.concat(F.lit("TC "), fields["processo"])).otherwise("")
     summary = F.trim(F.regexp_replace(F.regexp_extract(t, rules.RULING_SUMMARY, 1), r"(?U)\s+", " "))
-    outcome = F.lower(F.trim(F.regexp_extract(t, rules.RULING_OUTCOME, 1)))
     outcome = F.concat(F.upper(F.left(outcome, F.lit(1))), F.substring(outcome, F.lit(2), F.length(outcome)))
-    out = docs.select("document_id", F.regexp_extract(t, rules.RULING_NUMBER, 1).alias("numero"), F.regexp_extract(t, rules.RULING_NUMBER, 2).alias("ano"), body.alias("colegiado"), *[c.alias(k) for k, c in fields.items()], summary.alias("sumario"), outcome.alias("resultado"))
+    number = lambda g: F.regexp_extract("__number", rules.RULING_NUMBER, g)
+    out = docs.select("document_id", number(1).alias("numero"), number(2).alias("ano"), body.alias("colegiado"), *[c.alias(k) for k, c in fields.items()], summary.alias("sumario"), outcome.alias("resultado"))
     if requests is None:
         return out
     shared = [c for c in out.columns if c in requests.columns and c != "document_id"]
@@ -82,10 +85,14 @@ def _numbered(parts: DataFrame, pattern: str, compat: bool) -> DataFrame:
     if compat:  # a paragraph after a line that ends in a digit and a point is taken for a decimal item
         ends = lambda x: F.regexp_replace(F.substring(F.col("raw"), F.lit(1), x["start"]), r"(?U)\s+\z", "").rlike(r"\d\.\z")
         m = m.withColumn("m", F.filter("m", lambda x: ~ends(x)))
-    each = m.select(*[c for c in parts.columns], "m", F.posexplode("m").alias("k", "x"))
-    stop = F.coalesce(F.try_element_at("m", F.col("k") + 2)["start"], F.length("raw"))
-    piece = tx.strip_offsets(_part(F.col("raw"), F.col("x.start"), stop), F.col("start") + F.col("x.start"))
-    return each.select(*[F.col(c) for c in parts.columns if c not in ("raw", "start", "end")], F.element_at("x.g", 2).alias("num"), piece.alias("p")).where(F.col("p.text") != "")
+    # pieces are cut before they are rows of their own, so that no row carries the whole part or all its markers
+    stop = lambda i: F.coalesce(F.try_element_at("m", i + 2)["start"], F.length("raw"))
+    cut = F.transform("m", lambda x, i: F.struct(F.element_at(x["g"], 2).alias("num"), x["start"].alias("at"), _part(F.col("raw"), x["start"], stop(i)).alias("own")))
+    kept = [c for c in parts.columns if c not in ("raw", "start", "end")]
+    each = m.select(*kept, "start", F.inline(cut))
+    each = each.withColumn("core", F.regexp_replace("own", r"(?U)^\s+|\s+\z", "")).where("core <> ''")
+    first = F.col("start") + F.col("at") + F.instr("own", F.col("core")) - 1
+    return each.select(*kept, "num", F.struct(F.col("core").alias("text"), first.alias("start"), (first + F.length("core")).alias("end")).alias("p"))
 
 
 def devices(docs: DataFrame, pages: DataFrame | None = None, compat: bool = False) -> DataFrame:
@@ -115,7 +122,7 @@ def devices(docs: DataFrame, pages: DataFrame | None = None, compat: bool = Fals
     out = out.unionByName(row(sub, rank(F.col("seq"), F.col("n"), none, F.col("start")), "section", F.col("id"), F.lit("SEC-RELATORIO"), tx.strip_offsets(F.col("raw"), F.col("start")), F.col("heading"), path, F.col("depth")))
 
     # paragraphs lie in subsections where a report has any, else directly in their section
-    direct = sec.where("section_type <> 'acordao'").join(sub.select("document_id", F.lit("relatorio").alias("section_type")).distinct(), ["document_id", "section_type"], "left_anti")
+    direct = ranges.dealt(sec.where("section_type <> 'acordao'"), "document_id", "section_type").join(sub.select("document_id", F.lit("relatorio").alias("section_type")).distinct(), ["document_id", "section_type"], "left_anti")
     homes = direct.select("document_id", "seq", F.lit(-1).alias("sub"), "section_type", "id", F.col("name").alias("path"), "start", "raw").unionByName(
         sub.select("document_id", "seq", F.col("n").alias("sub"), "section_type", "id", path.alias("path"), "start", "raw")
     )
@@ -167,7 +174,7 @@ def parsed_sections(device_table: DataFrame, docs: DataFrame, heads: DataFrame |
     """Sections with their paragraphs, and the ementa before the first of them (by its label, else by the header's summary)."""
     para = device_table.where("device_type <> 'section'").groupBy("document_id", "section_type").agg(F.sort_array(F.collect_list(F.struct(F.col("char_start").alias("start"), F.col("char_end").alias("end")))).alias("paragraphs"))
     tops = device_table.where("device_type = 'section' and hierarchy_depth = 0 and text <> ''").select("document_id", "section_type", "text", F.col("char_start").alias("start"), F.col("char_end").alias("end"))
-    main = tops.join(para, ["document_id", "section_type"], "left")
+    main = ranges.dealt(tops, "document_id", "section_type").join(para, ["document_id", "section_type"], "left")
     first = tops.groupBy("document_id").agg(F.min("start").alias("first"))
     d = docs.join(first, "document_id", "left").withColumn("area", F.left("text", F.coalesce("first", F.length("text"))))
     summary = F.lit("")

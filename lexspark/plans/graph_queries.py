@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import legal, rules
 from ..functions import text as tx
-from ..operators import citations, graph, rulings
+from ..operators import citations, graph, ranges, rulings
 from ..streaming import limits
 from .base import query, re2, t
 
@@ -29,7 +29,7 @@ _A3 = "lpad(cast(o_orderkey % 40 + 1 as string), 3, '0')"
  UNION ALL SELECT o_orderkey, concat('acordaos:AC-', o_orderkey % 900 + 1, '-2021'), 'CITA', 0.5 FROM orders WHERE o_orderkey % 6 = 3
  UNION ALL SELECT o_orderkey, concat('leis:DOC#ART-', {_A3}), 'DEPENDE_DE', 0.82 FROM orders WHERE o_orderkey % 6 = 4)""")
 def citation_extract(spark, d):
-    c = t(spark, d, "orders").select("o_orderkey", F.expr(_CITES).alias("text"), F.lit("DOC").alias("document_id"))
+    c = ranges.dealt(t(spark, d, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", F.expr(_CITES).alias("text"), F.lit("DOC").alias("document_id"))
     return citations.extract(c, "o_orderkey").select("o_orderkey", "target_node_id", "rel_type", "rel_type_confidence")
 
 
@@ -201,7 +201,7 @@ _RULING = f"""replace(concat(
 
 
 def _rulings(spark, d):
-    return t(spark, d, "customer").select(F.concat(F.lit("AC-"), F.col("c_custkey").cast("string")).alias("document_id"), F.expr(_RULING).alias("text"))
+    return ranges.dealt(t(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_custkey").select(F.concat(F.lit("AC-"), F.col("c_custkey").cast("string")).alias("document_id"), F.expr(_RULING).alias("text"))
 
 
 @query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 3 + 1 AS p1, c_custkey % 4 + 1 AS p2, c_custkey % 5 + 1 AS v, c_custkey % 4 + 1 AS m, c_custkey % 3 AS s FROM customer)
@@ -258,7 +258,7 @@ _VOTE = "transform(sequence(1, cast(5 + c_custkey % 60 as int)), i -> concat(cas
  SELECT document_id, CAST(a AS INTEGER) AS canonical_start, CAST(CASE WHEN runt > 0 AND part = parts - 1 THEN runt ELSE z END AS INTEGER) AS canonical_end, CAST(part AS INTEGER) AS part_number, CAST(CASE WHEN runt > 0 THEN parts - 1 ELSE parts END AS INTEGER) AS total_parts,
   sha256(substr(text, CAST(a AS BIGINT) + 1, CAST(CASE WHEN runt > 0 AND part = parts - 1 THEN runt ELSE z END - a AS BIGINT))) AS text_sha256 FROM f WHERE NOT (runt > 0 AND part = parts)""")
 def overlap_chunks(spark, d):
-    docs = t(spark, d, "customer").select(F.concat(F.lit("AC-"), F.col("c_custkey").cast("string")).alias("document_id"), F.concat(F.lit("VOTO\n"), F.expr(f"array_join({_VOTE}, chr(10))")).alias("text"))
+    docs = ranges.dealt(t(spark, d, "customer").select("c_custkey"), "c_custkey").select(F.concat(F.lit("AC-"), F.col("c_custkey").cast("string")).alias("document_id"), F.concat(F.lit("VOTO\n"), F.expr(f"array_join({_VOTE}, chr(10))")).alias("text"))
     dev, heads = rulings.devices(docs), rulings.header(docs)
     return rulings.chunk(rulings.parsed_sections(dev, docs, heads), heads).select("document_id", "canonical_start", "canonical_end", "part_number", "total_parts", tx.sha256(F.col("text")).alias("text_sha256"))
 
