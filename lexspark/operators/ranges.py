@@ -9,12 +9,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dealt(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all shuffle partitions by keys, ahead of work that is heavy for their size.
+#: Bytes of input files for a partition of work whose rows are sorted in memory.
+SHARE = 4 << 20
+
+
+def parts(rows: DataFrame) -> int:
+    """Partitions for work on these rows: one for each 4 MB of the files they come from, the shuffle partitions at least.
+
+    So a task's rows, and its memory, stay the same however large the input is.
+    """
+    spark = rows.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in rows.inputFiles()]
+    size = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE))
+
+
+def dealt(rows: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
+    """Rows over all shuffle partitions, or ``n``, by keys, ahead of work that is heavy for their size.
 
     Few small rows stand in one split of a file, and adaptive execution joins small partitions; a number given holds.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return rows.repartition(n or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def bin_of(at: Column, width: float) -> Column:

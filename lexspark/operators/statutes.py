@@ -7,6 +7,8 @@ document_id, so one shuffle serves them all.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -145,28 +147,28 @@ def classify(blocks: DataFrame, compat: bool = False) -> DataFrame:
 def hierarchy(classified: DataFrame) -> DataFrame:
     """Carry article, paragraph and inciso forward in reading order; adds span_id, parent_span_id, depth and accepted.
 
-    Segments are numbered by counting articles, then paragraphs: the paragraph in force is the last
-    one of the article's segment, the inciso the last one of the paragraph's. Devices below no
-    article are not accepted.
+    The paragraph in force is the last one behind the last article, the inciso the last one behind the
+    last paragraph and article: one window over a document's blocks, numbered, and one sort. Devices
+    below no article are not accepted. Documents are dealt over partitions of an even share of the input.
     """
-    order = ["char_start", "block_index"]
-    doc = Window.partitionBy("document_id").orderBy(*order)
-    seen = lambda k: F.sum((F.col("kind") == k).cast("int"))
-    last = lambda k, v, w: F.last(F.when(F.col("kind") == k, v), ignorenulls=True).over(w)
+    doc = Window.partitionBy("document_id").orderBy("char_start", "block_index")
+    kind = lambda k: F.col("kind") == k
+    last = lambda when, *v: F.last(F.when(when, F.struct(F.col("__at").alias("at"), *[x.alias(f"v{i}") for i, x in enumerate(v)])), ignorenulls=True).over(doc)
     number = F.regexp_extract("identifier", r"(\d+)", 1).cast("int")
     suffix = F.regexp_extract("identifier", r"\d(?:[º°o])?(-[A-Za-z]+)?", 1)
     single = F.lower("identifier").rlike("(?iu)[uú]nico")
-    b = classified.withColumn("a_seq", seen("article").over(doc))
-    art = Window.partitionBy("document_id", "a_seq").orderBy(*order)
-    b = b.withColumn("art", F.struct(last("article", number, art).alias("n"), last("article", suffix, art).alias("s")))
-    b = b.withColumn("par", last("paragraph", F.when(single, 0).otherwise(number), art)).withColumn("p_seq", seen("paragraph").over(art))
-    inner = Window.partitionBy("document_id", "a_seq", "p_seq").orderBy(*order)
-    b = b.withColumn("inc", last("inciso", F.upper("identifier"), inner))
-    k, n, s, par, inc = F.col("kind"), F.col("art.n"), F.col("art.s"), F.col("par"), F.col("inc")
+    par_number, inc_name = F.when(single, 0).otherwise(number), F.upper("identifier")
+    b = ranges.dealt(classified, "document_id", n=ranges.parts(classified)).withColumn("__at", F.row_number().over(doc))
+    b = b.withColumns({
+        "art": last(kind("article"), number, suffix), "__p": last(kind("paragraph")), "par": last(kind("paragraph") & par_number.isNotNull(), par_number), "inc": last(kind("inciso") & inc_name.isNotNull(), inc_name),
+    })
+    since = lambda x, y: F.coalesce(F.col(x)["at"] > F.col(y)["at"], F.col(x).isNotNull())
+    in_force = lambda x, *y: F.when(reduce(lambda p, q: p & q, [since(x, z) for z in y]), F.col(x)["v0"])
+    k, n, s, par, inc = F.col("kind"), F.col("art.v0"), F.col("art.v1"), in_force("par", "art"), in_force("inc", "art", "__p")
     none, nothing = F.lit(None).cast("int"), F.lit(None).cast("string")
     own = lambda kind, ident, p, i: legal.span_id(F.lit(kind), ident, n, s, p, i)
     of_art, of_par, of_inc = own("article", nothing, none, nothing), own("paragraph", nothing, par, nothing), own("inciso", inc, par, nothing)
-    is_device, below = k.isin(*DEVICES), F.col("a_seq") > 0
+    is_device, below = k.isin(*DEVICES), F.col("art").isNotNull()
     accepted = is_device & (below | (k == "article"))
     span = F.when(k == "article", of_art).when(k == "paragraph", of_par).when(k == "inciso", own("inciso", F.col("identifier"), par, nothing)).when(k == "alinea", own("alinea", F.col("identifier"), par, inc))
     parent = (
@@ -177,14 +179,14 @@ def hierarchy(classified: DataFrame) -> DataFrame:
     depth = F.when(k == "paragraph", 1).when(k == "inciso", F.when(par.isNotNull(), 2).otherwise(1)).when(k == "alinea", F.when(inc.isNotNull() & par.isNotNull(), 3).when(inc.isNotNull() | par.isNotNull(), 2).otherwise(1)).otherwise(0)
     keep = lambda c: F.when(accepted, c)
     b = b.select("*", accepted.alias("accepted"), keep(span).alias("span_id"), keep(parent).alias("parent_span_id"), keep(depth).alias("hierarchy_depth"))
-    return b.drop("a_seq", "p_seq", "art", "par", "inc")
+    return b.drop("__at", "__p", "art", "par", "inc")
 
 
 def merge_orphans(tree: DataFrame) -> DataFrame:
     """Append unclassified blocks to the device before them.
 
-    An as-of step gives each orphan its device (the last one that starts earlier); a fold over a
-    device's orphans in order appends one if it starts at most 1500 characters after the device's
+    An as-of step gives each orphan its device (the last one that starts earlier), and a window over a
+    device and its orphans, within the document's partition, lists them; a fold over them in order appends one if it starts at most 1500 characters after the device's
     own end, or if the text so far ends in a comma or a function word. Offsets stay the device's.
     Result: the devices, with full_text and n_merged.
     """
@@ -193,10 +195,9 @@ def merge_orphans(tree: DataFrame) -> DataFrame:
     earlier = F.when(F.col("accepted"), F.struct("char_start", "block_index", "page_number"))
     rows = rows.withColumn("at", F.last(earlier, ignorenulls=True).over(w))
     core = F.regexp_replace("text", r"(?U)^\s+|\s+\z", "")
-    orphans = rows.where(~F.col("accepted") & F.col("at").isNotNull()).withColumn("core", core).where("core <> ''")
-    lists = orphans.groupBy("document_id", "at").agg(F.sort_array(F.collect_list(F.struct("char_start", "block_index", "core"))).alias("o"))
-    lists = lists.select("document_id", F.col("at.char_start").alias("char_start"), F.col("at.block_index").alias("block_index"), F.col("at.page_number").alias("page_number"), "o")
-    devices = rows.where("accepted").drop("at").join(lists, ["document_id", "char_start", "block_index", "page_number"], "left")
+    rows = rows.withColumn("at", F.coalesce(earlier, F.when(core != "", F.col("at")))).where("at is not null")
+    own = Window.partitionBy("document_id", "at")
+    devices = rows.withColumn("o", F.sort_array(F.collect_list(F.when(~F.col("accepted"), F.struct("char_start", "block_index", core.alias("core")))).over(own))).where("accepted").drop("at")
 
     def step(a: Column, x: Column) -> Column:
         near = x["char_start"] - F.col("char_end") <= rules.MERGE_GAP
@@ -204,7 +205,7 @@ def merge_orphans(tree: DataFrame) -> DataFrame:
         return F.struct(F.when(take, F.concat(a["t"], F.lit("\n"), x["core"])).otherwise(a["t"]).alias("t"), (a["n"] + take.cast("int")).alias("n"))
 
     start = F.struct(F.col("text").alias("t"), F.lit(0).alias("n"))
-    devices = devices.withColumn("m", F.when(F.col("o").isNull(), start).otherwise(F.aggregate("o", start, step)))
+    devices = devices.withColumn("m", F.when(F.size("o") == 0, start).otherwise(F.aggregate("o", start, step)))
     return devices.withColumn("full_text", F.col("m.t")).withColumn("n_merged", F.col("m.n")).drop("m", "o")
 
 
@@ -219,6 +220,7 @@ def link_children(devices: DataFrame) -> DataFrame:
     kids = devices.where("parent_span_id is not null").groupBy("document_id", F.col("parent_span_id").alias("span_id")).agg(
         F.sort_array(F.collect_list(F.struct(legal.child_order(F.col("span_id")).alias("o"), "char_start", F.col("span_id").alias("s"))))["s"].alias("children_span_ids")
     )
+    kids = ranges.dealt(kids, "document_id", "span_id", n=ranges.parts(devices))  # the devices follow to as many partitions
     out = devices.join(kids, ["document_id", "span_id"], "left")
     return out.withColumn("children_span_ids", F.coalesce("children_span_ids", F.array().cast("array<string>")))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import legal, rules
-from ..operators import consolidation, offsets, origin, quality, registry, statutes, vectors
+from ..operators import consolidation, offsets, origin, quality, ranges, registry, statutes, vectors
 from ..sources import stores
 from .base import SQL_CANONICAL, query, re2, t
 
@@ -60,7 +60,8 @@ _ROMAN = "CASE {0} " + " ".join(f"WHEN {n} THEN '{rules.roman(n)}'" for n in ran
 
 def _tree_blocks(spark, d):
     o = t(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.lit(0).alias("n"), F.lit("article").alias("kind"))
-    li = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.expr(_KIND).alias("kind")).distinct()
+    li = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.expr(_KIND).alias("kind"))
+    li = ranges.dealt(li, "k", n=ranges.parts(li)).distinct()
     ident = F.when(F.col("kind") == "article", F.concat(F.lit("Art. "), F.col("k").cast("string"), F.lit("º"))).when(F.col("kind") == "paragraph", F.concat(F.lit("§ "), F.col("n").cast("string"), F.lit("º"))).when(F.col("kind") == "inciso", F.expr(_ROMAN.format("n"))).otherwise(F.expr("chr(96 + n)"))
     b = o.unionByName(li)
     return b.select(F.floor(F.col("k") / 20).cast("string").alias("document_id"), F.lit(1).alias("page_number"), F.col("n").alias("block_index"), F.concat_ws(" ", ident, F.lit("texto")).alias("text"), (F.col("k") * 10 + F.col("n")).cast("int").alias("char_start"),
