@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import matching_form
-from ..sources.scratch import Scratch
-from . import recursion
+from . import ranges, recursion
 
 
 def _quoted(text: Column) -> Column:
@@ -51,27 +50,24 @@ def resolve_tree(devices: DataFrame, canonical: DataFrame) -> DataFrame:
     """Offsets down the tree: (document_id, span_id, parent_span_id, text) with extents of the roots as char_start, char_end. One row for each device.
 
     A resolved parent's range is its own text, so each child is first placed within its parent's
-    text, all at once; a recursive query over keys and numbers then adds the parents' starts, at any
-    depth. A device below an unresolved, missing or circular parent has INVALID_PARENT_RANGE.
+    text, all at once; keys and numbers then pass document by document, which adds the parents' starts,
+    at any depth. A device below an unresolved, missing or circular parent has INVALID_PARENT_RANGE.
     """
-    scratch = Scratch(devices.sparkSession, "offsets")
+    n = ranges.parts(devices)
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?U)^\s+|\s+\z", "")
     top, under = devices.where("parent_span_id = ''"), devices.where("parent_span_id <> ''")
     size = F.col("char_end") - F.col("char_start")
     whole = top.join(canonical.select("document_id", "canonical_text"), "document_id", "left")
     whole = whole.select("document_id", F.col("span_id").alias("parent_span_id"), F.when((F.col("char_start") >= 0) & (size > 0), F.substring(F.col("canonical_text"), F.col("char_start") + 1, size)).alias("canonical_text"))
     above = whole.unionByName(under.select("document_id", F.col("span_id").alias("parent_span_id"), text.alias("canonical_text")))
-    kids = under.select("document_id", "span_id", "parent_span_id", F.col("text").alias("chunk_text")).join(above, ["document_id", "parent_span_id"], "left")
+    kids = under.select("document_id", "span_id", "parent_span_id", F.col("text").alias("chunk_text")).join(ranges.dealt(above, "document_id", "parent_span_id", n=n), ["document_id", "parent_span_id"], "left")
     kids = kids.withColumn("canonical_text", F.coalesce("canonical_text", F.lit(""))).withColumn("parent_start", F.lit(0)).withColumn("parent_end", F.length("canonical_text"))
-    placed = scratch.keep(resolve(kids).select("document_id", "span_id", "parent_span_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "reason"))
-    roots = top.select("document_id", "span_id", F.col("char_start").cast("long").alias("start"), F.col("char_end").cast("long").alias("end"), F.lit(None).cast("string").alias("reason"), F.array("span_id").alias("seen"))
-    why = "CASE WHEN c.reason = 'EMPTY_TEXT' OR r.start IS NOT NULL THEN c.reason ELSE 'INVALID_PARENT_RANGE' END"
-    found = recursion.descend(roots, placed, {"start": "r.start + c.start", "end": "r.start + c.end", "reason": why, "seen": "concat(r.seen, array(c.span_id))"}, "r.seen").drop("seen")
-    found = scratch.keep(found)
-    lost = placed.join(found, ["document_id", "span_id"], "left_anti")
-    nothing = F.lit(None).cast("long")
-    why = F.when(F.col("reason") == "EMPTY_TEXT", F.col("reason")).otherwise("INVALID_PARENT_RANGE")
-    return found.unionByName(lost.select("document_id", "span_id", nothing.alias("start"), nothing.alias("end"), why.alias("reason")))
+    columns = ["document_id", "span_id", "parent_span_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "reason"]
+    placed = resolve(kids).select(*columns)
+    roots = top.withColumns({"start": F.col("char_start"), "end": F.col("char_end"), "reason": F.lit(None).cast("string")}).select(*columns)
+    new = {"__start": T.LongType(), "__end": T.LongType(), "__why": T.StringType()}
+    found = recursion.by_document(roots.unionByName(placed), ["span_id"], ["span_id", "parent_span_id", "start", "end", "reason"], recursion.placed_below, new)
+    return found.select("document_id", "span_id", F.col("__start").alias("start"), F.col("__end").alias("end"), F.col("__why").alias("reason"))
 
 
 #: Length of the grams that anchor a fuzzy search, edits that a stretch between anchors may take beyond its length, and the least similarity of a hit.

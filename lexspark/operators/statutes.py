@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import legal, rules, text
@@ -259,17 +260,17 @@ def ocr_quality(device_table: DataFrame, canonical: DataFrame, pages: DataFrame)
 def subtree_text(device_table: DataFrame) -> DataFrame:
     """retrieval_text of each device: its text and its subtree's, depth first in structural order, however deep.
 
-    A recursive query pairs devices with all below them; a span that leads back to itself ends there.
+    A document's devices pass once, siblings in order; a span that leads back to itself ends there.
     """
-    own = F.transform(F.sort_array(F.collect_list(F.struct("path", "text"))), lambda x: x["text"])
-    below = recursion.descendants(device_table).groupBy("document_id", F.col("ancestor").alias("span_id")).agg(F.array_join(own, "\n").alias("below"))
-    t = device_table.join(below, ["document_id", "span_id"], "left")
-    return t.withColumn("retrieval_text", F.concat_ws("\n", "text", "below")).drop("below").select(*device_table.columns, "retrieval_text")
+    order = legal.child_order(F.col("span_id"))
+    return recursion.by_document(device_table, [order["kind"], order["number"], F.col("char_start").cast("long"), "span_id", "text"], ["span_id", "parent_span_id", "text"], recursion.subtrees, {"retrieval_text": T.StringType()})
 
 
 def to_chunks(device_table: DataFrame, requests: DataFrame, canonical: DataFrame) -> DataFrame:
     """Chunks of devices. ``requests`` has document_id, tipo_documento, numero, ano; ``canonical`` the text of each document."""
-    t = subtree_text(device_table).join(requests, "document_id").join(canonical.select("document_id", text.sha256(F.col("canonical_text")).alias("canonical_hash")), "document_id", "left")
+    near = lambda df: ranges.dealt(df, "document_id", n=ranges.parts(device_table))  # noqa: E731  # the devices follow to as many partitions
+    hashes = near(canonical.select("document_id", text.sha256(F.col("canonical_text")).alias("canonical_hash")))
+    t = subtree_text(device_table).join(near(requests), "document_id").join(hashes, "document_id", "left")
     chunk = F.concat_ws("#", "document_id", "span_id")
     return t.select(
         F.concat(F.lit("leis:"), chunk).alias("node_id"), chunk.alias("chunk_id"),

@@ -407,8 +407,8 @@ _DEEP = "SELECT o_custkey, o_orderkey, k, CASE WHEN k = 1 THEN 0 WHEN o_custkey
  r AS (SELECT o_custkey, o_orderkey AS root, k, [k] AS path, x FROM n UNION ALL SELECT n.o_custkey, r.root, n.k, list_append(r.path, n.k), n.x FROM r JOIN n ON n.o_custkey = r.o_custkey AND n.p = r.k)
  SELECT root AS o_orderkey, string_agg(x, chr(10) ORDER BY path) AS retrieval_text FROM r GROUP BY root""")
 def deep_subtree_text(spark, d):
-    o = t(spark, d, "orders")
-    o.createOrReplaceTempView("__deep_orders")
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey")
+    ranges.dealt(o, "o_custkey", n=ranges.parts(o)).createOrReplaceTempView("__deep_orders")
     n = spark.sql(_DEEP.format("k div 2").replace("FROM orders", "FROM __deep_orders"))
     span = lambda c: F.concat(F.lit("N-"), F.col(c).cast("string"))
     tree = n.select("o_orderkey", F.col("o_custkey").cast("string").alias("document_id"), span("k").alias("span_id"), F.when(F.col("p") > 0, span("p")).otherwise("").alias("parent_span_id"), F.col("x").alias("text"), F.col("k").alias("char_start"))
@@ -426,7 +426,9 @@ _NEST = "SELECT o_custkey, o_orderkey, CAST(k AS {0}) AS k, CASE WHEN o_orderkey
  SELECT o_orderkey, a AS start_at, z AS end_at, reason FROM r""")
 def deep_offsets(spark, d):
     """Texts nested as deep as a customer has orders; some are empty, absent or stand twice, and what lies below them is unresolved."""
-    t(spark, d, "orders").createOrReplaceTempView("__nest_orders")
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey")
+    parts = ranges.parts(o)
+    ranges.dealt(o, "o_custkey", n=parts).createOrReplaceTempView("__nest_orders")
     whole = "concat('Art. ', array_join(own, ' Art. '))"
     n = spark.sql(_NEST.format("INT", whole, "collect_list(o_orderkey % 97)").replace("FROM orders", "FROM __nest_orders"))
     doc, top = F.col("o_custkey").cast("string").alias("document_id"), F.col("k") == 1
@@ -434,7 +436,7 @@ def deep_offsets(spark, d):
     span = lambda k: F.concat(F.lit("N-"), k.cast("string"))
     dev = dev.withColumn("span_id", span(F.col("k"))).withColumn("parent_span_id", F.when(F.col("k") > 1, span(F.col("k") - 1)).otherwise(""))
     got = offsets.resolve_tree(dev, n.where("k = 1").select(doc, F.col("whole").alias("canonical_text")))
-    return got.join(dev.select("document_id", "span_id", "o_orderkey"), ["document_id", "span_id"]).select("o_orderkey", F.col("start").alias("start_at"), F.col("end").alias("end_at"), "reason")
+    return got.join(ranges.dealt(dev.select("document_id", "span_id", "o_orderkey"), "document_id", "span_id", n=parts), ["document_id", "span_id"]).select("o_orderkey", F.col("start").alias("start_at"), F.col("end").alias("end_at"), "reason")
 
 
 #: Chunks of a document for each customer, one for each order, with a head and a tail by the order's key and 820 characters between,

@@ -108,3 +108,23 @@ def test_scratch_falls_back_on_a_local_master_only(monkeypatch, spark):
         raise AssertionError("no error")
     except ValueError:
         pass
+
+
+def test_documents_pass_whole_and_answers_in_parts(spark, monkeypatch):
+    """Documents that end within, at the end of and beyond a batch; nulls, circles reached from a span that stands twice, and few stages however deep."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    monkeypatch.setattr(recursion, "_ROWS", 2)
+    try:
+        rows = [(f"D{d}", f"X-{k}", f"X-{k - 1}" if k else "", f"t{k}", k) for d in range(1, 17) for k in range(d)]
+        rows += [("N", "A", "", None, 0), ("N", "B", "A", None, 1), (None, "A", "", "a", 0), (None, "B", "A", "b", 1), ("Z", "R", "", "r", 0), ("Z", "S", "R", "s", 1), ("Z", "T", "S", "t", 2), ("Z", "S", "T", "again", 3)]
+        df = spark.createDataFrame(rows, "document_id string, span_id string, parent_span_id string, text string, char_start int")
+        out = statutes.subtree_text(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "UnionLoop" not in plan and "Join" not in plan
+        got = {(r.document_id, r.char_start): r.retrieval_text for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert len(got) == len(rows)
+    assert all(got[f"D{d}", k] == "\n".join(f"t{j}" for j in range(k, d)) for d in range(1, 17) for k in range(d))
+    assert got["N", 0] == "" and got["N", 1] == "" and got[None, 0] == "a" and got["Z", 0] == "r\ns\nt" and got["Z", 1] == "s\nt"
