@@ -16,6 +16,8 @@ from . import rules
 
 #: White space as Unicode has it, for Java patterns.
 _U = "(?U)"
+#: The same without the line feed, spelt out: Java asks for properties character by character.
+_BLANKS = r"[\t\x0B\f\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
 
 def _normal(form: str):
@@ -39,10 +41,9 @@ def canonical(text: Column, compose: bool = True) -> Column:
     """NFC, line feeds only, no blanks at line ends, exactly one line feed at the end; null and empty become empty."""
     t = F.coalesce(text, F.lit(""))
     t = nfc(t) if compose else t
-    t = F.regexp_replace(t, r"\r\n?", "\n")
-    t = F.regexp_replace(t, _U + r"[\s&&[^\n]]+(?=\n|\z)", "")
-    t = F.regexp_replace(t, r"\n+\z", "")
-    return F.when(t == "", "").otherwise(F.concat(t, F.lit("\n")))
+    t = F.replace(F.replace(t, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    t = F.regexp_replace(t, _BLANKS + r"++(?=\n|\z)", "")
+    return F.regexp_replace(F.concat(F.rtrim(t, F.lit("\n")), F.lit("\n")), r"\A\n\z", "")  # a condition on t would work it out twice
 
 
 def is_canonical(text: Column) -> Column:

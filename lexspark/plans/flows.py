@@ -23,9 +23,9 @@ class Ingested:
 
 
 def canonical_gate(canonical: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents in canonical form, the others): only the former have offsets that hold."""
-    ok = tx.is_canonical(F.col("canonical_text"))
-    return canonical.where(ok), canonical.where(~ok)
+    """(documents in canonical form, the others): only the former have offsets that hold. Each text is judged once, and both are read from what that wrote."""
+    judged = Scratch(canonical.sparkSession, "gate").keep(canonical.withColumn("__ok", tx.is_canonical(F.col("canonical_text"))))
+    return judged.where("__ok").drop("__ok"), judged.where("not __ok").drop("__ok")
 
 
 def ingest_statutes(blocks: DataFrame, canonical: DataFrame, requests: DataFrame, compat: bool = False, embed: bool = False) -> Ingested:
