@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import legal
 from ..sources.scratch import Scratch
+from . import ranges
 from .registry import last_wins
 
 PREVIEW, CITATION = 200, 500
@@ -25,7 +26,8 @@ def edges(citations: DataFrame) -> DataFrame:
     """One edge for each (source, target): no self-loops, the surest of several, the citation cut to 500 characters."""
     e = citations.where(F.col("source_node_id") != F.col("target_node_id"))
     e = e.withColumn("confidence_tier", legal.confidence_tier(F.col("confidence"))).withColumn("extraction_method", legal.extraction_method(F.col("extraction_method"))).withColumn("citation_text", F.left("citation_text", F.lit(CITATION)))
-    return last_wins(e, ["source_node_id", "target_node_id"], ["confidence", "citation_text"])
+    keys = ["source_node_id", "target_node_id"]
+    return last_wins(ranges.dealt(e, *keys, n=ranges.parts(citations)), keys, ["confidence", "citation_text"])  # one sort, and no more rows in a task however large the input
 
 
 def stubs(edge_table: DataFrame, node_table: DataFrame) -> DataFrame:
@@ -80,13 +82,14 @@ def expand(edge_table: DataFrame, seeds: DataFrame, hops: int | None = 2, least_
 
 
 def audit(edge_table: DataFrame, node_table: DataFrame, chunks: DataFrame) -> DataFrame:
-    """One row of counts: nodes, edges, self-loops, edges with an unknown end, edges whose source chunk is unknown."""
-    ends = edge_table.select("source_node_id", "target_node_id", "source_chunk_id")
-    known = node_table.select("node_id").distinct()
-    lost = ends.join(known.withColumnRenamed("node_id", "source_node_id"), "source_node_id", "left_anti").select("source_node_id", "target_node_id").unionByName(
-        ends.join(known.withColumnRenamed("node_id", "target_node_id"), "target_node_id", "left_anti").select("source_node_id", "target_node_id")
-    ).distinct()
-    orphan = ends.join(chunks.select(F.col("chunk_id").alias("source_chunk_id")).distinct(), "source_chunk_id", "left_anti")
+    """One row of counts: nodes, edges, self-loops, edges with an unknown end, edges whose source chunk is unknown. The edges, read several times, are written once."""
+    n = ranges.parts(edge_table)
+    ends = Scratch(edge_table.sparkSession, "audit").keep(edge_table.select("source_node_id", "target_node_id", "source_chunk_id"))
+    known = ranges.dealt(node_table.select("node_id"), "node_id", n=n).distinct()
+    met = lambda df, c: df.join(known.select(F.col("node_id").alias(c), F.lit(True).alias(f"{c}_known")), c, "left")
+    lost = met(met(ends.drop("source_chunk_id"), "source_node_id"), "target_node_id").where("source_node_id_known is null or target_node_id_known is null").select("source_node_id", "target_node_id")
+    lost = ranges.dealt(lost, "source_node_id", "target_node_id", n=n).distinct()
+    orphan = ends.join(ranges.dealt(chunks.select(F.col("chunk_id").alias("source_chunk_id")), "source_chunk_id", n=n).distinct(), "source_chunk_id", "left_anti")
     one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
     out = one(node_table, "nodes").crossJoin(ends.agg(F.count(F.lit(1)).alias("edges"), F.count_if(F.col("source_node_id") == F.col("target_node_id")).alias("self_loops")))  # single rows
     return out.crossJoin(one(lost, "dangling_edges")).crossJoin(one(orphan, "edges_without_chunk"))
