@@ -22,8 +22,14 @@ _BLANKS = r"[\t\x0B\f\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u300
 
 def _normal(form: str):
     @F.pandas_udf("string")
-    def normal(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize(form, x))
+    def normal(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:  # a batch of long texts is answered in parts, as in ``matching_with_offsets``
+            low = chars = 0
+            for high, x in enumerate(texts, 1):
+                chars += len(x or "")
+                if chars >= _PART or high == len(texts):
+                    yield texts.iloc[low:high].map(lambda x: x if x is None or x.isascii() else unicodedata.normalize(form, x))
+                    low, chars = high, 0
 
     return normal
 

@@ -88,3 +88,23 @@ def test_offsets_of_the_matching_form_are_a_few_bytes_a_character_and_answered_i
     monkeypatch.setattr(tx, "_PART", 10)
     parts = list(tx.matching_with_offsets.func(iter([pd.Series(["abcdef"] * 5 + [None])])))
     assert [len(p) for p in parts] == [2, 2, 2] and [x for p in parts for x in p["norm"]] == ["abcdef"] * 5 + [""]
+
+
+def test_normal_form_of_a_batch_in_parts(spark, monkeypatch):
+    """Long batches leave in parts, in order, nulls and empty texts with them."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from lexspark.functions import text as tx
+
+    texts = ["é", None, "", "abc" * 9, "ñ" * 5, "z"] * 4
+    part = tx._PART
+    tx._PART = 7
+    try:
+        assert len(list(tx._normal("NFC").func(iter([pd.Series(["abcd", "efgh", "ijkl", "mnop"])])))) == 2
+        got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").coalesce(1).select("k", tx.nfc(F.col("t")).alias("n")).orderBy("k").collect()
+    finally:
+        tx._PART = part
+    import unicodedata
+
+    assert [r.n for r in got] == [t and unicodedata.normalize("NFC", t) for t in texts]
