@@ -151,7 +151,7 @@ def matching_with_offsets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame
 def strip_thinking(text: Column) -> Column:
     """Model output without its thinking blocks: closed ones, then one that never closes."""
     closed = F.regexp_replace(text, r"(?s)<think>.*?</think>\s*", "")
-    return F.trim(F.regexp_replace(closed, r"(?s)<think>.*\z", ""))
+    return F.trim(F.when(closed.contains("<think>"), F.regexp_replace(closed, r"(?s)<think>.*\z", "")).otherwise(closed))
 
 
 def thinking_tokens(text: Column) -> Column:
@@ -159,11 +159,25 @@ def thinking_tokens(text: Column) -> Column:
     return F.floor(F.length(F.regexp_extract(text, r"(?s)<think>(.*?)(?:</think>|\z)", 1)) / 4)
 
 
+def unfenced(text: Column) -> Column:
+    """A model's answer without its thinking blocks and without a fence around it."""
+    return F.trim(F.regexp_replace(F.regexp_replace(strip_thinking(text), r"^\s*```(?:json)?\s*", ""), r"```\s*\z", ""))
+
+
+def parsed_json(text: Column) -> Column:
+    """JSON as a variant; null for what is none. Only what begins like JSON is parsed, for a failure costs more than a page."""
+    return F.try_parse_json(F.when(text.rlike(r"^\s*(?:[\[{\"0-9-]|true|false|null)"), text))
+
+
+def embedded_json(text: Column) -> list[Column]:
+    """The first object and the first array in a text, as variants."""
+    return [parsed_json(F.regexp_extract(text, p, 0)) for p in (r"(?s)\{.*\}", r"(?s)\[.*\]")]
+
+
 def salvage_json(text: Column) -> Column:
     """JSON out of a model's answer, as a string: unfenced whole, else the first object or array; null if none parses."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(strip_thinking(text), r"^\s*```(?:json)?\s*", ""), r"\s*```\s*\z", ""))
-    tries = [bare, F.regexp_extract(bare, r"(?s)\{.*\}", 0), F.regexp_extract(bare, r"(?s)\[.*\]", 0)]
-    return F.coalesce(*[F.to_json(F.try_parse_json(F.nullif(t, F.lit("")))) for t in tries])
+    bare = unfenced(text)
+    return F.coalesce(*[F.to_json(v) for v in (parsed_json(bare), *embedded_json(bare))])
 
 
 def no_think(role: Column, text: Column, is_last_user: Column) -> Column:
